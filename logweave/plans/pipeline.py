@@ -1,0 +1,63 @@
+"""The whole run as one lazy composition.
+
+``read_logs -> parse -> rules -> diagnose (+ prompts) -> spike -> alerts``.
+Nothing here triggers a job except the ranking checkpoints for ordered output.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+
+from logweave.operators.alerts import assemble_alerts, severity_summary
+from logweave.operators.diagnose import diagnose
+from logweave.operators.parse import accepted, parse_lines, rejected, parse_stats
+from logweave.operators.rules import detect, detection_stats, evaluate_rules
+from logweave.operators.spike import error_entries, global_error_spike
+from logweave.params import Params
+
+
+@dataclass
+class Analysis:
+    parsed: DataFrame
+    entries: DataFrame
+    rejects: DataFrame
+    parse_stats: DataFrame
+    evaluated: DataFrame
+    reports: DataFrame
+    detection_stats: DataFrame
+    diagnoses: DataFrame
+    spike: DataFrame
+    alerts: DataFrame
+    summary: DataFrame
+
+
+def analyze(raw: DataFrame, params: Params = Params(), responses: DataFrame | None = None) -> Analysis:
+    """Run every stage on raw lines (column ``raw``).
+
+    ``responses`` is an optional ``(request_id, status, body)`` table of model
+    answers; without it every report gets the rule-based diagnosis. Rules run on
+    the entries without a dedup shuffle (they ignore repeats); the spike dedups
+    only the ERROR lines.
+    """
+    parsed = parse_lines(raw, params)
+    entries = accepted(parsed)
+    evaluated = evaluate_rules(entries, params)
+    reports = detect(entries, params)
+    diagnoses = diagnose(reports, responses)
+    spike = global_error_spike(error_entries(entries), params)
+    alerts = assemble_alerts(spike, diagnoses)
+    return Analysis(
+        parsed=parsed,
+        entries=entries,
+        rejects=rejected(parsed),
+        parse_stats=parse_stats(parsed),
+        evaluated=evaluated,
+        reports=reports,
+        detection_stats=detection_stats(evaluated),
+        diagnoses=diagnoses,
+        spike=spike,
+        alerts=alerts,
+        summary=severity_summary(alerts),
+    )
