@@ -1,0 +1,76 @@
+import datetime as dt
+import random
+
+import pytest
+
+from conftest import line
+from logweave.operators.parse import accepted, parse_lines
+from logweave.operators.spike import error_entries, error_spikes, global_error_spike, window_counts
+from logweave.params import Params
+
+BASE = dt.datetime(2026, 3, 16, 15, 56, 0)
+
+
+def iso(t):
+    return t.strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+
+
+def errors_at(lines_df, offsets_s, rid_prefix="r"):
+    lines = [line(ts=iso(BASE + dt.timedelta(seconds=s)), level="ERROR", rid=f"{rid_prefix}{i}") for i, s in enumerate(offsets_s)]
+    return accepted(parse_lines(lines_df(lines)))
+
+
+def test_ten_is_not_a_spike_eleven_is(lines_df):
+    assert global_error_spike(error_entries(errors_at(lines_df, [i * 5 for i in range(10)]))).count() == 0
+    rows = global_error_spike(error_entries(errors_at(lines_df, [i * 5 for i in range(11)]))).collect()
+    assert len(rows) == 1
+    r = rows[0]
+    assert r.request_id == "GLOBAL_SYSTEM_SPIKE" and r.severity == "critical"
+    assert r.root_cause == "Catastrophic failure detected: > 10 errors occurred globally within 1 minute starting at 2026-03-16T15:56:00Z."
+
+
+def test_window_end_is_exclusive(lines_df):
+    offs = [0] * 10 + [60]
+    assert global_error_spike(error_entries(errors_at(lines_df, offs))).count() == 0
+    offs = [0] * 10 + [59.999999]
+    assert global_error_spike(error_entries(errors_at(lines_df, offs))).count() == 1
+
+
+def test_repeated_lines_count_once(lines_df):
+    e = errors_at(lines_df, [0] * 6)
+    e2 = e.unionByName(e)
+    assert global_error_spike(error_entries(e2)).count() == 0
+
+
+def test_empty_and_earliest_start(lines_df):
+    assert global_error_spike(error_entries(errors_at(lines_df, []))).count() == 0
+    assert global_error_spike(error_entries(errors_at(lines_df, [1]))).count() == 0
+    offs = [100 + i for i in range(11)] + [300 + i for i in range(20)]
+    r = global_error_spike(error_entries(errors_at(lines_df, offs))).collect()[0]
+    assert r.root_cause.endswith("starting at 2026-03-16T15:57:40Z.")
+
+
+def test_spike_start_printed_in_its_offset(lines_df):
+    lines = [line(ts="2026-03-16T21:26:00+05:30", level="ERROR", rid=f"r{i}") for i in range(11)]
+    r = global_error_spike(error_entries(accepted(parse_lines(lines_df(lines))))).collect()[0]
+    assert "starting at 2026-03-16T21:26:00+05:30." in r.root_cause
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_distributed_counts_equal_naive(spark, seed):
+    rnd = random.Random(seed)
+    # a hot minute holding a large share of the errors, plus background
+    ts = [BASE + dt.timedelta(seconds=rnd.random() * 60) for _ in range(400)] + [
+        BASE + dt.timedelta(seconds=rnd.random() * 3600) for _ in range(400)
+    ]
+    ts += ts[:50]  # equal instants
+    df = spark.createDataFrame([(t,) for t in ts], "ts timestamp_ntz")
+    w = dt.timedelta(minutes=1)
+    got = {r.start_us: r.errors_in_window for r in window_counts(df, w, tz_col=None).collect()}
+    us = sorted(int((t - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000) for t in ts)
+    import bisect
+
+    want = {u: bisect.bisect_left(us, u + 60_000_000) - bisect.bisect_left(us, u) for u in set(us)}
+    assert got == want
+    p = Params(spike_threshold=30)
+    assert {r.start_us for r in error_spikes(df, p, tz_col=None).collect()} == {u for u, c in want.items() if c > 30}
