@@ -10,8 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space, as trimmed by the log tool (tab, NBSP, ... not only ' ').
-_TRIM_RE = r"(?U)\A\s+|\s+\z"
+# Fixed value: the Unicode White_Space characters trimmed around fields
+# (U+0009-U+000D, U+0020, U+0085, U+00A0, U+1680, U+2000-U+200A, U+2028,
+# U+2029, U+202F, U+205F, U+3000). ``trim`` alone strips only U+0020.
+UNICODE_SPACE = (
+    "\t\n\u000b\u000c\r \u0085\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # RFC 3339 with 'T', optional fraction ('.' or ','), 'Z' or a numeric offset.
 RFC3339_RE = r"\A(\d{4})-(\d\d)-(\d\d)T(\d{1,2}):(\d\d):(\d\d)(?:[.,](\d+))?(Z|[+-]\d\d:\d\d)\z"
@@ -24,8 +30,8 @@ def _col(c) -> Column:
 
 
 def trim_space(c) -> Column:
-    """Strip leading and trailing Unicode white space (``trim`` strips only U+0020)."""
-    return F.regexp_replace(_col(c), _TRIM_RE, "")
+    """Strip leading and trailing Unicode white space (a character-set trim, no regex)."""
+    return F.trim(_col(c), F.lit(UNICODE_SPACE))
 
 
 def trim_prefix(c, prefix: str) -> Column:
@@ -64,12 +70,15 @@ def parse_rfc3339(c) -> Column:
     """
     c = _col(c)
     ok = c.rlike(RFC3339_RE) & ~c.startswith("0000")
-    # ',' is accepted as the decimal mark; digits beyond nanoseconds are dropped.
-    canonical = F.regexp_replace(F.regexp_replace(c, ",", "."), r"(\.[0-9]{9})[0-9]+", "$1")
-    ts = F.when(ok, canonical.try_cast("timestamp"))
-    nanos = F.rpad(F.regexp_extract(c, r"[.,][0-9]{6}([0-9]{1,3})", 1), 3, "0").cast("int")
-    off = F.regexp_extract(c, r"(Z|[+-][0-9]{2}:[0-9]{2})\z", 1)
-    tz = F.when(off.isin("+00:00", "-00:00"), F.lit("Z")).otherwise(off)
+    # ',' is accepted as the decimal mark; the cast keeps microseconds of any fraction.
+    dotted = F.translate(c, ",", ".")
+    ts = F.when(ok, dotted.try_cast("timestamp"))
+    zulu = c.endswith("Z")
+    tail = F.substring_index(dotted, ".", -1)  # fraction digits + offset, when there is a fraction
+    digits = F.left(tail, F.length(tail) - F.when(zulu, F.lit(1)).otherwise(F.lit(6)))
+    nanos = F.when(ok & dotted.contains("."), F.substring(F.rpad(digits, 9, "0"), 7, 3).try_cast("int")).otherwise(F.lit(0))
+    off = F.when(zulu, F.lit("Z")).otherwise(F.substring(c, -6, 6))
+    tz = F.when(ok, F.when(off.isin("+00:00", "-00:00"), F.lit("Z")).otherwise(off))
     return F.struct(ts.alias("ts"), nanos.alias("ts_nanos"), tz.alias("tz_offset"))
 
 
@@ -115,7 +124,7 @@ def duration_text_ms(ms) -> Column:
     m = F.pmod(F.floor(a / 60_000), F.lit(60))
     s = F.pmod(F.floor(a / 1000), F.lit(60))
     frac = F.pmod(a, F.lit(1000))
-    frac_txt = F.when(frac > 0, F.concat(F.lit("."), F.regexp_replace(F.lpad(frac.cast("string"), 3, "0"), "0+$", ""))).otherwise(F.lit(""))
+    frac_txt = F.when(frac > 0, F.concat(F.lit("."), F.rtrim(F.lpad(frac.cast("string"), 3, "0"), F.lit("0")))).otherwise(F.lit(""))
     long_txt = F.concat(
         F.when(h > 0, F.concat(h.cast("string"), F.lit("h"))).otherwise(F.lit("")),
         F.when(a >= 60_000, F.concat(m.cast("string"), F.lit("m"))).otherwise(F.lit("")),

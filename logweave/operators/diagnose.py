@@ -81,8 +81,14 @@ def prompt_entries(entries: DataFrame, params: Params = Params()) -> DataFrame:
 
 
 def build_prompts(entries: DataFrame, reports: DataFrame, params: Params = Params()) -> DataFrame:
-    """``request_id, prompt`` for every report (entries of other requests are not read into prompts)."""
-    kept = prompt_entries(entries.join(reports.select("request_id"), "request_id", "left_semi"), params)
+    """``request_id, prompt`` for every report.
+
+    The bounded per-request selection runs first (dedup hashes on the line, the
+    group limits cut each request to at most head + tail rows before shuffling);
+    only that small result is joined with the reports, so no join ever shuffles
+    all entries of a hot request id.
+    """
+    kept = prompt_entries(entries, params)
     lines = kept.groupBy("request_id").agg(
         F.first("n_entries").alias("n_entries"),
         F.array_sort(F.collect_list(F.struct("part", "ts", "ts_nanos", "raw", "line"))).alias("_lines"),
@@ -103,7 +109,7 @@ def build_prompts(entries: DataFrame, reports: DataFrame, params: Params = Param
         F.coalesce(text_of(1), F.lit("")),
         F.lit(PROMPT_FOOTER),
     )
-    return reports.select("request_id", "rules").join(lines, "request_id", "left").select("request_id", body.alias("prompt"))
+    return reports.select("request_id", "rules").join(lines, "request_id", "inner").select("request_id", body.alias("prompt"))
 
 
 def build_requests(prompts: DataFrame, params: Params = Params()) -> DataFrame:

@@ -84,12 +84,14 @@ def parse_lines(df: DataFrame, params: Params = Params(), raw_col: str = "raw")
 
 def accepted(parsed: DataFrame) -> DataFrame:
     extra = [c for c in parsed.columns if c not in ENTRY_COLUMNS + REJECT_COLUMNS[1:]]
-    return parsed.where(F.col("parse_error").isNull()).select(*ENTRY_COLUMNS, *extra)
+    # Filter on the kind, not the message: Catalyst pushes the predicate below the
+    # staged projections and inlines it; the kind references every field once.
+    return parsed.where(F.col("error_kind").isNull()).select(*ENTRY_COLUMNS, *extra)
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
     extra = [c for c in parsed.columns if c not in ENTRY_COLUMNS + REJECT_COLUMNS[1:]]
-    return parsed.where(F.col("parse_error").isNotNull()).select(*REJECT_COLUMNS, *extra)
+    return parsed.where(F.col("error_kind").isNotNull()).select(*REJECT_COLUMNS, *extra)
 
 
 def parse_logs(df: DataFrame, params: Params = Params(), raw_col: str = "raw") -> tuple[DataFrame, DataFrame]:
@@ -100,7 +102,7 @@ def parse_logs(df: DataFrame, params: Params = Params(), raw_col: str = "raw") -
 
 def parse_stats(parsed: DataFrame) -> DataFrame:
     """One row: lines read, lines rejected, lines accepted, and rejects per kind."""
-    bad = F.col("parse_error").isNotNull()
+    bad = F.col("error_kind").isNotNull()
     kinds = ["line_too_long", "fields", "timestamp", "service", "level", "request_id", "message"]
     return parsed.agg(
         F.count(F.lit(1)).alias("total_lines"),

@@ -8,10 +8,10 @@ counts of a key that spills over from earlier partitions are added back. The
 offset table has at most one row per partition, so broadcasting it is bounded by
 the partition count, not by the data.
 
-The partitioned, numbered rows are checkpointed (reliable checkpoint in the
-session's ``spark.checkpoint.dir``): both the offset aggregate and the final join
-read the same materialized layout, and a lost executor does not force the range
-shuffle to be recomputed.
+The partitioned, numbered rows are written once as a table in the session's
+``spark.checkpoint.dir`` (partition id, row index and local sum are stored
+columns): the offset aggregate and the final join read the same numbering, and a
+lost executor re-reads files instead of recomputing the range shuffle.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logweave.session import ensure_checkpoint_dir
+from logweave.plans.materialize import materialize
 
 
 def _same_as_previous(arrays: list[pa.Array], prev: list | None, n: int) -> np.ndarray:
@@ -111,7 +111,6 @@ def running_sum_within(
     PRECEDING)``; ``order`` must be total within a group.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     if num_partitions is None:
         num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     by = list(by)
@@ -129,8 +128,8 @@ def running_sum_within(
         df.repartitionByRange(num_partitions, *sort_cols)
         .sortWithinPartitions(*sort_cols)
         .mapInArrow(_numbering(by, weight), out_schema)
-        .checkpoint(eager=True)
     )
+    local = materialize(local, "ranked")
     key = F.struct(*[F.col(b) for b in by]) if by else F.lit(0)
     stats = local.groupBy("_pid").agg(
         F.min(key).alias("first_key"),

@@ -28,7 +28,7 @@ from logweave.operators.parse import accepted, first_rejects, parse_lines, parse
 from logweave.operators.rules import detect, detection_stats, evaluate_rules, service_chain_gaps
 from logweave.operators.spike import error_entries, error_spikes, global_error_spike
 from logweave.params import Params
-from logweave.session import ensure_checkpoint_dir
+from logweave.plans.materialize import materialize
 from logweave.sources.fixtures import event_log_lines, model_responses
 
 # Parameters of the registered queries (the oracle SQL uses the same values).
@@ -42,13 +42,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str, key: str = "bucket") -> DataFrame:
-    """Raw log lines derived from ``events``, checkpointed.
+    """Raw log lines derived from ``events``, written once as a table.
 
     Materializing the derived text keeps the generator expression out of the
     parse plan (and cuts lineage); production input comes from ``read_logs``.
     """
-    ensure_checkpoint_dir(spark)
-    return event_log_lines(table(spark, sf_dir, "events"), key=key).checkpoint(eager=True)
+    lines = event_log_lines(table(spark, sf_dir, "events"), key=key)
+    return materialize(lines, f"log-lines-{key}", min_partitions=spark.sparkContext.defaultParallelism)
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
