@@ -18,14 +18,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logweave.operators.parse import ENTRY_COLUMNS
 from logweave.operators.ranking import rank_within
 
 ENTRY_ORDER = ["ts", "ts_nanos", "raw"]
 
 
 def dedup_entries(entries: DataFrame) -> DataFrame:
-    """Keep one entry per ``(request_id, raw)``: a repeated line counts once."""
-    return entries.dropDuplicates(["request_id", "raw"])
+    """Keep one entry per ``(request_id, raw)``: a repeated line counts once.
+
+    Every entry column is a deterministic function of ``raw``, so this is a
+    ``DISTINCT`` over the entry columns: a hash aggregate (partial, map-side)
+    instead of the sort-based aggregate ``dropDuplicates`` needs for string
+    columns. Columns outside the entry schema (e.g. ``source_file``) are dropped:
+    copies of one line from two files are one entry.
+    """
+    return entries.select(*ENTRY_COLUMNS).distinct()
 
 
 def group_bounds(entries: DataFrame) -> DataFrame:

@@ -16,30 +16,32 @@ from pyspark.sql import types as T
 _CR_AT_END = r"\r\z"
 
 
-def _shape(lines: DataFrame) -> DataFrame:
-    return (
-        lines.select(
-            F.regexp_replace("value", _CR_AT_END, "").alias("raw"),
-            F.octet_length("value").alias("line_bytes"),
-            F.col("_metadata.file_path").alias("source_file"),
-        )
-        .where(F.col("raw") != "")
-    )
-
-
-def read_logs(spark: SparkSession, path: str, pattern: str = "*.log") -> DataFrame:
+def _shape(lines: DataFrame, with_source_file: bool) -> DataFrame:
+    cols = [
+        F.regexp_replace("value", _CR_AT_END, "").alias("raw"),
+        F.octet_length("value").alias("line_bytes"),
+    ]
+    if with_source_file:
+        cols.append(F.col("_metadata.file_path").alias("source_file"))
+    return lines.select(*cols).where(F.col("raw") != "")
+
+
+def read_logs(spark: SparkSession, path: str, pattern: str = "*.log", with_source_file: bool = False) -> DataFrame:
     """Read every ``pattern`` file directly inside ``path``.
 
-    Returns ``raw, line_bytes, source_file``. Raises ``PATH_NOT_FOUND`` when no
-    file matches. Large files are split across tasks by Spark.
+    Returns ``raw, line_bytes`` (+ ``source_file`` on request: it makes the scan
+    read the file metadata). Raises ``PATH_NOT_FOUND`` when no file matches.
+    Large files are split across tasks by Spark.
     """
     glob = path.rstrip("/") + "/" + pattern
-    return _shape(spark.read.option("lineSep", "\n").text(glob))
+    return _shape(spark.read.option("lineSep", "\n").text(glob), with_source_file)
 
 
-def stream_logs(spark: SparkSession, path: str, pattern: str = "*.log", max_files_per_trigger: int | None = None) -> DataFrame:
+def stream_logs(
+    spark: SparkSession, path: str, pattern: str = "*.log", max_files_per_trigger: int | None = None, with_source_file: bool = False
+) -> DataFrame:
     """Streaming form of :func:`read_logs` over a directory that receives new files."""
     reader = spark.readStream.option("lineSep", "\n").option("pathGlobFilter", pattern)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return _shape(reader.schema(T.StructType([T.StructField("value", T.StringType())])).text(path))
+    return _shape(reader.schema(T.StructType([T.StructField("value", T.StringType())])).text(path), with_source_file)
