@@ -117,12 +117,12 @@ def severity_of(rules: Column) -> Column:
 def service_chain_gaps(entries: DataFrame, params: Params = Params()) -> DataFrame:
     """Relational form of the missing-hop rule: ``(request_id, service, hop)`` per absent chain service.
 
-    Requests x chain (a broadcast of the chain: its size is the parameter, not the
-    data) anti-joined with the distinct ``(request_id, service)`` pairs.
+    Each request id expands to its expected hops (``posexplode`` of the chain
+    parameter, no join), then an anti-join removes the ``(request_id, service)``
+    pairs that occur. Both join sides have at most one row per pair, so a hot
+    request id is not a hot join key.
     """
-    spark = entries.sparkSession
-    chain = spark.createDataFrame(list(enumerate(params.service_chain)), "hop int, service string")
+    chain = F.array(*[F.lit(s) for s in params.service_chain])
+    expected = entries.select("request_id").distinct().select("request_id", F.posexplode(chain).alias("hop", "service"))
     present = entries.select("request_id", "service").distinct()
-    requests = entries.select("request_id").distinct()
-    expected = requests.join(F.broadcast(chain), how="cross")
     return expected.join(present, ["request_id", "service"], "left_anti").select("request_id", "service", "hop")

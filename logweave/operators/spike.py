@@ -70,29 +70,27 @@ def window_counts(errors: DataFrame, window: timedelta, ts_col: str = "ts", tz_c
     """
     w_us = int(window / timedelta(microseconds=1))
     tz = F.col(tz_col) if tz_col else F.lit("Z")
-    points = errors.select(
-        epoch_micros(errors, ts_col).alias("t"),
-        F.col(ts_col).alias("_ts"),
-        tz.alias("_tz"),
+    points = errors.select(epoch_micros(errors, ts_col).alias("t"), tz.alias("_tz"))
+    # Pre-aggregate per microsecond (map-side combine): equal instants become one point.
+    per_us = points.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("_tz").alias("_tz"))
+    data = per_us.select("t", F.lit(1).alias("kind"), "n", F.col("t").alias("start_us"), "_tz")
+    probes = per_us.select(
+        (F.col("t") + F.lit(w_us)).alias("t"), F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("n"),
+        F.col("t").alias("start_us"), F.lit(None).cast("string").alias("_tz"),
     )
-    per_us = points.groupBy("t").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.struct("_tz", "_ts")).alias("_first"),
-    )
-    data = per_us.select("t", F.lit(1).alias("kind"), "n", F.col("t").alias("start_us"))
-    probes = per_us.select((F.col("t") + F.lit(w_us)).alias("t"), F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("n"), F.col("t").alias("start_us"))
     timeline = running_sum_within(data.unionByName(probes), [], ["t", "kind"], "n", name="cum")
-    before_start = timeline.where("kind = 1").select("start_us", (F.col("cum") - F.col("n")).alias("n_before"))
-    before_end = timeline.where("kind = 0").select("start_us", F.col("cum").alias("n_before_end"))
-    starts = per_us.select(
-        F.col("t").alias("start_us"),
-        F.timestamp_micros("t").alias("start_ts"),
-        F.col("_first._tz").alias("start_tz"),
+    # Each start has one data row (N(<= t) - n = N(< t)) and one probe row (N(< t + W)).
+    is_data = F.col("kind") == 1
+    per_start = timeline.groupBy("start_us").agg(
+        F.max(F.when(is_data, F.col("cum") - F.col("n"))).alias("n_before"),
+        F.max(F.when(~is_data, F.col("cum"))).alias("n_before_end"),
+        F.max(F.when(is_data, F.col("_tz"))).alias("start_tz"),
     )
-    return (
-        starts.join(before_start, "start_us")
-        .join(before_end, "start_us")
-        .select("start_us", "start_ts", "start_tz", (F.col("n_before_end") - F.col("n_before")).alias("errors_in_window"))
+    return per_start.select(
+        "start_us",
+        F.timestamp_micros("start_us").alias("start_ts"),
+        "start_tz",
+        (F.col("n_before_end") - F.col("n_before")).alias("errors_in_window"),
     )
 
 

@@ -1,63 +1,109 @@
-"""The whole run as one lazy composition.
+"""The whole run: ``read_logs -> parse -> rules -> diagnose -> spike -> alerts -> sinks``.
 
-``read_logs -> parse -> rules -> diagnose (+ prompts) -> spike -> alerts``.
-Nothing here triggers a job except the ranking checkpoints for ordered output.
+``analyze`` composes the stages lazily. The ordered alert list needs one ranking
+pass (a job), so it is built on first use. ``run`` adds the console tool's
+control flow: stats, the "no anomalies, write nothing" stop, and the sinks.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logweave.operators.alerts import assemble_alerts, severity_summary
+from logweave.operators.correlate import correlation_stats
 from logweave.operators.diagnose import diagnose
-from logweave.operators.parse import accepted, parse_lines, rejected, parse_stats
-from logweave.operators.rules import detect, detection_stats, evaluate_rules
+from logweave.operators.parse import accepted, first_rejects, parse_lines, parse_stats, rejected
+from logweave.operators.rules import detection_stats, evaluate_rules
 from logweave.operators.spike import error_entries, global_error_spike
 from logweave.params import Params
+from logweave.sources.logfiles import read_logs
 
 
 @dataclass
 class Analysis:
-    parsed: DataFrame
-    entries: DataFrame
-    rejects: DataFrame
-    parse_stats: DataFrame
-    evaluated: DataFrame
-    reports: DataFrame
-    detection_stats: DataFrame
-    diagnoses: DataFrame
-    spike: DataFrame
-    alerts: DataFrame
-    summary: DataFrame
+    raw: DataFrame
+    params: Params = field(default_factory=Params)
+    responses: DataFrame | None = None
+
+    @cached_property
+    def parsed(self) -> DataFrame:
+        return parse_lines(self.raw, self.params)
+
+    @cached_property
+    def entries(self) -> DataFrame:
+        return accepted(self.parsed)
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        return rejected(self.parsed)
+
+    @cached_property
+    def evaluated(self) -> DataFrame:
+        """Every request group with its rules (no dedup shuffle: the rules ignore repeats)."""
+        return evaluate_rules(self.entries, self.params)
+
+    @cached_property
+    def reports(self) -> DataFrame:
+        return self.evaluated.where(F.size("rules") > 0)
+
+    @cached_property
+    def diagnoses(self) -> DataFrame:
+        return diagnose(self.reports, self.responses)
+
+    @cached_property
+    def spike(self) -> DataFrame:
+        """0 or 1 spike alert; only the ERROR lines are deduplicated for it."""
+        return global_error_spike(error_entries(self.entries), self.params)
+
+    @cached_property
+    def alerts(self) -> DataFrame:
+        """Spike first, then diagnoses by request start; with ``alert_pos`` (runs the ranking job)."""
+        return assemble_alerts(self.spike, self.diagnoses)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return severity_summary(self.alerts)
+
+    def stats(self) -> dict:
+        """Single-row counters of every stage (small, bounded results)."""
+        p = parse_stats(self.parsed).collect()[0].asDict()
+        c = correlation_stats(self.entries).collect()[0].asDict()
+        d = detection_stats(self.evaluated).collect()[0].asDict()
+        return {"parse": p, "correlation": c, "detection": d}
 
 
 def analyze(raw: DataFrame, params: Params = Params(), responses: DataFrame | None = None) -> Analysis:
-    """Run every stage on raw lines (column ``raw``).
+    """All stages over raw lines (column ``raw``); ``responses`` is an optional
+    ``(request_id, status, body)`` table of model answers."""
+    return Analysis(raw, params, responses)
 
-    ``responses`` is an optional ``(request_id, status, body)`` table of model
-    answers; without it every report gets the rule-based diagnosis. Rules run on
-    the entries without a dedup shuffle (they ignore repeats); the spike dedups
-    only the ERROR lines.
+
+def run(
+    spark: SparkSession,
+    log_dir: str,
+    sinks: dict[str, Callable[[DataFrame], None]],
+    params: Params = Params(),
+    responses: DataFrame | None = None,
+) -> dict:
+    """Read ``log_dir``, analyze, and write the alerts to every sink.
+
+    When no request group is anomalous nothing is written (an older alert file
+    stays as it is), like the original tool. Returns stats, the first reject
+    messages and the per-sink outcome.
     """
-    parsed = parse_lines(raw, params)
-    entries = accepted(parsed)
-    evaluated = evaluate_rules(entries, params)
-    reports = detect(entries, params)
-    diagnoses = diagnose(reports, responses)
-    spike = global_error_spike(error_entries(entries), params)
-    alerts = assemble_alerts(spike, diagnoses)
-    return Analysis(
-        parsed=parsed,
-        entries=entries,
-        rejects=rejected(parsed),
-        parse_stats=parse_stats(parsed),
-        evaluated=evaluated,
-        reports=reports,
-        detection_stats=detection_stats(evaluated),
-        diagnoses=diagnoses,
-        spike=spike,
-        alerts=alerts,
-        summary=severity_summary(alerts),
-    )
+    from logweave.sources.sinks import write_alerts
+
+    a = analyze(read_logs(spark, log_dir), params, responses)
+    out: dict = {"stats": a.stats(), "first_rejects": [r.parse_error for r in first_rejects(a.rejects).collect()]}
+    if a.reports.isEmpty():
+        out["status"] = "no anomalies"
+        return out
+    out["summary"] = a.summary.collect()[0].asDict()
+    out["sinks"] = write_alerts(a.alerts, sinks)
+    out["status"] = "alerted"
+    return out

@@ -59,7 +59,7 @@ def test_end_to_end_matches_brute_force(spark, seed):
             assert g["root_cause"] == w["root_cause"]
     s = a.summary.collect()[0]
     assert s.total == len(want) and s.critical + s.warning + s.info == len(want)
-    assert a.parse_stats.collect()[0].rejected_lines == 3
+    assert a.stats()["parse"]["rejected_lines"] == 3
 
 
 def test_read_logs_line_rules(spark):
@@ -107,3 +107,29 @@ def test_sinks_fan_out(spark):
     assert back.count() == a.alerts.count()
     for r in back.limit(3).collect():
         json.dumps(r.asDict())
+
+
+def test_run_writes_nothing_without_anomalies(spark):
+    from logweave.plans.pipeline import run
+
+    d = tempfile.mkdtemp(prefix="lw-run-")
+    t0 = BASE
+    with open(os.path.join(d, "a.log"), "w") as fh:
+        for i, svc in enumerate(CHAIN):
+            fh.write(f"{(t0 + dt.timedelta(seconds=i)).strftime('%Y-%m-%dT%H:%M:%SZ')} | {svc} | INFO | r1 | ok | latency=5ms\n")
+    written = []
+    res = run(spark, d, {"file": written.append})
+    assert res["status"] == "no anomalies" and written == []
+    assert res["stats"]["detection"] == {"total_groups": 1, "anomalous_groups": 0}
+
+
+def test_run_alerts(spark):
+    from logweave.plans.pipeline import run
+
+    d = tempfile.mkdtemp(prefix="lw-run-")
+    write_files(gen_lines(5, 20), d)
+    written = []
+    res = run(spark, d, {"mem": lambda df: written.append(df.count())})
+    assert res["status"] == "alerted" and res["sinks"] == {"mem": None}
+    assert written[0] == res["summary"]["total"]
+    assert res["stats"]["parse"]["rejected_lines"] == 3 and len(res["first_rejects"]) == 3
