@@ -52,10 +52,18 @@ def parse_int_or_zero(c) -> Column:
     return F.coalesce(F.when(c.rlike(_INT_RE), c.try_cast("bigint")), F.lit(0).cast("bigint"))
 
 
+_LATENCY_RE = r"\A(?:latency=)?([+-]?[0-9]+)(?:ms)?\z"
+
+
 def parse_latency_ms(c) -> Column:
-    """``latency=45ms`` -> 45. Trim, drop one prefix, drop one suffix, parse; failure -> 0."""
-    s = trim_suffix(trim_prefix(trim_space(c), "latency="), "ms")
-    return parse_int_or_zero(s)
+    """``latency=45ms`` -> 45: trim, drop one ``latency=`` prefix and one ``ms``
+    suffix, parse a base-10 integer; anything else (or out of BIGINT range) -> 0.
+
+    One anchored regex gives the same result as the three steps (the optional
+    groups match at most once, so ``latency=latency=4ms`` and ``4msms`` fail).
+    """
+    digits = F.regexp_extract(trim_space(c), _LATENCY_RE, 1)
+    return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def parse_rfc3339(c) -> Column:
@@ -71,12 +79,13 @@ def parse_rfc3339(c) -> Column:
     c = _col(c)
     ok = c.rlike(RFC3339_RE) & ~c.startswith("0000")
     # ',' is accepted as the decimal mark; the cast keeps microseconds of any fraction.
-    dotted = F.translate(c, ",", ".")
-    ts = F.when(ok, dotted.try_cast("timestamp"))
+    ts = F.when(ok, F.when(c.contains(","), F.translate(c, ",", ".")).otherwise(c).try_cast("timestamp"))
     zulu = c.endswith("Z")
-    tail = F.substring_index(dotted, ".", -1)  # fraction digits + offset, when there is a fraction
-    digits = F.left(tail, F.length(tail) - F.when(zulu, F.lit(1)).otherwise(F.lit(6)))
-    nanos = F.when(ok & dotted.contains("."), F.substring(F.rpad(digits, 9, "0"), 7, 3).try_cast("int")).otherwise(F.lit(0))
+    # Digits 7-9 of the fraction, computed only when the fraction is that long.
+    dot = F.greatest(F.instr(c, "."), F.instr(c, ","))
+    n_frac = F.when(dot > 0, F.length(c) - dot - F.when(zulu, F.lit(1)).otherwise(F.lit(6))).otherwise(F.lit(0))
+    extra = F.substring(c, dot + 7, F.least(n_frac - 6, F.lit(3)))
+    nanos = F.when(ok & (n_frac > 6), F.rpad(extra, 3, "0").try_cast("int")).otherwise(F.lit(0))
     off = F.when(zulu, F.lit("Z")).otherwise(F.substring(c, -6, 6))
     tz = F.when(ok, F.when(off.isin("+00:00", "-00:00"), F.lit("Z")).otherwise(off))
     return F.struct(ts.alias("ts"), nanos.alias("ts_nanos"), tz.alias("tz_offset"))

@@ -70,7 +70,7 @@ def parse_lines(df: DataFrame, params: Params = Params(), raw_col: str = "raw")
         .when(k == "request_id", F.lit("missing request ID"))
         .when(k == "message", F.lit("missing message"))
     )
-    return checked.select(
+    out = checked.select(
         *extra,
         "raw",
         F.col("_t.ts").alias("ts"),
@@ -80,6 +80,11 @@ def parse_lines(df: DataFrame, params: Params = Params(), raw_col: str = "raw")
         "error_kind",
         error.alias("parse_error"),
     )
+    # Optimizer barrier: Catalyst would push a later filter (accepted / rejected)
+    # below these projections and inline the parse into it, running it twice.
+    # A filter on generated columns stays above a Generate; inline() of a
+    # one-element array emits each row once, inside the same codegen stage.
+    return out.select(F.inline(F.array(F.struct(*out.columns))))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

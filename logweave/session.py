@@ -11,10 +11,14 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "logweave") -> SparkSession:
+def get_session(
+    master: str = "local[*]", shuffle_partitions: int = 8, app: str = "logweave", driver_memory: str = "12g"
+) -> SparkSession:
+    """Local session for tests and the benchmark (in local mode the driver JVM is the executor)."""
     spark = (
         SparkSession.builder.master(master)
         .appName(app)
+        .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")

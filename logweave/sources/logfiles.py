@@ -13,12 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_CR_AT_END = r"\r\z"
-
-
 def _shape(lines: DataFrame, with_source_file: bool) -> DataFrame:
+    v = F.col("value")
     cols = [
-        F.regexp_replace("value", _CR_AT_END, "").alias("raw"),
+        F.when(v.endswith("\r"), F.left(v, F.length(v) - 1)).otherwise(v).alias("raw"),
         F.octet_length("value").alias("line_bytes"),
     ]
     if with_source_file:
