@@ -67,17 +67,25 @@ def prompt_entries(entries: DataFrame, params: Params = Params()) -> DataFrame:
     cols = ["request_id", "ts", "ts_nanos", "raw", line.alias("line")]
     asc = Window.partitionBy("request_id").orderBy(*[F.col(c).asc() for c in ENTRY_ORDER])
     desc = Window.partitionBy("request_id").orderBy(*[F.col(c).desc() for c in ENTRY_ORDER])
-    head = d.withColumn("_rn", F.row_number().over(asc)).where(F.col("_rn") <= params.prompt_max_entries)
-    tail = d.withColumn("_rn", F.row_number().over(desc)).where(F.col("_rn") <= params.prompt_tail)
     counts = d.groupBy("request_id").agg(F.count(F.lit(1)).alias("n_entries"))
-    trimmed = F.col("n_entries") > params.prompt_max_entries
-    head_rows = (
-        head.join(counts, "request_id")
-        .where(~trimmed | (F.col("_rn") <= params.prompt_head))
+    head = (
+        d.withColumn("_rn", F.row_number().over(asc))
+        .where(F.col("_rn") <= params.prompt_max_entries)
+        .join(counts, "request_id")
+        .where((F.col("n_entries") <= params.prompt_max_entries) | (F.col("_rn") <= params.prompt_head))
         .select(*cols, "n_entries", F.lit(0).alias("part"))
     )
-    tail_rows = tail.join(counts, "request_id").where(trimmed).select(*cols, "n_entries", F.lit(1).alias("part"))
-    return head_rows.unionByName(tail_rows)
+    # The tail only exists for requests above the limit: restrict the rows before
+    # the window (the long-request list is usually small, and AQE broadcasts it
+    # when its measured size allows; otherwise a skew-split sort-merge join).
+    long_requests = counts.where(F.col("n_entries") > params.prompt_max_entries)
+    tail = (
+        d.join(long_requests, "request_id")
+        .withColumn("_rn", F.row_number().over(desc))
+        .where(F.col("_rn") <= params.prompt_tail)
+        .select(*cols, "n_entries", F.lit(1).alias("part"))
+    )
+    return head.unionByName(tail)
 
 
 def build_prompts(entries: DataFrame, reports: DataFrame, params: Params = Params()) -> DataFrame:
