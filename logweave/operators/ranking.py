@@ -110,9 +110,6 @@ def running_sum_within(
     Same as ``sum(weight) OVER (PARTITION BY by ORDER BY order ROWS UNBOUNDED
     PRECEDING)``; ``order`` must be total within a group.
     """
-    spark = df.sparkSession
-    if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     by = list(by)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     sort_cols = [F.col(b) for b in by] + order_cols
@@ -124,9 +121,11 @@ def running_sum_within(
             T.StructField("_lpos", T.LongType(), False),
         ]
     )
+    # Without an explicit count AQE may coalesce small range partitions; it merges
+    # adjacent ones only, so partition ids still follow the key order.
+    ranged = df.repartitionByRange(num_partitions, *sort_cols) if num_partitions else df.repartitionByRange(*sort_cols)
     local = (
-        df.repartitionByRange(num_partitions, *sort_cols)
-        .sortWithinPartitions(*sort_cols)
+        ranged.sortWithinPartitions(*sort_cols)
         .mapInArrow(_numbering(by, weight), out_schema)
     )
     local = materialize(local, "ranked")
