@@ -27,4 +27,4 @@ def materialize(df: DataFrame, name: str, min_partitions: int | None = None) ->
     if min_partitions and df.rdd.getNumPartitions() < min_partitions:
         df = df.repartition(min_partitions)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # known schema: no inference, empty results read back too
