@@ -159,10 +159,10 @@ def oracle_queries() -> dict[str, str]:
     )
     q["parse_rejects"] = _with("SELECT raw, error_kind, parse_error FROM parsed WHERE error_kind IS NOT NULL")
     kinds = ["line_too_long", "fields", "timestamp", "service", "level", "request_id", "message"]
-    per_kind = ", ".join(f"count_if(error_kind = '{k}') AS rejected_{k}" for k in kinds)
+    per_kind = ", ".join(f"CAST(count_if(error_kind = '{k}') AS BIGINT) AS rejected_{k}" for k in kinds)
     q["parse_stats"] = _with(
-        "SELECT count(*) AS total_lines, count_if(error_kind IS NOT NULL) AS rejected_lines, "
-        f"count_if(error_kind IS NULL) AS accepted_lines, {per_kind} FROM parsed"
+        "SELECT count(*) AS total_lines, CAST(count_if(error_kind IS NOT NULL) AS BIGINT) AS rejected_lines, "
+        f"CAST(count_if(error_kind IS NULL) AS BIGINT) AS accepted_lines, {per_kind} FROM parsed"
     )
     q["first_rejects"] = _with("SELECT raw, parse_error FROM parsed WHERE error_kind IS NOT NULL ORDER BY raw, parse_error LIMIT 5")
     q["dedup_entries"] = _with(f"SELECT DISTINCT request_id, raw, strftime(ts, {UTC_US}) AS ts_utc FROM entries")
@@ -191,7 +191,7 @@ def oracle_queries() -> dict[str, str]:
         f"strftime(start_ts, {UTC_US}) AS start_utc, strftime(end_ts, {UTC_US}) AS end_utc FROM reports"
     )
     q["detection_stats"] = _with(
-        "SELECT count(*) AS total_groups, count_if(len(rules) > 0) AS anomalous_groups FROM evaluated"
+        "SELECT count(*) AS total_groups, CAST(count_if(len(rules) > 0) AS BIGINT) AS anomalous_groups FROM evaluated"
     )
     chain_values = ", ".join(f"({i}, '{s}')" for i, s in enumerate(DEFAULT_SERVICE_CHAIN))
     q["service_chain_gaps"] = _with(
@@ -212,12 +212,12 @@ def oracle_queries() -> dict[str, str]:
     alerts_with = "WITH " + base_ctes("bucket").strip() + _ALERTS
     q["all_alerts"] = alerts_with + "SELECT * FROM alerts"
     q["alert_payload"] = alerts_with + (
-        "SELECT alert_pos, to_json(struct_pack(request_id := request_id, root_cause := root_cause, "
-        "recommendation := recommendation, severity := severity)) AS payload FROM alerts"
+        "SELECT alert_pos, CAST(to_json(struct_pack(request_id := request_id, root_cause := root_cause, "
+        "recommendation := recommendation, severity := severity)) AS VARCHAR) AS payload FROM alerts"
     )
     q["severity_summary"] = alerts_with + (
-        "SELECT count(*) AS total, count_if(severity = 'critical') AS critical, count_if(severity = 'warning') AS warning, "
-        "count_if(severity = 'info') AS info FROM alerts"
+        "SELECT count(*) AS total, CAST(count_if(severity = 'critical') AS BIGINT) AS critical, CAST(count_if(severity = 'warning') AS BIGINT) AS warning, "
+        "CAST(count_if(severity = 'info') AS BIGINT) AS info FROM alerts"
     )
     q["alert_view"] = alerts_with + (
         "SELECT alert_pos, request_id, request_id = 'GLOBAL_SYSTEM_SPIKE' AS is_spike, upper(severity) AS severity_label, "
