@@ -49,8 +49,11 @@ def rule_aggregates(entries: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
-def with_rules(agg: DataFrame, params: Params = Params()) -> DataFrame:
-    """Turn rule aggregates into the ordered ``rules`` array and the summary text."""
+def with_rules(agg: DataFrame, params: Params = Params(), keep: tuple[str, ...] = ()) -> DataFrame:
+    """Turn rule aggregates into the ordered ``rules`` array and the summary text.
+
+    ``keep``: extra columns of ``agg`` to carry through (e.g. a session window).
+    """
     high = F.when(
         F.col("_slow").isNotNull(),
         F.format_string("high_latency(%s in %s)", duration_text_ms(F.col("_slow.latency_ms")), F.col("_slow.service")),
@@ -69,6 +72,7 @@ def with_rules(agg: DataFrame, params: Params = Params()) -> DataFrame:
     )
     staged = agg.select(
         "request_id",
+        *keep,
         F.col("_first.ts").alias("start_ts"),
         F.col("_first.ts_nanos").alias("start_nanos"),
         F.col("_first.tz_offset").alias("start_tz"),

@@ -221,6 +221,52 @@ def q_diagnose_with_responses(spark, sf_dir):
     return d.select("request_id", "root_cause", "recommendation", "severity")
 
 
+# ----------------------------------------------------------------- streaming
+
+def q_stream_sessions(spark, sf_dir):
+    """Structured Streaming run over the derived log lines landed as text files.
+
+    ``stream_entries -> stream_reports`` (session windows, 10 s gap, 10 s
+    watermark delay) with ``availableNow`` into a parquet sink in the checkpoint
+    folder. One line one day after the last event (derived from ``events``, own
+    request id) moves the watermark past every session; its own session stays
+    open and is not emitted.
+    """
+    import uuid
+
+    from logweave.session import ensure_checkpoint_dir
+    from logweave.streaming.live import stream_entries, stream_reports
+
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-sessions-{uuid.uuid4().hex}"
+    log_lines(spark, sf_dir).write.text(f"{base}/in")
+    last = table(spark, sf_dir, "events").agg(F.max("ts").alias("t"))
+    sentinel = last.select(
+        F.concat(
+            F.date_format(F.col("t") + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"),
+            F.lit(" | api-gateway | INFO | watermark-sentinel | end of replay | latency=0ms"),
+        ).alias("value")
+    )
+    sentinel.write.mode("append").text(f"{base}/in")
+    entries, _ = stream_entries(spark, f"{base}/in", pattern="*.txt")
+    sessions = stream_reports(entries, anomalous_only=False).select(
+        "request_id",
+        format_utc_micros("session.start").alias("session_start"),
+        format_utc_micros("session.end").alias("session_end"),
+        F.array_join("rules", ", ").alias("rules_text"),
+        "n_lines",
+    )
+    q = (
+        sessions.writeStream.format("parquet")
+        .option("path", f"{base}/out")
+        .option("checkpointLocation", f"{base}/state")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return spark.read.schema(sessions.schema).parquet(f"{base}/out")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_entries": q_parse_entries,
     "parse_rejects": q_parse_rejects,
@@ -249,4 +295,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "build_requests": q_build_requests,
     "parse_responses": q_parse_responses,
     "diagnose_with_responses": q_diagnose_with_responses,
+    "stream_sessions": q_stream_sessions,
 }

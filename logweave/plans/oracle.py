@@ -67,10 +67,27 @@ def lines_sql(key: str = "bucket") -> str:
     return f"SELECT raw FROM ({base}) b UNION ALL SELECT raw FROM ({base}) b2 WHERE event_id % 10 = 0"
 
 
-def base_ctes(key: str = "bucket", threshold_ms: int = 500) -> str:
+def rules_ctes(source: str, keys: list[str], threshold_ms: int = 500, prefix: str = "") -> str:
+    """CTEs ``{prefix}ra``, ``{prefix}rr``, ``{prefix}evaluated``: rule results per ``keys`` group of ``source``."""
     chain = list(DEFAULT_SERVICE_CHAIN)
     flags = ",\n  ".join(f"bool_or(service = '{s}') AS h{i}" for i, s in enumerate(chain))
     missing = ", ".join(f"CASE WHEN NOT h{i} THEN 'missing_hop({s})' END" for i, s in enumerate(chain))
+    k = ", ".join(keys)
+    return f"""{prefix}ra AS (SELECT {k}, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS n_lines,
+  arg_min(ts_nanos, struct_pack(a := ts, b := ts_nanos, c := raw)) AS start_nanos,
+  bool_or(level = 'ERROR') AS error_detected,
+  arg_min(struct_pack(l := latency_ms, s := service), struct_pack(a := ts, b := ts_nanos, c := raw)) FILTER (WHERE latency_ms > {threshold_ms}) AS slow,
+  bool_or(contains(lower(message), 'timeout') OR contains(lower(message), 'context deadline exceeded')) AS timeout_pattern,
+  list_sort(list_distinct(list(service))) AS services,
+  {flags}
+  FROM {source} GROUP BY {k}),
+{prefix}rr AS (SELECT *, CASE WHEN slow IS NOT NULL THEN 'high_latency(' || {_dur('slow.l')} || ' in ' || slow.s || ')' END AS high_latency,
+  list_filter([{missing}], lambda x: x IS NOT NULL) AS missing_hops FROM {prefix}ra),
+{prefix}evaluated AS (SELECT *, list_filter(list_concat([CASE WHEN error_detected THEN 'error_detected' END, high_latency], missing_hops,
+  [CASE WHEN timeout_pattern THEN 'timeout_pattern' END]), lambda x: x IS NOT NULL) AS rules FROM {prefix}rr),"""
+
+
+def base_ctes(key: str = "bucket", threshold_ms: int = 500) -> str:
     return f"""
 lines AS ({lines_sql(key)}),
 parts AS (SELECT raw, string_split(raw, ' | ') AS p FROM lines),
@@ -96,18 +113,7 @@ parsed AS (SELECT raw, error_kind,
   CASE WHEN tz_raw IN ('+00:00', '-00:00') THEN 'Z' ELSE tz_raw END AS tz_offset,
   service, level, request_id, message, latency_ms FROM k),
 entries AS (SELECT * FROM parsed WHERE error_kind IS NULL),
-ra AS (SELECT request_id, min(ts) AS start_ts, max(ts) AS end_ts,
-  arg_min(ts_nanos, struct_pack(a := ts, b := ts_nanos, c := raw)) AS start_nanos,
-  bool_or(level = 'ERROR') AS error_detected,
-  arg_min(struct_pack(l := latency_ms, s := service), struct_pack(a := ts, b := ts_nanos, c := raw)) FILTER (WHERE latency_ms > {threshold_ms}) AS slow,
-  bool_or(contains(lower(message), 'timeout') OR contains(lower(message), 'context deadline exceeded')) AS timeout_pattern,
-  list_sort(list_distinct(list(service))) AS services,
-  {flags}
-  FROM entries GROUP BY request_id),
-rr AS (SELECT *, CASE WHEN slow IS NOT NULL THEN 'high_latency(' || {_dur('slow.l')} || ' in ' || slow.s || ')' END AS high_latency,
-  list_filter([{missing}], lambda x: x IS NOT NULL) AS missing_hops FROM ra),
-evaluated AS (SELECT *, list_filter(list_concat([CASE WHEN error_detected THEN 'error_detected' END, high_latency], missing_hops,
-  [CASE WHEN timeout_pattern THEN 'timeout_pattern' END]), lambda x: x IS NOT NULL) AS rules FROM rr),
+{rules_ctes('entries', ['request_id'], threshold_ms)}
 reports AS (SELECT *, array_to_string(rules, ', ') AS rules_text,
   CASE WHEN len(list_filter(rules, lambda r: contains(r, 'error') OR contains(r, 'timeout'))) > 0 THEN 'critical' ELSE 'warning' END AS fb_severity
   FROM evaluated WHERE len(rules) > 0),
@@ -246,4 +252,12 @@ SELECT f.request_id,
   CASE WHEN coalesce(x.valid, false) THEN x.recommendation ELSE f.recommendation END AS recommendation,
   CASE WHEN coalesce(x.valid, false) THEN x.severity ELSE f.severity END AS severity
 FROM fallback f LEFT JOIN expected x USING (request_id)"""
+    q["stream_sessions"] = "WITH " + base_ctes("bucket").strip() + """,
+s1 AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 10 SECOND THEN 1 ELSE 0 END AS new_s
+  FROM entries WINDOW w AS (PARTITION BY request_id ORDER BY ts, raw)),
+s2 AS (SELECT *, sum(new_s) OVER (PARTITION BY request_id ORDER BY ts, raw ROWS UNBOUNDED PRECEDING) AS sid FROM s1),
+""" + rules_ctes("s2", ["request_id", "sid"], prefix="ses_").rstrip(",") + f"""
+SELECT request_id, strftime(start_ts, {UTC_US}) AS session_start,
+  strftime(end_ts + INTERVAL 10 SECOND, {UTC_US}) AS session_end,
+  array_to_string(rules, ', ') AS rules_text, CAST(n_lines AS BIGINT) AS n_lines FROM ses_evaluated"""
     return q

@@ -33,9 +33,11 @@ def _interval(d: timedelta) -> str:
     return f"{us} microseconds"
 
 
-def stream_entries(spark: SparkSession, path: str, params: Params = Params(), max_files_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(entries, rejects)`` streams from a directory that receives ``*.log`` files."""
-    parsed = parse_lines(stream_logs(spark, path, max_files_per_trigger=max_files_per_trigger), params)
+def stream_entries(
+    spark: SparkSession, path: str, params: Params = Params(), max_files_per_trigger: int | None = None, pattern: str = "*.log"
+) -> tuple[DataFrame, DataFrame]:
+    """``(entries, rejects)`` streams from a directory that receives ``pattern`` files."""
+    parsed = parse_lines(stream_logs(spark, path, pattern=pattern, max_files_per_trigger=max_files_per_trigger), params)
     return accepted(parsed), rejected(parsed)
 
 
@@ -67,7 +69,7 @@ def stream_reports(entries: DataFrame, params: Params = Params(), delay: timedel
             *flags,
         )
     )
-    reports = with_rules(agg, params)
+    reports = with_rules(agg, params, keep=("session", "n_lines"))
     return reports.where(F.size("rules") > 0) if anomalous_only else reports
 
 
