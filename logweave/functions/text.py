@@ -22,7 +22,6 @@ UNICODE_SPACE = (
 # RFC 3339 with 'T', optional fraction ('.' or ','), 'Z' or a numeric offset.
 RFC3339_RE = r"\A(\d{4})-(\d\d)-(\d\d)T(\d{1,2}):(\d\d):(\d\d)(?:[.,](\d+))?(Z|[+-]\d\d:\d\d)\z"
 
-_INT_RE = r"\A[+-]?[0-9]+\z"
 
 
 def _col(c) -> Column:
@@ -46,12 +45,6 @@ def trim_suffix(c, suffix: str) -> Column:
     return F.when(c.endswith(suffix), F.left(c, F.length(c) - len(suffix))).otherwise(c)
 
 
-def parse_int_or_zero(c) -> Column:
-    """Strict base-10 integer: optional sign, digits only, within BIGINT; else 0."""
-    c = _col(c)
-    return F.coalesce(F.when(c.rlike(_INT_RE), c.try_cast("bigint")), F.lit(0).cast("bigint"))
-
-
 _LATENCY_RE = r"\A(?:latency=)?([+-]?[0-9]+)(?:ms)?\z"
 
 

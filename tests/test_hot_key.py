@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from bruteforce import CHAIN
 from logweave.operators.correlate import correlate, group_bounds, dedup_entries

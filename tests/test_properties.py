@@ -4,11 +4,9 @@ Each hypothesis example becomes one small DataFrame (one Spark job per example).
 """
 
 import datetime as dt
-import random
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from bruteforce import dur, parse
 from logweave.functions.text import duration_text_ms
