@@ -28,7 +28,7 @@ from logweave.operators.parse import accepted, first_rejects, parse_lines, parse
 from logweave.operators.rules import detect, detection_stats, evaluate_rules, service_chain_gaps
 from logweave.operators.spike import error_entries, error_spikes, global_error_spike
 from logweave.params import Params
-from logweave.plans.materialize import materialize
+from logweave.plans.materialize import write_table
 from logweave.sources.fixtures import event_log_lines, model_responses
 
 # Parameters of the registered queries (the oracle SQL uses the same values).
@@ -41,14 +41,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Derived log-line tables already written in this application: (app id, folder, key) -> path.
+_STAGED: dict[tuple[str, str, str], tuple[str, object]] = {}
+
+
 def log_lines(spark: SparkSession, sf_dir: str, key: str = "bucket") -> DataFrame:
-    """Raw log lines derived from ``events``, written once as a table.
+    """Raw log lines derived from ``events``, staged as a parquet table.
 
-    Materializing the derived text keeps the generator expression out of the
-    parse plan (and cuts lineage); production input comes from ``read_logs``.
+    The derivation runs once per application and source folder (a staging table
+    in the checkpoint folder, like landed log files); every query reads the table
+    and does its own work on it. Materializing also keeps the generator expression
+    out of the parse plan. Production input comes from ``read_logs``.
     """
-    lines = event_log_lines(table(spark, sf_dir, "events"), key=key)
-    return materialize(lines, f"log-lines-{key}", min_partitions=spark.sparkContext.defaultParallelism)
+    cache_key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), key)
+    if cache_key not in _STAGED:
+        lines = event_log_lines(table(spark, sf_dir, "events"), key=key)
+        path = write_table(lines, f"log-lines-{key}", min_partitions=spark.sparkContext.defaultParallelism)
+        _STAGED[cache_key] = (path, lines.schema)
+    path, schema = _STAGED[cache_key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:

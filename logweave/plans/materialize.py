@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from logweave.session import ensure_checkpoint_dir
 
 
-def materialize(df: DataFrame, name: str, min_partitions: int | None = None) -> DataFrame:
-    """Persist ``df`` as parquet under ``spark.checkpoint.dir``; return the table.
+def write_table(df: DataFrame, name: str, min_partitions: int | None = None) -> str:
+    """Write ``df`` as parquet to a new folder under ``spark.checkpoint.dir``; return its path.
 
     ``min_partitions``: when the plan has fewer partitions (a small source file),
     spread the rows round-robin first so that later narrow stages use every core.
@@ -27,4 +27,10 @@ def materialize(df: DataFrame, name: str, min_partitions: int | None = None) ->
     if min_partitions and df.rdd.getNumPartitions() < min_partitions:
         df = df.repartition(min_partitions)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)  # known schema: no inference, empty results read back too
+    return path
+
+
+def materialize(df: DataFrame, name: str, min_partitions: int | None = None) -> DataFrame:
+    """Persist ``df`` with :func:`write_table` and return the written table."""
+    path = write_table(df, name, min_partitions)
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # known schema: no inference, empty tables too
