@@ -21,6 +21,7 @@ from logweave.operators.parse import accepted, first_rejects, parse_lines, parse
 from logweave.operators.rules import detection_stats, evaluate_rules
 from logweave.operators.spike import error_entries, global_error_spike
 from logweave.params import Params
+from logweave.plans.materialize import materialize
 from logweave.sources.logfiles import read_logs
 
 
@@ -29,10 +30,15 @@ class Analysis:
     raw: DataFrame
     params: Params = field(default_factory=Params)
     responses: DataFrame | None = None
+    stage_parsed: bool = False
 
     @cached_property
     def parsed(self) -> DataFrame:
-        return parse_lines(self.raw, self.params)
+        """Parsed lines; with ``stage_parsed`` written once to the checkpoint folder,
+        so every consumer reads the columns it needs (with filter pushdown on
+        ``error_kind``) instead of re-parsing the text."""
+        parsed = parse_lines(self.raw, self.params)
+        return materialize(parsed, "parsed-lines") if self.stage_parsed else parsed
 
     @cached_property
     def entries(self) -> DataFrame:
@@ -77,10 +83,11 @@ class Analysis:
         return {"parse": p, "correlation": c, "detection": d}
 
 
-def analyze(raw: DataFrame, params: Params = Params(), responses: DataFrame | None = None) -> Analysis:
+def analyze(raw: DataFrame, params: Params = Params(), responses: DataFrame | None = None, stage_parsed: bool = False) -> Analysis:
     """All stages over raw lines (column ``raw``); ``responses`` is an optional
-    ``(request_id, status, body)`` table of model answers."""
-    return Analysis(raw, params, responses)
+    ``(request_id, status, body)`` table of model answers. ``stage_parsed`` writes
+    the parsed lines once (worth it when several outputs are used)."""
+    return Analysis(raw, params, responses, stage_parsed)
 
 
 def run(
@@ -98,7 +105,7 @@ def run(
     """
     from logweave.sources.sinks import write_alerts
 
-    a = analyze(read_logs(spark, log_dir), params, responses)
+    a = analyze(read_logs(spark, log_dir), params, responses, stage_parsed=True)
     out: dict = {"stats": a.stats(), "first_rejects": [r.parse_error for r in first_rejects(a.rejects).collect()]}
     if a.reports.isEmpty():
         out["status"] = "no anomalies"
