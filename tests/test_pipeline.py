@@ -133,3 +133,14 @@ def test_run_alerts(spark):
     assert res["status"] == "alerted" and res["sinks"] == {"mem": None}
     assert written[0] == res["summary"]["total"]
     assert res["stats"]["parse"]["rejected_lines"] == 3 and len(res["first_rejects"]) == 3
+
+
+def test_cli(spark):
+    from logweave.cli import main
+
+    d = tempfile.mkdtemp(prefix="lw-cli-")
+    write_files(gen_lines(9, 15), d)
+    out = os.path.join(tempfile.mkdtemp(prefix="lw-cli-out-"), "alerts")
+    res = main([d, "--alerts-out", out])
+    assert res["status"] == "alerted" and res["sinks"] == {"file": None}
+    assert spark.read.json(out).count() == res["summary"]["total"]
