@@ -144,3 +144,19 @@ def test_cli(spark):
     res = main([d, "--alerts-out", out])
     assert res["status"] == "alerted" and res["sinks"] == {"file": None}
     assert spark.read.json(out).count() == res["summary"]["total"]
+
+
+def test_json_sink_keeps_alert_order_across_files(spark):
+    import glob as _glob
+
+    d = tempfile.mkdtemp(prefix="lw-order-")
+    write_files(gen_lines(21, 80), d)
+    a = analyze(read_logs(spark, d))
+    want = [r.request_id for r in a.alerts.orderBy("alert_pos").collect()]
+    out = os.path.join(tempfile.mkdtemp(prefix="lw-order-out-"), "alerts")
+    write_alerts_json(a.alerts.repartition(4), out)
+    got = []
+    for fn in sorted(_glob.glob(os.path.join(out, "part-*.json"))):
+        with open(fn) as fh:
+            got += [json.loads(x)["request_id"] for x in fh if x.strip()]
+    assert got == want
