@@ -38,15 +38,18 @@ PROMPT_FOOTER = "\nProvide root cause analysis, a recommended fix, and severity
 DIAGNOSIS_COLUMNS = ["request_id", "root_cause", "recommendation", "severity"]
 
 
+def fallback_columns(rules: Column) -> list[Column]:
+    """``root_cause, recommendation, severity`` of the rule-based diagnosis."""
+    return [
+        F.concat(F.lit(FALLBACK_PREFIX), F.array_join(rules, ", ")).alias("root_cause"),
+        F.lit(FALLBACK_RECOMMENDATION).alias("recommendation"),
+        severity_of(rules).alias("severity"),
+    ]
+
+
 def fallback_diagnose(reports: DataFrame) -> DataFrame:
     """Rule-based diagnosis; keeps ``start_ts, start_nanos`` for alert ordering."""
-    return reports.select(
-        "request_id",
-        F.concat(F.lit(FALLBACK_PREFIX), F.array_join("rules", ", ")).alias("root_cause"),
-        F.lit(FALLBACK_RECOMMENDATION).alias("recommendation"),
-        severity_of(F.col("rules")).alias("severity"),
-        "start_ts", "start_nanos",
-    )
+    return reports.select("request_id", *fallback_columns(F.col("rules")), "start_ts", "start_nanos")
 
 
 # --------------------------------------------------------------------- prompts

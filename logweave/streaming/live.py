@@ -5,6 +5,8 @@
 * ``stream_dedup`` - repeated lines dropped within the watermark.
 * ``stream_reports`` - request flows closed after an idle gap (session windows),
   evaluated with the same rule aggregates as the batch ``detect``.
+* ``stream_alerts`` - rule-based diagnoses of closed anomalous flows, ready for
+  any streaming sink (the batch ``diagnose`` applied to each closed session).
 * ``stream_error_rate`` - per-window error counts and a spike flag (sliding
   windows).
 
@@ -22,6 +24,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logweave.operators.diagnose import fallback_columns
 from logweave.operators.parse import accepted, parse_lines, rejected
 from logweave.operators.rules import with_rules
 from logweave.params import Params
@@ -73,6 +76,22 @@ def stream_reports(entries: DataFrame, params: Params = Params(), delay: timedel
     return reports.where(F.size("rules") > 0) if anomalous_only else reports
 
 
+def stream_alerts(entries: DataFrame, params: Params = Params(), delay: timedelta = timedelta(seconds=10)) -> DataFrame:
+    """Rule-based alerts for anomalous flows as their sessions close (append mode).
+
+    Columns ``request_id, root_cause, recommendation, severity, session_start,
+    session_end``; a request id that becomes active again after an idle gap gets
+    one alert per flow.
+    """
+    reports = stream_reports(entries, params, delay, anomalous_only=True)
+    return reports.select(
+        "request_id",
+        *fallback_columns(F.col("rules")),
+        F.col("session.start").alias("session_start"),
+        F.col("session.end").alias("session_end"),
+    )
+
+
 def stream_error_rate(entries: DataFrame, params: Params = Params(), slide: timedelta = timedelta(seconds=1), delay: timedelta = timedelta(seconds=10)) -> DataFrame:
     """ERROR counts per sliding window ``[start, start + spike_window)``; ``spike`` when above the threshold."""
     errors = entries.where(F.col("level") == "ERROR").withWatermark("ts", _interval(delay))

@@ -58,3 +58,22 @@ def test_stream_error_rate_flags_spike(spark):
     _run(stream_error_rate(entries), "lw_rate")
     spikes = spark.sql("SELECT * FROM lw_rate WHERE spike").collect()
     assert spikes and max(r.errors for r in spikes) == 12
+
+
+def test_stream_alerts_to_json_sink(spark):
+    from logweave.streaming.live import stream_alerts
+
+    d = tempfile.mkdtemp(prefix="lw-stream-")
+    t0 = dt.datetime(2026, 3, 16, 15, 0, 0)
+    _write(d, "a.log", flow("ok", t0) + flow("bad", t0, level="ERROR") + flow("bad", t0 + dt.timedelta(minutes=5), n=2))
+    _write(d, "b.log", [line(ts="2026-03-17T00:00:00Z", rid="sentinel", level="ERROR")])
+    entries, _ = stream_entries(spark, d)
+    out = tempfile.mkdtemp(prefix="lw-stream-out-")
+    q = (stream_alerts(entries).writeStream.format("json").option("path", out)
+         .option("checkpointLocation", tempfile.mkdtemp(prefix="lw-stream-ckpt-")).trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    rows = sorted((r.request_id, r.severity, r.root_cause) for r in spark.read.json(out).collect())
+    assert rows == [
+        ("bad", "critical", "Rule-based detection: error_detected"),
+        ("bad", "warning", "Rule-based detection: missing_hop(order-service), missing_hop(payment-service), missing_hop(inventory-service)"),
+    ]
