@@ -23,7 +23,6 @@ UNICODE_SPACE = (
 RFC3339_RE = r"\A(\d{4})-(\d\d)-(\d\d)T(\d{1,2}):(\d\d):(\d\d)(?:[.,](\d+))?(Z|[+-]\d\d:\d\d)\z"
 
 
-
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -87,7 +86,7 @@ def parse_rfc3339(c) -> Column:
 def offset_seconds(tz_offset) -> Column:
     """``Z`` -> 0, ``+05:30`` -> 19800, ``-01:00`` -> -3600."""
     o = _col(tz_offset)
-    mag = F.substring(o, 2, 2).cast("int") * 3600 + F.substring(o, 5, 2).cast("int") * 60
+    mag = F.substring(o, 2, 2).try_cast("int") * 3600 + F.substring(o, 5, 2).try_cast("int") * 60
     return F.when(o == "Z", F.lit(0)).when(o.startswith("-"), -mag).otherwise(mag)
 
 

@@ -60,6 +60,17 @@ def test_unicode_whitespace_is_trimmed(lines_df):
     assert (r.service, r.request_id) == ("order-service", "req-1")
 
 
+@pytest.mark.parametrize("pad", ["\u00a0", "\u3000", "\u2003", "\u0085", "\x0b", "\r"])
+def test_every_unicode_space_is_trimmed(lines_df, pad):
+    r = parse_one(lines_df, line(service=pad + "order-service" + pad, msg=pad + "m" + pad))
+    assert r.parse_error is None and (r.service, r.message) == ("order-service", "m")
+
+
+def test_non_space_is_not_trimmed(lines_df):
+    r = parse_one(lines_df, line(service="\u200bsvc"))  # zero-width space is not White_Space
+    assert r.service == "\u200bsvc"
+
+
 def test_levels_are_case_sensitive_and_debug_is_valid(lines_df):
     assert parse_one(lines_df, line(level="DEBUG")).parse_error is None
     assert parse_one(lines_df, line(level="info")).error_kind == "level"
