@@ -105,16 +105,23 @@ def parse_logs(df: DataFrame, params: Params = Params(), raw_col: str = "raw") -
     return accepted(parsed), rejected(parsed)
 
 
-def parse_stats(parsed: DataFrame) -> DataFrame:
-    """One row: lines read, lines rejected, lines accepted, and rejects per kind."""
+REJECT_KINDS = ["line_too_long", "fields", "timestamp", "service", "level", "request_id", "message"]
+
+
+def parse_stat_columns() -> list[Column]:
+    """Counters of :func:`parse_stats`, usable in ``agg`` or ``DataFrame.observe``."""
     bad = F.col("error_kind").isNotNull()
-    kinds = ["line_too_long", "fields", "timestamp", "service", "level", "request_id", "message"]
-    return parsed.agg(
+    return [
         F.count(F.lit(1)).alias("total_lines"),
         F.count_if(bad).alias("rejected_lines"),
         F.count_if(~bad).alias("accepted_lines"),
-        *[F.count_if(F.col("error_kind") == k).alias(f"rejected_{k}") for k in kinds],
-    )
+        *[F.count_if(F.col("error_kind") == k).alias(f"rejected_{k}") for k in REJECT_KINDS],
+    ]
+
+
+def parse_stats(parsed: DataFrame) -> DataFrame:
+    """One row: lines read, lines rejected, lines accepted, and rejects per kind."""
+    return parsed.agg(*parse_stat_columns())
 
 
 def first_rejects(rejects: DataFrame, n: int = 5) -> DataFrame:

@@ -11,13 +11,13 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.operators.alerts import assemble_alerts, severity_summary
 from logweave.operators.correlate import correlation_stats
 from logweave.operators.diagnose import diagnose
-from logweave.operators.parse import accepted, first_rejects, parse_lines, parse_stats, rejected
+from logweave.operators.parse import accepted, first_rejects, parse_lines, parse_stat_columns, parse_stats, rejected
 from logweave.operators.rules import detection_stats, evaluate_rules
 from logweave.operators.spike import error_entries, global_error_spike
 from logweave.params import Params
@@ -36,9 +36,13 @@ class Analysis:
     def parsed(self) -> DataFrame:
         """Parsed lines; with ``stage_parsed`` written once to the checkpoint folder,
         so every consumer reads the columns it needs (with filter pushdown on
-        ``error_kind``) instead of re-parsing the text."""
+        ``error_kind``) instead of re-parsing the text. The parser counters are then
+        observed while writing (``DataFrame.observe``): no extra job."""
         parsed = parse_lines(self.raw, self.params)
-        return materialize(parsed, "parsed-lines") if self.stage_parsed else parsed
+        if not self.stage_parsed:
+            return parsed
+        self._parse_observation = Observation("parse")
+        return materialize(parsed.observe(self._parse_observation, *parse_stat_columns()), "parsed-lines")
 
     @cached_property
     def entries(self) -> DataFrame:
@@ -77,7 +81,9 @@ class Analysis:
 
     def stats(self) -> dict:
         """Single-row counters of every stage (small, bounded results)."""
-        p = parse_stats(self.parsed).collect()[0].asDict()
+        parsed = self.parsed
+        obs = getattr(self, "_parse_observation", None)
+        p = dict(obs.get) if obs is not None else parse_stats(parsed).collect()[0].asDict()
         c = correlation_stats(self.entries).collect()[0].asDict()
         d = detection_stats(self.evaluated).collect()[0].asDict()
         return {"parse": p, "correlation": c, "detection": d}

@@ -160,3 +160,12 @@ def test_json_sink_keeps_alert_order_across_files(spark):
         with open(fn) as fh:
             got += [json.loads(x)["request_id"] for x in fh if x.strip()]
     assert got == want
+
+
+def test_staged_run_observes_parse_counters(spark):
+    d = tempfile.mkdtemp(prefix="lw-obs-")
+    write_files(gen_lines(4, 10), d)
+    staged = analyze(read_logs(spark, d), stage_parsed=True)
+    plain = analyze(read_logs(spark, d))
+    assert staged.stats() == plain.stats()
+    assert getattr(staged, "_parse_observation", None) is not None
