@@ -253,9 +253,11 @@ SELECT f.request_id,
   CASE WHEN coalesce(x.valid, false) THEN x.severity ELSE f.severity END AS severity
 FROM fallback f LEFT JOIN expected x USING (request_id)"""
     q["stream_sessions"] = "WITH " + base_ctes("bucket").strip() + """,
-s1 AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 10 SECOND THEN 1 ELSE 0 END AS new_s
-  FROM entries WINDOW w AS (PARTITION BY request_id ORDER BY ts, raw)),
-s2 AS (SELECT *, sum(new_s) OVER (PARTITION BY request_id ORDER BY ts, raw ROWS UNBOUNDED PRECEDING) AS sid FROM s1),
+ts_points AS (SELECT DISTINCT request_id, ts FROM entries),
+s1 AS (SELECT request_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 10 SECOND THEN 1 ELSE 0 END AS new_s
+  FROM ts_points WINDOW w AS (PARTITION BY request_id ORDER BY ts)),
+sid AS (SELECT request_id, ts, sum(new_s) OVER (PARTITION BY request_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM s1),
+s2 AS (SELECT e.*, sid.sid FROM entries e JOIN sid USING (request_id, ts)),
 """ + rules_ctes("s2", ["request_id", "sid"], prefix="ses_").rstrip(",") + f"""
 SELECT request_id, strftime(start_ts, {UTC_US}) AS session_start,
   strftime(end_ts + INTERVAL 10 SECOND, {UTC_US}) AS session_end,
