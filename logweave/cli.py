@@ -18,7 +18,7 @@ from datetime import timedelta
 from pyspark.sql import SparkSession
 
 from logweave.params import Params
-from logweave.plans.pipeline import run
+from logweave.plans.analysis import run
 from logweave.session import ensure_checkpoint_dir
 from logweave.sources.sinks import write_alerts_json
 

@@ -7,7 +7,7 @@ import tempfile
 import pytest
 
 from bruteforce import CHAIN, analyze as brute
-from logweave.plans.pipeline import analyze
+from logweave.plans.analysis import analyze
 from logweave.sources.logfiles import read_logs
 from logweave.sources.sinks import write_alerts, write_alerts_json
 
@@ -110,7 +110,7 @@ def test_sinks_fan_out(spark):
 
 
 def test_run_writes_nothing_without_anomalies(spark):
-    from logweave.plans.pipeline import run
+    from logweave.plans.analysis import run
 
     d = tempfile.mkdtemp(prefix="lw-run-")
     t0 = BASE
@@ -124,7 +124,7 @@ def test_run_writes_nothing_without_anomalies(spark):
 
 
 def test_run_alerts(spark):
-    from logweave.plans.pipeline import run
+    from logweave.plans.analysis import run
 
     d = tempfile.mkdtemp(prefix="lw-run-")
     write_files(gen_lines(5, 20), d)
