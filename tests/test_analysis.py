@@ -141,7 +141,7 @@ def test_cli(spark):
     d = tempfile.mkdtemp(prefix="lw-cli-")
     write_files(gen_lines(9, 15), d)
     out = os.path.join(tempfile.mkdtemp(prefix="lw-cli-out-"), "alerts")
-    res = main([d, "--alerts-out", out])
+    res = main([d, "--alerts-out", out, "--latency-threshold", "500ms", "--spike-window", "1m"])
     assert res["status"] == "alerted" and res["sinks"] == {"file": None}
     assert spark.read.json(out).count() == res["summary"]["total"]
 

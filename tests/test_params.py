@@ -1,0 +1,25 @@
+from datetime import timedelta
+
+import pytest
+
+from logweave.params import Params, params_from_settings, parse_duration
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("500ms", timedelta(milliseconds=500)), ("10s", timedelta(seconds=10)), ("1m30s", timedelta(seconds=90)),
+        ("1.5h", timedelta(minutes=90)), ("-2s", timedelta(seconds=-2)), ("0", timedelta(0)), ("1500us", timedelta(microseconds=1500)),
+        ("2µs", timedelta(microseconds=2)), (".5s", timedelta(milliseconds=500)), ("1h0m0.5s", timedelta(hours=1, milliseconds=500)),
+        ("", None), ("10", None), ("s", None), ("1x", None), ("1 s", None), ("ms", None), (".s", None),
+    ],
+)
+def test_parse_duration(text, want):
+    assert parse_duration(text) == want
+
+
+def test_settings_fall_back_on_zero_or_garbage():
+    p = params_from_settings({"latency_threshold": "0s", "correlation_window": "soon", "services": [], "model": ""})
+    assert p == Params()
+    p = params_from_settings({"latency_threshold": "750ms", "correlation_window": "30s", "services": ["a", "b"]})
+    assert p.latency_threshold_ms == 750 and p.correlation_window == timedelta(seconds=30) and p.service_chain == ("a", "b")
