@@ -234,21 +234,15 @@ def q_diagnose_with_responses(spark, sf_dir):
 
 # ----------------------------------------------------------------- streaming
 
-def q_stream_sessions(spark, sf_dir):
-    """Structured Streaming run over the derived log lines landed as text files.
-
-    ``stream_entries -> stream_reports`` (session windows, 10 s gap, 10 s
-    watermark delay) with ``availableNow`` into a parquet sink in the checkpoint
-    folder. One line one day after the last event (derived from ``events``, own
-    request id) moves the watermark past every session; its own session stays
-    open and is not emitted.
-    """
+def _land_lines_for_streaming(spark, sf_dir, name):
+    """Write the derived log lines as text files for a file stream, plus one line one
+    day after the last event (derived from ``events``, own request id, INFO) that
+    moves the watermark past every window; returns the base folder."""
     import uuid
 
     from logweave.session import ensure_checkpoint_dir
-    from logweave.streaming.live import stream_entries, stream_reports
 
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-sessions-{uuid.uuid4().hex}"
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     log_lines(spark, sf_dir).write.text(f"{base}/in")
     last = table(spark, sf_dir, "events").agg(F.max("ts").alias("t"))
     sentinel = last.select(
@@ -258,6 +252,32 @@ def q_stream_sessions(spark, sf_dir):
         ).alias("value")
     )
     sentinel.write.mode("append").text(f"{base}/in")
+    return base
+
+
+def _run_to_parquet(df, base):
+    q = (
+        df.writeStream.format("parquet")
+        .option("path", f"{base}/out")
+        .option("checkpointLocation", f"{base}/state")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(f"{base}/out")
+
+
+def q_stream_sessions(spark, sf_dir):
+    """Structured Streaming run over the derived log lines landed as text files.
+
+    ``stream_entries -> stream_reports`` (session windows, 10 s gap, 10 s
+    watermark delay) with ``availableNow`` into a parquet sink in the checkpoint
+    folder. The sentinel line closes every session; its own stays open.
+    """
+    from logweave.streaming.live import stream_entries, stream_reports
+
+    base = _land_lines_for_streaming(spark, sf_dir, "stream-sessions")
     entries, _ = stream_entries(spark, f"{base}/in", pattern="*.txt")
     sessions = stream_reports(entries, anomalous_only=False).select(
         "request_id",
@@ -266,16 +286,23 @@ def q_stream_sessions(spark, sf_dir):
         F.array_join("rules", ", ").alias("rules_text"),
         "n_lines",
     )
-    q = (
-        sessions.writeStream.format("parquet")
-        .option("path", f"{base}/out")
-        .option("checkpointLocation", f"{base}/state")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
+    return _run_to_parquet(sessions, base)
+
+
+def q_stream_error_rate(spark, sf_dir):
+    """Structured Streaming sliding-window error counts (1 minute windows, 1 second
+    slide, spike when above 10) over the landed lines; every ERROR line counts."""
+    from logweave.streaming.live import stream_entries, stream_error_rate
+
+    base = _land_lines_for_streaming(spark, sf_dir, "stream-error-rate")
+    entries, _ = stream_entries(spark, f"{base}/in", pattern="*.txt")
+    rates = stream_error_rate(entries).select(
+        format_utc_micros("window_start").alias("window_start"),
+        format_utc_micros("window_end").alias("window_end"),
+        "errors",
+        "spike",
     )
-    q.awaitTermination()
-    return spark.read.schema(sessions.schema).parquet(f"{base}/out")
+    return _run_to_parquet(rates, base)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -307,4 +334,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_responses": q_parse_responses,
     "diagnose_with_responses": q_diagnose_with_responses,
     "stream_sessions": q_stream_sessions,
+    "stream_error_rate": q_stream_error_rate,
 }

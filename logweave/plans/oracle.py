@@ -262,4 +262,10 @@ s2 AS (SELECT e.*, sid.sid FROM entries e JOIN sid USING (request_id, ts)),
 SELECT request_id, strftime(start_ts, {UTC_US}) AS session_start,
   strftime(end_ts + INTERVAL 10 SECOND, {UTC_US}) AS session_end,
   array_to_string(rules, ', ') AS rules_text, CAST(n_lines AS BIGINT) AS n_lines FROM ses_evaluated"""
+    q["stream_error_rate"] = "WITH " + base_ctes("bucket").strip() + f"""
+SELECT strftime(ws, {UTC_US}) AS window_start, strftime(ws + INTERVAL 60 SECOND, {UTC_US}) AS window_end,
+  count(*) AS errors, count(*) > 10 AS spike
+FROM (SELECT date_trunc('second', e.ts) - to_seconds(k.k) AS ws
+      FROM entries e, range(60) k(k) WHERE e.level = 'ERROR') w
+GROUP BY ws"""
     return q

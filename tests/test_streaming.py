@@ -77,3 +77,15 @@ def test_stream_alerts_to_json_sink(spark):
         ("bad", "critical", "Rule-based detection: error_detected"),
         ("bad", "warning", "Rule-based detection: missing_hop(order-service), missing_hop(payment-service), missing_hop(inventory-service)"),
     ]
+
+
+def test_stream_error_rate_closes_windows_on_non_error_lines(spark):
+    d = tempfile.mkdtemp(prefix="lw-stream-")
+    t0 = dt.datetime(2026, 3, 16, 15, 0, 0)
+    errs = [line(ts=(t0 + dt.timedelta(seconds=i)).strftime("%Y-%m-%dT%H:%M:%SZ"), level="ERROR", rid=f"e{i}") for i in range(3)]
+    _write(d, "a.log", errs + [line(ts="2026-03-17T00:00:00Z", rid="quiet", level="INFO")])
+    entries, _ = stream_entries(spark, d)
+    _run(stream_error_rate(entries), "lw_rate_quiet")
+    rows = spark.sql("SELECT * FROM lw_rate_quiet").collect()
+    # every window that holds one of the three errors is emitted: 60 + 2 start positions
+    assert len(rows) == 62 and max(r.errors for r in rows) == 3
