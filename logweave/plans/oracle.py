@@ -7,7 +7,8 @@ SQL (windows, ``string_agg``, ``arg_min``), independently of the Spark code.
 
 from __future__ import annotations
 
-from logweave.params import DEFAULT_SERVICE_CHAIN
+from logweave.operators.diagnose import SYSTEM_PROMPT
+from logweave.params import DEFAULT_MODEL, DEFAULT_SERVICE_CHAIN
 
 NL = "chr(10)"
 RFC3339 = r"\d{4}-\d\d-\d\dT\d{1,2}:\d\d:\d\d([.,]\d+)?(Z|[+-]\d\d:\d\d)"
@@ -245,6 +246,11 @@ SELECT r.request_id,
   || CASE WHEN g.n > 50 THEN {NL} || '  ... [' || CAST(g.n - 50 AS VARCHAR) || ' logs omitted to fit token limits] ...' || {NL} || {NL} ELSE '' END
   || g.tail || {NL} || 'Provide root cause analysis, a recommended fix, and severity level.' AS prompt
 FROM reports r JOIN g USING (request_id)"""
+    system = SYSTEM_PROMPT.replace("'", "''")
+    q["build_requests"] = f"""WITH p AS ({q["build_prompts"]})
+SELECT request_id, CAST(to_json(struct_pack(model := '{DEFAULT_MODEL}',
+  messages := [struct_pack(role := 'system', content := '{system}'), struct_pack(role := 'user', content := prompt)],
+  temperature := 0.1)) AS VARCHAR) AS body FROM p"""
     q["parse_responses"] = "WITH " + _RESPONSES.strip() + "\nSELECT request_id, valid, root_cause, recommendation, severity FROM expected"
     q["diagnose_with_responses"] = "WITH " + base_ctes("bucket").strip() + "," + _RESPONSES + """
 SELECT f.request_id,

@@ -14,10 +14,8 @@ def test_entry_runs(spark):
     assert len(rows) > 0
 
 
-def test_every_query_has_oracle_or_is_rows_only():
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == {"build_requests"}
+def test_every_query_has_oracle_sql():
+    assert set(E.oracle_sql()) == set(E.queries())
 
 
 @pytest.mark.parametrize("name", ["parse_stats", "detect_reports", "all_alerts", "build_prompts", "diagnose_with_responses", "error_spikes"])
