@@ -169,3 +169,22 @@ def test_staged_run_observes_parse_counters(spark):
     plain = analyze(read_logs(spark, d))
     assert staged.stats() == plain.stats()
     assert getattr(staged, "_parse_observation", None) is not None
+
+
+def test_source_file_provenance_and_custom_raw_column(spark):
+    from logweave.operators.correlate import dedup_entries
+    from logweave.operators.parse import parse_logs
+
+    d = tempfile.mkdtemp(prefix="lw-src-file-")
+    for name in ("x.log", "y.log"):
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write("2026-03-16T15:56:02Z | api-gateway | ERROR | r1 | boom | latency=1ms\nbad line\n")
+    entries, rejects = parse_logs(read_logs(spark, d, with_source_file=True))
+    assert sorted(os.path.basename(r.source_file) for r in entries.collect()) == ["x.log", "y.log"]
+    assert sorted(os.path.basename(r.source_file) for r in rejects.collect()) == ["x.log", "y.log"]
+    assert dedup_entries(entries).count() == 1  # the same line from two files is one entry
+
+    other = spark.createDataFrame([("2026-03-16T15:56:02Z | svc | INFO | r | m | latency=2ms", 7)], "line string, n int")
+    e, _ = parse_logs(other, raw_col="line")
+    r = e.collect()[0]
+    assert (r.raw, r.n, r.latency_ms) == ("2026-03-16T15:56:02Z | svc | INFO | r | m | latency=2ms", 7, 2)
