@@ -6,10 +6,36 @@ configuration; ``get_session`` is only a convenience for tests and local runs.
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
+#: Applications that already have the package: their workers can import it.
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, as ``--py-files`` does.
+
+    Functions that run in Python workers are pickled by reference; a worker started
+    in another folder, or on another machine, must be able to import their module.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="logweave-pkg-"), "logweave.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
 
 def get_session(
     master: str = "local[*]", shuffle_partitions: int = 8, app: str = "logweave", driver_memory: str = "12g"
