@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweave.plans.materialize import materialize
@@ -113,3 +113,22 @@ def sized(keys: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS)
     ``keys`` must be narrow (a few fixed-width columns) and staged, as it is counted.
     """
     return F.broadcast(keys) if (keys.count() if rows is None else rows) <= limit else keys
+
+
+def n_words(text: str) -> Column:
+    """Number of words of a text column (null: 0), as a long."""
+    blanks = " \t\n\x0b\x0c\r"
+    spaced = F.translate(F.coalesce(text, F.lit("")), blanks, " " * len(blanks))
+    return F.size(F.array_remove(F.split(spaced, " "), "")).cast("long")
+
+
+def drop_repeated_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with one of the rows that are equal in doc_id and text.
+
+    Counts narrow keys; only documents that have repeated rows are shuffled with their text.
+    """
+    mark = F.xxhash64("text").alias("_mark")
+    again = docs.groupBy("doc_id", mark).count().where("count > 1").select(F.col("doc_id").alias("_id"), "_mark")
+    again = sized(stage(again, "repeated"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_mark"))
+    return docs.join(again, same, "left_anti").unionByName(docs.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import GOLD, WordHashes, long_lists, longs, lower_words, map_arrow, mix, shingle_set, sized, stage, steps, word_hashes
+from logweave.llm.common import GOLD, WordHashes, drop_repeated_rows, long_lists, lower_words, map_arrow, mix, shingle_set, sized, stage, steps, word_hashes
 from logweave.llm.near_links import bucket_members, link_components
 
 BINS, BANDS, PERCENT = 128, 32, 75
@@ -123,8 +123,4 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """
     marks = stage(near_duplicates(docs), "marks")
     gone = stage(marks.where("not kept and doc_id is not null").select("doc_id").distinct(), "gone")
-    again = stage(marks.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    left = docs.join(sized(gone), "doc_id", "left_anti")
-    once = left.join(sized(again), "doc_id", "left_anti")
-    more = left.join(sized(again), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return once.unionByName(more)
+    return drop_repeated_rows(docs.join(sized(gone), "doc_id", "left_anti"))

@@ -6,19 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from logweave.llm.minhash_dedup import near_duplicates
+from logweave.llm.mixing import mixed_words
+from logweave.llm.oracle import LLM_ORACLE as _ORACLE
+from logweave.llm.packing import packed_digest
+from logweave.llm.quality_rules import quality_rules
+from logweave.llm.substring_dedup import repeated_passages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def q_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+def _over(operator: Callable[[DataFrame], DataFrame], name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: operator(table(spark, sf_dir, name))
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op6_minhash_dedup": q_minhash_dedup,
+    "op2_quality_rules": _over(quality_rules, "documents"),
+    "op4_substring_dedup": _over(repeated_passages, "documents"),
+    "op6_minhash_dedup": _over(near_duplicates, "documents"),
+    "op9_packing": _over(packed_digest, "documents"),
+    "op10_mixing": _over(mixed_words, "documents"),
+    "pipeline": corpus_pipeline.run,
 }
 
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE: dict[str, str] = dict(_ORACLE)
+if corpus_pipeline.ORACLE_SQL:
+    LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
