@@ -72,4 +72,15 @@ SELECT doc_id, size, source_size, target,
 FROM (SELECT laid.*, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS take FROM laid JOIN target t ON t.source IS NOT DISTINCT FROM laid.source)
 """
 
-LLM_ORACLE: dict[str, str] = {"op2_quality_rules": QUALITY_RULES, "op10_mixing": MIXING}
+KNN_JOIN = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, rank, vec_id, score
+FROM (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM p) WHERE rank <= 5
+"""
+
+LLM_ORACLE: dict[str, str] = {"op2_quality_rules": QUALITY_RULES, "op8_knn_join": KNN_JOIN, "op10_mixing": MIXING}

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from logweave.llm.knn_join import top_inner_products
 from logweave.llm.minhash_dedup import near_duplicates
 from logweave.llm.mixing import mixed_words
 from logweave.llm.oracle import LLM_ORACLE as _ORACLE
@@ -27,6 +29,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": _over(quality_rules, "documents"),
     "op4_substring_dedup": _over(repeated_passages, "documents"),
     "op6_minhash_dedup": _over(near_duplicates, "documents"),
+    "op8_knn_join": _over(lambda vectors: top_inner_products(vectors, F.col("vec_id") % 50 == 0), "embeddings"),
     "op9_packing": _over(packed_digest, "documents"),
     "op10_mixing": _over(mixed_words, "documents"),
     "pipeline": corpus_pipeline.run,

@@ -82,5 +82,7 @@ def test_packer_is_best_fit_in_bounded_space():
     assert sorted(f for f, _ in p.room) == [5, 70]
     p.add(9, np.zeros(250, np.uint32))
     assert len(p.room) <= 3
-    p.add(10, np.zeros(99, np.uint32))  # none fits: the fullest is topped up and emitted
-    assert len(p.room) <= 3 and any(x[0][0] == 10 for x in p.done)
+    p.add(10, np.zeros(99, np.uint32))
+    assert [f for f, _ in p.room] == [1, 5, 20]
+    p.add(11, np.zeros(99, np.uint32))  # none fits: the fullest is topped up and emitted
+    assert [f for f, _ in p.room] == [2, 5, 20] and sum(x[0][0] == 11 for x in p.done) == 1
