@@ -29,32 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweave.llm.common import GOLD, WordHashes, drop_repeated_rows, long_lists, lower_words, map_arrow, mix, shingle_set, sized, stage, steps, word_hashes
-from logweave.llm.near_links import bucket_members, link_components
+from logweave.llm.near_links import link_components
+from logweave.llm.sketch import similarity_sketch
 
 BINS, BANDS, PERCENT = 128, 32, 75
 #: Stand-in ids of sets that occur only in rows without doc_id lie above this.
 NO_ID = 1 << 62
-EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-
-
-def similarity_sketch(sets: list[np.ndarray], bins: int = BINS) -> np.ndarray:
-    """(len(sets), bins) uint64 sketch; rows of empty sets stay EMPTY. ``bins``: a power of two."""
-    out = np.full(len(sets) * bins, EMPTY, np.uint64)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    items = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-    shift = np.uint64(64 - bins.bit_length() + 1)
-    for i in range(2 * bins):
-        if not len(items):
-            break
-        x = mix(items + np.uint64((i + 1) * int(GOLD) % 2**64))
-        slot = (x >> shift).astype(np.int64) if i < bins else i - bins
-        value = (np.uint64(i) << np.uint64(56)) | (mix(x + GOLD) >> np.uint64(8))
-        np.minimum.at(out, owner * bins + slot, value)
-        open_rows = (out.reshape(-1, bins) == EMPTY).any(axis=1)
-        active = open_rows[owner]
-        if not active.all():
-            items, owner = items[active], owner[active]
-    return out.reshape(-1, bins)
 
 
 def band_keys(sketch: np.ndarray, bands: int = BANDS) -> np.ndarray:
@@ -99,14 +79,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = stage(map_arrow(texts, _sketch, "doc_id long, fp binary, n long, bands array<long>").withColumn("node", _node()), "sketches")
     full = rows.where("n > 0")
     nodes = stage(full.groupBy("fp").agg(F.min("node").alias("id")), "nodes")
-    bands = full.join(nodes.withColumnRenamed("id", "node"), ["fp", "node"]).select(F.col("node").alias("id"), "n", "bands")
+    bands = stage(full.join(nodes.withColumnRenamed("id", "node"), ["fp", "node"]).select(F.col("node").alias("id"), "bands"), "bands")
 
     def sets_of(ids: DataFrame) -> DataFrame:
         wanted = texts.join(sized(ids).withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").union(texts.where("doc_id is null"))
         sets = map_arrow(wanted, _sets, "doc_id long, fp binary, items array<long>").withColumn("id", _node())
         return sets.join(sized(ids), "id", "left_semi").select("id", "items")
 
-    _, comps = link_components(bucket_members(bands), sets_of, percent)
+    _, comps = link_components(bands, sets_of, percent)
     named = nodes.join(comps, "id", "left").select("fp", F.coalesce("comp", "id").alias("comp"))
     named = stage(named, "named")
     out = rows.select("doc_id", "fp", "n").join(named, "fp", "left")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweave.llm.common import GOLD, SHINGLE_WORDS, WordHashes, long_lists, longs, lower_words, map_arrow, mix, n_words, roll, sized, stage, steps, word_hashes
-from logweave.llm.near_links import bucket_members, link_components
+from logweave.llm.near_links import link_components
 
 PERCENT, MIN_WORDS, RECALL, MAX_BANDS = 75, 10, 0.998, 8
 BOUNDARY = re.compile(r"\n+|[.!?]+ +")
@@ -159,8 +159,8 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         own = sets.join(sized(wanted), "id").where(F.col("d").eqNullSafe(F.col("doc_id")))
         return own.groupBy("id").agg(F.first("items").alias("items"))
 
-    bands = found.where(F.size("bands") > 0).select("id", F.lit(1).cast("long").alias("n"), "bands")
-    _, comps = link_components(bucket_members(bands), sets_of, percent)
+    bands = found.where(F.size("bands") > 0).select("id", "bands")
+    _, comps = link_components(bands, sets_of, percent, bits=512)
     labelled = nodes.join(sized(comps), "id", "left").where("n > 1 or comp is not null").select("id", F.coalesce("comp", "id").alias("cluster_id"), "n", "min_doc")
     labelled = stage(labelled, "clusters")
     keepers = labelled.groupBy("cluster_id").agg(F.sum("n").alias("n"), F.min("min_doc").alias("keep_doc_id")).where("n > 1")

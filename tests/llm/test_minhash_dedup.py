@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
 
-from logweave.llm.minhash_dedup import drop_near_duplicates, near_duplicates, similarity_sketch
+from logweave.llm.minhash_dedup import drop_near_duplicates, near_duplicates
+from logweave.llm.near_links import agreement_limit
+from logweave.llm.sketch import similarity_sketch, sketch_bits
 
 SF = "/root/testdata/sf0.01"
 SPACE = " \t\n\x0b\x0c\r"
@@ -109,3 +111,12 @@ def test_sketch_estimates_similarity():
 def test_tiny_sets_fill_every_bin(size):
     s = similarity_sketch([np.arange(1, size + 1, dtype=np.uint64)])
     assert not (s == np.uint64(0xFFFFFFFFFFFFFFFF)).any()
+
+
+def test_bits_of_similar_sets_agree():
+    rng = np.random.default_rng(4)
+    for common, own in ((300, 50), (24, 4), (6, 1)):  # similarity 0.75
+        for _ in range(20):
+            base = rng.integers(0, 2**63, common + 2 * own).astype(np.uint64)
+            a, b = sketch_bits([np.unique(base[: common + own]), np.unique(np.concatenate([base[:common], base[common + own :]]))], 512)
+            assert sum(bin(int(x) & (2**64 - 1)).count("1") for x in a ^ b) <= agreement_limit(75, 512)
