@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from logweave.llm.html_text import visible_text
 from logweave.llm.knn_join import top_inner_products
+from logweave.llm.license_scan import license_digest
 from logweave.llm.minhash_dedup import near_duplicates
 from logweave.llm.mixing import mixed_words
 from logweave.llm.oracle import LLM_ORACLE as _ORACLE
@@ -27,7 +29,9 @@ def _over(operator: Callable[[DataFrame], DataFrame], name: str) -> Callable[[Sp
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": _over(quality_rules, "documents"),
+    "op3_html_text": _over(visible_text, "pages"),
     "op4_substring_dedup": _over(repeated_passages, "documents"),
+    "op5_license_scan": _over(license_digest, "documents"),
     "op6_minhash_dedup": _over(near_duplicates, "documents"),
     "op8_knn_join": _over(lambda vectors: top_inner_products(vectors, F.col("vec_id") % 50 == 0), "embeddings"),
     "op9_packing": _over(packed_digest, "documents"),
