@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from logweave.llm.html_text import visible_text
+from logweave.llm.kneser_ney import perplexities
 from logweave.llm.knn_join import top_inner_products
 from logweave.llm.license_scan import license_digest
 from logweave.llm.minhash_dedup import near_duplicates
@@ -27,7 +28,14 @@ def _over(operator: Callable[[DataFrame], DataFrame], name: str) -> Callable[[Sp
     return lambda spark, sf_dir: operator(table(spark, sf_dir, name))
 
 
+def q_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trusted text: the documents labelled as good."""
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return perplexities(table(spark, sf_dir, "documents"), trusted)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_kneser_ney": q_kneser_ney,
     "op2_quality_rules": _over(quality_rules, "documents"),
     "op3_html_text": _over(visible_text, "pages"),
     "op4_substring_dedup": _over(repeated_passages, "documents"),
