@@ -18,6 +18,7 @@ from logweave.llm.oracle import LLM_ORACLE as _ORACLE
 from logweave.llm.packing import packed_digest
 from logweave.llm.quality_rules import quality_rules
 from logweave.llm.substring_dedup import repeated_passages
+from logweave.llm.toxicity import toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +35,10 @@ def q_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexities(table(spark, sf_dir, "documents"), trusted)
 
 
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney": q_kneser_ney,
     "op2_quality_rules": _over(quality_rules, "documents"),
@@ -41,6 +46,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": _over(repeated_passages, "documents"),
     "op5_license_scan": _over(license_digest, "documents"),
     "op6_minhash_dedup": _over(near_duplicates, "documents"),
+    "op7_toxicity": q_toxicity,
     "op8_knn_join": _over(lambda vectors: top_inner_products(vectors, F.col("vec_id") % 50 == 0), "embeddings"),
     "op9_packing": _over(packed_digest, "documents"),
     "op10_mixing": _over(mixed_words, "documents"),
