@@ -4,9 +4,13 @@
    smallest id as its centre. One aggregation finds the buckets with two ids; only
    their rows are kept.
 2. ``link_components``: every member is compared with its centre on the full sets.
-   Members that are then in one component need no more comparing. In a bucket with
-   several components, rows outside the centre's component meet the rows of other
-   components. Such a pair is only passed on when its sketches of ``bits`` bits agree
+   Members that are then in one component need no more comparing. In buckets with
+   several components, members are compared with ``CENTRES`` more centres, drawn by
+   hash, which joins most of a group of copies that the first centre is not part of.
+   What is still apart is compared to the end: members outside their bucket's largest
+   component meet all members of other components.
+
+   In the later steps a pair is only passed on when its sketches of ``bits`` bits agree
    as far as similar sets do: the limit lies 4.5 standard deviations below the share
    that is expected at the wanted similarity (a chance of 4e-6 to miss such a link,
    like the bands' own). Heavily edited copies of one text, which are not similar to
@@ -29,7 +33,7 @@ from logweave.llm.common import map_arrow, sized, stage
 from logweave.llm.graph import connected_components
 from logweave.llm.sketch import sketch_bits
 
-STEP_SETS = 256
+STEP_SETS, CENTRES = 256, 3
 
 
 def bucket_members(bands: DataFrame) -> DataFrame:
@@ -71,31 +75,38 @@ def agreement_limit(percent: int, bits: int) -> int:
     return int(bits * (1 - p) + 4.5 * (bits * p * (1 - p)) ** 0.5)
 
 
-def open_pairs(rest: DataFrame, sets: DataFrame, bands: DataFrame, percent: int, bits: int) -> DataFrame:
-    """Pairs (a, b) of different components in the buckets of ``rest`` (bkey, cc, id, comp) whose sketches agree."""
-    words = [f"s{i}" for i in range(bits // 64)]
-    ids = stage(rest.select("id").distinct(), "open-ids")
-    sketches = map_arrow(sets.join(sized(ids), "id", "left_semi").select("id", "items"), _bits(bits), ", ".join(["id long", "n long", *(f"{w} long" for w in words)]))
-    rows = stage(rest.join(sketches.join(bands, "id"), "id"), "open-members")
-    left, right = rows.where("comp <> cc").alias("l"), rows.alias("r")
+def fitting_pairs(left: DataFrame, right: DataFrame, more: Column, percent: int, bits: int) -> DataFrame:
+    """Pairs (a, b) of rows of one bucket, in different components, whose sketches agree and ``more`` holds.
+
+    Rows: bkey, id, comp, n, bands and the sketch words; ``l`` and ``r`` name the sides.
+    """
 
     def both(name: str) -> tuple[Column, Column]:
         return F.col(f"l.{name}"), F.col(f"r.{name}")
 
     (ln, rn), (lb, rb) = both("n"), both("bands")
-    differ = reduce(add, [F.bit_count(x.bitwiseXOR(y)) for x, y in map(both, words)])
-    fits = (F.col("l.comp") != F.col("r.comp")) & ((F.col("r.comp") == F.col("r.cc")) | (F.col("l.id") < F.col("r.id")))
+    differ = reduce(add, [F.bit_count(x.bitwiseXOR(y)) for x, y in (both(f"s{i}") for i in range(bits // 64))])
+    fits = (F.col("l.bkey") == F.col("r.bkey")) & (F.col("l.comp") != F.col("r.comp")) & more
     fits = fits & (F.least(ln, rn) * 100 >= F.greatest(ln, rn) * percent) & (differ <= agreement_limit(percent, bits))
     fits = fits & (F.array_min(F.array_intersect(lb, rb)) == F.col("l.bkey"))  # in one of their common buckets only
-    pairs = left.join(right, (F.col("l.bkey") == F.col("r.bkey")) & fits)
-    return pairs.select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")).distinct()
+    pairs = left.alias("l").join(right.alias("r"), fits)
+    return stage(pairs.select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")).distinct(), "pairs")
+
+
+def labelled_open(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """``rows`` of buckets with several components, with ``comp`` and the bucket's largest component ``cc``."""
+    labelled = rows.join(sized(comps), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    labelled = stage(labelled, "labelled")
+    sizes = labelled.groupBy("bkey", "comp").agg(F.count(F.lit(1)).alias("k"))
+    largest = sizes.groupBy("bkey").agg(F.max(F.struct("k", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    return labelled.join(sized(stage(largest.select("bkey", F.col("top.comp").alias("cc")), "open")), "bkey")
 
 
 def link_components(bands: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, bits: int = 2048) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) found, and (id, comp) of the linked ids.
 
     ``bands``: staged (id, bands), one row an id. ``sets_of(ids)`` gives the full sets
-    (id, items) of a table of ids. ``bits`` of the sketches for step 2: a power of two.
+    (id, items) of a table of ids. ``bits`` of the later steps' sketches: a power of two.
     """
     members = bucket_members(bands)
     first = members.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
@@ -105,13 +116,23 @@ def link_components(bands: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     links = stage(verified(first, sets, percent), "links-1")
     comps = connected_components(links)
 
-    labelled = members.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    labelled = stage(labelled, "labelled")
-    open_buckets = labelled.groupBy("bkey").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.when(F.col("id") == F.col("center"), F.col("comp"))).alias("cc")).where("lo < hi")
-    open_buckets = stage(open_buckets.select("bkey", "cc"), "open")
-    rest = stage(labelled.join(sized(open_buckets), "bkey").where("id <> center").select("bkey", "cc", "id", "comp"), "open-rows")
-    second = open_pairs(rest, sets, bands, percent, bits)
-    more = stage(verified(stage(second, "pairs"), sets, percent), "links-2")
+    rest = stage(labelled_open(members.select("bkey", "id"), comps).select("bkey", "id"), "open-rows")
+    ids = stage(rest.select("id").distinct(), "open-ids")
+    words = ", ".join(["id long", "n long", *(f"s{i} long" for i in range(bits // 64))])
+    sketches = map_arrow(sets.join(sized(ids), "id", "left_semi").select("id", "items"), _bits(bits), words)
+    rest = stage(rest.join(sketches.join(bands, "id"), "id"), "open-members")
+
+    rows = stage(labelled_open(rest, comps), "open-labelled")
+    drawn = rows.groupBy("bkey").agg(*[F.min_by("id", F.xxhash64(F.lit(i), "id")).alias(f"c{i}") for i in range(CENTRES)])
+    drawn = stage(drawn.select("bkey", F.explode(F.array_distinct(F.array(*[f"c{i}" for i in range(CENTRES)]))).alias("id")), "centres")
+    pairs = fitting_pairs(rows.join(drawn, ["bkey", "id"]), rows, F.lit(True), percent, bits)
+    links = stage(links.union(verified(pairs, sets, percent)), "links-2")
+    comps = connected_components(links)
+
+    rows = stage(labelled_open(rest, comps), "open-labelled")
+    apart = (F.col("r.comp") == F.col("r.cc")) | (F.col("l.id") < F.col("r.id"))
+    pairs = fitting_pairs(rows.where("comp <> cc"), rows, apart, percent, bits)
+    more = stage(verified(pairs, sets, percent), "links-3")
     if not more.limit(1).count():
         return links, comps
     links = links.union(more)

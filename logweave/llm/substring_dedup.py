@@ -160,7 +160,7 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         return own.groupBy("id").agg(F.first("items").alias("items"))
 
     bands = found.where(F.size("bands") > 0).select("id", "bands")
-    _, comps = link_components(bands, sets_of, percent, bits=512)
+    _, comps = link_components(bands, sets_of, percent, bits=1024)
     labelled = nodes.join(sized(comps), "id", "left").where("n > 1 or comp is not null").select("id", F.coalesce("comp", "id").alias("cluster_id"), "n", "min_doc")
     labelled = stage(labelled, "clusters")
     keepers = labelled.groupBy("cluster_id").agg(F.sum("n").alias("n"), F.min("min_doc").alias("keep_doc_id")).where("n > 1")

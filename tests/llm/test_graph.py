@@ -1,0 +1,38 @@
+import random
+
+from logweave.llm.graph import connected_components
+
+
+def brute(pairs):
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        x, y = sorted((find(a), find(b)))
+        parent[y] = x
+    return {x: find(x) for x in list(parent)}
+
+
+def check(spark, pairs):
+    got = {r.id: r.comp for r in connected_components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == brute([p for p in pairs if None not in p and p[0] != p[1]])
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    ids = list(range(400))
+    rng.shuffle(ids)
+    chain = list(zip(ids[:150], ids[1:151]))
+    hub = [(ids[200], x) for x in ids[201:330]]
+    loose = [(rng.choice(ids[330:]), rng.choice(ids[330:])) for _ in range(40)]
+    check(spark, chain + hub + loose + [(7, None), (5, 5), chain[0], chain[0][::-1]])
+
+
+def test_no_edges(spark):
+    check(spark, [])
+    check(spark, [(3, 3)])
