@@ -8,20 +8,27 @@ from pyspark.sql import functions as F
 from logweave.operators.ranking import rank_within
 from logweave.params import SPIKE_REQUEST_ID
 
+#: Spike first, then by request start, ties by request id.
+ALERT_ORDER = ["_grp", "start_ts", "start_nanos", "request_id"]
 ALERT_COLUMNS = ["request_id", "root_cause", "recommendation", "severity"]
 
 
+def alert_rows(spike: DataFrame | None, diagnoses: DataFrame) -> DataFrame:
+    """All alerts without positions, with the columns of their order (``ALERT_ORDER``)."""
+    d = diagnoses.select(*ALERT_COLUMNS, F.lit(1).alias("_grp"), "start_ts", "start_nanos")
+    if spike is not None:
+        s = spike.select(*ALERT_COLUMNS, F.lit(0).alias("_grp"), "start_ts", F.lit(0).alias("start_nanos"))
+        d = s.unionByName(d)
+    return d
+
+
 def assemble_alerts(spike: DataFrame | None, diagnoses: DataFrame) -> DataFrame:
     """Spike alert (if any) first, then request diagnoses by start time and request id.
 
     Returns the alert columns plus ``alert_pos`` (1-based), computed with the
     range-partitioned ranking, so no single task orders all alerts.
     """
-    d = diagnoses.select(*ALERT_COLUMNS, F.lit(1).alias("_grp"), "start_ts", "start_nanos")
-    if spike is not None:
-        s = spike.select(*ALERT_COLUMNS, F.lit(0).alias("_grp"), "start_ts", F.lit(0).alias("start_nanos"))
-        d = s.unionByName(d)
-    ranked = rank_within(d, [], ["_grp", "start_ts", "start_nanos", "request_id"], name="alert_pos")
+    ranked = rank_within(alert_rows(spike, diagnoses), [], ALERT_ORDER, name="alert_pos")
     return ranked.select("alert_pos", *ALERT_COLUMNS)
 
 

@@ -68,24 +68,22 @@ def prompt_entries(entries: DataFrame, params: Params = Params()) -> DataFrame:
         PROMPT_ENTRY, format_rfc3339_seconds("ts", "tz_offset"), F.col("service"), F.col("level"), F.col("message"), F.col("latency_ms")
     )
     cols = ["request_id", "ts", "ts_nanos", "raw", line.alias("line")]
-    asc = Window.partitionBy("request_id").orderBy(*[F.col(c).asc() for c in ENTRY_ORDER])
-    desc = Window.partitionBy("request_id").orderBy(*[F.col(c).desc() for c in ENTRY_ORDER])
     counts = d.groupBy("request_id").agg(F.count(F.lit(1)).alias("n_entries"))
+
+    def end(descending: bool, k: int) -> DataFrame:
+        order = [F.col(c).desc() if descending else F.col(c).asc() for c in ENTRY_ORDER]
+        rn = F.row_number().over(Window.partitionBy("request_id").orderBy(*order))
+        return d.withColumn("_rn", rn).where(F.col("_rn") <= k)
+
+    # Both ends are cut to their bound first (a partial group limit runs before the
+    # shuffle); the joins with the counts then move at most these rows per request.
     head = (
-        d.withColumn("_rn", F.row_number().over(asc))
-        .where(F.col("_rn") <= params.prompt_max_entries)
-        .join(counts, "request_id")
+        end(False, params.prompt_max_entries).join(counts, "request_id")
         .where((F.col("n_entries") <= params.prompt_max_entries) | (F.col("_rn") <= params.prompt_head))
         .select(*cols, "n_entries", F.lit(0).alias("part"))
     )
-    # The tail only exists for requests above the limit: restrict the rows before
-    # the window (the long-request list is usually small, and AQE broadcasts it
-    # when its measured size allows; otherwise a skew-split sort-merge join).
-    long_requests = counts.where(F.col("n_entries") > params.prompt_max_entries)
     tail = (
-        d.join(long_requests, "request_id")
-        .withColumn("_rn", F.row_number().over(desc))
-        .where(F.col("_rn") <= params.prompt_tail)
+        end(True, params.prompt_tail).join(counts.where(F.col("n_entries") > params.prompt_max_entries), "request_id")
         .select(*cols, "n_entries", F.lit(1).alias("part"))
     )
     return head.unionByName(tail)
@@ -96,10 +94,10 @@ def build_prompts(entries: DataFrame, reports: DataFrame, params: Params = Param
 
     The bounded per-request selection runs first (dedup hashes on the line, the
     group limits cut each request to at most head + tail rows before shuffling);
-    only that small result is joined with the reports, so no join ever shuffles
-    all entries of a hot request id.
+    only these rows meet the reports, and only reported requests' lines are
+    collected, so no join ever shuffles all entries of a hot request id.
     """
-    kept = prompt_entries(entries, params)
+    kept = prompt_entries(entries, params).join(reports.select("request_id"), "request_id", "left_semi")
     lines = kept.groupBy("request_id").agg(
         F.first("n_entries").alias("n_entries"),
         F.array_sort(F.collect_list(F.struct("part", "ts", "ts_nanos", "raw", "line"))).alias("_lines"),
@@ -169,6 +167,21 @@ def field_ci(obj: Column, name: str) -> Column:
     return F.get(hits, F.size(hits) - 1)["value"]
 
 
+def _is(v: Column, kind: str) -> Column:
+    """The value is absent, null or of this JSON kind."""
+    return F.coalesce(F.schema_of_variant(v).startswith(kind) | (F.schema_of_variant(v) == "VOID"), F.lit(True))
+
+
+def _member(v: Column, name: str) -> Column:
+    """Member ``name`` of a value, NULL when the value is not an object (never an error)."""
+    return field_ci(F.try_variant_get(v, "$", "map<string,variant>"), name)
+
+
+def _choice_ok(choice: Column) -> Column:
+    message = _member(choice, "message")
+    return _is(choice, "OBJECT") & _is(message, "OBJECT") & _is(_member(message, "content"), "STRING")
+
+
 def _string_field(obj: Column, name: str) -> tuple[Column, Column]:
     """(value or '', type ok): a string or null decodes; any other JSON type is an error."""
     v = field_ci(obj, name)
@@ -189,34 +202,26 @@ def parse_responses(responses: DataFrame) -> DataFrame:
     """Decode ``(request_id, status, body)`` into ``request_id, valid, root_cause, recommendation, severity``.
 
     ``valid`` is false for a non-200 status, an envelope that is not strict JSON,
-    no choices, wrongly typed fields or content that is not one strict JSON object;
-    then the decoded columns are NULL.
+    no choices, wrongly typed fields (in any choice) or content that is not one strict
+    JSON object; then the decoded columns are NULL. No input raises an error. A key
+    that is repeated inside a nested object also makes an answer invalid, because a
+    variant refuses it; repeated keys of the answer itself are fine (the last counts).
     """
     env = responses.select("request_id", "status", strict_object(F.col("body")).alias("_env"))
     choices = field_ci(F.col("_env.obj"), "choices")
-    choices_kind = F.schema_of_variant(choices)
     staged = env.select(
         "request_id", "status",
         F.col("_env.ok").alias("_env_ok"),
-        F.when(choices_kind.startswith("ARRAY"), choices.cast("array<variant>")).alias("_choices"),
-        (choices.isNull() | choices_kind.startswith("ARRAY") | (choices_kind == "VOID")).alias("_choices_ok"),
-    )
-    first = F.get(F.col("_choices"), 0)
-    message = field_ci(first.cast("map<string,variant>"), "message")
-    staged = staged.select(
-        "*",
-        F.coalesce(F.forall("_choices", lambda c: F.schema_of_variant(c).startswith("OBJECT") | (F.schema_of_variant(c) == "VOID")), F.lit(True)).alias("_elems_ok"),
-        F.when(F.schema_of_variant(first).startswith("OBJECT"), message).alias("_message"),
+        F.try_variant_get(choices, "$", "array<variant>").alias("_choices"),
+        _is(choices, "ARRAY").alias("_choices_ok"),
     )
-    msg_kind = F.schema_of_variant(F.col("_message"))
-    content = field_ci(F.col("_message").cast("map<string,variant>"), "content")
-    content_kind = F.schema_of_variant(content)
+    # A typed decode of the whole list: one wrongly typed choice refuses the answer.
+    first = _member(_member(F.get(F.col("_choices"), 0), "message"), "content")
     staged = staged.select(
-        "request_id", "status", "_env_ok", "_choices_ok", "_elems_ok",
-        (F.col("_message").isNull() | msg_kind.startswith("OBJECT") | (msg_kind == "VOID")).alias("_msg_ok"),
-        (content.isNull() | content_kind.isin("STRING", "VOID")).alias("_content_ok"),
+        "request_id", "status", "_env_ok", "_choices_ok",
+        F.coalesce(F.forall("_choices", _choice_ok), F.lit(True)).alias("_all_ok"),
         F.coalesce(F.size("_choices"), F.lit(0)).alias("_n_choices"),
-        F.coalesce(F.when(content_kind == "STRING", F.variant_get(content, "$", "string")), F.lit("")).alias("_content"),
+        F.coalesce(F.try_variant_get(first, "$", "string"), F.lit("")).alias("_content"),
     )
     staged = staged.select("*", strict_object(_clean_content(F.col("_content"))).alias("_d"))
     rc, rc_ok = _string_field(F.col("_d.obj"), "root_cause")
@@ -224,8 +229,7 @@ def parse_responses(responses: DataFrame) -> DataFrame:
     sev, sev_ok = _string_field(F.col("_d.obj"), "severity")
     rid_ok = _string_field(F.col("_d.obj"), "request_id")[1]
     valid = (
-        (F.col("status") == 200) & F.col("_env_ok") & F.col("_choices_ok") & F.col("_elems_ok")
-        & (F.col("_n_choices") > 0) & F.col("_msg_ok") & F.col("_content_ok")
+        (F.col("status") == 200) & F.col("_env_ok") & F.col("_choices_ok") & F.col("_all_ok") & (F.col("_n_choices") > 0)
         & F.col("_d.ok") & rc_ok & rec_ok & sev_ok & rid_ok
     )
     decoded = staged.select("request_id", F.coalesce(valid, F.lit(False)).alias("valid"), rc.alias("_rc"), rec.alias("_rec"), sev.alias("_sev"))

@@ -2,7 +2,7 @@
 
 Line format: ``ts | service | level | request_id | message | latency=NNms``.
 Parsing is a pure projection (no shuffle): one ``CASE`` chain decides the first
-failing check, in the order field count, line length, timestamp, service, level,
+failing check, in the order line length (only when a limit is set), field count, timestamp, service, level,
 request id, message. Latency never rejects a line (bad values become 0).
 """
 
@@ -50,8 +50,9 @@ def parse_lines(df: DataFrame, params: Params = Params(), raw_col: str = "raw")
         parse_rfc3339("_ts_text").alias("_t"),
         F.when(F.col("_n") >= 6, parse_latency_ms("_latency_text")).alias("latency_ms"),
     )
+    too_long = F.lit(False) if params.max_line_bytes is None else F.col("_bytes") >= params.max_line_bytes
     kind = (
-        F.when(F.col("_bytes") >= params.max_line_bytes, F.lit("line_too_long"))
+        F.when(too_long, F.lit("line_too_long"))
         .when(F.col("_n") < 6, F.lit("fields"))
         .when(F.col("_t.ts").isNull(), F.lit("timestamp"))
         .when(F.col("service") == "", F.lit("service"))
@@ -62,7 +63,7 @@ def parse_lines(df: DataFrame, params: Params = Params(), raw_col: str = "raw")
     checked = typed.select("*", kind.alias("error_kind"))
     k = F.col("error_kind")
     error = (
-        F.when(k == "line_too_long", F.lit(f"line exceeds {params.max_line_bytes - 1} bytes"))
+        F.when(k == "line_too_long", F.lit(f"line exceeds {(params.max_line_bytes or 0) - 1} bytes"))
         .when(k == "fields", F.format_string("expected 6 pipe-delimited fields, got %d", F.col("_n")))
         .when(k == "timestamp", F.concat(F.lit('parse timestamp: invalid RFC 3339 time "'), F.col("_ts_text"), F.lit('"')))
         .when(k == "service", F.lit("missing service name"))
@@ -105,6 +106,8 @@ def parse_logs(df: DataFrame, params: Params = Params(), raw_col: str = "raw") -
     return accepted(parsed), rejected(parsed)
 
 
+#: Lines of this length are counted (not refused) by :func:`parse_stats`.
+LONG_LINE_BYTES = 1 << 20
 REJECT_KINDS = ["line_too_long", "fields", "timestamp", "service", "level", "request_id", "message"]
 
 
@@ -116,6 +119,7 @@ def parse_stat_columns() -> list[Column]:
         F.count_if(bad).alias("rejected_lines"),
         F.count_if(~bad).alias("accepted_lines"),
         *[F.count_if(F.col("error_kind") == k).alias(f"rejected_{k}") for k in REJECT_KINDS],
+        F.count_if(F.octet_length("raw") >= LONG_LINE_BYTES).alias("long_lines"),
     ]
 
 
@@ -131,6 +135,3 @@ def first_rejects(rejects: DataFrame, n: int = 5) -> DataFrame:
     """
     return rejects.orderBy("raw", "parse_error").limit(n)
 
-
-def is_error(level: Column | str = "level") -> Column:
-    return (F.col(level) if isinstance(level, str) else level) == "ERROR"

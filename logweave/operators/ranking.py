@@ -5,8 +5,8 @@ task, and without ``PARTITION BY`` every row of the table to one task. Here the
 rows are range-partitioned on ``(k, o)`` instead (Spark samples the keys, so a hot
 key is spread over many partitions), numbered inside each partition, and the
 counts of a key that spills over from earlier partitions are added back. The
-offset table has at most one row per partition, so broadcasting it is bounded by
-the partition count, not by the data.
+offset table has at most one row per partition; Spark broadcasts it when its measured
+size allows.
 
 The partitioned, numbered rows are written once as a table in the session's
 ``spark.checkpoint.dir`` (partition id, row index and local sum are stored
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweave.plans.materialize import materialize
+from logweave.session import ship_package
 
 
 def _same_as_previous(arrays: list[pa.Array], prev: list | None, n: int) -> np.ndarray:
@@ -124,6 +125,7 @@ def running_sum_within(
     # Without an explicit count AQE may coalesce small range partitions; it merges
     # adjacent ones only, so partition ids still follow the key order.
     ranged = df.repartitionByRange(num_partitions, *sort_cols) if num_partitions else df.repartitionByRange(*sort_cols)
+    ship_package(df.sparkSession)
     local = (
         ranged.sortWithinPartitions(*sort_cols)
         .mapInArrow(_numbering(by, weight), out_schema)
@@ -147,6 +149,6 @@ def running_sum_within(
         )
         .where(F.col("offset") > 0)
     )
-    joined = local.join(F.broadcast(offsets), "_pid", "left")
+    joined = local.join(offsets, "_pid", "left")
     pos = F.col("_lpos") + F.when(key.eqNullSafe(F.col("first_key")), F.col("offset")).otherwise(F.lit(0))
     return joined.select(*df.columns, pos.cast("bigint").alias(name))

@@ -2,10 +2,10 @@
 
 All rules are aggregates that do not change when a line is repeated (``bool_or``,
 ``min_by``, presence flags), so ``detect`` gives the same result on raw or
-deduplicated entries and needs no dedup shuffle. Every aggregate has a bounded
-buffer (booleans, one struct, one flag per chain service, the set of service
-names), so Spark combines them map-side and a hot request id is never collected
-in one task.
+deduplicated entries and needs no dedup shuffle. Spark combines the aggregates
+map-side, so a hot request id is never collected in one task. Buffers are booleans,
+one struct and one flag per chain service, plus the set of a request's service
+names, which is bounded by the number of distinct services, not by the lines.
 
 Rules, in output order:
 
@@ -30,12 +30,11 @@ def _chain_flag(i: int) -> str:
     return f"_has_{i}"
 
 
-def rule_aggregates(entries: DataFrame, params: Params = Params()) -> DataFrame:
-    """One row per request id with the raw rule inputs and the group bounds."""
+def rule_columns(params: Params = Params()) -> list[Column]:
+    """The aggregates behind the rules and the group bounds, for batch groups and streaming sessions."""
     slow = F.col("latency_ms") > F.lit(params.latency_threshold_ms)
     msg = F.lower("message")
-    chain_flags = [F.bool_or(F.col("service") == s).alias(_chain_flag(i)) for i, s in enumerate(params.service_chain)]
-    return entries.groupBy("request_id").agg(
+    return [
         F.min(F.struct("ts", "ts_nanos", "raw", "tz_offset")).alias("_first"),
         F.max(F.struct("ts", "ts_nanos", "raw", "tz_offset")).alias("_last"),
         F.bool_or(F.col("level") == "ERROR").alias("error_detected"),
@@ -45,8 +44,13 @@ def rule_aggregates(entries: DataFrame, params: Params = Params()) -> DataFrame:
         ).alias("_slow"),
         F.bool_or(msg.contains("timeout") | msg.contains("context deadline exceeded")).alias("timeout_pattern"),
         F.array_sort(F.collect_set("service")).alias("services"),
-        *chain_flags,
-    )
+        *[F.bool_or(F.col("service") == s).alias(_chain_flag(i)) for i, s in enumerate(params.service_chain)],
+    ]
+
+
+def rule_aggregates(entries: DataFrame, params: Params = Params()) -> DataFrame:
+    """One row per request id with the raw rule inputs and the group bounds."""
+    return entries.groupBy("request_id").agg(*rule_columns(params))
 
 
 def with_rules(agg: DataFrame, params: Params = Params(), keep: tuple[str, ...] = ()) -> DataFrame:

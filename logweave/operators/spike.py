@@ -94,9 +94,25 @@ def window_counts(errors: DataFrame, window: timedelta, ts_col: str = "ts", tz_c
     )
 
 
+def near_spikes(errors: DataFrame, params: Params, ts_col: str = "ts") -> DataFrame:
+    """The errors that a qualifying window can hold: an exact filter before the running sums.
+
+    Errors are counted per bucket of one window length. A window that starts in bucket
+    b lies in b and b + 1, so it qualifies only if these two hold more than the
+    threshold together; rows of other buckets are in no qualifying window.
+    """
+    w_us = int(params.spike_window / timedelta(microseconds=1))
+    bucketed = errors.withColumn("_b", F.floor(epoch_micros(errors, ts_col) / F.lit(w_us)))
+    counts = bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("n"))
+    pairs = counts.select("_b", "n").union(counts.select((F.col("_b") - 1).alias("_b"), "n"))
+    full = pairs.groupBy("_b").agg(F.sum("n").alias("n")).where(F.col("n") > params.spike_threshold).select("_b")
+    near = full.union(full.select((F.col("_b") + 1).alias("_b"))).distinct()
+    return bucketed.join(near, "_b", "left_semi").drop("_b")
+
+
 def error_spikes(errors: DataFrame, params: Params = Params(), ts_col: str = "ts", tz_col: str | None = "tz_offset") -> DataFrame:
     """All window starts with more than ``spike_threshold`` errors."""
-    counts = window_counts(errors, params.spike_window, ts_col, tz_col)
+    counts = window_counts(near_spikes(errors, params, ts_col), params.spike_window, ts_col, tz_col)
     return counts.where(F.col("errors_in_window") > F.lit(params.spike_threshold))
 
 

@@ -31,7 +31,8 @@ class Params:
     prompt_max_entries: int = 50
     prompt_head: int = 20
     prompt_tail: int = 30
-    max_line_bytes: int = 1024 * 1024
+    # Reject longer lines; None (default) parses lines of any length.
+    max_line_bytes: int | None = None
     model: str = DEFAULT_MODEL
     temperature: float = 0.1
 
@@ -39,10 +40,6 @@ class Params:
     def latency_threshold_ms(self) -> int:
         return int(self.latency_threshold / timedelta(milliseconds=1))
 
-    @property
-    def spike_window_us(self) -> int:
-        return int(self.spike_window / timedelta(microseconds=1))
-
 
 # Duration unit suffixes and their length in nanoseconds.
 _UNIT_NS = {"ns": 1, "us": 1_000, "\u00b5s": 1_000, "\u03bcs": 1_000, "ms": 1_000_000, "s": 1_000_000_000, "m": 60_000_000_000, "h": 3_600_000_000_000}

@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.operators.alerts import assemble_alerts, severity_summary
+from logweave.operators.alerts import alert_rows, assemble_alerts, severity_summary
 from logweave.operators.correlate import correlation_stats
 from logweave.operators.diagnose import diagnose
 from logweave.operators.parse import accepted, first_rejects, parse_lines, parse_stat_columns, parse_stats, rejected
@@ -54,8 +54,11 @@ class Analysis:
 
     @cached_property
     def evaluated(self) -> DataFrame:
-        """Every request group with its rules (no dedup shuffle: the rules ignore repeats)."""
-        return evaluate_rules(self.entries, self.params)
+        """Every request group with its rules (no dedup shuffle: the rules ignore repeats).
+
+        With ``stage_parsed`` written once too: counters, reports and alerts read it."""
+        evaluated = evaluate_rules(self.entries, self.params)
+        return materialize(evaluated, "evaluated") if self.stage_parsed else evaluated
 
     @cached_property
     def reports(self) -> DataFrame:
@@ -77,7 +80,8 @@ class Analysis:
 
     @cached_property
     def summary(self) -> DataFrame:
-        return severity_summary(self.alerts)
+        """Dashboard counts; needs no positions, so no ranking runs for it."""
+        return severity_summary(alert_rows(self.spike, self.diagnoses))
 
     def stats(self) -> dict:
         """Single-row counters of every stage (small, bounded results)."""
@@ -102,6 +106,7 @@ def run(
     sinks: dict[str, Callable[[DataFrame], None]],
     params: Params = Params(),
     responses: DataFrame | None = None,
+    pattern: str = "*.log",
 ) -> dict:
     """Read ``log_dir``, analyze, and write the alerts to every sink.
 
@@ -111,9 +116,9 @@ def run(
     """
     from logweave.sources.sinks import write_alerts
 
-    a = analyze(read_logs(spark, log_dir), params, responses, stage_parsed=True)
+    a = analyze(read_logs(spark, log_dir, pattern), params, responses, stage_parsed=True)
     out: dict = {"stats": a.stats(), "first_rejects": [r.parse_error for r in first_rejects(a.rejects).collect()]}
-    if a.reports.isEmpty():
+    if not out["stats"]["detection"]["anomalous_groups"]:
         out["status"] = "no anomalies"
         return out
     out["summary"] = a.summary.collect()[0].asDict()

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.functions.text import format_utc_micros
-from logweave.operators.alerts import alert_payload, alert_view, assemble_alerts, severity_summary
+from logweave.operators.alerts import ALERT_COLUMNS, alert_payload, alert_rows, alert_view, assemble_alerts, severity_summary
 from logweave.operators.correlate import (
     correlate,
     correlation_stats,
@@ -28,8 +28,11 @@ from logweave.operators.parse import accepted, first_rejects, parse_lines, parse
 from logweave.operators.rules import detect, detection_stats, evaluate_rules, service_chain_gaps
 from logweave.operators.spike import error_entries, error_spikes, global_error_spike
 from logweave.params import Params
-from logweave.plans.materialize import write_table
-from logweave.sources.fixtures import event_log_lines, model_responses
+from logweave.plans.analysis import run
+from logweave.plans.materialize import file_system, new_folder, write_table
+from logweave.sources.fixtures import edge_lines, event_log_lines, long_lines, model_responses
+from logweave.sources.logfiles import read_logs
+from logweave.sources.sinks import write_alerts, write_alerts_json
 
 # Parameters of the registered queries (the oracle SQL uses the same values).
 SPIKE_EVENTS_PARAMS = Params(spike_window=timedelta(hours=1), spike_threshold=5)
@@ -41,25 +44,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# Derived log-line tables already written in this application: (app id, folder, key) -> path.
-_STAGED: dict[tuple[str, str, str], tuple[str, object]] = {}
+# Derived log-line tables already written: (app id, folder, key) -> (version of events, path, schema).
+_STAGED: dict[tuple[str, str, str], tuple[object, str, object]] = {}
+
+
+def _version(spark: SparkSession, path: str) -> object:
+    """Names, lengths and times of the files of a table."""
+    fs, p = file_system(spark, path)
+    found = fs.listStatus(p)
+    return sorted((str(f.getPath()), f.getLen(), f.getModificationTime()) for f in found)
 
 
 def log_lines(spark: SparkSession, sf_dir: str, key: str = "bucket") -> DataFrame:
     """Raw log lines derived from ``events``, staged as a parquet table.
 
-    The derivation runs once per application and source folder (a staging table
-    in the checkpoint folder, like landed log files); every query reads the table
-    and does its own work on it. Materializing also keeps the generator expression
-    out of the parse plan. Production input comes from ``read_logs``.
+    The derivation runs once per application and version of the source files (a staging
+    table in the checkpoint folder, like landed log files); every query reads the table
+    and does its own work on it. Materializing also keeps the generator expression out
+    of the parse plan. Production input comes from ``read_logs``.
     """
     cache_key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), key)
-    if cache_key not in _STAGED:
-        lines = event_log_lines(table(spark, sf_dir, "events"), key=key)
-        path = write_table(lines, f"log-lines-{key}", min_partitions=spark.sparkContext.defaultParallelism)
-        _STAGED[cache_key] = (path, lines.schema)
-    path, schema = _STAGED[cache_key]
-    return spark.read.schema(schema).parquet(path)
+    version = _version(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    staged = _STAGED.get(cache_key)
+    if staged:
+        fs, p = file_system(spark, f"{staged[1]}/_SUCCESS")
+        staged = staged if staged[0] == version and fs.exists(p) else None
+    if not staged:
+        lines = event_log_lines(table(spark, sf_dir, "events"), key=key).repartition("raw")
+        staged = _STAGED[cache_key] = (version, write_table(lines, f"log-lines-{key}"), lines.schema)
+    return spark.read.schema(staged[2]).parquet(staged[1])
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,6 +134,43 @@ def q_correlation_stats(spark, sf_dir):
     return correlation_stats(_entries(spark, sf_dir))
 
 
+def q_parse_edge_lines(spark, sf_dir):
+    """Rarer line shapes, one per event: accepted ones with their fields, rejects with their kind."""
+    p = parse_lines(edge_lines(table(spark, sf_dir, "events")))
+    return p.select("raw", "error_kind", format_utc_micros("ts").alias("ts_utc"), F.when(F.col("ts").isNotNull(), F.col("ts_nanos")).alias("ts_nanos"), "tz_offset", "service", "level", "request_id", "message", "latency_ms")
+
+
+def q_parse_long_lines(spark, sf_dir):
+    """Lines of more than 2 MiB are entries like all others."""
+    p = parse_lines(long_lines(table(spark, sf_dir, "events")))
+    return p.select("request_id", "error_kind", F.length("message").cast("bigint").alias("message_chars"), "latency_ms")
+
+
+def q_read_logs_lines(spark, sf_dir):
+    """Land lines as text files (some ended by CRLF, some blank, and a nested folder that is not read) and read them back."""
+    base = new_folder(spark, "landed-logs")
+    lines = log_lines(spark, sf_dir).select("raw", F.pmod(F.xxhash64("raw"), F.lit(3)).alias("k"))
+    text = F.when(F.col("k") == 0, F.concat("raw", F.lit("\r"))).when(F.col("k") == 1, F.concat("raw", F.lit("\n\n\r"))).otherwise(F.col("raw"))
+    lines.select(text.alias("value")).write.text(f"{base}/logs")
+    lines.limit(1).select("raw").write.text(f"{base}/logs/nested")
+    return read_logs(spark, f"{base}/logs", pattern="*.txt").select("raw")
+
+
+def q_run_no_anomaly(spark, sf_dir):
+    """A whole run over requests that pass every hop quickly: counted, and nothing is written."""
+    base = new_folder(spark, "quiet-run")
+    chain = F.explode(F.array(*[F.lit(s) for s in Params().service_chain]))
+    events = table(spark, sf_dir, "events").select("event_id", "ts", chain.alias("service"))
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    line = F.concat_ws(" | ", stamp, "service", F.lit("INFO"), F.concat(F.lit("calm-"), F.col("event_id").cast("string")), F.lit("fine"), F.lit("latency=3ms"))
+    events.select(line.alias("value")).write.text(f"{base}/logs")
+    done: list[str] = []
+    out = run(spark, f"{base}/logs", {"any": lambda df: done.append("written")}, pattern="*.txt")
+    stats = out["stats"]
+    row = (out["status"], stats["parse"]["total_lines"], stats["detection"]["total_groups"], stats["detection"]["anomalous_groups"], len(done))
+    return spark.createDataFrame([row], "status string, total_lines bigint, total_groups bigint, anomalous_groups bigint, sinks_called bigint")
+
+
 # --------------------------------------------------------------------- rules
 
 def _evaluated(spark, sf_dir, params=Params()):
@@ -177,6 +227,15 @@ def q_error_spikes(spark, sf_dir):
     return s.select(format_utc_micros("start_ts").alias("start_utc"), "errors_in_window")
 
 
+def q_error_spikes_default(spark, sf_dir):
+    """Default window and threshold (60 s, more than 10): each event counts 12 times, 0 to 55 s late."""
+    late = F.explode(F.sequence(F.lit(0), F.lit(55), F.lit(5)))
+    errors = _event_errors(spark, sf_dir).select(F.col("ts").alias("t0"), late.alias("s"))
+    errors = errors.select((F.col("t0") + F.make_dt_interval(secs=F.col("s").cast("decimal(18,6)"))).alias("ts"))
+    s = error_spikes(errors, Params(), tz_col=None)
+    return s.select(format_utc_micros("start_ts").alias("start_utc"), "errors_in_window")
+
+
 def q_global_error_spike(spark, sf_dir):
     g = global_error_spike(_event_errors(spark, sf_dir), GLOBAL_SPIKE_PARAMS, tz_col=None)
     return g.select("request_id", "root_cause", "recommendation", "severity")
@@ -203,7 +262,23 @@ def q_alert_payload(spark, sf_dir):
 
 
 def q_severity_summary(spark, sf_dir):
-    return severity_summary(_alerts(spark, sf_dir))
+    """Counts need no positions: the alerts are not ranked."""
+    entries = _entries(spark, sf_dir)
+    return severity_summary(alert_rows(global_error_spike(error_entries(entries), ALERTS_PARAMS), diagnose(detect(entries))))
+
+
+def q_write_alerts_roundtrip(spark, sf_dir):
+    """All alerts through the sink fan-out (one sink fails) into JSON files, twice (overwrite), and read back."""
+    base = new_folder(spark, "alerts")
+    rows = _alerts(spark, sf_dir)
+
+    def broken(df):
+        raise RuntimeError("sink down")
+
+    for _ in range(2):
+        results = write_alerts(rows, {"broken": broken, "file": lambda df: write_alerts_json(df, f"{base}/json")})
+    back = spark.read.schema(rows.select(*ALERT_COLUMNS).schema).json(f"{base}/json")
+    return back.withColumn("failed_sinks", F.lit(",".join(sorted(n for n, e in results.items() if e))))
 
 
 def q_alert_view(spark, sf_dir):
@@ -238,11 +313,7 @@ def _land_lines_for_streaming(spark, sf_dir, name):
     """Write the derived log lines as text files for a file stream, plus one line one
     day after the last event (derived from ``events``, own request id, INFO) that
     moves the watermark past every window; returns the base folder."""
-    import uuid
-
-    from logweave.session import ensure_checkpoint_dir
-
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    base = new_folder(spark, name)
     log_lines(spark, sf_dir).write.text(f"{base}/in")
     last = table(spark, sf_dir, "events").agg(F.max("ts").alias("t"))
     sentinel = last.select(
@@ -291,7 +362,7 @@ def q_stream_sessions(spark, sf_dir):
 
 def q_stream_error_rate(spark, sf_dir):
     """Structured Streaming sliding-window error counts (1 minute windows, 1 second
-    slide, spike when above 10) over the landed lines; every ERROR line counts."""
+    slide, spike when above 10) over the landed lines; a repeated line counts once."""
     from logweave.streaming.live import stream_entries, stream_error_rate
 
     base = _land_lines_for_streaming(spark, sf_dir, "stream-error-rate")
@@ -305,6 +376,24 @@ def q_stream_error_rate(spark, sf_dir):
     return _run_to_parquet(rates, base)
 
 
+def q_stream_dedup(spark, sf_dir):
+    """Entries of a stream read one file per micro-batch, each line once: the delay covers the table, so no row is late."""
+    from logweave.streaming.live import stream_dedup, stream_entries
+
+    base = _land_lines_for_streaming(spark, sf_dir, "stream-dedup")
+    entries, _ = stream_entries(spark, f"{base}/in", pattern="*.txt", max_files_per_trigger=1)
+    return _run_to_parquet(stream_dedup(entries, timedelta(days=400)).select("request_id", "raw"), base)
+
+
+def q_stream_rejects(spark, sf_dir):
+    """The reject stream over several micro-batches."""
+    from logweave.streaming.live import stream_entries
+
+    base = _land_lines_for_streaming(spark, sf_dir, "stream-rejects")
+    _, rejects = stream_entries(spark, f"{base}/in", pattern="*.txt", max_files_per_trigger=2)
+    return _run_to_parquet(rejects.select("raw", "error_kind", "parse_error"), base)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_entries": q_parse_entries,
     "parse_rejects": q_parse_rejects,
@@ -335,4 +424,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "diagnose_with_responses": q_diagnose_with_responses,
     "stream_sessions": q_stream_sessions,
     "stream_error_rate": q_stream_error_rate,
+    "stream_dedup": q_stream_dedup,
+    "stream_rejects": q_stream_rejects,
+    "parse_edge_lines": q_parse_edge_lines,
+    "parse_long_lines": q_parse_long_lines,
+    "read_logs_lines": q_read_logs_lines,
+    "write_alerts_roundtrip": q_write_alerts_roundtrip,
+    "run_no_anomaly": q_run_no_anomaly,
+    "error_spikes_default": q_error_spikes_default,
 }

@@ -2,35 +2,69 @@
 
 A written table cuts lineage (a lost executor re-reads files instead of
 recomputing the plan) and computes the plan once, where an RDD checkpoint
-computes it for the action and again for the write.
+computes it for the action and again for the write. Tables stay until
+:func:`cleanup`, or until the end of the :func:`scratch` block that wrote them.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from logweave.session import ensure_checkpoint_dir
 
+#: Tables that this process has written and not yet removed.
+_WRITTEN: list[str] = []
 
-def write_table(df: DataFrame, name: str, min_partitions: int | None = None) -> str:
-    """Write ``df`` as parquet to a new folder under ``spark.checkpoint.dir``; return its path.
 
-    ``min_partitions``: when the plan has fewer partitions (a small source file),
-    spread the rows round-robin first so that later narrow stages use every core.
-    Large sources already have enough partitions and are written as they are.
-    """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
-    df.write.parquet(path)
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and its path object (works on any store Spark reads)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder name under ``spark.checkpoint.dir``, removed by :func:`cleanup`."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def write_table(df: DataFrame, name: str) -> str:
+    """Write ``df`` as parquet to a new folder under ``spark.checkpoint.dir``; return its path."""
+    path = new_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
     return path
 
 
-def materialize(df: DataFrame, name: str, min_partitions: int | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Persist ``df`` with :func:`write_table` and return the written table."""
-    path = write_table(df, name, min_partitions)
+    path = write_table(df, name)
     return df.sparkSession.read.schema(df.schema).parquet(path)  # known schema: no inference, empty tables too
+
+
+def cleanup(spark: SparkSession, since: int = 0) -> int:
+    """Remove the tables written so far (from the ``since``-th on); returns how many.
+
+    DataFrames that still read them fail afterwards, so call it when results are stored.
+    """
+    gone = _WRITTEN[since:]
+    del _WRITTEN[since:]
+    for path in gone:
+        fs, p = file_system(spark, path)
+        fs.delete(p, True)
+    return len(gone)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside the block are removed at its end; store results before that."""
+    since = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        cleanup(spark, since)

@@ -16,7 +16,7 @@ UTC_US = "'%Y-%m-%dT%H:%M:%S.%fZ'"
 
 
 def _tw(x: str) -> str:
-    return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+    return rf"regexp_replace({x}, '^[\s\x{{85}}\x{{a0}}\p{{Z}}]+|[\s\x{{85}}\x{{a0}}\p{{Z}}]+$', '', 'g')"
 
 
 def _dur(ms: str) -> str:
@@ -88,9 +88,9 @@ def rules_ctes(source: str, keys: list[str], threshold_ms: int = 500, prefix: st
   [CASE WHEN timeout_pattern THEN 'timeout_pattern' END]), lambda x: x IS NOT NULL) AS rules FROM {prefix}rr),"""
 
 
-def base_ctes(key: str = "bucket", threshold_ms: int = 500) -> str:
+def base_ctes(key: str = "bucket", threshold_ms: int = 500, lines: str | None = None) -> str:
     return f"""
-lines AS ({lines_sql(key)}),
+lines AS ({lines or lines_sql(key)}),
 parts AS (SELECT raw, string_split(raw, ' | ') AS p FROM lines),
 f AS (SELECT raw, len(p) AS np, {_tw('p[1]')} AS ts_text, {_tw('p[2]')} AS service, {_tw('p[3]')} AS level,
   {_tw('p[4]')} AS request_id, {_tw('p[5]')} AS message,
@@ -101,11 +101,11 @@ t AS (SELECT *,
   CAST(rpad(regexp_extract(ts_text, '[.,][0-9]{{6}}([0-9]{{1,3}})', 1), 3, '0') AS INTEGER) AS ts_nanos,
   regexp_extract(ts_text, '(Z|[+-][0-9]{{2}}:[0-9]{{2}})$', 1) AS tz_raw,
   CASE WHEN np >= 6 THEN {_latency('lat_text')} END AS latency_ms FROM f),
-k AS (SELECT *, CASE WHEN strlen(raw) >= 1048576 THEN 'line_too_long' WHEN np < 6 THEN 'fields' WHEN tsz IS NULL THEN 'timestamp'
+k AS (SELECT *, CASE WHEN np < 6 THEN 'fields' WHEN tsz IS NULL THEN 'timestamp'
   WHEN service = '' THEN 'service' WHEN level NOT IN ('INFO', 'WARN', 'ERROR', 'DEBUG') THEN 'level'
   WHEN request_id = '' THEN 'request_id' WHEN message = '' THEN 'message' END AS error_kind FROM t),
 parsed AS (SELECT raw, error_kind,
-  CASE error_kind WHEN 'line_too_long' THEN 'line exceeds 1048575 bytes'
+  CASE error_kind
     WHEN 'fields' THEN printf('expected 6 pipe-delimited fields, got %d', np)
     WHEN 'timestamp' THEN 'parse timestamp: invalid RFC 3339 time "' || ts_text || '"'
     WHEN 'service' THEN 'missing service name' WHEN 'level' THEN 'invalid log level: ' || level
@@ -148,15 +148,53 @@ alerts AS (SELECT CAST(row_number() OVER (ORDER BY grp, start_ts, start_nanos, r
     SELECT request_id, root_cause, recommendation, severity, 1 AS grp, start_ts, start_nanos FROM fallback))
 """
 
-_RESPONSES = """
+# The answers of the fixture, and a decode of their own: JSON functions and types, never the shape's number
+# (json_valid lets a comma before a closing bracket pass, so that is checked apart).
+_OBJ = """'{"root_cause": "Upstream fault for ' || rid || '", "recommendation": "Restart the failing pod", "severity": "' || sev || '"}'"""
+_GOOD = "'{\"message\":' || to_json(struct_pack(content := obj))::VARCHAR || '}'"
+
+_RESPONSES = f"""
 keys AS (SELECT DISTINCT user_id, (day(ts) - 1) // 3 AS bucket FROM events),
-rv AS (SELECT 'req-' || CAST(user_id AS VARCHAR) || '-' || CAST(bucket AS VARCHAR) AS request_id,
-  (user_id + bucket) % 10 AS v, ['critical', 'warning', 'info'][user_id % 3 + 1] AS sev FROM keys),
-expected AS (SELECT request_id, v IN (0, 1, 2, 3, 4, 5) AS valid,
-  CASE WHEN v IN (0, 1, 2, 3, 4) THEN 'Upstream fault for ' || request_id WHEN v = 5 THEN '' END AS root_cause,
-  CASE WHEN v IN (0, 1, 2, 3) THEN 'Restart the failing pod' WHEN v IN (4, 5) THEN '' END AS recommendation,
-  CASE WHEN v IN (0, 1, 2, 3) THEN sev WHEN v = 4 THEN 'warning' WHEN v = 5 THEN '' END AS severity
-  FROM rv WHERE v <> 9)"""
+k0 AS (SELECT user_id, (user_id + bucket) % 20 AS v, 'req-' || CAST(user_id AS VARCHAR) || '-' || CAST(bucket AS VARCHAR) AS rid,
+  ['critical', 'warning', 'info'][user_id % 3 + 1] AS sev FROM keys),
+k1 AS (SELECT *, {_OBJ} AS obj FROM k0 WHERE v <> 9),
+k2 AS (SELECT *, CASE v WHEN 0 THEN obj WHEN 1 THEN '```json' || chr(10) || obj || chr(10) || '```' WHEN 2 THEN '```' || chr(10) || obj || chr(10) || '```'
+  WHEN 3 THEN 'Sure! ' || obj || ' hope this helps' WHEN 4 THEN '{{"Root_Cause": "Upstream fault for ' || rid || '", "SEVERITY": "warning"}}'
+  WHEN 5 THEN '{{"root_cause":null}}' WHEN 6 THEN '{{"root_cause":5}}'
+  ELSE CASE WHEN user_id % 2 = 0 THEN '{{"root_cause": "x",}}' ELSE '{{"root_cause": "a"}} and {{"severity": "b"}}' END END AS content FROM k1),
+answers AS (SELECT rid AS request_id, CASE WHEN v = 8 THEN 500 ELSE 200 END AS status, CASE v
+  WHEN 8 THEN '{{"error": "internal server error"}}' WHEN 10 THEN '{{"choices":[{{"message":"hi"}}]}}' WHEN 11 THEN '{{"choices":[{{"message":5}}]}}'
+  WHEN 12 THEN '{{"choices":[{{"message":[1]}}]}}' WHEN 13 THEN '{{"choices":[' || {_GOOD} || ',{{"message":"x"}}]}}' WHEN 14 THEN '{{"choices":"x"}}'
+  WHEN 15 THEN '{{"choices":[{{"message":{{"content":{{"a":1}}}}}}]}}' WHEN 16 THEN '{{"choices":[7]}}' WHEN 17 THEN '{{"choices":{{"message":{{"content":"{{}}"}}}}}}'
+  WHEN 18 THEN '{{"choices":[' || {_GOOD} || ',{{"message":{{"content":null}}}},null]}}' WHEN 19 THEN '[]'
+  ELSE '{{"choices":[{{"message":' || to_json(struct_pack(content := content))::VARCHAR || '}}]}}' END AS body FROM k2),
+env AS (SELECT *, CASE WHEN json_valid(body) THEN body::JSON END AS j FROM answers),
+ch AS (SELECT *, coalesce(json_type(j) = 'OBJECT' AND json_type(j, '$.choices') = 'ARRAY' AND json_array_length(j, '$.choices') > 0
+    AND len(list_filter(json_extract(j, '$.choices[*]'), lambda c: NOT (json_type(c) IN ('OBJECT', 'NULL')
+      AND coalesce(json_type(c, '$.message'), 'NULL') IN ('OBJECT', 'NULL') AND coalesce(json_type(c, '$.message.content'), 'NULL') IN ('VARCHAR', 'NULL')))) = 0, false) AS env_ok,
+  trim(coalesce(json_extract_string(j, '$.choices[0].message.content'), ''), ' ' || chr(10)) AS c0 FROM env),
+cl AS (SELECT *, regexp_replace(regexp_replace(c0, '^```json|^```', ''), '```$', '') AS c1 FROM ch),
+sp AS (SELECT *, CASE WHEN regexp_extract(c1, '(?s)\\{{.*\\}}') <> '' THEN regexp_extract(c1, '(?s)\\{{.*\\}}') ELSE c1 END AS c2 FROM cl),
+ob AS (SELECT *, CASE WHEN json_valid(c2) AND NOT regexp_matches(c2, ',\\s*[}}\\]]') THEN c2::JSON END AS o FROM sp),
+fl AS (SELECT *, list_filter(json_keys(o), lambda x: lower(x) = 'root_cause')[-1] AS k_rc, list_filter(json_keys(o), lambda x: lower(x) = 'recommendation')[-1] AS k_rec,
+  list_filter(json_keys(o), lambda x: lower(x) = 'severity')[-1] AS k_sev FROM ob),
+ty AS (SELECT *, status = 200 AND env_ok AND coalesce(json_type(o) = 'OBJECT', false) AND coalesce(json_type(o, '$.' || k_rc), 'NULL') IN ('VARCHAR', 'NULL')
+  AND coalesce(json_type(o, '$.' || k_rec), 'NULL') IN ('VARCHAR', 'NULL') AND coalesce(json_type(o, '$.' || k_sev), 'NULL') IN ('VARCHAR', 'NULL') AS valid FROM fl),
+expected AS (SELECT request_id, valid, CASE WHEN valid THEN coalesce(json_extract_string(o, '$.' || k_rc), '') END AS root_cause,
+  CASE WHEN valid THEN coalesce(json_extract_string(o, '$.' || k_rec), '') END AS recommendation,
+  CASE WHEN valid THEN coalesce(json_extract_string(o, '$.' || k_sev), '') END AS severity FROM ty)"""
+
+NBSP = "chr(160)"
+EDGE_LINES = f"""SELECT CASE event_id % 8
+  WHEN 0 THEN s || '+05:30 | svc | INFO | ' || r || ' | offset | latency=1ms' WHEN 1 THEN s || ',25Z | svc | INFO | ' || r || ' | comma | latency=+2ms'
+  WHEN 2 THEN s || '.123456789Z | svc | WARN | ' || r || ' | nine digits | latency=-3ms'
+  WHEN 3 THEN {NBSP} || chr(9) || s || 'Z' || {NBSP} || ' |' || chr(9) || ' | ' || {NBSP} || 'svc' || {NBSP} || ' | DEBUG | ' || r || ' | m | 4'
+  WHEN 4 THEN s || 'Z | ' || {NBSP} || 'svc' || chr(9) || ' | DEBUG' || chr(8195) || ' | ' || r || ' | padded' || {NBSP} || ' | latency=4ms'
+  WHEN 5 THEN s || 'Z | svc | INFO | ' || r || ' | a | b | c | latency=5ms' WHEN 6 THEN s || ' | svc | INFO | ' || r || ' | no zone | latency=6ms'
+  ELSE s || '-08:00 | svc | ERROR | ' || r || ' | minus | 7' END AS raw
+  FROM (SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS s, 'edge-' || CAST(event_id AS VARCHAR) AS r FROM events)"""
+LONG_LINES = """SELECT strftime(ts, '%Y-%m-%dT%H:%M:%SZ') || ' | order-service | INFO | long-' || CAST(event_id AS VARCHAR) || ' | long ' || repeat('x', 2097147) || ' | latency=9ms' AS raw
+  FROM events WHERE event_id % 5000 = 1"""
 
 
 def oracle_queries() -> dict[str, str]:
@@ -169,7 +207,7 @@ def oracle_queries() -> dict[str, str]:
     per_kind = ", ".join(f"CAST(count_if(error_kind = '{k}') AS BIGINT) AS rejected_{k}" for k in kinds)
     q["parse_stats"] = _with(
         "SELECT count(*) AS total_lines, CAST(count_if(error_kind IS NOT NULL) AS BIGINT) AS rejected_lines, "
-        f"CAST(count_if(error_kind IS NULL) AS BIGINT) AS accepted_lines, {per_kind} FROM parsed"
+        f"CAST(count_if(error_kind IS NULL) AS BIGINT) AS accepted_lines, {per_kind}, CAST(count_if(strlen(raw) >= 1048576) AS BIGINT) AS long_lines FROM parsed"
     )
     q["first_rejects"] = _with("SELECT raw, parse_error FROM parsed WHERE error_kind IS NOT NULL ORDER BY raw, parse_error LIMIT 5")
     q["dedup_entries"] = _with(f"SELECT DISTINCT request_id, raw, strftime(ts, {UTC_US}) AS ts_utc FROM entries")
@@ -272,6 +310,25 @@ SELECT request_id, strftime(start_ts, {UTC_US}) AS session_start,
 SELECT strftime(ws, {UTC_US}) AS window_start, strftime(ws + INTERVAL 60 SECOND, {UTC_US}) AS window_end,
   count(*) AS errors, count(*) > 10 AS spike
 FROM (SELECT date_trunc('second', e.ts) - to_seconds(k.k) AS ws
-      FROM entries e, range(60) k(k) WHERE e.level = 'ERROR') w
+      FROM (SELECT DISTINCT * FROM entries) e, range(60) k(k) WHERE e.level = 'ERROR') w
 GROUP BY ws"""
+    q["stream_dedup"] = _with("SELECT DISTINCT request_id, raw FROM entries UNION ALL SELECT 'watermark-sentinel', strftime(max(ts) + INTERVAL 1 DAY, "
+                              f"{UTC_US}) || ' | api-gateway | INFO | watermark-sentinel | end of replay | latency=0ms' FROM events")
+    q["stream_rejects"] = q["parse_rejects"]
+    q["parse_edge_lines"] = "WITH " + base_ctes(lines=EDGE_LINES).strip() + (
+        f" SELECT raw, error_kind, strftime(ts, {UTC_US}) AS ts_utc, CASE WHEN ts IS NOT NULL THEN ts_nanos END AS ts_nanos, "
+        "CASE WHEN ts IS NOT NULL THEN tz_offset END AS tz_offset, service, level, request_id, message, latency_ms FROM parsed"
+    )
+    q["parse_long_lines"] = "WITH " + base_ctes(lines=LONG_LINES).strip() + " SELECT request_id, error_kind, CAST(length(message) AS BIGINT) AS message_chars, latency_ms FROM parsed"
+    q["read_logs_lines"] = _with("SELECT raw FROM lines")
+    q["write_alerts_roundtrip"] = alerts_with + "SELECT request_id, root_cause, recommendation, severity, 'broken' AS failed_sinks FROM alerts"
+    q["run_no_anomaly"] = (
+        "SELECT 'no anomalies' AS status, CAST(5 * count(*) AS BIGINT) AS total_lines, count(DISTINCT event_id) AS total_groups, "
+        "CAST(0 AS BIGINT) AS anomalous_groups, CAST(0 AS BIGINT) AS sinks_called FROM events"
+    )
+    q["error_spikes_default"] = (
+        "WITH e AS (SELECT ts + to_seconds(5 * k) AS ts FROM events, range(12) r(k) WHERE event_type = 'error'), "
+        "c AS (SELECT ts, count(*) OVER (ORDER BY ts RANGE BETWEEN CURRENT ROW AND INTERVAL '59999999 microseconds' FOLLOWING) AS n FROM e) "
+        f"SELECT DISTINCT strftime(ts, {UTC_US}) AS start_utc, CAST(n AS BIGINT) AS errors_in_window FROM c WHERE n > 10"
+    )
     return q

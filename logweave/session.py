@@ -7,6 +7,7 @@ configuration; ``get_session`` is only a convenience for tests and local runs.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 
@@ -51,6 +52,8 @@ def get_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Session windows merge map-side first, so a hot request id does not bring all its rows to one task.
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -74,7 +77,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):  # local-cluster[...] has executors of its own
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder (HDFS, S3, ...) "
             "so that checkpointed stages survive executor loss"

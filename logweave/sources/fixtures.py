@@ -83,23 +83,62 @@ def _content(v: Column, rid: Column, sev: Column) -> Column:
     )
 
 
+def _choice(content: Column) -> Column:
+    return F.to_json(F.struct(F.struct(content.alias("content")).alias("message")))
+
+
 def model_responses(events: DataFrame) -> DataFrame:
     """``(request_id, status, body)``: one response per distinct request key of the lines.
 
-    Variant ``v = (user_id + bucket) % 10`` selects the content shape; ``v = 8``
-    is an HTTP 500 and ``v = 9`` has no row.
+    Variant ``v = (user_id + bucket) % 20`` selects the shape: 0-7 content shapes, 8 an
+    HTTP 500, 9 no row, 10-19 wrong types at every level of the envelope (and two
+    envelopes with a second choice).
     """
     bucket = F.floor((F.dayofmonth("ts") - 1) / 3)
     keys = events.select("user_id", bucket.alias("bucket")).distinct()
-    v = F.pmod(F.col("user_id") + F.col("bucket"), F.lit(10))
+    v = F.pmod(F.col("user_id") + F.col("bucket"), F.lit(20))
     rid = F.concat(F.lit("req-"), F.col("user_id").cast("string"), F.lit("-"), F.col("bucket").cast("string"))
     sev = F.element_at(F.array(F.lit("critical"), F.lit("warning"), F.lit("info")), (F.pmod(F.col("user_id"), F.lit(3)) + 1).cast("int"))
-    body_ok = F.to_json(F.struct(F.array(F.struct(F.struct(_content(v, rid, sev).alias("content")).alias("message"))).alias("choices")))
-    return (
-        keys.where(v != 9)
-        .select(
-            rid.alias("request_id"),
-            F.when(v == 8, F.lit(500)).otherwise(F.lit(200)).alias("status"),
-            F.when(v == 8, F.lit('{"error": "internal server error"}')).otherwise(body_ok).alias("body"),
-        )
+    good = _choice(_content(F.lit(0), rid, sev))
+    body = (
+        F.when(v == 8, F.lit('{"error": "internal server error"}'))
+        .when(v == 10, F.lit('{"choices":[{"message":"hi"}]}'))
+        .when(v == 11, F.lit('{"choices":[{"message":5}]}'))
+        .when(v == 12, F.lit('{"choices":[{"message":[1]}]}'))
+        .when(v == 13, F.concat(F.lit('{"choices":['), good, F.lit(',{"message":"x"}]}')))
+        .when(v == 14, F.lit('{"choices":"x"}'))
+        .when(v == 15, F.lit('{"choices":[{"message":{"content":{"a":1}}}]}'))
+        .when(v == 16, F.lit('{"choices":[7]}'))
+        .when(v == 17, F.lit('{"choices":{"message":{"content":"{}"}}}'))
+        .when(v == 18, F.concat(F.lit('{"choices":['), good, F.lit(',{"message":{"content":null}},null]}')))
+        .when(v == 19, F.lit('[]'))
+        .otherwise(F.concat(F.lit('{"choices":['), _choice(_content(v, rid, sev)), F.lit("]}")))
     )
+    return keys.where(v != 9).select(rid.alias("request_id"), F.when(v == 8, F.lit(500)).otherwise(F.lit(200)).alias("status"), body.alias("body"))
+
+
+def edge_lines(events: DataFrame) -> DataFrame:
+    """Valid and invalid lines of rarer shapes, one per event: offsets, comma and 9-digit
+    fractions, no-break spaces and tabs around fields, ``" | "`` in the last field, signs."""
+    k = _mod("event_id", 8)
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    rid = F.concat(F.lit("edge-"), F.col("event_id").cast("string"))
+    raw = (
+        F.when(k == 0, F.concat(stamp, F.lit("+05:30 | svc | INFO | "), rid, F.lit(" | offset | latency=1ms")))
+        .when(k == 1, F.concat(stamp, F.lit(",25Z | svc | INFO | "), rid, F.lit(" | comma | latency=+2ms")))
+        .when(k == 2, F.concat(stamp, F.lit(".123456789Z | svc | WARN | "), rid, F.lit(" | nine digits | latency=-3ms")))
+        .when(k == 3, F.concat(F.lit("\u00a0\t"), stamp, F.lit("Z\u00a0 |\t | \u00a0svc\u00a0 | DEBUG | "), rid, F.lit(" | m | 4")))
+        .when(k == 4, F.concat(stamp, F.lit("Z | \u00a0svc\t | DEBUG\u2003 | "), rid, F.lit(" | padded\u00a0 | latency=4ms")))
+        .when(k == 5, F.concat(stamp, F.lit("Z | svc | INFO | "), rid, F.lit(" | a | b | c | latency=5ms")))
+        .when(k == 6, F.concat(stamp, F.lit(" | svc | INFO | "), rid, F.lit(" | no zone | latency=6ms")))
+        .otherwise(F.concat(stamp, F.lit("-08:00 | svc | ERROR | "), rid, F.lit(" | minus | 7")))
+    )
+    return events.select(raw.alias("raw"))
+
+
+def long_lines(events: DataFrame, size: int = 2 << 20) -> DataFrame:
+    """A valid line with a message of ``size`` characters for every 5000th event."""
+    some = events.where(_mod("event_id", 5000) == 1)
+    message = F.concat(F.lit("long "), F.repeat(F.lit("x"), size - 5))
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return some.select(F.concat(stamp, F.lit(" | order-service | INFO | long-"), F.col("event_id").cast("string"), F.lit(" | "), message, F.lit(" | latency=9ms")).alias("raw"))

@@ -11,8 +11,10 @@
   windows).
 
 Late data: rows older than the watermark are dropped by the stateful operators;
-the entries stream itself keeps every row, so a batch rerun over landed entries
-stays exact. Sliding windows are clock-aligned, so ``stream_error_rate``
+``late_rows`` says how many a query dropped. The entries stream itself keeps every
+row, so a batch rerun over landed entries stays exact. On a cluster set
+``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition=true``: sessions
+of a hot request id then merge before the shuffle. Sliding windows are clock-aligned, so ``stream_error_rate``
 approximates the exact batch spike (a window starting between slide steps is not
 evaluated); run ``logweave.operators.spike`` on landed entries for the exact answer.
 """
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 from logweave.operators.diagnose import fallback_columns
 from logweave.operators.parse import accepted, parse_lines, rejected
-from logweave.operators.rules import with_rules
+from logweave.operators.rules import rule_columns, with_rules
 from logweave.params import Params
 from logweave.sources.logfiles import stream_logs
 
@@ -55,22 +57,10 @@ def stream_reports(entries: DataFrame, params: Params = Params(), delay: timedel
     Emitted (append mode) once the watermark passes the session end. The rule
     aggregates ignore repeated lines, so no dedup state is needed here.
     """
-    slow = F.col("latency_ms") > F.lit(params.latency_threshold_ms)
-    msg = F.lower("message")
-    flags = [F.bool_or(F.col("service") == s).alias(f"_has_{i}") for i, s in enumerate(params.service_chain)]
     agg = (
         entries.withWatermark("ts", _interval(delay))
         .groupBy(F.session_window("ts", _interval(params.correlation_window)).alias("session"), "request_id")
-        .agg(
-            F.min(F.struct("ts", "ts_nanos", "raw", "tz_offset")).alias("_first"),
-            F.max(F.struct("ts", "ts_nanos", "raw", "tz_offset")).alias("_last"),
-            F.bool_or(F.col("level") == "ERROR").alias("error_detected"),
-            F.min_by(F.when(slow, F.struct("latency_ms", "service")), F.when(slow, F.struct("ts", "ts_nanos", "raw"))).alias("_slow"),
-            F.bool_or(msg.contains("timeout") | msg.contains("context deadline exceeded")).alias("timeout_pattern"),
-            F.array_sort(F.collect_set("service")).alias("services"),
-            F.count(F.lit(1)).alias("n_lines"),
-            *flags,
-        )
+        .agg(*rule_columns(params), F.count(F.lit(1)).alias("n_lines"))
     )
     reports = with_rules(agg, params, keep=("session", "n_lines"))
     return reports.where(F.size("rules") > 0) if anomalous_only else reports
@@ -93,13 +83,16 @@ def stream_alerts(entries: DataFrame, params: Params = Params(), delay: timedelt
 
 
 def stream_error_rate(entries: DataFrame, params: Params = Params(), slide: timedelta = timedelta(seconds=1), delay: timedelta = timedelta(seconds=10)) -> DataFrame:
-    """ERROR counts per sliding window ``[start, start + spike_window)``; ``spike`` when above the threshold."""
+    """ERROR counts per sliding window ``[start, start + spike_window)``; ``spike`` when above the threshold.
+
+    A repeated line counts once, as in batch.
+    """
     # Every line (not only errors) must advance event time, so that windows close
     # after a stretch without errors. Catalyst pushes filters that do not reference
     # the event-time column below the watermark operator; a single predicate over
     # ``ts`` stays above it.
     is_error = F.when(F.col("ts").isNotNull(), F.col("level") == "ERROR")
-    errors = entries.withWatermark("ts", _interval(delay)).where(is_error)
+    errors = stream_dedup(entries, delay).where(is_error)
     counts = errors.groupBy(F.window("ts", _interval(params.spike_window), _interval(slide)).alias("w")).agg(
         F.count(F.lit(1)).alias("errors")
     )
@@ -109,3 +102,8 @@ def stream_error_rate(entries: DataFrame, params: Params = Params(), slide: time
         "errors",
         (F.col("errors") > F.lit(params.spike_threshold)).alias("spike"),
     )
+
+
+def late_rows(query) -> int:
+    """Rows that the stateful operators of a streaming query dropped as too late, over its kept progress reports."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])

@@ -99,47 +99,54 @@ def envelope(content):
 OBJ = '{"root_cause": "db", "recommendation": "fix", "severity": "info"}'
 
 
-@pytest.mark.parametrize(
-    "status, body, expected",
-    [
-        (200, envelope(OBJ), ("db", "fix", "info")),
-        (200, envelope("```json\n" + OBJ + "\n```"), ("db", "fix", "info")),
-        (200, envelope("```\n" + OBJ + "\n```"), ("db", "fix", "info")),
-        (200, envelope("Sure! " + OBJ + " hope this helps"), ("db", "fix", "info")),
-        (200, envelope('{"Root_Cause": "db", "SEVERITY": "warning"}'), ("db", "", "warning")),
-        (200, envelope('{"root_cause": "a", "ROOT_CAUSE": "b"}'), ("b", "", "")),
-        (200, envelope('{"root_cause": null}'), ("", "", "")),
-        (200, envelope("null"), ("", "", "")),
-        (200, envelope('{"root_cause": "x", "extra": {"deep": [1, 2]}}'), ("x", "", "")),
-        (200, envelope('{"root_cause": 5}'), None),
-        (200, envelope('{"request_id": 7}'), None),
-        (200, envelope('{"root_cause": "x",}'), None),
-        (200, envelope('{"root_cause": "a"} and {"severity": "b"}'), None),
-        (200, envelope('{"a":"b"}],[{"c":"d"}'), None),
-        (200, envelope('{"a":"b"}} x'), None),
-        (200, envelope(""), None),
-        (200, envelope("not json"), None),
-        (200, envelope('{"a": NaN}'), None),
-        (200, envelope('{"a": 01}'), None),
-        (200, envelope('{"a": "x\ny"}'), None),
-        (200, envelope("{'a': 'b'}"), None),
-        (200, json.dumps({"choices": []}), None),
-        (200, json.dumps({"choices": None}), None),
-        (200, json.dumps({"choices": [{"message": {"content": 5}}]}), None),
-        (200, '{"choices": [{"message": {"content": "{}"}}]} trailing', None),
-        (200, "{}", None),
-        (500, envelope(OBJ), None),
-        (200, json.dumps({"Choices": [{"Message": {"Content": OBJ}}]}), ("db", "fix", "info")),
-    ],
-)
-def test_strict_response_decoding(spark, status, body, expected):
-    df = spark.createDataFrame([("r", status, body)], "request_id string, status int, body string")
-    r = parse_responses(df).collect()[0]
-    if expected is None:
-        assert r.valid is False and r.root_cause is None
-    else:
-        assert r.valid is True
-        assert (r.root_cause, r.recommendation, r.severity) == expected
+CASES = [
+    (200, envelope(OBJ), ("db", "fix", "info")),
+    (200, envelope("```json\n" + OBJ + "\n```"), ("db", "fix", "info")),
+    (200, envelope("```\n" + OBJ + "\n```"), ("db", "fix", "info")),
+    (200, envelope("Sure! " + OBJ + " hope this helps"), ("db", "fix", "info")),
+    (200, envelope('{"Root_Cause": "db", "SEVERITY": "warning"}'), ("db", "", "warning")),
+    (200, envelope('{"root_cause": "a", "ROOT_CAUSE": "b"}'), ("b", "", "")),
+    (200, envelope('{"root_cause": null}'), ("", "", "")),
+    (200, envelope("null"), ("", "", "")),
+    (200, envelope('{"root_cause": "x", "extra": {"deep": [1, 2]}}'), ("x", "", "")),
+    (200, envelope('{"root_cause": 5}'), None),
+    (200, envelope('{"request_id": 7}'), None),
+    (200, envelope('{"root_cause": "x",}'), None),
+    (200, envelope('{"root_cause": "a"} and {"severity": "b"}'), None),
+    (200, envelope('{"a":"b"}],[{"c":"d"}'), None),
+    (200, envelope('{"a":"b"}} x'), None),
+    (200, envelope(""), None),
+    (200, envelope("not json"), None),
+    (200, envelope('{"a": NaN}'), None),
+    (200, envelope('{"a": 01}'), None),
+    (200, envelope('{"a": "x\ny"}'), None),
+    (200, envelope("{'a': 'b'}"), None),
+    (200, json.dumps({"choices": []}), None),
+    (200, json.dumps({"choices": None}), None),
+    (200, json.dumps({"choices": [{"message": {"content": 5}}]}), None),
+    (200, '{"choices": [{"message": {"content": "{}"}}]} trailing', None),
+    (200, "{}", None),
+    (500, envelope(OBJ), None),
+    (200, json.dumps({"Choices": [{"Message": {"Content": OBJ}}]}), ("db", "fix", "info")),
+    # a wrong type at every level, in any choice
+    *[(200, json.dumps({"choices": x}), None) for x in ("x", 5, True, {"message": {"content": OBJ}}, ["x"], [5], [[1]])],
+    *[(200, json.dumps({"choices": [{"message": x}]}), None) for x in ("hi", 5, True, [1], [{"content": OBJ}], None)],
+    *[(200, json.dumps({"choices": [{"message": {"content": x}}]}), None) for x in (5, True, [OBJ], {"a": 1}, None)],
+    *[(200, json.dumps({"choices": [{"message": {"content": OBJ}}, x]}), None) for x in ("x", 1, [], {"message": "x"}, {"message": {"content": 1}})],
+    *[(200, json.dumps({"choices": [{"message": {"content": OBJ}}, x]}), ("db", "fix", "info")) for x in (None, {}, {"message": None}, {"message": {"content": "x"}})],
+    *[(200, x, None) for x in ("[]", "5", "null", '"x"', "", "[1,2]", None)],
+    (200, envelope('{"root_cause":"a","x":{"k":1,"k":2}}'), None),  # a documented gap: nested repeated keys
+]
+
+
+def test_strict_response_decoding(spark):
+    df = spark.createDataFrame([(str(i), status, body) for i, (status, body, _) in enumerate(CASES)], "request_id string, status int, body string")
+    rows = {int(r.request_id): r for r in parse_responses(df).collect()}
+    for i, (_, body, expected) in enumerate(CASES):
+        r = rows[i]
+        got = (r.root_cause, r.recommendation, r.severity) if r.valid else None
+        assert got == expected, body
+        assert r.valid or r.root_cause is None
 
 
 def test_diagnose_uses_valid_response_else_fallback(spark, lines_df):
