@@ -22,5 +22,5 @@ def lines_df(spark):
     return make
 
 
-def line(ts="2026-03-08T00:01:23.123Z", service="order-service", level="INFO", rid="req-abc-123", msg="Order created", lat="latency=45ms"):
+def line(ts="2031-11-02T09:15:42.875Z", service="order-service", level="INFO", rid="job-77f0", msg="Invoice stored", lat="latency=63ms"):
     return " | ".join([ts, service, level, rid, msg, lat])

@@ -22,9 +22,9 @@ def entries_of(lines_df, lines):
     return accepted(parse_lines(lines_df(lines)))
 
 
-def n_lines(n, level="INFO", msg="Test log", lat=10, rid="req-huge"):
+def n_lines(n, level="INFO", msg="Disk pressure", lat=10, rid="flow-4c"):
     return [
-        line(ts=(BASE + dt.timedelta(seconds=i)).strftime("%Y-%m-%dT%H:%M:%SZ"), service="test-svc", level=level, rid=rid, msg=msg, lat=f"latency={lat}ms")
+        line(ts=(BASE + dt.timedelta(seconds=i)).strftime("%Y-%m-%dT%H:%M:%SZ"), service="billing", level=level, rid=rid, msg=msg, lat=f"latency={lat}ms")
         for i in range(n)
     ]
 
@@ -37,28 +37,28 @@ def prompt_of(lines_df, lines):
 def test_sixty_entries_trimmed_to_fifty(lines_df):
     p = prompt_of(lines_df, n_lines(60, level="ERROR"))
     assert "10 logs omitted to fit token limits" in p
-    assert p.count("test-svc | ERROR | Test log") == 50
+    assert p.count("billing | ERROR | Disk pressure") == 50
     body = p.split("\n")
-    assert body[0] == "Analyze the following anomalous request flow (request_id: req-huge)."
-    assert "  [2026-03-16T15:56:19Z] test-svc | ERROR | Test log | latency=10ms" in body  # 20th kept
-    assert "  [2026-03-16T15:56:20Z] test-svc | ERROR | Test log | latency=10ms" not in body  # 21st omitted
-    assert "  [2026-03-16T15:56:30Z] test-svc | ERROR | Test log | latency=10ms" in body  # first of the last 30
+    assert body[0] == "Analyze the following anomalous request flow (request_id: flow-4c)."
+    assert "  [2026-03-16T15:56:19Z] billing | ERROR | Disk pressure | latency=10ms" in body  # 20th kept
+    assert "  [2026-03-16T15:56:20Z] billing | ERROR | Disk pressure | latency=10ms" not in body  # 21st omitted
+    assert "  [2026-03-16T15:56:30Z] billing | ERROR | Disk pressure | latency=10ms" in body  # first of the last 30
     assert p.endswith("\nProvide root cause analysis, a recommended fix, and severity level.")
 
 
 def test_forty_entries_not_trimmed(lines_df):
-    p = prompt_of(lines_df, n_lines(40, level="WARN", msg="Test warning", lat=100))
+    p = prompt_of(lines_df, n_lines(40, level="WARN", msg="Slow commit", lat=100))
     assert "logs omitted" not in p
-    assert p.count("test-svc | WARN | Test warning") == 40
+    assert p.count("billing | WARN | Slow commit") == 40
 
 
 @pytest.mark.parametrize("n, omitted", [(50, None), (51, 1)])
 def test_fifty_boundary(lines_df, n, omitted):
     p = prompt_of(lines_df, n_lines(n, level="ERROR"))
     if omitted is None:
-        assert "omitted" not in p and p.count("| Test log |") == 50
+        assert "omitted" not in p and p.count("| Disk pressure |") == 50
     else:
-        assert "[1 logs omitted to fit token limits]" in p and p.count("| Test log |") == 50
+        assert "[1 logs omitted to fit token limits]" in p and p.count("| Disk pressure |") == 50
 
 
 def test_prompt_layout_small(lines_df):

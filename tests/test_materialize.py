@@ -1,0 +1,24 @@
+import os
+
+from logweave.plans.materialize import cleanup, materialize, scratch
+from logweave.session import ensure_checkpoint_dir
+
+
+def folders(spark):
+    base = ensure_checkpoint_dir(spark).removeprefix("file:") + "/tables"
+    return set(os.listdir(base)) if os.path.isdir(base) else set()
+
+
+def test_scratch_removes_what_it_wrote(spark):
+    keep = materialize(spark.range(3).toDF("x"), "keep")
+    before = folders(spark)
+    with scratch(spark):
+        assert materialize(spark.range(5).toDF("x"), "t").count() == 5
+        assert len(folders(spark)) == len(before) + 1
+    assert folders(spark) == before and keep.count() == 3
+
+
+def test_cleanup_leaves_nothing(spark):
+    materialize(spark.range(3).toDF("x"), "t")
+    assert cleanup(spark) >= 1
+    assert folders(spark) == set()

@@ -60,9 +60,18 @@ def test_dedup_hashes_on_the_whole_line(entries):
     assert m and "raw" in m.group(1) and "request_id" in m.group(1)
 
 
-def test_prompt_windows_limit_before_the_shuffle(entries):
-    p = plan(prompt_entries(entries))
-    assert re.search(r"WindowGroupLimit.*Partial", p, re.S)
+def test_prompt_windows_limit_before_the_shuffle(spark, entries):
+    """Head and tail: the partial limit stands below the exchange of both windows, broadcasts or not."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        p = plan(prompt_entries(entries))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(re.findall(r"WindowGroupLimit \[.*Partial", p)) >= 2 or len(re.findall(r"Partial", p)) >= 2
+    # no join stands between the deduplicated entries and a window
+    for part in re.split(r"Window \(", p)[1:]:
+        assert "Join" not in part.split("WindowGroupLimit")[0]
 
 
 def test_events_filter_reaches_the_scan(spark):

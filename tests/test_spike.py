@@ -74,3 +74,15 @@ def test_distributed_counts_equal_naive(spark, seed):
     assert got == want
     p = Params(spike_threshold=30)
     assert {r.start_us for r in error_spikes(df, p, tz_col=None).collect()} == {u for u, c in want.items() if c > 30}
+
+
+def test_bucket_filter_keeps_every_qualifying_window(spark):
+    import random
+
+    rng = random.Random(9)
+    for threshold in (1, 3, 6):
+        times = sorted(rng.randrange(0, 900_000_000) for _ in range(120))
+        df = spark.createDataFrame([(t,) for t in times], "us long").selectExpr("timestamp_micros(us) AS ts", "'Z' AS tz_offset")
+        want = {t: sum(t <= x < t + 60_000_000 for x in times) for t in times}
+        got = {r.start_us: r.errors_in_window for r in error_spikes(df, Params(spike_threshold=threshold)).collect()}
+        assert got == {t: n for t, n in want.items() if n > threshold}
