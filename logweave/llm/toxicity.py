@@ -11,7 +11,7 @@ weight ``COUNTERFACTUAL``. Weights that the labels alone would give to the menti
 a group thus shrink, while abusive words keep theirs.
 
 Training runs on at most ``TRAIN_DOCS`` labelled documents, taken by a hash of their
-id (a documented bound; their hashed features are some 100 MB). Scoring runs over all whole
+id (a documented bound; their hashed features are some 60 MB). Scoring runs over all whole
 texts in the scan's own splits: no shuffle, no label, no source, language or id.
 
 Defined results: a null or empty text scores by the intercept alone. Without labelled
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from logweave.llm.common import map_arrow, sized, stage
 
-TRAIN_DOCS, MIN_DOCS = 8_000, 5
+TRAIN_DOCS, MIN_DOCS = 5_000, 5
 PREFIXES = (3, 4, 5, 6, 7)  # bytes
 KNOWN_WORDS = 400_000  # words whose features a task keeps
 L2, COUNTERFACTUAL, ROUNDS, TOXIC_WEIGHT = 1e-3, 4.0, 300, 3.0

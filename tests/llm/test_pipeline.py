@@ -1,0 +1,86 @@
+"""Every stage of the pipeline on the smallest table, against brute force on its own input."""
+
+import pytest
+
+import __spark_entry__ as E
+import corpus_pipeline
+from logweave.llm.quality_rules import quality_rules
+from tests.llm.test_minhash_dedup import brute_components
+from tests.llm.test_mixing import brute_targets
+from tests.llm.test_packing import check as check_packed
+from tests.llm.test_substring_dedup import brute as brute_passages
+
+SF = "/root/testdata/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    base = str(tmp_path_factory.mktemp("pipeline"))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = [docs]
+    for i, (_, step) in enumerate(corpus_pipeline.STAGES):
+        step(spark, out[-1], SF).write.parquet(f"{base}/{i}")
+        out.append(spark.read.parquet(f"{base}/{i}"))
+    return out
+
+
+def test_names_and_columns(stages):
+    assert len(corpus_pipeline.STAGES) == 5
+    for docs in stages[:-1]:
+        assert sorted(docs.columns) == sorted(COLUMNS)
+
+
+def test_quality_rules(stages):
+    kept = {r.doc_id for r in quality_rules(stages[0]).where("kept").collect()}
+    assert sorted(map(str, stages[1].collect())) == sorted(str(r) for r in stages[0].collect() if r.doc_id in kept)
+
+
+def test_near_duplicates(stages):
+    comps = brute_components([(r.doc_id, r.text) for r in stages[1].collect()])
+    want = {i for i, (_, c) in comps.items() if c == i}
+    assert sorted(r.doc_id for r in stages[2].collect()) == sorted(want)
+
+
+def test_repeated_passages(stages):
+    before = {r.doc_id: r.text for r in stages[2].collect()}
+    gone = [k for k, (_, removed) in brute_passages(list(before.items())).items() if removed]
+    from logweave.llm.substring_dedup import passages
+
+    for doc_id, start in sorted(gone, reverse=True):
+        end = dict(passages(before[doc_id])).get(start)
+        if end is not None:
+            before.setdefault(("cut", doc_id), []).append((start, end))
+    after = {r.doc_id: r for r in stages[3].collect()}
+    for doc_id, text in [(k, v) for k, v in before.items() if not isinstance(k, tuple)]:
+        for s, e in sorted(before.get(("cut", doc_id), []), reverse=True):
+            text = text[:s] + text[e:]
+        if text.split() or not before.get(("cut", doc_id)):
+            assert after[doc_id].text == text and after[doc_id].n_chars == len(text)
+        else:
+            assert doc_id not in after
+
+
+def test_mix(stages):
+    sizes, taken, words = {}, {}, {}
+    for r in stages[3].collect():
+        sizes[r.source] = sizes.get(r.source, 0) + len(r.text.split())
+        words[r.doc_id] = len(r.text.split())
+    per_doc = {}
+    for r in stages[4].collect():
+        n = len(r.text.split())
+        taken[r.source] = taken.get(r.source, 0) + n
+        per_doc[r.doc_id] = per_doc.get(r.doc_id, 0) + n
+    want = brute_targets(sizes)
+    assert all(abs(taken.get(s, 0) - want[s]) <= 1 for s in sizes)
+    assert all(n <= 2 * words[i] for i, n in per_doc.items())
+
+
+def test_pack(stages):
+    check_packed(stages[5].collect(), [(r.doc_id, r.text) for r in stages[4].collect()])
+
+
+def test_every_query_is_registered():
+    names = list(E.queries())
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
+    assert {"op2_quality_rules", "op8_knn_join", "op10_mixing"} <= set(E.oracle_sql())
