@@ -6,8 +6,10 @@ lower-cased; a text is searched as its words joined by single blanks.
 * Base phrases: places where the words of a phrase stand one after the other.
 * Notices: a notice with at most ``k`` edits (``k`` is one per ``CHARS_PER_EDIT``
   characters) contains one of its k + 1 pieces unchanged (pigeonhole). One Aho-Corasick
-  pass finds all pieces of all notices; around each piece found, the ``regex`` library's
-  bounded-error matching verifies the whole notice and gives the span and its edits.
+  pass finds all pieces of all notices; a window around each piece found is left out
+  when too few of the notice's trigrams stand in it for ``k`` edits; else the ``regex``
+  library's bounded-error matching verifies the notice, with one more edit allowed at a
+  time, and gives the span and the fewest edits.
 
 Every text is scanned whole, in one pass per text, in a Python task over the scan's
 splits: no shuffle. Defined results: null is an empty text; a text without words has
@@ -18,6 +20,7 @@ ids and other columns need no care.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Mapping
 
 import pyarrow as pa
@@ -43,7 +46,7 @@ NOTICES = {
     "this source code form is subject to the terms of the mozilla public license": "mpl",
     "this is free and unencumbered software released into the public domain": "unlicense",
 }
-CHARS_PER_EDIT = 12
+CHARS_PER_EDIT = 20
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 FOUND = "array<struct<label: string, base: boolean, first_word: long, n_words: long, edits: int, score: double, text: string>>"
 
@@ -61,10 +64,11 @@ class Scanner:
 
         self.base = [(f" {p} ", label, len(p.split())) for p, label in base.items()]
         self.notices, self.seeds = [], ahocorasick.Automaton()
+        self.patterns, self.compile, self.escape = {}, regex.compile, regex.escape
         found: dict[str, list[tuple[int, int]]] = {}
         for i, (notice, label) in enumerate(notices.items()):
             edits = len(notice) // chars_per_edit
-            self.notices.append((notice, label, edits, regex.compile(f"(?b)(?:{regex.escape(notice, literal_spaces=True)}){{e<={edits}}}")))
+            self.notices.append((notice, label, edits, Counter(notice[k : k + 3] for k in range(len(notice) - 2))))
             for at, piece in pieces(notice, edits):
                 found.setdefault(piece, []).append((i, at))
         for piece, owners in found.items():
@@ -94,34 +98,43 @@ class Scanner:
         return out
 
     def _fuzzy(self, joined: str) -> list[dict]:
-        windows: dict[int, list[list[int]]] = {}
-        for end, (length, owners) in self.seeds.iter(joined):
-            for i, at in owners:
-                notice, _, edits, _ = self.notices[i]
-                start = end + 1 - length - at
-                lo, hi = max(0, start - edits), min(len(joined), start + len(notice) + edits)
-                runs = windows.setdefault(i, [])
-                if runs and lo <= runs[-1][0]:  # one place, found by several of its pieces
-                    runs[-1] = [min(lo, runs[-1][0]), max(hi, runs[-1][1])]
-                elif runs and lo <= runs[-1][0] + 2 * edits:
-                    runs[-1][1] = max(hi, runs[-1][1])
-                else:
-                    runs.append([lo, hi])
-        out = []
-        for i, runs in windows.items():
-            notice, label, edits, pattern = self.notices[i]
-            done = -1
-            for lo, hi in sorted(runs):
-                at = lo
-                while (m := pattern.search(joined, at, hi)) is not None:
-                    if m.start() >= done:
-                        first = joined.count(" ", 0, m.start())
-                        used = sum(m.fuzzy_counts)
-                        out.append({"label": label, "base": False, "first_word": first, "n_words": joined.count(" ", m.start(), m.end()) + 1, "edits": used, "score": 1 - used / len(notice), "text": m.group().encode("latin-1").decode("utf-8", "replace")})
-                        done = m.end()
-                    at = max(m.end(), at + 1)
+        places = sorted({(i, end + 1 - length - at) for end, (length, owners) in self.seeds.iter(joined) for i, at in owners})
+        out, last, done = [], -1, 0
+        for i, start in places:
+            notice, label, edits, _ = self.notices[i]
+            if i != last:
+                last, done = i, 0
+            lo, hi = max(0, start - edits, done), min(len(joined), start + len(notice) + edits)
+            if start + len(notice) // 2 < done or hi <= lo:  # found already, by another piece
+                continue
+            m = self._least(i, joined[lo:hi])
+            if m is None:
+                continue
+            used, done = sum(m.fuzzy_counts), lo + m.end()
+            begin = lo + m.start() + len(m.group()) - len(m.group().lstrip(" "))
+            out.append({
+                "label": label, "base": False, "first_word": joined.count(" ", 0, begin), "n_words": m.group().strip(" ").count(" ") + 1,
+                "edits": used, "score": 1 - used / len(notice), "text": m.group().strip(" ").encode("latin-1").decode("utf-8", "replace"),
+            })
         return sorted(out, key=lambda x: (x["first_word"], x["label"]))
 
+    def _least(self, i: int, window: str):
+        """The match with the fewest edits in a window, or None.
+
+        An edit spoils three trigrams at most, so the trigrams that are missing give a
+        lower bound; most windows end there. From it on, one more edit at a time is allowed.
+        """
+        notice, _, edits, grams = self.notices[i]
+        own = Counter(window[k : k + 3] for k in range(len(window) - 2))
+        missing = sum((grams - own).values())
+        for k in range(-(-missing // 3), edits + 1):
+            if (i, k) not in self.patterns:
+                self.patterns[i, k] = self.compile(f"(?:{self.escape(notice, literal_spaces=True)}){{e<={k}}}")
+            m = self.patterns[i, k].search(window)
+            if m is not None:
+                return m
+        return None
+
 
 def _scan(base: dict, notices: dict, chars_per_edit: int):
     def run(batches):
