@@ -17,7 +17,7 @@ from logweave.llm.mixing import mixed_words
 from logweave.llm.oracle import LLM_ORACLE as _ORACLE
 from logweave.llm.packing import packed_digest
 from logweave.llm.quality_rules import quality_rules
-from logweave.llm.substring_dedup import repeated_passages
+from logweave.llm.substring_dedup import repeated_text
 from logweave.llm.toxicity import toxicity
 
 
@@ -43,7 +43,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney": q_kneser_ney,
     "op2_quality_rules": _over(quality_rules, "documents"),
     "op3_html_text": _over(visible_text, "pages"),
-    "op4_substring_dedup": _over(repeated_passages, "documents"),
+    "op4_substring_dedup": _over(repeated_text, "documents"),
     "op5_license_scan": _over(license_digest, "documents"),
     "op6_minhash_dedup": _over(near_duplicates, "documents"),
     "op7_toxicity": q_toxicity,

@@ -11,6 +11,13 @@ picks the bands; nodes that share a band are candidates and links are confirmed
 exact Jaccard on the full sets (:mod:`logweave.llm.near_links`). Of each component the
 occurrence with the smallest doc_id, then position, stays; the others are removals.
 
+Runs find copies whatever stands around them. Of each ``WINDOW`` consecutive grams of
+``RUN_WORDS`` words of a text, line ends being blanks, the one with the smallest hash is
+taken (winnowing). ``RUN_WORDS + WINDOW - 1`` = 50 equal words, in any two places, thus
+have a gram that both places take, and the grams taken inside a longer copy leave no word
+between them out. Of equal grams the first place stays. A copy's outermost words, up to
+``WINDOW - 1`` on either side, may lie outside its grams and are then not removed.
+
 Defined results: null and empty texts have no passages. The same decisions hold for
 rows equal in doc_id and text. A piece in a row without doc_id is removed when its
 cluster has one with an id, but such rows' texts are not cut by ``remove_repeats``.
@@ -22,10 +29,11 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweave.llm.common import GOLD, SHINGLE_WORDS, WordHashes, long_lists, longs, lower_words, map_arrow, mix, n_words, roll, sized, stage, steps, word_hashes
@@ -34,6 +42,7 @@ from logweave.llm.near_links import link_components
 PERCENT, MIN_WORDS, RECALL, MAX_BANDS = 75, 10, 0.998, 8
 BOUNDARY = re.compile(r"\n+|[.!?]+ +")
 TAIL = 12  # characters before a sentence end that decide whether it is a cut
+RUN_WORDS, WINDOW = 25, 26
 OCCURRENCES = "doc_id long, mark long, start int, length int, n_words int, id long, bands array<long>"
 
 
@@ -173,14 +182,110 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return out.select("doc_id", "mark", "start", "length", "n_words", "cluster_id", "keep_doc_id", "removed")
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` without the removed passages; all columns stay, n_chars follows the text.
+def _sliding(f: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
+    """``f`` over each ``width`` consecutive values."""
+    n, done = len(x) - width + 1, 1
+    if n <= 0:
+        return x[:0]
+    while 2 * done <= width:
+        x, done = f(x[:-done], x[done:]), 2 * done
+    return f(x[:n], x[width - done :][:n])
+
+
+def run_starts(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers where the grams taken begin, and the grams' hashes; ``counts`` are words per text."""
+    grams = roll(ids, RUN_WORDS)
+    least = _sliding(np.minimum, grams, WINDOW)
+    if not len(least):
+        return np.empty(0, np.int64), grams[:0]
+    left = np.repeat(np.cumsum(counts), counts) - np.arange(len(ids))  # words up to the text's end
+    least[left[: len(least)] < RUN_WORDS + WINDOW - 1] = 0  # windows that reach into the next text
+    around = np.zeros(len(grams) + WINDOW - 1, np.uint64)
+    around[WINDOW - 1 :][: len(least)] = least
+    at = np.flatnonzero((_sliding(np.maximum, around, WINDOW) == grams) & (grams > 0))
+    return at, grams[at]
+
+
+def _words_at(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Character offsets where the words of a text begin and end."""
+    b = np.frombuffer(b" " + text + b" ", np.uint8)
+    blank = (b == 0x20) | ((b >= 0x09) & (b <= 0x0D))
+    characters = np.cumsum((b & 0xC0) != 0x80) - 2  # the blank before the text is none of it
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    return characters[edge[::2]], characters[edge[1::2]]
+
+
+def _runs(batches):
+    known = WordHashes()
+    for batch in batches:
+        docs, marks, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
+        for lo, hi in steps([len(t or b"") for t in texts]):
+            words = [lower_words(t) for t in texts[lo:hi]]
+            counts = np.array([len(w) for w in words])
+            at, grams = run_starts(word_hashes([x for w in words for x in w], known), counts)
+            if not len(at):
+                continue
+            ends = np.cumsum(counts)
+            row = np.searchsorted(ends, at, "right")
+            start, end = np.empty(len(at), np.int32), np.empty(len(at), np.int32)
+            for i in np.unique(row):
+                mine = slice(*np.searchsorted(row, [i, i + 1]))
+                begins, stops = _words_at(texts[lo + i])
+                first = at[mine] - (ends[i] - counts[i])
+                start[mine], end[mine] = begins[first], stops[first + RUN_WORDS - 1]
+            yield pa.record_batch([docs.take(pa.array(lo + row)), marks.take(pa.array(lo + row)), pa.array(start), pa.array(end - start), longs(grams)], names=["doc_id", "mark", "start", "length", "id"])
+
+
+def repeated_runs(docs: DataFrame) -> DataFrame:
+    """Every place of a gram taken that stands in more than one place; columns as of :func:`repeated_passages`.
+
+    Places that overlap the one that stays are not repeats of it.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("text"))
+    found = stage(map_arrow(texts, _runs, "doc_id long, mark long, start int, length int, id long"), "runs")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark", "start", "length")
+    grams = found.groupBy("id").agg(F.min(place).alias("keep"), F.max(place).alias("last"))
+
+    def apart(name: str) -> Column:
+        same = F.col(f"{name}doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col(f"{name}mark") == F.col("keep.mark"))
+        return ~same | (F.col(f"{name}start") >= F.col("keep.start") + F.col("keep.length"))
+
+    grams = grams.where(apart("last.")).select("id", *[F.col(f"keep.{c}").alias(f"keep_{c}") for c in ("doc_id", "mark", "start", "length")])
+    grams = stage(grams, "repeated-runs")
+    rows = found.join(sized(grams), "id").withColumn("keep", F.struct(*[F.col(f"keep_{c}").alias(c) for c in ("doc_id", "mark", "start", "length")]))
+    rows = rows.withColumn("removed", apart(""))
+    stays = ~F.col("removed") & (F.col("start") == F.col("keep_start"))
+    return rows.where(F.col("removed") | stays).select("doc_id", "mark", "start", "length", F.lit(RUN_WORDS).alias("n_words"), F.col("id").alias("cluster_id"), "keep_doc_id", "removed")
+
 
-    A document that loses all its words goes.
+def repeated_text(docs: DataFrame) -> DataFrame:
+    """:func:`repeated_passages` and :func:`repeated_runs`; their spans may overlap."""
+    return repeated_passages(docs).unionByName(repeated_runs(docs))
+
+
+def _merged(batches):
+    """Sorted spans as spans that do not meet."""
+    for batch in batches:
+        out = []
+        for spans in batch.column(2).to_pylist():
+            own: list[dict] = []
+            for s in spans:
+                if own and s["start"] <= (end := own[-1]["start"] + own[-1]["length"]):
+                    own[-1]["length"] += max(0, s["start"] + s["length"] - end)
+                else:
+                    own.append(s)
+            out.append(own)
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, batch.column(2).type)], names=["_id", "_mark", "_spans"])
+
+
+def remove_repeats(docs: DataFrame, repeats: Callable[[DataFrame], DataFrame] = repeated_passages) -> DataFrame:
+    """``docs`` without the removed passages, or what else ``repeats`` says; all columns stay, n_chars follows the text.
+
+    ``repeated_text`` removes runs too. A document that loses all its words goes.
     """
-    gone = repeated_passages(docs).where("removed and doc_id is not null").select("doc_id", "mark", "start", "length").distinct()
+    gone = repeats(docs).where("removed and doc_id is not null").select("doc_id", "mark", "start", "length").distinct()
     spans = gone.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_spans"))
-    spans = stage(spans.withColumnsRenamed({"doc_id": "_id", "mark": "_mark"}), "spans")
+    spans = stage(map_arrow(spans, _merged, "_id long, _mark long, _spans array<struct<start: int, length: int>>"), "spans")
     rows = docs.join(spans, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_mark")), "left")
     # The text between the spans: from the end of span i - 1 to the start of span i.
     begin = "if(i = 0, 0, get(_spans, i - 1).start + get(_spans, i - 1).length)"

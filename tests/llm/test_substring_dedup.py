@@ -1,6 +1,6 @@
 import random
 
-from logweave.llm.substring_dedup import passages, remove_repeats, repeated_passages, tune_bands
+from logweave.llm.substring_dedup import passages, remove_repeats, repeated_passages, repeated_runs, repeated_text, tune_bands
 from tests.llm.test_minhash_dedup import shingles, words_of
 
 SF = "/root/testdata/sf0.01"
@@ -110,3 +110,53 @@ def test_bands_and_spans():
     for t in ("", "a", "a. b. c", "x\n\ny. Z!", "\n", "one two.  three\n"):
         spans = passages(t)
         assert "".join(t[s:e] for s, e in spans) == t
+
+
+def shared_runs(texts, n=50):
+    """Word positions (text, word) that lie in a stretch of ``n`` words that stands in two places."""
+    places = {}
+    for i, t in enumerate(texts):
+        w = words_of(t)
+        for k in range(len(w) - n + 1):
+            places.setdefault(tuple(w[k : k + n]), []).append((i, k))
+    return [p for p in places.values() if len({i for i, _ in p}) > 1]
+
+
+def test_every_shared_run_of_50_words_is_found(spark):
+    """Against a brute force without passages(): one-line hosts, copies cut anywhere, stops of other scripts."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijé") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+
+    def text(n):
+        return [rng.choice(words) + rng.choice(["", "", "", "", "。", "."]) for _ in range(n)]
+
+    docs = []
+    for n in [50, 50, 50, 51, 53, 57, 60, 70, 80, 120] * 6:
+        copy = text(n)
+        docs += [" ".join(text(rng.randint(0, 60)) + copy + text(rng.randint(0, 60))) for _ in range(2)]
+    docs += [" ".join(text(300)) for _ in range(20)] + ["x y " * 100, None, "", "a\x0bb\n" * 60]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    found = {}
+    for r in repeated_runs(df).collect():
+        before, own = docs[r.doc_id][: r.start].split(), docs[r.doc_id][r.start : r.start + r.length]
+        assert len(own.split()) == 25 == r.n_words and own == own.strip()
+        found.setdefault(r.doc_id, []).append((len(before), r.cluster_id, r.removed, r.keep_doc_id))
+    want = shared_runs([t or "" for t in docs])
+    assert len(want) > 500
+    for places in want:
+        held = [{c for at, c, _, _ in found.get(i, []) if k <= at <= k + 25} for i, k in places]
+        assert set.intersection(*held)
+    inside = {i for i, t in enumerate(docs) if t and len(set(t.split())) < 3}  # these repeat themselves
+    assert all(removed == (i != keep) for i, rows in found.items() for _, _, removed, keep in rows if i not in inside)
+    assert set(found) == {i for p in want for i, _ in p} | inside
+
+
+def test_removal_of_a_run_inside_a_line(spark):
+    rng = random.Random(8)
+    w = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(400)]
+    copy = " ".join(w[:120])
+    docs = [(1, " ".join([*w[120:150], copy, *w[150:180]])), (2, " ".join([*w[200:230], copy, *w[230:260]]))]
+    out = {r.doc_id: r.text for r in remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"), repeated_text).collect()}
+    assert out[1] == docs[0][1]
+    left = out[2].split()
+    assert left[:30] == w[200:230] and left[-30:] == w[230:260] and 60 <= len(left) <= 60 + 2 * 25
