@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from logweave.llm.common import map_arrow
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head script style template noscript iframe object svg math audio video canvas datalist title colgroup".split())
+UNSEEN = frozenset("head script style template noscript iframe object audio video canvas datalist title colgroup".split())
 #: Margins in line ends: 2 leave a blank line.
 BLOCKS = dict.fromkeys("p h1 h2 h3 h4 h5 h6 blockquote pre table ul ol dl figure fieldset hr details form".split(), 2) | dict.fromkeys(
     "div section article aside header footer nav main address li dt dd tr caption figcaption legend summary body html thead tbody tfoot option dialog center menu".split(), 1
@@ -45,6 +45,8 @@ SCOPE = frozenset("table td th caption body html".split())  # an end tag of anot
 PAD_WIDTH = 40  # table columns up to this width are padded; wider ones are not, so a page cannot grow
 MAX_SPAN = 1000
 BLANKS = re.compile(r"[ \t\n\r\f]+")
+CSS_TOKEN = re.compile(r"/\*.*?(?:\*/|\Z)|\"(?:[^\"\\\\\n]|\\\\.)*\"|'(?:[^'\\\\\n]|\\\\.)*'|[{};]|[^{};/\"']+|.", re.S)
+SCREEN = re.compile(r"@media\s+(?:(?:only\s+)?(?:screen|all))(?:\s*,\s*[\w-]+)*\s*", re.I)
 RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 CONCEALS = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!important\s*)?(?:;|$)", re.I)
 

@@ -46,7 +46,7 @@ NOTICES = {
     "this source code form is subject to the terms of the mozilla public license": "mpl",
     "this is free and unencumbered software released into the public domain": "unlicense",
 }
-CHARS_PER_EDIT = 20
+CHARS_PER_EDIT = 12
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 FOUND = "array<struct<label: string, base: boolean, first_word: long, n_words: long, edits: int, score: double, text: string>>"
 

@@ -109,3 +109,10 @@ def test_pieces_cover_the_notice():
         k = len(notice) // CHARS_PER_EDIT
         parts = pieces(notice, k)
         assert len(parts) == k + 1 and "".join(p for _, p in parts) == notice and all(notice[a:].startswith(p) for a, p in parts)
+
+
+def test_two_edits_in_a_short_notice():
+    _, [found] = Scanner({}, NOTICES)(b"released under the mlt licence")
+    assert (found["label"], found["edits"], round(found["score"], 3)) == ("mit", 2, 0.933)
+    _, [found] = Scanner({}, NOTICES)(b"lisensed under cc by nc 4 o")
+    assert (found["label"], found["edits"]) == ("cc-by-nc", 2)
