@@ -9,7 +9,7 @@ out, navigation and advertisements included: what to keep is another operator's
 
 Visibility: head, script, style and the like; ``hidden``; inline ``display:none`` and
 ``visibility:hidden``; the same in the page's style sheets for single tag, class and
-id selectors; closed details and dialogs. Trees are walked without recursion, so
+id selectors, outside at-rules other than ``@media`` all or screen; closed details and dialogs. Trees are walked without recursion, so
 nesting depth is not limited, and each page is one row of a split: no shuffle.
 
 Defined results: null and empty html give empty text and title null. Broken markup is
@@ -45,9 +45,9 @@ SCOPE = frozenset("table td th caption body html".split())  # an end tag of anot
 PAD_WIDTH = 40  # table columns up to this width are padded; wider ones are not, so a page cannot grow
 MAX_SPAN = 1000
 BLANKS = re.compile(r"[ \t\n\r\f]+")
-CSS_TOKEN = re.compile(r"/\*.*?(?:\*/|\Z)|\"(?:[^\"\\\\\n]|\\\\.)*\"|'(?:[^'\\\\\n]|\\\\.)*'|[{};]|[^{};/\"']+|.", re.S)
-SCREEN = re.compile(r"@media\s+(?:(?:only\s+)?(?:screen|all))(?:\s*,\s*[\w-]+)*\s*", re.I)
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+CSS_TOKEN = re.compile(r""""(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[{};]|[^{};"']+|.""", re.S)
+#: Inside svg and math, no browser shows the text of these.
+UNSEEN_FOREIGN = frozenset("desc metadata defs symbol clippath mask pattern marker annotation annotation-xml".split())
 CONCEALS = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!important\s*)?(?:;|$)", re.I)
 
 
@@ -81,6 +81,11 @@ class TreeBuilder(HTMLParser):
         elif tag in CLOSES_P:
             self._imply({"p"}, SCOPE | {"ul", "ol", "dl", "li", "dd"})
         node = Node(tag, dict(attrs))
+        if (tag in UNSEEN_FOREIGN or tag == "text") and any(x.tag in ("svg", "math") for x in self.open):
+            if tag == "text":  # placed apart from other text
+                self.open[-1].children.append(" ")
+            else:
+                node.attrs["hidden"] = ""
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -119,11 +124,38 @@ class TreeBuilder(HTMLParser):
         self.open[-1].children.append(data)
 
 
+def plain_rules(sheet: str) -> list[tuple[str, str]]:
+    """Selectors and declarations of the rules that hold on every screen: none inside other at-rules or rules."""
+    out, text = [], ""
+    blocks: list[list] = []  # open blocks: selectors ("" for @media all or screen, None if it may not hold), declarations
+    for token in CSS_TOKEN.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
+        if token == "{":
+            head = text.strip()
+            if head.startswith("@"):
+                media = [" ".join(x.lower().split()) for x in head[6:].split(",")] if head[:6].lower() == "@media" else []
+                head = "" if {"", "all", "screen", "only all", "only screen"} & set(media) else None
+            blocks.append([head if all(x == "" for x, _ in blocks) else None, ""])
+            text = ""
+        elif token == "}":
+            if blocks:
+                selectors, rule = blocks.pop()
+                if selectors:
+                    out.append((selectors, rule + text))
+            text = ""
+        elif token == ";":
+            if blocks:
+                blocks[-1][1] += text + ";"
+            text = ""
+        else:
+            text += token
+    return out
+
+
 def concealed_selectors(styles: list[str]) -> frozenset[str]:
-    """Single tag, class and id selectors whose rule conceals."""
+    """Single tag, class and id selectors whose rule conceals on every screen."""
     out = set()
     for sheet in styles:
-        for selectors, rule in RULE.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
+        for selectors, rule in plain_rules(sheet):
             if CONCEALS.search(rule):
                 out |= {s.strip() for s in selectors.split(",") if re.fullmatch(r"[.#]?[\w-]+", s.strip())}
     return frozenset(out)

@@ -87,3 +87,16 @@ def test_random_markup_never_fails():
     for _ in range(400):
         html = "".join(rng.choice([f"<{rng.choice(tags)}>", f"</{rng.choice(tags)}>", "word ", "&lt;", " ", "<!--", "-->", "<td colspan=3 rowspan=2>"]) for _ in range(60))
         page_text(html)
+
+
+@pytest.mark.parametrize("html,text", [
+    ("<style>@media print { .content {display:none} }</style><p class=content>a</p>b", "a\n\nb"),
+    ("<style>@media (max-width: 600px) {nav{display:none} p{color:red}} .ad{display:none}</style><nav>n</nav><p class=ad>x</p>b", "n\nb"),
+    ("<style>@supports (x:y) { @media screen { .a{display:none} } }</style><i class=a>a</i>", "a"),
+    ("<style>@import 'x;y}'; @media Screen, print {.a{content:'}';display:none}} @media all{.b{display:none}}</style><i class=a>a</i><i class=b>b</i>c", "c"),
+    ("<style>.a { color: red; .b {display:none} }</style><i class=a>a</i>", "a"),
+    ("<svg><title>t</title><desc>d</desc><style>.q{}</style><text>one</text><text>two</text></svg> x", "one two x"),
+    ("a <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>tex</annotation></math> b <desc>c</desc>", "a x=2 b c"),
+])
+def test_text_that_a_screen_shows(html, text):
+    assert page_text(html)[1] == text
