@@ -158,7 +158,7 @@ def _pack(vocabulary: str, size: int, limit: int, end_id: int):
                 pa.array([p[0] for p, _, _ in placed], pa.int64()), pa.array([p[1] for p, _, _ in placed], pa.int64()),
                 pa.array([len(p[2]) for p, _, _ in placed], pa.int64()), pa.array([p[2].tobytes() for p, _, _ in placed], pa.binary()),
                 pa.array([p[3] for p, _, _ in placed], pa.int64()), pa.array([part] * n, pa.int64()),
-                pa.array([w for _, w, _ in placed], pa.int64()), pa.array([o for _, _, o in placed], pa.int64()), pa.array([is_open] * n),
+                pa.array([w for _, w, _ in placed], pa.int64()), pa.array([o for _, _, o in placed], pa.int64()), pa.array([is_open] * n, pa.bool_()),
             ], names=["doc_id", "start", "length", "ids", "doc_tokens", "part", "window", "offset", "open"])
 
         for batch in batches:
@@ -167,8 +167,9 @@ def _pack(vocabulary: str, size: int, limit: int, end_id: int):
                 if len(packer.done) >= FLUSH_PIECES:
                     yield rows(packer.done, False)
                     packer.done = []
-        yield rows(packer.done, False)
-        yield rows(packer.left(), True)
+        for placed, is_open in ((packer.done, False), (packer.left(), True)):
+            if placed:
+                yield rows(placed, is_open)
 
     return run
 

@@ -73,6 +73,38 @@ def test_empty(spark):
     assert packed_digest(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_partitions_without_a_full_window(spark):
+    for rows in ([(1, "a short text")], [(1, None)], [(None, None), (2, ""), (3, "x")], [(i, f"text number {i}") for i in range(40)]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        check(packed_digest(docs).collect(), rows)
+
+
+def test_partition_whose_last_row_flushes(spark, monkeypatch):
+    from logweave.llm import packing
+
+    monkeypatch.setattr(packing, "FLUSH_PIECES", 1)
+    rows = [(1, "word " * 40), (2, "word " * 3000)]  # the last row fills windows, which are passed on at once
+    pieces = run_pack(packing, rows)
+    assert pieces and all(b.num_rows and b.schema.equals(pieces[0].schema) for b in pieces)
+    assert sum(sum(b.column("length").to_pylist()) for b in pieces) == sum(len(whole().encode(t, add_special_tokens=False).ids) + 1 for _, t in rows)
+
+
+def run_pack(packing, rows):
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    class Here:
+        @staticmethod
+        def partitionId():
+            return 0
+
+    old, TaskContext.get = TaskContext.get, staticmethod(lambda: Here)
+    try:
+        return list(packing._pack(packing.VOCABULARY, 64, 4, 0)(iter([pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows])], names=["doc_id", "text"])])))
+    finally:
+        TaskContext.get = old
+
+
 def test_packer_is_best_fit_in_bounded_space():
     p = Packer(size=100, limit=3)
     for doc, n in enumerate([60, 50, 45, 40, 30]):
