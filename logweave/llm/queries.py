@@ -16,6 +16,7 @@ from logweave.llm.minhash_dedup import near_duplicates
 from logweave.llm.mixing import mixed_words
 from logweave.llm.oracle import LLM_ORACLE as _ORACLE
 from logweave.llm.packing import packed_digest
+from logweave.llm.periodic_runs import runs_digest
 from logweave.llm.quality_rules import quality_rules
 from logweave.llm.substring_dedup import repeated_text
 from logweave.llm.toxicity import toxicity
@@ -50,6 +51,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_knn_join": _over(lambda vectors: top_inner_products(vectors, F.col("vec_id") % 50 == 0), "embeddings"),
     "op9_packing": _over(packed_digest, "documents"),
     "op10_mixing": _over(mixed_words, "documents"),
+    "op11_periodic_runs": _over(runs_digest, "documents"),
     "pipeline": corpus_pipeline.run,
 }
 
