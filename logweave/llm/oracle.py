@@ -83,4 +83,31 @@ SELECT query_id, rank, vec_id, score
 FROM (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM p) WHERE rank <= 5
 """
 
-LLM_ORACLE: dict[str, str] = {"op2_quality_rules": QUALITY_RULES, "op8_knn_join": KNN_JOIN, "op10_mixing": MIXING}
+#: crc32 of a decimal number's digits, bit by bit (the reflected polynomial 0xEDB88320).
+_CRC32 = """xor(list_reduce(
+  flatten(list_transform(range(1, length({0}::VARCHAR) + 1), lambda i: list_transform(range(0, 8), lambda j: ((ascii(substr({0}::VARCHAR, i, 1)) >> j) & 1)::BIGINT))),
+  lambda c, bit: xor(c >> 1, 3988292384 * (xor(c, bit) & 1)), 4294967295::BIGINT), 4294967295::BIGINT)"""
+
+PREFIX_TRIE = f"""
+WITH own AS (SELECT conv_id, sha256(coalesce(role, '') || chr(0) || coalesce(text, '')) AS k, strlen(coalesce(text, '')) AS size,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {_CRC32.format("conv_id")} % 9 AS h, count(*) AS n FROM own GROUP BY conv_id),
+plan AS (SELECT c.*, least(c.h, coalesce(b.n, 0)) AS taken FROM convs c LEFT JOIN convs b ON b.conv_id = c.base),
+turns AS (SELECT p.conv_id, o.pos AS d, k, size FROM plan p JOIN own o ON o.conv_id = p.base AND o.pos <= p.taken
+  UNION ALL SELECT p.conv_id, o.pos - h + taken, k, size FROM plan p JOIN own o ON o.conv_id = p.conv_id AND o.pos > h),
+points AS (SELECT conv_id, d, string_agg(k, '') OVER (PARTITION BY conv_id ORDER BY d) AS path, size FROM turns
+  UNION ALL SELECT conv_id, 0, '', 0 FROM convs),
+ends AS (SELECT conv_id, max(d) AS d FROM points GROUP BY conv_id),
+nodes AS (SELECT d, path, min(p.conv_id) AS conv_id, count(*) AS n, max(size) AS size, string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) FILTER (WHERE e.d IS NOT NULL) AS ended
+  FROM points p LEFT JOIN ends e USING (conv_id, d) GROUP BY d, path),
+children AS (SELECT substr(path, 1, 64 * (d - 1)::INTEGER) AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+below AS (SELECT substr(path, 1, 64 * k::INTEGER) AS path, count(*) FILTER (WHERE leaf) AS n_leaves, sum((n - 1) * size) AS saved
+  FROM (SELECT n.*, n_children IS NULL AS leaf, unnest(range(0, d + 1)) AS k FROM nodes n LEFT JOIN children USING (path)) GROUP BY 1)
+SELECT n.conv_id::BIGINT AS conv_id, n.d::BIGINT AS depth, up.conv_id::BIGINT AS parent_conv_id, n.n::BIGINT AS n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(n.ended, '')) AS ends_sha256
+FROM nodes n JOIN below USING (path) LEFT JOIN children USING (path)
+LEFT JOIN nodes up ON up.d = n.d - 1 AND up.path = substr(n.path, 1, 64 * (n.d - 1)::INTEGER)
+"""
+
+LLM_ORACLE: dict[str, str] = {"op12_prefix_trie": PREFIX_TRIE, "op2_quality_rules": QUALITY_RULES, "op8_knn_join": KNN_JOIN, "op10_mixing": MIXING}

@@ -17,6 +17,7 @@ from logweave.llm.mixing import mixed_words
 from logweave.llm.oracle import LLM_ORACLE as _ORACLE
 from logweave.llm.packing import packed_digest
 from logweave.llm.periodic_runs import runs_digest
+from logweave.llm.prefix_trie import rebuilt_trie
 from logweave.llm.quality_rules import quality_rules
 from logweave.llm.substring_dedup import repeated_text
 from logweave.llm.toxicity import toxicity
@@ -52,6 +53,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": _over(packed_digest, "documents"),
     "op10_mixing": _over(mixed_words, "documents"),
     "op11_periodic_runs": _over(runs_digest, "documents"),
+    "op12_prefix_trie": _over(rebuilt_trie, "conversations"),
     "pipeline": corpus_pipeline.run,
 }
 
