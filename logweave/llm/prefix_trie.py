@@ -41,10 +41,6 @@ CHUNK_IDS = 8192  # conversation ids that one text piece of a node's members hol
 KEY = ["d", "a", "b"]
 
 
-def _named(prefix: str) -> list[Column]:
-    return [F.col(c).alias(prefix + c) for c in KEY]
-
-
 def prefix_points(turns: DataFrame) -> DataFrame:
     """(conv, d, a, b, size, total): the hash of each prefix, its last turn's bytes and the bytes of all its turns.
 
@@ -184,30 +180,30 @@ def subtree_sums(nodes: DataFrame) -> DataFrame:
             return values
 
 
-def _chunks(batches):
-    """Sorted (d, a, b, conv) -> the ids of a node in comma-joined pieces, in order."""
-    key, ids, rows = None, [], []
-
-    def out():
-        rows.append((*key, ids[0], ",".join(map(str, ids))))
+def _chunks(limit: int):
+    """Sorted (d, a, b, conv) -> the ids of a node in comma-joined pieces of at most ``limit``, in order."""
 
     def batch_of(rows):
         return pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows), [pa.int64()] * 4 + [pa.string()])], names=[*KEY, "first", "ids"])
 
-    for batch in batches:
-        for *own, conv in zip(*(c.to_pylist() for c in batch.columns)):
-            if own != key or len(ids) >= CHUNK_IDS:
-                if ids:
-                    out()
-                key, ids = own, []
-            ids.append(conv)
-        if len(rows) >= 1000:
+    def run(batches):
+        key, ids, rows = None, [], []
+        for batch in batches:
+            for *own, conv in zip(*(c.to_pylist() for c in batch.columns)):
+                if own != key or len(ids) >= limit:
+                    if ids:
+                        rows.append((*key, ids[0], ",".join(map(str, ids))))
+                    key, ids = own, []
+                ids.append(conv)
+            if len(rows) >= 1000:
+                yield batch_of(rows)
+                rows = []
+        if ids:
+            rows.append((*key, ids[0], ",".join(map(str, ids))))
+        if rows:
             yield batch_of(rows)
-            rows.clear()
-    if ids:
-        out()
-    if rows:
-        yield batch_of(rows)
+
+    return run
 
 
 def _hashed(batches):
@@ -227,7 +223,7 @@ def _hashed(batches):
                 state.update(b"," + ids.encode())
         if len(rows) >= 1000:
             yield batch_of(rows)
-            rows.clear()
+            rows = []
     if state:
         rows.append((*key, state.hexdigest()))
     if rows:
@@ -241,7 +237,7 @@ def member_digests(ends: DataFrame) -> DataFrame:
     then one task streams the node's few pieces through its hash.
     """
     ranged = ends.select(*KEY, "conv").repartitionByRange(*KEY, "conv").sortWithinPartitions(*KEY, "conv")
-    pieces = map_arrow(ranged, _chunks, "d long, a long, b long, first long, ids string")
+    pieces = map_arrow(ranged, _chunks(CHUNK_IDS), "d long, a long, b long, first long, ids string")
     pieces = pieces.repartition(*KEY).sortWithinPartitions(*KEY, "first")
     return map_arrow(pieces, _hashed, "d long, a long, b long, ends_sha256 string")
 

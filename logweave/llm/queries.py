@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from logweave.llm.html_text import visible_text
+from logweave.llm.interpolated_lm import lm_scores
 from logweave.llm.kneser_ney import perplexities
 from logweave.llm.knn_join import top_inner_products
 from logweave.llm.license_scan import license_digest
@@ -54,6 +55,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": _over(mixed_words, "documents"),
     "op11_periodic_runs": _over(runs_digest, "documents"),
     "op12_prefix_trie": _over(rebuilt_trie, "conversations"),
+    "op13_lm_scoring": _over(lm_scores, "documents"),
     "pipeline": corpus_pipeline.run,
 }
 

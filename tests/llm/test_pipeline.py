@@ -82,5 +82,5 @@ def test_pack(stages):
 
 def test_every_query_is_registered():
     names = list(E.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 13)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
     assert {"op2_quality_rules", "op8_knn_join", "op10_mixing", "op12_prefix_trie"} <= set(E.oracle_sql())
