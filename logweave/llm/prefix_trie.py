@@ -30,7 +30,7 @@ from __future__ import annotations
 import hashlib
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from logweave.llm.common import map_arrow, stage
@@ -87,26 +87,31 @@ def _edges(cuts: DataFrame, points: DataFrame) -> DataFrame:
     return out.fillna(0, ["pa", "pb", "ptotal"])  # the root
 
 
-def _locate(pending: DataFrame, edges: DataFrame, points: DataFrame, steps: int) -> DataFrame:
+def _locate(pending: DataFrame, edges: DataFrame, points: DataFrame) -> DataFrame:
     """``pending`` (conv, n, lo) with ``lo`` = depth of the deepest node that its path runs through.
 
-    Rows whose search is over keep a key of their own, so that no join meets them in one task.
+    A step of the search is a written table, so plans stay short; paths whose search is over
+    are set aside. There are at most as many steps as the longest path's length has bits.
     """
     table = edges.select(F.col("f").alias("hf"), F.col("fa").alias("ha"), F.col("fb").alias("hb"), F.col("p").alias("hp"), F.col("e").alias("he"), F.col("ea").alias("hea"), F.col("eb").alias("heb"))
     rows = pending.select("conv", "n", "lo", F.col("n").alias("hi"))
-    for _ in range(steps):
-        rows = rows.withColumn("f", F.when(F.col("lo") < F.col("hi"), two_fattest(F.col("lo"), F.col("hi"))).otherwise(F.lit(-1)))
-        rows = _at(rows, points, "f", "x").withColumn("xa", F.coalesce("xa", "conv"))
+    closed = rows.where("lo >= hi")
+    rows = rows.where("lo < hi")
+    while True:
+        probes = _at(rows.withColumn("f", two_fattest(F.col("lo"), F.col("hi"))), points, "f", "x")
         hit = (F.col("f") == F.col("hf")) & (F.col("xa") == F.col("ha")) & (F.col("xb") == F.col("hb"))
-        rows = rows.withColumn("xb", F.coalesce("xb", F.lit(-1))).join(table, hit, "left")
-        rows = rows.withColumn("e", F.coalesce("he", F.lit(-1)))
-        rows = _at(rows, points, "e", "y")
-        found, same = F.col("hf").isNotNull(), (F.col("ya") == F.col("hea")) & (F.col("yb") == F.col("heb"))
-        through = found & F.coalesce(same, F.lit(False))
-        lo = F.when(through, F.col("he")).when(found, F.col("hp")).otherwise(F.col("lo"))
-        hi = F.when(through | (F.col("f") < 0), F.col("hi")).when(found, F.col("hp")).otherwise(F.col("f") - 1)
-        rows = rows.select("conv", "n", lo.alias("lo"), hi.alias("hi"))
-    return rows.select("conv", "n", "lo")
+        found = probes.join(table, hit, "left")
+        own = points.select(F.col("conv").alias("of"), F.col("d").alias("he"), F.col("a").alias("hea"), F.col("b").alias("heb"), F.lit(True).alias("through"))
+        # The extent of the node found, where the path has it; a path without a hit meets nothing here.
+        met = found.where("hf is not null").withColumn("of", F.col("conv")).join(own, ["of", "he", "hea", "heb"], "left")
+        lo, hi = F.when(F.col("through"), F.col("he")).otherwise(F.col("hp")), F.when(F.col("through"), F.col("hi")).otherwise(F.col("hp"))
+        missed = found.where("hf is null").select("conv", "n", "lo", (F.col("f") - 1).alias("hi"))
+        seen = Observation()
+        step = met.select("conv", "n", lo.alias("lo"), hi.alias("hi")).union(missed).observe(seen, F.count_if(F.col("lo") < F.col("hi")).alias("open"))
+        step = stage(step, "trie-search")
+        closed, rows = closed.union(step.where("lo >= hi")), step.where("lo < hi")
+        if not seen.get["open"]:
+            return closed.select("conv", "n", "lo")
 
 
 def _leave(located: DataFrame, edges: DataFrame, points: DataFrame) -> DataFrame:
@@ -128,14 +133,13 @@ def build_trie(points: DataFrame, ends: DataFrame) -> DataFrame:
     ``points``: staged prefix points; ``ends``: staged (conv, d, a, b), a conversation per different sequence.
     """
     points = stage(points.join(ends.select("conv"), "conv", "left_semi"), "trie-points")
-    steps = (ends.agg(F.max("d")).first()[0] or 0).bit_length()
     pending = ends.where("d > 0").select("conv", F.col("d").alias("n"), F.lit(0).cast("long").alias("lo"))
     edges = None
     while True:
         if edges is None:
             left = pending.select("conv", "n", F.col("lo").alias("at"), *[F.lit(None).cast("long").alias(c) for c in ("on", "p", "e")])
         else:
-            left = _leave(_locate(pending, edges, points, steps), edges, points)
+            left = stage(_leave(_locate(pending, edges, points), edges, points), "trie-left")
         left = left.withColumn("next", F.when(F.col("at") < F.col("n"), F.col("at") + 1).otherwise(F.lit(-1)))
         left = stage(_at(left, points, "next", "x"), "trie-exits")
         # A batch: of the paths that leave at one point by one turn, one becomes a leaf.
