@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from logweave.llm.common import GOLD, M2, WordHashes, map_arrow, mix, stage
 
 ORDER = 2
-CHUNK_TOKENS = 1_000_000
+CHUNK_TOKENS = 500_000  # bounds a task's memory (a longer text is a chunk by itself)
 SHARD_KEYS = 2_000_000  # about so many entries of chunks meet in one shard
 BINS = 64  # bins an octave of the ratio histograms
 END, START = np.uint64(0x9D5C_0FB1_35A7_E24B), np.uint64(0x51F3_6E08_C2D9_7A41)  # hashes of the end token and the start symbol
@@ -45,14 +45,17 @@ GRAMS = "level int, shard int, chunk long, n int, keys binary, kept binary, gone
 ANSWERS = "chunk long, level int, shard int, n int, kept binary, gone binary, bin int, types long, kept_tokens long, gone_tokens long"
 
 
+_ZSTD = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()  # one state each for a worker's thousands of small pieces
+
+
 def pack(values: np.ndarray) -> bytes:
     """Integers as compressed byte planes: small values leave only zeros in the upper ones."""
     planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T
-    return zstandard.compress(np.ascontiguousarray(planes).tobytes(), 1)
+    return _ZSTD[0].compress(np.ascontiguousarray(planes))
 
 
 def unpack(data: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data, max_output_size=8 * n), np.uint8).reshape(8, n)
+    planes = np.frombuffer(_ZSTD[1].decompress(data, max_output_size=8 * n), np.uint8).reshape(8, n)
     return np.ascontiguousarray(planes.T).view("<u8").reshape(n)
 
 
@@ -133,13 +136,14 @@ def shard_ends(keys: np.ndarray, bits: int) -> np.ndarray:
 def _grams(order: int, bits: int):
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 chunk = Chunk(row)
-                part = np.repeat(chunk.parts, chunk.lengths)
+                part = np.repeat(chunk.parts.astype(np.int8), chunk.lengths)
                 rows = []
                 for level, keys in enumerate(chunk.keys(order), 1):
                     unique, at = np.unique(keys, return_inverse=True)
-                    counts = [np.bincount(at[part == p], minlength=len(unique)) for p in (KEPT, DELETED)]
+                    counts = [np.bincount(at[part == p], minlength=len(unique)).astype(np.uint32) for p in (KEPT, DELETED)]
                     ends = shard_ends(unique, bits)
                     for shard in np.flatnonzero(np.diff(ends)).tolist():
                         own = slice(ends[shard], ends[shard + 1])
