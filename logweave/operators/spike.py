@@ -1,31 +1,37 @@
 """Global error spike: does any window ``[t, t + W)`` that starts at an error hold
 more than ``threshold`` errors?
 
-Exact and distributed. With ``N(< x)`` = number of errors before instant ``x``,
-the count of the window that starts at error time ``t`` is ``N(< t + W) - N(< t)``.
-Both prefix counts come from one running sum over the timeline of
-
-* data points ``(t, n)``: errors pre-aggregated per microsecond, and
-* probe points ``(t + W, 0)``, ordered before data points at the same instant,
-
-range-partitioned on time (``running_sum_within``), so no window partition or
-single task holds a hot minute. Sub-microsecond digits are ignored (timestamps
-are microsecond values in Spark); repeated lines count once (dedup upstream).
+Exact, lazy and in one pass over the errors. Errors are first counted per microsecond
+(map-side combine). The time line is cut into slices whose width divides ``W`` and is at
+most ``SLICE``; a slice meets, in one task, its own instants and those of the slice that
+lies ``W`` later, where its windows end. With running sums inside these two slices,
+
+    count of [t, t + W) = own errors from t on + errors of the whole slices between
+                          + errors of the later slice before t + W.
+
+The middle term is a sum over slice totals (one small row a slice). So two exchanges carry
+instants: one to count them, one to their slices (three narrow rows per instant); no range
+sort, no window over the whole time line, and a hot minute is spread over its slices, whose
+size is bounded by their width in microseconds. Slices around which fewer errors lie than a
+spike needs are dropped before the sort. Sub-microsecond digits are ignored (timestamps are
+microsecond values in Spark); repeated lines count once (dedup upstream).
 """
 
 from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweave.functions.text import format_rfc3339_seconds
 from logweave.operators.correlate import dedup_entries
-from logweave.operators.ranking import running_sum_within
 from logweave.params import SPIKE_REQUEST_ID, Params
 
+#: Widest slice of the time line, in microseconds.
+SLICE = 10_000_000
+
 # Fixed texts of the spike alert.
 SPIKE_RECOMMENDATION = (
     "Immediate SEV-1. Check infrastructure health, recent deployments, or database connectivity immediately."
@@ -63,57 +69,79 @@ def _window_text(window: timedelta) -> str:
     return f"{n} {unit}" + ("" if n == 1 else "s")
 
 
-def window_counts(errors: DataFrame, window: timedelta, ts_col: str = "ts", tz_col: str | None = "tz_offset") -> DataFrame:
-    """For every distinct error instant ``t``: ``errors_in_window`` = errors in ``[t, t + window)``.
+def slices_per_window(w_us: int) -> int:
+    """How many equal slices a window is cut into: the fewest of at most ``SLICE`` that divide it."""
+    least = -(-w_us // SLICE)
+    return next((n for n in range(least, 4 * least) if w_us % n == 0), 1)
 
-    Returns ``start_us, start_ts, start_tz, errors_in_window``.
-    """
-    w_us = int(window / timedelta(microseconds=1))
+
+def _floor_div(name: str, k: int) -> Column:
+    """Whole division that rounds down, in integers."""
+    return F.expr(f"({name} - pmod({name}, {k}L)) div {k}L")
+
+
+def _per_microsecond(errors: DataFrame, width: int, ts_col: str, tz_col: str | None) -> DataFrame:
     tz = F.col(tz_col) if tz_col else F.lit("Z")
-    points = errors.select(epoch_micros(errors, ts_col).alias("t"), tz.alias("_tz"))
-    # Pre-aggregate per microsecond (map-side combine): equal instants become one point.
+    points = errors.select(epoch_micros(errors, ts_col).alias("t"), tz.alias("_tz")).where("t is not null")
     per_us = points.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("_tz").alias("_tz"))
-    data = per_us.select("t", F.lit(1).alias("kind"), "n", F.col("t").alias("start_us"), "_tz")
-    probes = per_us.select(
-        (F.col("t") + F.lit(w_us)).alias("t"), F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("n"),
-        F.col("t").alias("start_us"), F.lit(None).cast("string").alias("_tz"),
-    )
-    timeline = running_sum_within(data.unionByName(probes), [], ["t", "kind"], "n", name="cum")
-    # Each start has one data row (N(<= t) - n = N(< t)) and one probe row (N(< t + W)).
-    is_data = F.col("kind") == 1
-    per_start = timeline.groupBy("start_us").agg(
-        F.max(F.when(is_data, F.col("cum") - F.col("n"))).alias("n_before"),
-        F.max(F.when(~is_data, F.col("cum"))).alias("n_before_end"),
-        F.max(F.when(is_data, F.col("_tz"))).alias("start_tz"),
-    )
-    return per_start.select(
-        "start_us",
-        F.timestamp_micros("start_us").alias("start_ts"),
-        "start_tz",
-        (F.col("n_before_end") - F.col("n_before")).alias("errors_in_window"),
-    )
+    return per_us.withColumn("s", _floor_div("t", width))
 
 
-def near_spikes(errors: DataFrame, params: Params, ts_col: str = "ts") -> DataFrame:
-    """The errors that a qualifying window can hold: an exact filter before the running sums.
+def _slice_totals(per_us: DataFrame, n_slices: int) -> DataFrame:
+    """(s, total, any_tz, between, most): a slice's errors, those of the slices between it and the one a window later, and all three together.
 
-    Errors are counted per bucket of one window length. A window that starts in bucket
-    b lies in b and b + 1, so it qualifies only if these two hold more than the
-    threshold together; rows of other buckets are in no qualifying window.
+    A block of ``n_slices`` slices meets the next block; its group has two rows per slice at most.
     """
-    w_us = int(params.spike_window / timedelta(microseconds=1))
-    bucketed = errors.withColumn("_b", F.floor(epoch_micros(errors, ts_col) / F.lit(w_us)))
-    counts = bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("n"))
-    pairs = counts.select("_b", "n").union(counts.select((F.col("_b") - 1).alias("_b"), "n"))
-    full = pairs.groupBy("_b").agg(F.sum("n").alias("n")).where(F.col("n") > params.spike_threshold).select("_b")
-    near = full.union(full.select((F.col("_b") + 1).alias("_b"))).distinct()
-    return bucketed.join(near, "_b", "left_semi").drop("_b")
+    # The offset is read here too, so that both branches have the same microsecond counts and Spark makes them once.
+    totals = per_us.groupBy("s").agg(F.sum("n").alias("total"), F.min("_tz").alias("any_tz"))
+    block = _floor_div("s", n_slices)
+    halo = totals.select("s", "total", "any_tz", F.explode(F.array(block, block - 1)).alias("block"))
+    own = F.col("block") == block
+    frame = Window.partitionBy("block").orderBy("s")
+    if n_slices > 1:
+        between = F.coalesce(F.sum("total").over(frame.rangeBetween(1, n_slices - 1)), F.lit(0))
+    else:
+        between = F.lit(0).cast("bigint")
+    later = F.coalesce(F.sum("total").over(frame.rangeBetween(n_slices, n_slices)), F.lit(0))
+    known = halo.select("s", "total", "any_tz", own.alias("own"), between.alias("between"), later.alias("later")).where("own")
+    return known.select("s", "total", "any_tz", "between", (F.col("total") + F.col("between") + F.col("later")).alias("most"))
+
+
+def window_counts(errors: DataFrame, window: timedelta, ts_col: str = "ts", tz_col: str | None = "tz_offset", above: int = 0) -> DataFrame:
+    """For every distinct error instant ``t``: ``errors_in_window`` = errors in ``[t, t + window)``.
+
+    Returns ``start_us, start_ts, start_tz, errors_in_window``; only counts above ``above``.
+    """
+    w_us = int(window / timedelta(microseconds=1))
+    n_slices = slices_per_window(w_us)
+    per_us = _per_microsecond(errors, w_us // n_slices, ts_col, tz_col)
+    totals = _slice_totals(per_us, n_slices).where(F.col("most") > above)
+
+    none, zero = F.lit(None).cast("bigint"), F.lit(0).cast("bigint")
+    row = lambda s, later, at, kind, n, start: F.struct(
+        s.alias("s"), F.lit(later).alias("later"), at.alias("at"), F.lit(kind).alias("kind"), n.alias("n"), start.alias("start_us"), F.col("_tz").alias("start_tz")
+    )
+    t, n, s = F.col("t"), F.col("n"), F.col("s")
+    rows = per_us.select(F.inline(F.array(
+        row(s, False, t, 1, n, t),  # an instant, in its own slice
+        row(s, True, t + w_us, 0, zero, t),  # where its window ends, before the errors of that instant
+        row(s - n_slices, True, t, 1, n, none),  # the instant again, for the windows that begin a window earlier
+    )))
+    # Placed by slice once: the join, the running sums and the sums by start all use this exchange.
+    rows = rows.repartition("s").join(totals, "s")
+    running = Window.partitionBy("s", "later").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = rows.withColumn("cum", F.sum("n").over(running)).where("start_us is not null")
+    before = F.max(F.when(~F.col("later"), F.col("cum") - F.col("n")))
+    ahead = F.max(F.when(F.col("later"), F.col("cum")))
+    counted = summed.groupBy("s", "start_us").agg(
+        F.coalesce(F.max("start_tz"), F.max("any_tz")).alias("start_tz"), (F.max("total") - before + F.max("between") + ahead).alias("errors_in_window")
+    )
+    return counted.where(F.col("errors_in_window") > above).select("start_us", F.timestamp_micros("start_us").alias("start_ts"), "start_tz", "errors_in_window")
 
 
 def error_spikes(errors: DataFrame, params: Params = Params(), ts_col: str = "ts", tz_col: str | None = "tz_offset") -> DataFrame:
     """All window starts with more than ``spike_threshold`` errors."""
-    counts = window_counts(near_spikes(errors, params, ts_col), params.spike_window, ts_col, tz_col)
-    return counts.where(F.col("errors_in_window") > F.lit(params.spike_threshold))
+    return window_counts(errors, params.spike_window, ts_col, tz_col, above=params.spike_threshold)
 
 
 def global_error_spike(errors: DataFrame, params: Params = Params(), ts_col: str = "ts", tz_col: str | None = "tz_offset") -> DataFrame:

@@ -33,6 +33,21 @@ from logweave.plans.materialize import file_system, new_folder, write_table
 from logweave.sources.fixtures import edge_lines, event_log_lines, long_lines, model_responses
 from logweave.sources.logfiles import read_logs
 from logweave.sources.sinks import write_alerts, write_alerts_json
+from logweave.streaming.landing import (
+    default_reach,
+    land_batch,
+    land_logs,
+    landed,
+    landed_entries,
+    landed_rejects,
+    landing_counters,
+    late_rows_table,
+    on_time_entries,
+    repaired_entries,
+    repaired_error_rate,
+    repaired_reports,
+)
+from logweave.streaming.live import stream_dedup, stream_error_rate, stream_reports
 
 # Parameters of the registered queries (the oracle SQL uses the same values).
 SPIKE_EVENTS_PARAMS = Params(spike_window=timedelta(hours=1), spike_threshold=5)
@@ -309,89 +324,95 @@ def q_diagnose_with_responses(spark, sf_dir):
 
 # ----------------------------------------------------------------- streaming
 
-def _land_lines_for_streaming(spark, sf_dir, name):
-    """Write the derived log lines as text files for a file stream, plus one line one
-    day after the last event (derived from ``events``, own request id, INFO) that
-    moves the watermark past every window; returns the base folder."""
-    base = new_folder(spark, name)
-    log_lines(spark, sf_dir).write.text(f"{base}/in")
+#: Micro-batches that the lines are dealt to, by their length, and the delay of the landed streams.
+STREAM_BATCHES, STREAM_DELAY = 3, timedelta(days=20)
+
+
+def _sentinel(spark, sf_dir):
+    """A line one day after the last event (own request id, INFO), which moves the watermark past every window."""
     last = table(spark, sf_dir, "events").agg(F.max("ts").alias("t"))
-    sentinel = last.select(
-        F.concat(
-            F.date_format(F.col("t") + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"),
-            F.lit(" | api-gateway | INFO | watermark-sentinel | end of replay | latency=0ms"),
-        ).alias("value")
-    )
-    sentinel.write.mode("append").text(f"{base}/in")
+    stamp = F.date_format(F.col("t") + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return last.select(F.concat(stamp, F.lit(" | api-gateway | INFO | watermark-sentinel | end of replay | latency=0ms")).alias("raw"))
+
+
+def _landed(spark, sf_dir, name, delay, close=True):
+    """All lines landed in micro-batches that arrive out of order (each spans the whole table), then the sentinel."""
+    base = new_folder(spark, name)
+    lines = log_lines(spark, sf_dir)
+    batches = [lines.where(F.length("raw") % STREAM_BATCHES == k) for k in range(STREAM_BATCHES)]
+    for k, batch in enumerate([*batches, _sentinel(spark, sf_dir)] if close else batches):
+        land_batch(batch, k, base, Params(), delay, default_reach(Params()))
     return base
 
 
-def _run_to_parquet(df, base):
+def _run_to_parquet(df, base, name="out"):
     q = (
         df.writeStream.format("parquet")
-        .option("path", f"{base}/out")
-        .option("checkpointLocation", f"{base}/state")
+        .option("path", f"{base}/{name}")
+        .option("checkpointLocation", f"{base}/{name}-state")
         .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    return df.sparkSession.read.schema(df.schema).parquet(f"{base}/out")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{base}/{name}")
+
+
+def q_stream_late_rows(spark, sf_dir):
+    """The side table: entries that come too late for an operator, by their batch's watermark."""
+    late = late_rows_table(spark, _landed(spark, sf_dir, "late-rows", STREAM_DELAY, close=False))
+    return late.select("batch_id", "operator", format_utc_micros("watermark").alias("watermark"), "request_id", "raw")
+
+
+def q_stream_landing_counters(spark, sf_dir):
+    """Counters of each landed batch, observed while it was written."""
+    counters = landing_counters(spark, _landed(spark, sf_dir, "landing-counters", STREAM_DELAY, close=False))
+    return counters.select("batch_id", "total_lines", "accepted_lines", "rejected_lines", "late_for_dedup", "late_for_sessions")
 
 
 def q_stream_sessions(spark, sf_dir):
-    """Structured Streaming run over the derived log lines landed as text files.
+    """Landed lines -> session windows of what is on time (10 s gap) -> sessions of late requests repaired.
 
-    ``stream_entries -> stream_reports`` (session windows, 10 s gap, 10 s
-    watermark delay) with ``availableNow`` into a parquet sink in the checkpoint
-    folder. The sentinel line closes every session; its own stays open.
+    The sentinel line closes every session; its own stays open.
     """
-    from logweave.streaming.live import stream_entries, stream_reports
-
-    base = _land_lines_for_streaming(spark, sf_dir, "stream-sessions")
-    entries, _ = stream_entries(spark, f"{base}/in", pattern="*.txt")
-    sessions = stream_reports(entries, anomalous_only=False).select(
+    base = _landed(spark, sf_dir, "stream-sessions", STREAM_DELAY)
+    reports = stream_reports(on_time_entries(spark, base, "sessions"), anomalous_only=False)
+    closed = _run_to_parquet(reports.select("request_id", "session", "rules", "n_lines"), base)
+    whole = repaired_reports(closed, landed_entries(spark, base), late_rows_table(spark, base), anomalous_only=False)
+    return whole.select(
         "request_id",
         format_utc_micros("session.start").alias("session_start"),
         format_utc_micros("session.end").alias("session_end"),
         F.array_join("rules", ", ").alias("rules_text"),
         "n_lines",
     )
-    return _run_to_parquet(sessions, base)
 
 
 def q_stream_error_rate(spark, sf_dir):
-    """Structured Streaming sliding-window error counts (1 minute windows, 1 second
-    slide, spike when above 10) over the landed lines; a repeated line counts once."""
-    from logweave.streaming.live import stream_entries, stream_error_rate
-
-    base = _land_lines_for_streaming(spark, sf_dir, "stream-error-rate")
-    entries, _ = stream_entries(spark, f"{base}/in", pattern="*.txt")
-    rates = stream_error_rate(entries).select(
-        format_utc_micros("window_start").alias("window_start"),
-        format_utc_micros("window_end").alias("window_end"),
-        "errors",
-        "spike",
-    )
-    return _run_to_parquet(rates, base)
+    """Landed lines -> sliding error counts (1 minute windows, 1 second slide, spike when above 10), late
+    errors added from the side table; a repeated line counts once."""
+    base = _landed(spark, sf_dir, "stream-error-rate", STREAM_DELAY)
+    on_time = on_time_entries(spark, base, "dedup")
+    rates = _run_to_parquet(stream_error_rate(on_time), base)
+    counted = landed(spark, base).where("kind = 'entry' and level = 'ERROR' and not array_contains(late_for, 'dedup')")
+    whole = repaired_error_rate(rates, counted, late_rows_table(spark, base))
+    return whole.select(format_utc_micros("window_start").alias("window_start"), format_utc_micros("window_end").alias("window_end"), "errors", "spike")
 
 
 def q_stream_dedup(spark, sf_dir):
-    """Entries of a stream read one file per micro-batch, each line once: the delay covers the table, so no row is late."""
-    from logweave.streaming.live import stream_dedup, stream_entries
-
-    base = _land_lines_for_streaming(spark, sf_dir, "stream-dedup")
-    entries, _ = stream_entries(spark, f"{base}/in", pattern="*.txt", max_files_per_trigger=1)
-    return _run_to_parquet(stream_dedup(entries, timedelta(days=400)).select("request_id", "raw"), base)
+    """Landed lines -> each line once among those on time -> late lines added from the side table."""
+    base = _landed(spark, sf_dir, "stream-dedup", STREAM_DELAY)
+    once = _run_to_parquet(stream_dedup(on_time_entries(spark, base, "dedup"), STREAM_DELAY), base)
+    return repaired_entries(once, late_rows_table(spark, base)).select("request_id", "raw")
 
 
 def q_stream_rejects(spark, sf_dir):
-    """The reject stream over several micro-batches."""
-    from logweave.streaming.live import stream_entries
-
-    base = _land_lines_for_streaming(spark, sf_dir, "stream-rejects")
-    _, rejects = stream_entries(spark, f"{base}/in", pattern="*.txt", max_files_per_trigger=2)
-    return _run_to_parquet(rejects.select("raw", "error_kind", "parse_error"), base)
+    """Text files read as a stream, two per micro-batch, landed with one parse; its rejects."""
+    base = new_folder(spark, "stream-rejects")
+    log_lines(spark, sf_dir).write.text(f"{base}/in")
+    query = land_logs(spark, f"{base}/in", f"{base}/landed", pattern="*.txt", max_files_per_trigger=2)
+    query.awaitTermination()
+    return landed_rejects(spark, f"{base}/landed")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -426,6 +447,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_error_rate": q_stream_error_rate,
     "stream_dedup": q_stream_dedup,
     "stream_rejects": q_stream_rejects,
+    "stream_late_rows": q_stream_late_rows,
+    "stream_landing_counters": q_stream_landing_counters,
     "parse_edge_lines": q_parse_edge_lines,
     "parse_long_lines": q_parse_long_lines,
     "read_logs_lines": q_read_logs_lines,

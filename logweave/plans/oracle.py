@@ -315,6 +315,18 @@ GROUP BY ws"""
     q["stream_dedup"] = _with("SELECT DISTINCT request_id, raw FROM entries UNION ALL SELECT 'watermark-sentinel', strftime(max(ts) + INTERVAL 1 DAY, "
                               f"{UTC_US}) || ' | api-gateway | INFO | watermark-sentinel | end of replay | latency=0ms' FROM events")
     q["stream_rejects"] = q["parse_rejects"]
+    # Batches by line length; a batch's watermark is the latest earlier event time less 20 days.
+    late = "WITH " + base_ctes("bucket").strip() + """,
+dealt AS (SELECT *, length(raw) % 3 AS batch_id FROM parsed),
+tops AS (SELECT batch_id, max(ts) FILTER (WHERE error_kind IS NULL) AS t FROM dealt GROUP BY batch_id),
+marks AS (SELECT b.k AS batch_id, max(t) - INTERVAL 20 DAY AS wm FROM range(3) b(k) LEFT JOIN tops ON tops.batch_id < b.k GROUP BY b.k),
+judged AS (SELECT d.*, wm, error_kind IS NULL AND ts <= wm AS l0, error_kind IS NULL AND ts + INTERVAL 10 SECOND <= wm AS l1 FROM dealt d JOIN marks USING (batch_id))
+"""
+    q["stream_late_rows"] = late + f"""SELECT CAST(batch_id AS BIGINT) AS batch_id, operator, strftime(wm, {UTC_US}) AS watermark, request_id, raw
+FROM (SELECT *, 'dedup' AS operator FROM judged WHERE l0 UNION ALL SELECT *, 'sessions' FROM judged WHERE l1)"""
+    q["stream_landing_counters"] = late + """SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS total_lines, CAST(count_if(error_kind IS NULL) AS BIGINT) AS accepted_lines,
+  CAST(count_if(error_kind IS NOT NULL) AS BIGINT) AS rejected_lines, CAST(count_if(l0) AS BIGINT) AS late_for_dedup, CAST(count_if(l1) AS BIGINT) AS late_for_sessions
+FROM judged GROUP BY batch_id"""
     q["parse_edge_lines"] = "WITH " + base_ctes(lines=EDGE_LINES).strip() + (
         f" SELECT raw, error_kind, strftime(ts, {UTC_US}) AS ts_utc, CASE WHEN ts IS NOT NULL THEN ts_nanos END AS ts_nanos, "
         "CASE WHEN ts IS NOT NULL THEN tz_offset END AS tz_offset, service, level, request_id, message, latency_ms FROM parsed"

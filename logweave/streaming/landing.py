@@ -17,7 +17,7 @@ result of both.
 Replays: a batch folder appears by one rename, with its counters inside. A batch that is
 run again after a failure finds its folder and changes nothing.
 
-Rows without an event time (rejects) are never late. A batch without accepted lines leaves
+Rejects are never late and do not move the watermark. A batch without accepted lines leaves
 the watermark where it was; before the first accepted line there is none.
 """
 
@@ -60,7 +60,7 @@ def late_for(watermark_us: int | None, reach: Mapping[str, timedelta]) -> Column
     if watermark_us is None:
         return none
     names = [F.when(F.unix_micros("ts") + micros(r) <= watermark_us, F.lit(name)) for name, r in reach.items()]
-    return F.when(F.col("ts").isNull(), none).otherwise(F.filter(F.array(*names), lambda x: x.isNotNull()))
+    return F.when(F.col("error_kind").isNotNull() | F.col("ts").isNull(), none).otherwise(F.filter(F.array(*names), lambda x: x.isNotNull()))
 
 
 def _read_json(spark: SparkSession, path: str) -> dict:
@@ -106,7 +106,7 @@ def land_batch(lines: DataFrame, batch_id: int, folder: str, params: Params, del
     rows = parsed.select("*", late_for(watermark, reach).alias("late_for"), stamp.alias("watermark"))
     obs = Observation()
     late = [F.count_if(F.array_contains("late_for", name)).alias(f"late_for_{name}") for name in reach]
-    rows = rows.observe(obs, *parse_stat_columns(), *late, F.max(F.unix_micros("ts")).alias("max_ts_us"))
+    rows = rows.observe(obs, *parse_stat_columns(), *late, F.max(F.when(F.col("error_kind").isNull(), F.unix_micros("ts"))).alias("max_ts_us"))
     draft = f"{folder}/drafts/{batch_id}"
     rows.withColumn("kind", F.when(F.col("error_kind").isNull(), "entry").otherwise("reject")).write.mode("overwrite").partitionBy("kind").parquet(draft)
     counters = {"batch_id": batch_id, "watermark_us": watermark, **obs.get}

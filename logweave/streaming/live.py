@@ -11,8 +11,9 @@
   windows).
 
 Late data: rows older than the watermark are dropped by the stateful operators;
-``late_rows`` says how many a query dropped. The entries stream itself keeps every
-row, so a batch rerun over landed entries stays exact. On a cluster set
+``late_rows`` says how many a query dropped over its kept progress reports. To keep late
+rows, land the stream first (:mod:`logweave.streaming.landing`) and run these operators on
+what is on time; the side table and the ``repaired_*`` functions give the exact result. On a cluster set
 ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition=true``: sessions
 of a hot request id then merge before the shuffle. Sliding windows are clock-aligned, so ``stream_error_rate``
 approximates the exact batch spike (a window starting between slide steps is not
@@ -92,7 +93,8 @@ def stream_error_rate(entries: DataFrame, params: Params = Params(), slide: time
     # the event-time column below the watermark operator; a single predicate over
     # ``ts`` stays above it.
     is_error = F.when(F.col("ts").isNotNull(), F.col("level") == "ERROR")
-    errors = stream_dedup(entries, delay).where(is_error)
+    # Errors only are remembered for dedup: the filter stands between watermark and state.
+    errors = entries.withWatermark("ts", _interval(delay)).where(is_error).dropDuplicatesWithinWatermark(["request_id", "raw"])
     counts = errors.groupBy(F.window("ts", _interval(params.spike_window), _interval(slide)).alias("w")).agg(
         F.count(F.lit(1)).alias("errors")
     )

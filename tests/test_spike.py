@@ -1,11 +1,12 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 
 from conftest import line
 from logweave.operators.parse import accepted, parse_lines
-from logweave.operators.spike import error_entries, error_spikes, global_error_spike, window_counts
+from logweave.operators.spike import SLICE, error_entries, error_spikes, global_error_spike, slices_per_window, window_counts
 from logweave.params import Params
 
 BASE = dt.datetime(2026, 3, 16, 15, 56, 0)
@@ -86,3 +87,48 @@ def test_bucket_filter_keeps_every_qualifying_window(spark):
         want = {t: sum(t <= x < t + 60_000_000 for x in times) for t in times}
         got = {r.start_us: r.errors_in_window for r in error_spikes(df, Params(spike_threshold=threshold)).collect()}
         assert got == {t: n for t, n in want.items() if n > threshold}
+
+
+def test_slices_divide_the_window():
+    for us in (1, 7, 9_999_999, 10_000_000, 60_000_000, 61_000_000, 3_600_000_000, 86_400_000_000, 10_000_019):
+        n = slices_per_window(us)
+        assert us % n == 0 and (n == 1 or us // n <= SLICE)
+
+
+@pytest.mark.parametrize("window_s", [0.5, 7, 35, 60, 3600])
+def test_windows_of_many_slices_equal_naive(spark, window_s):
+    """Sparse and dense stretches, times before the epoch, and instants at slice edges."""
+    import bisect
+
+    rng = random.Random(int(window_s))
+    us = [rng.randrange(-30_000_000, 30_000_000) for _ in range(150)] + [rng.randrange(0, 9_000_000_000) for _ in range(250)]
+    us = sorted(us + [k * 10_000_000 for k in range(-4, 40)] * 2)
+    df = spark.createDataFrame([(t,) for t in us], "us long").selectExpr("timestamp_micros(us) AS ts", "'Z' AS tz_offset")
+    w = dt.timedelta(seconds=window_s)
+    n = int(window_s * 1_000_000)
+    want = {t: bisect.bisect_left(us, t + n) - bisect.bisect_left(us, t) for t in us}
+    assert {r.start_us: r.errors_in_window for r in window_counts(df, w).collect()} == want
+    top = sorted(want.values())[-40]
+    assert {r.start_us: r.errors_in_window for r in error_spikes(df, Params(spike_window=w, spike_threshold=top)).collect()} == {t: c for t, c in want.items() if c > top}
+
+
+def test_one_scan_and_two_exchanges_of_instants(spark, tmp_path):
+    """The final plan reads the errors once; instants move twice, slice totals in small exchanges; no job runs while it is built."""
+    rng = random.Random(4)
+    df = spark.createDataFrame([(rng.randrange(0, 400_000_000),) for _ in range(3000)], "us long")
+    df.selectExpr("timestamp_micros(us) AS ts", "'Z' AS tz_offset").write.parquet(str(tmp_path / "errors"))
+    errors = spark.read.parquet(str(tmp_path / "errors"))
+    tracker, group = spark.sparkContext.statusTracker(), "spike-plan"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = error_spikes(errors, Params(spike_threshold=30))
+        assert not tracker.getJobIdsForGroup(group)
+        out.collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in final and final.count("FileScan") == 1
+    assert "ReusedExchange" in final and final.count("repartition_by_col".upper()) == 1
+    shuffles = [x for x in final.splitlines() if re.search(r"Exchange hashpartitioning", x) and "ReusedExchange" not in x]
+    instants = [x for x in shuffles if "hashpartitioning(t#" in x or "REPARTITION_BY_COL" in x]
+    assert len(instants) == 2 and len(shuffles) <= 5  # the others: slice totals, their blocks, and the join's small side
