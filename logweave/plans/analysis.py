@@ -23,6 +23,7 @@ from logweave.operators.spike import error_entries, global_error_spike
 from logweave.params import Params
 from logweave.plans.materialize import materialize
 from logweave.sources.logfiles import read_logs
+from logweave.sources.tolerant import READ_ERRORS, readable_lines, unreadable_files
 
 
 @dataclass
@@ -111,13 +112,22 @@ def run(
     """Read ``log_dir``, analyze, and write the alerts to every sink.
 
     When no request group is anomalous nothing is written (an older alert file
-    stays as it is), like the original tool. Returns stats, the first reject
-    messages and the per-sink outcome.
+    stays as it is), like the original tool. A file that cannot be read to its end is
+    reported with its error and does not stop the others. Returns stats, the first
+    reject messages, the unreadable files and the per-sink outcome.
     """
     from logweave.sources.sinks import write_alerts
 
+    bad: dict[str, str] = {}
     a = analyze(read_logs(spark, log_dir, pattern), params, responses, stage_parsed=True)
-    out: dict = {"stats": a.stats(), "first_rejects": [r.parse_error for r in first_rejects(a.rejects).collect()]}
+    try:
+        a.parsed  # reads and writes the lines
+    except READ_ERRORS:
+        bad = unreadable_files(spark, log_dir, pattern)
+        if not bad:
+            raise
+        a = analyze(readable_lines(spark, log_dir, bad, pattern).drop("source_file"), params, responses, stage_parsed=True)
+    out: dict = {"unreadable_files": bad, "stats": a.stats(), "first_rejects": [r.parse_error for r in first_rejects(a.rejects).collect()]}
     if not out["stats"]["detection"]["anomalous_groups"]:
         out["status"] = "no anomalies"
         return out

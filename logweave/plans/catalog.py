@@ -33,6 +33,7 @@ from logweave.plans.materialize import file_system, new_folder, write_table
 from logweave.sources.fixtures import edge_lines, event_log_lines, long_lines, model_responses
 from logweave.sources.logfiles import read_logs
 from logweave.sources.sinks import write_alerts, write_alerts_json
+from logweave.sources.tolerant import read_logs_tolerant
 from logweave.streaming.landing import (
     default_reach,
     land_batch,
@@ -171,6 +172,22 @@ def q_read_logs_lines(spark, sf_dir):
     return read_logs(spark, f"{base}/logs", pattern="*.txt").select("raw")
 
 
+def q_read_logs_outcomes(spark, sf_dir):
+    """A folder of plain, packed and damaged files: lines and failures by kind of file."""
+    base = new_folder(spark, "damaged-logs")
+    fs, target = file_system(spark, f"{base}/logs")
+    fs.mkdirs(target)
+    for k, (kind, codec, suffix) in enumerate([("plain", "none", ".log"), ("packed", "gzip", ".log.gz"), ("damaged", "none", ".log.gz")]):
+        part = log_lines(spark, sf_dir).where(F.length("raw") % 3 == k).select("raw")
+        part.write.option("compression", codec).text(f"{base}/{kind}")
+        files = [f.getPath() for f in fs.listStatus(file_system(spark, f"{base}/{kind}")[1]) if f.getPath().getName().startswith("part-")]
+        for i, file in enumerate(files):  # the damaged ones are no gzip files, whatever their names say
+            fs.rename(file, file_system(spark, f"{base}/logs/{kind}-{i}{suffix}")[1])
+    _, outcomes = read_logs_tolerant(spark, f"{base}/logs", "*.log*")
+    kind = F.regexp_extract("file", r"/([a-z]+)-\d+\.log[^/]*$", 1)
+    return outcomes.groupBy(kind.alias("kind")).agg(F.sum("n_lines").alias("n_lines"), F.bool_and(F.col("error").isNotNull()).alias("failed"))
+
+
 def q_run_no_anomaly(spark, sf_dir):
     """A whole run over requests that pass every hop quickly: counted, and nothing is written."""
     base = new_folder(spark, "quiet-run")
@@ -452,6 +469,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_edge_lines": q_parse_edge_lines,
     "parse_long_lines": q_parse_long_lines,
     "read_logs_lines": q_read_logs_lines,
+    "read_logs_outcomes": q_read_logs_outcomes,
     "write_alerts_roundtrip": q_write_alerts_roundtrip,
     "run_no_anomaly": q_run_no_anomaly,
     "error_spikes_default": q_error_spikes_default,

@@ -333,6 +333,10 @@ FROM judged GROUP BY batch_id"""
     )
     q["parse_long_lines"] = "WITH " + base_ctes(lines=LONG_LINES).strip() + " SELECT request_id, error_kind, CAST(length(message) AS BIGINT) AS message_chars, latency_ms FROM parsed"
     q["read_logs_lines"] = _with("SELECT raw FROM lines")
+    q["read_logs_outcomes"] = _with(
+        "SELECT kind, CAST(CASE WHEN kind = 'damaged' THEN 0 ELSE count(*) END AS BIGINT) AS n_lines, kind = 'damaged' AS failed "
+        "FROM (SELECT ['plain', 'packed', 'damaged'][length(raw) % 3 + 1] AS kind FROM lines) GROUP BY kind"
+    )
     q["write_alerts_roundtrip"] = alerts_with + "SELECT request_id, root_cause, recommendation, severity, 'broken' AS failed_sinks FROM alerts"
     q["run_no_anomaly"] = (
         "SELECT 'no anomalies' AS status, CAST(5 * count(*) AS BIGINT) AS total_lines, count(DISTINCT event_id) AS total_groups, "

@@ -24,15 +24,20 @@ def _shape(lines: DataFrame, with_source_file: bool) -> DataFrame:
     return lines.select(*cols).where(F.col("raw") != "")
 
 
+def lines_of(spark: SparkSession, paths: list[str], with_source_file: bool = False, **options: str) -> DataFrame:
+    """Lines of the given files or globs; ``options`` go to Spark's text reader."""
+    return _shape(spark.read.options(lineSep="\n", **options).text(paths), with_source_file)
+
+
 def read_logs(spark: SparkSession, path: str, pattern: str = "*.log", with_source_file: bool = False) -> DataFrame:
     """Read every ``pattern`` file directly inside ``path``.
 
     Returns ``raw, line_bytes`` (+ ``source_file`` on request: it makes the scan
     read the file metadata). Raises ``PATH_NOT_FOUND`` when no file matches.
-    Large files are split across tasks by Spark.
+    Large files are split across tasks by Spark. A file that cannot be read fails the job;
+    see :mod:`logweave.sources.tolerant`.
     """
-    glob = path.rstrip("/") + "/" + pattern
-    return _shape(spark.read.option("lineSep", "\n").text(glob), with_source_file)
+    return lines_of(spark, [path.rstrip("/") + "/" + pattern], with_source_file)
 
 
 def stream_logs(
