@@ -37,6 +37,7 @@ from logweave.llm.common import map_arrow, stage
 from logweave.operators.ranking import rank_within
 
 LANE, BLOCK, PIECE = 52, 1024, 64
+BROADCAST_BYTES = 16 << 20  # of eight-byte columns; larger tables are joined by shuffling
 CHUNK_IDS = 8192  # conversation ids that one text piece of a node's members holds
 KEY = ["d", "a", "b"]
 
@@ -66,17 +67,22 @@ def two_fattest(lo: Column, hi: Column) -> Column:
     return F.call_function("shiftleft", F.call_function("shiftright", hi, low_bits), low_bits)
 
 
-def _at(rows: DataFrame, points: DataFrame, depth: str, prefix: str) -> DataFrame:
-    """``rows`` (conv, ...) with the hash of conv's first ``depth`` turns as prefix + a, b (null where it has none)."""
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` broadcast if its ``rows`` (a count or a proven bound) are few; else joins with it shuffle."""
+    return F.broadcast(df) if rows * 8 * len(df.columns) <= BROADCAST_BYTES else df
+
+
+def _at(rows: DataFrame, points: DataFrame, depth: str, prefix: str, n_rows: int) -> DataFrame:
+    """``rows`` (conv, ...), at most ``n_rows``, with the hash of conv's first ``depth`` turns, which it must have, as prefix + a, b."""
     own = points.select("conv", F.col("d").alias(depth), F.col("a").alias(f"{prefix}a"), F.col("b").alias(f"{prefix}b"))
-    return rows.join(own, ["conv", depth], "left")
+    return own.join(small(rows, n_rows), ["conv", depth])
 
 
-def _edges(cuts: DataFrame, points: DataFrame) -> DataFrame:
+def _edges(cuts: DataFrame, points: DataFrame, n_cuts: int) -> DataFrame:
     """Edges (conv, p, e) with the hashes of their parent, first turn, handle and extent, and bytes up to p and e."""
     rows = cuts.withColumn("f", two_fattest(F.col("p"), F.col("e")))
     depths = rows.select("conv", "p", "e", "f", F.explode(F.array_distinct(F.array("p", F.col("p") + 1, "f", "e"))).alias("d")).where("d > 0")
-    found = depths.join(points, ["conv", "d"])
+    found = points.join(small(depths, 4 * n_cuts), ["conv", "d"])
 
     def pick(depth: Column, name: str, *columns: str) -> list[Column]:
         return [F.max(F.when(F.col("d") == depth, F.col(c))).alias(f"{name}{c}") for c in columns]
@@ -87,7 +93,7 @@ def _edges(cuts: DataFrame, points: DataFrame) -> DataFrame:
     return out.fillna(0, ["pa", "pb", "ptotal"])  # the root
 
 
-def _locate(pending: DataFrame, edges: DataFrame, points: DataFrame) -> DataFrame:
+def _locate(pending: DataFrame, n_pending: int, edges: DataFrame, n_edges: int, points: DataFrame) -> DataFrame:
     """``pending`` (conv, n, lo) with ``lo`` = depth of the deepest node that its path runs through.
 
     A step of the search is a written table, so plans stay short; paths whose search is over
@@ -98,88 +104,97 @@ def _locate(pending: DataFrame, edges: DataFrame, points: DataFrame) -> DataFram
     closed = rows.where("lo >= hi")
     rows = rows.where("lo < hi")
     while True:
-        probes = _at(rows.withColumn("f", two_fattest(F.col("lo"), F.col("hi"))), points, "f", "x")
+        probes = _at(rows.withColumn("f", two_fattest(F.col("lo"), F.col("hi"))), points, "f", "x", n_pending)
         hit = (F.col("f") == F.col("hf")) & (F.col("xa") == F.col("ha")) & (F.col("xb") == F.col("hb"))
-        found = probes.join(table, hit, "left")
-        own = points.select(F.col("conv").alias("of"), F.col("d").alias("he"), F.col("a").alias("hea"), F.col("b").alias("heb"), F.lit(True).alias("through"))
-        # The extent of the node found, where the path has it; a path without a hit meets nothing here.
-        met = found.where("hf is not null").withColumn("of", F.col("conv")).join(own, ["of", "he", "hea", "heb"], "left")
-        lo, hi = F.when(F.col("through"), F.col("he")).otherwise(F.col("hp")), F.when(F.col("through"), F.col("hi")).otherwise(F.col("hp"))
-        missed = found.where("hf is null").select("conv", "n", "lo", (F.col("f") - 1).alias("hi"))
+        # Where a node is found its extent is compared, as far down as the path goes; else the last known depth is looked up in vain.
+        found = probes.join(small(table, n_edges), hit, "left").withColumn("to", F.coalesce(F.least("he", "n"), "f"))
+        found = _at(found, points, "to", "y", n_pending)
+        node = F.col("hf").isNotNull()
+        through = node & (F.col("to") == F.col("he")) & (F.col("ya") == F.col("hea")) & (F.col("yb") == F.col("heb"))
+        lo = F.when(through, F.col("he")).when(node, F.col("hp")).otherwise(F.col("lo"))
+        hi = F.when(through, F.col("hi")).when(node, F.col("hp")).otherwise(F.col("f") - 1)
         seen = Observation()
-        step = met.select("conv", "n", lo.alias("lo"), hi.alias("hi")).union(missed).observe(seen, F.count_if(F.col("lo") < F.col("hi")).alias("open"))
+        step = found.select("conv", "n", lo.alias("lo"), hi.alias("hi")).observe(seen, F.count_if(F.col("lo") < F.col("hi")).alias("open"))
         step = stage(step, "trie-search")
-        closed, rows = closed.union(step.where("lo >= hi")), step.where("lo < hi")
-        if not seen.get["open"]:
+        closed, rows, n_pending = closed.union(step.where("lo >= hi")), step.where("lo < hi"), seen.get["open"]
+        if not n_pending:
             return closed.select("conv", "n", "lo")
 
 
-def _leave(located: DataFrame, edges: DataFrame, points: DataFrame) -> DataFrame:
-    """Where each path leaves the trie: (conv, n, at, on, p, e); ``on``, ``p``, ``e`` are of the edge that it leaves inside, if any."""
-    rows = _at(located.withColumn("next", F.col("lo") + 1), points, "next", "x")
-    first = edges.select(F.col("conv").alias("on"), "p", "e", F.col("na").alias("xa"), F.col("nb").alias("xb"))
-    rows = rows.join(first.withColumn("lo", F.col("p")), ["lo", "xa", "xb"], "left").select("conv", "n", "lo", "on", "p", "e")
+def _leave(located: DataFrame, n_located: int, edges: DataFrame, n_edges: int, points: DataFrame) -> DataFrame:
+    """Where each path leaves the trie: (conv, n, at, on, p, e); ``on``, ``p``, ``e`` are of the edge that it leaves inside, if any.
+
+    Paths that end at a node that is there leave it nowhere and have no row.
+    """
+    rows = _at(located.where("lo < n").withColumn("next", F.col("lo") + 1), points, "next", "x", n_located)
+    first = edges.select(F.col("conv").alias("on"), "p", "e", F.col("na").alias("xa"), F.col("nb").alias("xb"), F.col("p").alias("lo"))
+    rows = rows.join(small(first, n_edges), ["lo", "xa", "xb"], "left").select("conv", "n", "lo", "on", "p", "e")
+    rows = stage(rows, "trie-exit-edges")
     along = rows.where("on is not null").select("conv", "on", "lo", F.least("n", "e").alias("up"))
-    along = along.join(points.select("conv", *KEY), "conv").where("d > lo and d <= up")
+    along = points.select("conv", *KEY).join(small(along, n_located), "conv").where("d > lo and d <= up")
     shared = along.join(points.select(F.col("conv").alias("on"), *KEY), ["on", *KEY]).groupBy("conv").agg(F.count(F.lit(1)).alias("shared"))
-    rows = rows.join(shared, "conv", "left").withColumn("at", F.col("lo") + F.coalesce("shared", F.lit(0)))
+    rows = rows.join(small(shared, n_located), "conv", "left").withColumn("at", F.col("lo") + F.coalesce("shared", F.lit(0)))
     inside = (F.col("at") > F.col("p")) & (F.col("at") < F.col("e"))
     return rows.select("conv", "n", "at", *[F.when(inside, F.col(c)).alias(c) for c in ("on", "p", "e")])
 
 
-def build_trie(points: DataFrame, ends: DataFrame) -> DataFrame:
-    """The compacted trie of the different sequences: edges as of :func:`_edges`.
+def build_trie(points: DataFrame, ends: DataFrame) -> tuple[DataFrame, int]:
+    """The compacted trie of the different sequences: edges as of :func:`_edges`, and their number.
 
-    ``points``: staged prefix points; ``ends``: staged (conv, d, a, b), a conversation per different sequence.
+    ``points``: staged prefix points of these sequences; ``ends``: staged (conv, d, a, b), a conversation per different sequence.
     """
-    points = stage(points.join(ends.select("conv"), "conv", "left_semi"), "trie-points")
     pending = ends.where("d > 0").select("conv", F.col("d").alias("n"), F.lit(0).cast("long").alias("lo"))
-    edges = None
+    n_pending = pending.count()
+    edges, n_edges = None, 0
     while True:
         if edges is None:
             left = pending.select("conv", "n", F.col("lo").alias("at"), *[F.lit(None).cast("long").alias(c) for c in ("on", "p", "e")])
         else:
-            left = stage(_leave(_locate(pending, edges, points), edges, points), "trie-left")
-        left = left.withColumn("next", F.when(F.col("at") < F.col("n"), F.col("at") + 1).otherwise(F.lit(-1)))
-        left = stage(_at(left, points, "next", "x"), "trie-exits")
+            left = stage(_leave(_locate(pending, n_pending, edges, n_edges, points), n_pending, edges, n_edges, points), "trie-exits")
         # A batch: of the paths that leave at one point by one turn, one becomes a leaf.
-        waiting = left.where("at < n")
+        waiting = stage(_at(left.where("at < n").withColumn("next", F.col("at") + 1), points, "next", "x", n_pending), "trie-waiting")
         drawn = waiting.groupBy("next", "xa", "xb").agg(F.min_by(F.struct("conv", "n"), F.struct(F.xxhash64("conv"), "conv")).alias("r"), F.count(F.lit(1)).alias("k"))
-        drawn = stage(drawn.select(F.col("r.conv").alias("conv"), (F.col("next") - 1).alias("p"), F.col("r.n").alias("e"), "k"), "trie-batch")
-        cuts = drawn.select("conv", "p", "e")
+        seen = Observation()
+        drawn = drawn.observe(seen, F.coalesce(F.sum("k"), F.lit(0)).alias("all"), F.count(F.lit(1)).alias("drawn"))
+        drawn = stage(drawn.select(F.col("r.conv").alias("conv"), (F.col("next") - 1).alias("p"), F.col("r.n").alias("e")), "trie-batch")
+        n_all, n_drawn = seen.get["all"], seen.get["drawn"]
         if edges is None:
-            edges = stage(_edges(cuts, points), "trie-edges")
+            edges = _edges(drawn, points, n_drawn)
         else:
             split = left.where("on is not null").select(F.col("on").alias("conv"), "p", "e", "at").distinct()
             whole = split.select("conv", "p", "e").distinct()
             pieces = split.union(whole.select("conv", "p", "e", F.col("e")))
             order = Window.partitionBy("conv", "p").orderBy("at")
             pieces = pieces.select("conv", F.coalesce(F.lag("at").over(order), "p").alias("p"), F.col("at").alias("e"))
-            kept = edges.join(whole, ["conv", "p", "e"], "left_anti").select(*edges.columns)
-            edges = stage(kept.unionByName(_edges(cuts.unionByName(pieces), points)), "trie-edges")
-        more = drawn.agg(F.sum(F.col("k") - 1)).first()[0]
-        if not more:
-            return edges
-        pending = stage(waiting.join(drawn.select("conv"), "conv", "left_anti").select("conv", "n", F.col("at").alias("lo")), "trie-pending")
+            cuts = stage(drawn.unionByName(pieces), "trie-cuts")  # at most a leaf and two pieces per path
+            kept = edges.join(small(whole, n_pending), ["conv", "p", "e"], "left_anti").select(*edges.columns)
+            edges = kept.unionByName(_edges(cuts, points, 3 * n_pending))
+        seen = Observation()
+        edges = stage(edges.observe(seen, F.count(F.lit(1)).alias("n")), "trie-edges")
+        n_edges = seen.get["n"]
+        if n_all == n_drawn:
+            return edges, n_edges
+        pending = stage(waiting.join(small(drawn.select("conv"), n_drawn), "conv", "left_anti").select("conv", "n", F.col("at").alias("lo")), "trie-pending")
+        n_pending = n_all - n_drawn
 
 
 SUMS = ["n_convs", "n_leaves", "path_bytes", "edge_bytes"]
 
 
-def subtree_sums(nodes: DataFrame) -> DataFrame:
-    """``nodes`` (d, a, b, pd, pa, pb, first, *SUMS) with ``first`` and the sums taken over each node's subtree.
+def subtree_sums(nodes: DataFrame, n_nodes: int) -> DataFrame:
+    """``nodes`` (d, a, b, pd, pa, pb, first, *SUMS), at most ``n_nodes``, with ``first`` and the sums taken over each node's subtree.
 
     Pointer doubling: after k rounds a node holds what lies less than 2^k levels below it.
     """
     values = nodes.select(*KEY, "first", *SUMS)
     up = stage(nodes.where("pd is not null").select(*KEY, F.col("pd").alias("ud"), F.col("pa").alias("ua"), F.col("pb").alias("ub")), "trie-up")
     while True:
-        given = values.join(up, KEY).groupBy("ud", "ua", "ub").agg(F.min("first").alias("first_"), *[F.sum(c).alias(f"{c}_") for c in SUMS])
+        given = values.join(small(up, n_nodes), KEY).groupBy("ud", "ua", "ub").agg(F.min("first").alias("first_"), *[F.sum(c).alias(f"{c}_") for c in SUMS])
         given = given.toDF(*KEY, "first_", *[f"{c}_" for c in SUMS])
         added = [(F.col(c) + F.coalesce(f"{c}_", F.lit(0))).alias(c) for c in SUMS]
-        values = stage(values.join(given, KEY, "left").select(*KEY, F.least("first", "first_").alias("first"), *added), "trie-sums")
+        values = stage(values.join(small(given, n_nodes), KEY, "left").select(*KEY, F.least("first", "first_").alias("first"), *added), "trie-sums")
         above = up.toDF("ud", "ua", "ub", "vd", "va", "vb")
-        up = stage(up.join(above, ["ud", "ua", "ub"]).select(*KEY, F.col("vd").alias("ud"), F.col("va").alias("ua"), F.col("vb").alias("ub")), "trie-up")
+        up = stage(up.join(small(above, n_nodes), ["ud", "ua", "ub"]).select(*KEY, F.col("vd").alias("ud"), F.col("va").alias("ua"), F.col("vb").alias("ub")), "trie-up")
         if up.isEmpty():
             return values
 
@@ -255,30 +270,33 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     and ends_sha256 (of the members that end there, ascending and comma-joined).
     """
     points = stage(prefix_points(turns), "trie-prefixes")
+    n_convs = convs.count()
     last = points.groupBy("conv").agg(F.max(F.struct(*KEY)).alias("k")).select("conv", "k.*")
-    ends = convs.join(last, "conv", "left").select("conv", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in KEY])
+    ends = convs.join(small(last, n_convs), "conv", "left").select("conv", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in KEY])
     ends = stage(ends, "trie-ends")
     sequences = stage(ends.groupBy(*KEY).agg(F.min("conv").alias("conv"), F.count(F.lit(1)).alias("n")), "trie-sequences")
-    edges = build_trie(points, sequences.select("conv", *KEY))
+    points = stage(points.join(small(sequences.select("conv"), n_convs), "conv", "left_semi"), "trie-points")
+    edges, n_edges = build_trie(points, sequences.select("conv", *KEY))
+    n_nodes = n_edges + 1
 
     keys = edges.select(F.col("e").alias("d"), F.col("ea").alias("a"), F.col("eb").alias("b"), F.col("p").alias("pd"), "pa", "pb", (F.col("etotal") - F.col("ptotal")).alias("edge_bytes"), F.col("etotal").alias("total"))
     root = [F.lit(0).cast("long").alias(c) for c in KEY]
     top = convs.limit(1).select(*root, *[F.lit(None).cast("long").alias(c) for c in ("pd", "pa", "pb")], *[F.lit(0).cast("long").alias(c) for c in ("edge_bytes", "total")])
     children = keys.groupBy("pd", "pa", "pb").agg(F.count(F.lit(1)).alias("n_children")).toDF(*KEY, "n_children")
     own = sequences.select(*KEY, F.col("conv").alias("first"), F.col("n").alias("n_convs"))
-    nodes = keys.union(top).join(own, KEY, "left").join(children, KEY, "left").fillna(0, ["n_convs", "n_children"])
+    nodes = keys.union(top).join(small(own, n_convs), KEY, "left").join(small(children, n_nodes), KEY, "left").fillna(0, ["n_convs", "n_children"])
     nodes = nodes.withColumn("path_bytes", F.col("n_convs") * F.col("total")).withColumn("n_leaves", (F.col("n_children") == 0).cast("long"))
     nodes = stage(nodes, "trie-nodes")
-    sums = subtree_sums(nodes)
+    sums = subtree_sums(nodes, n_nodes)
 
     # Expansion: a node per turn of each edge. Edges and points meet by pieces of PIECE turns.
     piece = F.expr(f"explode(sequence(p div {PIECE}, (e - 1) div {PIECE}))")
     spans = edges.select("conv", "p", "e", F.col("ea").alias("a"), F.col("eb").alias("b"), "pa", "pb", "ptotal", piece.alias("piece"))
     along = points.select("conv", "d", "size", "total", F.expr(f"(d - 1) div {PIECE}").alias("piece"))
-    rows = spans.join(along, ["conv", "piece"]).where("d > p and d <= e").drop("conv", "piece")
-    rows = rows.join(sums.withColumnRenamed("d", "e"), ["e", "a", "b"])
+    rows = along.join(spans, ["conv", "piece"]).where("d > p and d <= e").drop("conv", "piece")
+    rows = rows.join(small(sums.withColumnRenamed("d", "e"), n_nodes), ["e", "a", "b"])
     above = sums.select(F.col("d").alias("p"), F.col("a").alias("pa"), F.col("b").alias("pb"), F.col("first").alias("parent"))
-    rows = rows.join(above, ["p", "pa", "pb"])
+    rows = rows.join(small(above, n_nodes), ["p", "pa", "pb"])
     before = F.col("total") - F.col("size")  # bytes up to the turn before
     saved = F.col("path_bytes") - F.col("n_convs") * before - (F.col("edge_bytes") - (before - F.col("ptotal")))
     rows = rows.select(
@@ -287,7 +305,7 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     )
     base = sums.where("d = 0").select(*KEY, "first", F.lit(None).cast("long").alias("parent"), "n_convs", "n_leaves", (F.col("path_bytes") - F.col("edge_bytes")).alias("saved"))
     inner = rows.where("a is null").select("d", "first", "parent", "n_convs", F.lit(1).cast("long").alias("n_children"), "n_leaves", "saved", F.lit(None).cast("string").alias("ends_sha256"))
-    outer = rows.where("a is not null").union(base).join(children, KEY, "left").join(member_digests(ends), KEY, "left")
+    outer = rows.where("a is not null").union(base).join(small(children, n_nodes), KEY, "left").join(member_digests(ends), KEY, "left")
     outer = outer.select("d", "first", "parent", "n_convs", F.coalesce("n_children", F.lit(0)).alias("n_children"), "n_leaves", "saved", "ends_sha256")
     nothing = hashlib.sha256(b"").hexdigest()
     return inner.union(outer).select(
@@ -311,7 +329,9 @@ def rebuilt_trie(conversations: DataFrame) -> DataFrame:
     convs = stage(own.groupBy("conv").agg(F.count(F.lit(1)).alias("n")), "trie-convs")
     h = F.crc32(F.col("conv").cast("string")) % 9
     plan = convs.select("conv", (F.col("conv") - F.col("conv") % 5).alias("base"), h.alias("h"))
-    plan = plan.join(convs.toDF("base", "n"), "base", "left").select("conv", "base", "h", F.least("h", F.coalesce("n", F.lit(0))).alias("taken"))
+    n_convs = convs.count()
+    plan = plan.join(small(convs.toDF("base", "n"), n_convs), "base", "left").select("conv", "base", "h", F.least("h", F.coalesce("n", F.lit(0))).alias("taken"))
+    plan = small(stage(plan, "trie-plan"), n_convs)
     heads = own.where("pos <= 8").withColumnRenamed("conv", "base").join(plan, "base").where("pos <= taken").select("conv", F.col("pos").alias("d"), "k1", "k2", "size")
     tails = own.join(plan, "conv").where("pos > h").select("conv", (F.col("pos") - F.col("h") + F.col("taken")).alias("d"), "k1", "k2", "size")
     return prefix_trie(heads.union(tails), convs.select("conv"))
