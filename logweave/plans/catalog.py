@@ -157,7 +157,7 @@ def q_parse_edge_lines(spark, sf_dir):
 
 
 def q_parse_long_lines(spark, sf_dir):
-    """Lines of more than 2 MiB are entries like all others."""
+    """Lines of more than 2 MiB, among short ones, are entries like all others."""
     p = parse_lines(long_lines(table(spark, sf_dir, "events")))
     return p.select("request_id", "error_kind", F.length("message").cast("bigint").alias("message_chars"), "latency_ms")
 

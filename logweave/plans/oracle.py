@@ -7,9 +7,15 @@ SQL (windows, ``string_agg``, ``arg_min``), independently of the Spark code.
 
 from __future__ import annotations
 
-from logweave.operators.diagnose import SYSTEM_PROMPT
-from logweave.params import DEFAULT_MODEL, DEFAULT_SERVICE_CHAIN
-
+# Fixed values that results depend on, written out here so that the code under test does not supply them.
+SERVICE_CHAIN = ["api-gateway", "auth-service", "order-service", "payment-service", "inventory-service"]
+MODEL = "meta/llama3-70b-instruct"
+SYSTEM_TEXT = (
+    "You are an expert distributed systems engineer performing root cause analysis on microservice logs. "
+    "Analyze the logs and deduce which service caused the fault. Respond ONLY with valid JSON in this format: "
+    '{"root_cause": "...", "recommendation": "...", "severity": "critical|warning|info"}. '
+    "Do not wrap the JSON in markdown code blocks or add introductory text."
+)
 NL = "chr(10)"
 RFC3339 = r"\d{4}-\d\d-\d\dT\d{1,2}:\d\d:\d\d([.,]\d+)?(Z|[+-]\d\d:\d\d)"
 UTC_US = "'%Y-%m-%dT%H:%M:%S.%fZ'"
@@ -40,16 +46,16 @@ def _latency(x: str) -> str:
 
 
 def lines_sql(key: str = "bucket") -> str:
-    chain = "[" + ", ".join(f"'{s}'" for s in DEFAULT_SERVICE_CHAIN) + "]"
+    chain = "[" + ", ".join(f"'{s}'" for s in SERVICE_CHAIN) + "]"
     rid = (
         "'req-' || CAST(user_id AS VARCHAR)"
         if key == "user"
         else "'req-' || CAST(user_id AS VARCHAR) || '-' || CAST((day(ts) - 1) // 3 AS VARCHAR)"
     )
-    ts_txt = f"(CASE WHEN event_id % 109 = 0 THEN 'bad-timestamp' ELSE strftime(ts, {UTC_US}) END)"
+    ts_txt = f"(CASE WHEN event_id % 109 = 0 THEN strftime(ts, '%d/%m/%Y %H:%M:%S') ELSE strftime(ts, {UTC_US}) END)"
     service = f"(CASE WHEN event_id % 101 = 0 THEN '   ' ELSE rpad({chain}[event_id % 5 + 1], 17, ' ') END)"
     level = (
-        "(CASE WHEN event_id % 103 = 0 THEN 'FOOBAR' ELSE rpad(CASE WHEN event_type = 'error' AND event_id % 3 = 0 THEN 'ERROR'"
+        "(CASE WHEN event_id % 103 = 0 THEN 'NOTICE' ELSE rpad(CASE WHEN event_type = 'error' AND event_id % 3 = 0 THEN 'ERROR'"
         " WHEN event_type IN ('error', 'signup') THEN 'WARN' WHEN event_type = 'view' THEN 'DEBUG' ELSE 'INFO' END, 5, ' ') END)"
     )
     rid_f = f"(CASE WHEN event_id % 113 = 0 THEN '   ' ELSE {rid} END)"
@@ -59,9 +65,9 @@ def lines_sql(key: str = "bucket") -> str:
         " WHEN event_type = 'error' AND event_id % 4 = 1 THEN 'context deadline exceeded'"
         " WHEN event_type = 'error' THEN 'Payment declined' ELSE 'Event ' || event_type END)"
     )
-    lat = "(CASE WHEN event_id % 131 = 0 THEN 'latency=abc' ELSE 'latency=' || CAST(CAST(floor(value * 4) AS BIGINT) AS VARCHAR) || 'ms' END)"
+    lat = "(CASE WHEN event_id % 131 = 0 THEN 'latency=n/a' ELSE 'latency=' || CAST(CAST(floor(value * 4) AS BIGINT) AS VARCHAR) || 'ms' END)"
     raw = (
-        f"CASE WHEN event_id % 107 = 0 THEN {ts_txt} || ' | order-service | INFO'"
+        f"CASE WHEN event_id % 107 = 0 THEN {ts_txt} || ' | cut off'"
         f" ELSE concat_ws(' | ', {ts_txt}, {service}, {level}, {rid_f}, {msg}, {lat}) END"
     )
     base = f"SELECT {raw} AS raw, event_id FROM events"
@@ -70,7 +76,7 @@ def lines_sql(key: str = "bucket") -> str:
 
 def rules_ctes(source: str, keys: list[str], threshold_ms: int = 500, prefix: str = "") -> str:
     """CTEs ``{prefix}ra``, ``{prefix}rr``, ``{prefix}evaluated``: rule results per ``keys`` group of ``source``."""
-    chain = list(DEFAULT_SERVICE_CHAIN)
+    chain = list(SERVICE_CHAIN)
     flags = ",\n  ".join(f"bool_or(service = '{s}') AS h{i}" for i, s in enumerate(chain))
     missing = ", ".join(f"CASE WHEN NOT h{i} THEN 'missing_hop({s})' END" for i, s in enumerate(chain))
     k = ", ".join(keys)
@@ -193,8 +199,8 @@ EDGE_LINES = f"""SELECT CASE event_id % 8
   WHEN 5 THEN s || 'Z | svc | INFO | ' || r || ' | a | b | c | latency=5ms' WHEN 6 THEN s || ' | svc | INFO | ' || r || ' | no zone | latency=6ms'
   ELSE s || '-08:00 | svc | ERROR | ' || r || ' | minus | 7' END AS raw
   FROM (SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS s, 'edge-' || CAST(event_id AS VARCHAR) AS r FROM events)"""
-LONG_LINES = """SELECT strftime(ts, '%Y-%m-%dT%H:%M:%SZ') || ' | order-service | INFO | long-' || CAST(event_id AS VARCHAR) || ' | long ' || repeat('x', 2097147) || ' | latency=9ms' AS raw
-  FROM events WHERE event_id % 5000 = 1"""
+LONG_LINES = """SELECT strftime(ts, '%Y-%m-%dT%H:%M:%SZ') || ' | order-service | INFO | long-' || CAST(event_id AS VARCHAR) || ' | long ' || repeat('x', CASE WHEN event_id % 5000 = 1 THEN 2097147 ELSE event_id % 41 END) || ' | latency=9ms' AS raw
+  FROM events"""
 
 
 def oracle_queries() -> dict[str, str]:
@@ -238,7 +244,7 @@ def oracle_queries() -> dict[str, str]:
     q["detection_stats"] = _with(
         "SELECT count(*) AS total_groups, CAST(count_if(len(rules) > 0) AS BIGINT) AS anomalous_groups FROM evaluated"
     )
-    chain_values = ", ".join(f"({i}, '{s}')" for i, s in enumerate(DEFAULT_SERVICE_CHAIN))
+    chain_values = ", ".join(f"({i}, '{s}')" for i, s in enumerate(SERVICE_CHAIN))
     q["service_chain_gaps"] = _with(
         f"SELECT r.request_id, c.service, c.hop FROM (SELECT DISTINCT request_id FROM entries) r "
         f"CROSS JOIN (VALUES {chain_values}) c(hop, service) "
@@ -284,9 +290,9 @@ SELECT r.request_id,
   || CASE WHEN g.n > 50 THEN {NL} || '  ... [' || CAST(g.n - 50 AS VARCHAR) || ' logs omitted to fit token limits] ...' || {NL} || {NL} ELSE '' END
   || g.tail || {NL} || 'Provide root cause analysis, a recommended fix, and severity level.' AS prompt
 FROM reports r JOIN g USING (request_id)"""
-    system = SYSTEM_PROMPT.replace("'", "''")
+    system = SYSTEM_TEXT.replace("'", "''")
     q["build_requests"] = f"""WITH p AS ({q["build_prompts"]})
-SELECT request_id, CAST(to_json(struct_pack(model := '{DEFAULT_MODEL}',
+SELECT request_id, CAST(to_json(struct_pack(model := '{MODEL}',
   messages := [struct_pack(role := 'system', content := '{system}'), struct_pack(role := 'user', content := prompt)],
   temperature := 0.1)) AS VARCHAR) AS body FROM p"""
     q["parse_responses"] = "WITH " + _RESPONSES.strip() + "\nSELECT request_id, valid, root_cause, recommendation, severity FROM expected"

@@ -33,12 +33,12 @@ def event_log_lines(events: DataFrame, key: str = "bucket", repeats: bool = True
     chain = F.array(*[F.lit(s) for s in DEFAULT_SERVICE_CHAIN])
     eid = "event_id"
     etype = F.col("event_type")
-    ts_txt = F.when(_mod(eid, 109) == 0, F.lit("bad-timestamp")).otherwise(
+    ts_txt = F.when(_mod(eid, 109) == 0, F.date_format("ts", "dd/MM/yyyy HH:mm:ss")).otherwise(
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     )
     service = F.when(_mod(eid, 101) == 0, F.lit("   ")).otherwise(F.rpad(F.get(chain, _mod(eid, 5).cast("int")), 17, " "))
     level = (
-        F.when(_mod(eid, 103) == 0, F.lit("FOOBAR"))
+        F.when(_mod(eid, 103) == 0, F.lit("NOTICE"))
         .otherwise(F.rpad(
             F.when((etype == "error") & (_mod(eid, 3) == 0), F.lit("ERROR"))
             .when(etype.isin("error", "signup"), F.lit("WARN"))
@@ -53,10 +53,10 @@ def event_log_lines(events: DataFrame, key: str = "bucket", repeats: bool = True
         .when(etype == "error", F.lit("Payment declined"))
         .otherwise(F.concat(F.lit("Event "), etype))
     )
-    latency = F.when(_mod(eid, 131) == 0, F.lit("latency=abc")).otherwise(
+    latency = F.when(_mod(eid, 131) == 0, F.lit("latency=n/a")).otherwise(
         F.concat(F.lit("latency="), F.floor(F.col("value") * 4).cast("string"), F.lit("ms"))
     )
-    raw = F.when(_mod(eid, 107) == 0, F.concat(ts_txt, F.lit(" | order-service | INFO"))).otherwise(
+    raw = F.when(_mod(eid, 107) == 0, F.concat(ts_txt, F.lit(" | cut off"))).otherwise(
         F.concat_ws(" | ", ts_txt, service, level, rid, message, latency)
     )
     lines = events.select(raw.alias("raw"), F.col(eid).alias("event_id"))
@@ -137,8 +137,8 @@ def edge_lines(events: DataFrame) -> DataFrame:
 
 
 def long_lines(events: DataFrame, size: int = 2 << 20) -> DataFrame:
-    """A valid line with a message of ``size`` characters for every 5000th event."""
-    some = events.where(_mod("event_id", 5000) == 1)
-    message = F.concat(F.lit("long "), F.repeat(F.lit("x"), size - 5))
+    """One valid line per event; every 5000th has a message of ``size`` characters, the others one of up to 45."""
+    x = F.when(_mod("event_id", 5000) == 1, F.lit(size - 5)).otherwise(_mod("event_id", 41).cast("int"))
+    message = F.concat(F.lit("long "), F.repeat(F.lit("x"), x))
     stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    return some.select(F.concat(stamp, F.lit(" | order-service | INFO | long-"), F.col("event_id").cast("string"), F.lit(" | "), message, F.lit(" | latency=9ms")).alias("raw"))
+    return events.select(F.concat(stamp, F.lit(" | order-service | INFO | long-"), F.col("event_id").cast("string"), F.lit(" | "), message, F.lit(" | latency=9ms")).alias("raw"))

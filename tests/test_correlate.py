@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -13,24 +14,31 @@ def entries_of(lines_df, lines):
     return accepted(parse_lines(lines_df(lines)))
 
 
-def test_duplicate_raw_dropped(lines_df):
-    t1, t2 = "2026-03-13T10:00:00Z", "2026-03-13T10:00:01Z"
-    e = entries_of(lines_df, [line(ts=t1, rid="req-1", msg="m1"), line(ts=t2, rid="req-1", msg="m2"), line(ts=t1, rid="req-1", msg="m1")])
-    rows = correlate(e).orderBy("entry_pos").collect()
-    assert [(r.request_id, r.message, r.entry_pos) for r in rows] == [("req-1", "m1", 1), ("req-1", "m2", 2)]
-    assert correlation_stats(e).collect()[0].asDict() == {"entries_read": 3, "request_groups": 1}
-
-
-def test_entries_sorted_by_time(lines_df):
-    ts = {"m1": "2026-03-13T10:00:00Z", "m2": "2026-03-13T10:00:01Z", "m3": "2026-03-13T10:00:02Z"}
-    e = entries_of(lines_df, [line(ts=ts[m], rid="req-1", msg=m) for m in ["m3", "m1", "m2"]])
-    assert [r.message for r in correlate(e).orderBy("entry_pos").collect()] == ["m1", "m2", "m3"]
-
-
-def test_groups_sorted_by_start(lines_df):
-    e = entries_of(lines_df, [line(ts="2026-03-13T10:00:02Z", rid="req-1"), line(ts="2026-03-13T10:00:01Z", rid="req-2")])
-    rows = group_order(group_bounds(dedup_entries(e))).orderBy("group_pos").collect()
-    assert [r.request_id for r in rows] == ["req-2", "req-1"]
+def generated(seed, n=120):
+    """Lines of several flows in random order, some of them repeated, some at equal times."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        at = f"2029-08-{rng.randrange(1, 4):02d}T{rng.randrange(24):02d}:{rng.choice((5, 35)):02d}:{rng.randrange(3):02d}Z"
+        rows.append((f"trace/{rng.randrange(7)}", at, f"step {rng.randrange(5)}"))
+    rows += rng.sample(rows, n // 4)
+    rng.shuffle(rows)
+    return [(rid, at, line(ts=at, rid=rid, msg=msg)) for rid, at, msg in rows]
+
+
+@pytest.mark.parametrize("seed", [3, 8])
+def test_flows_against_plain_lists(lines_df, seed):
+    rows = generated(seed)
+    flows = {}
+    for rid, at, raw in set(rows):
+        flows.setdefault(rid, []).append((at, raw))
+    e = entries_of(lines_df, [raw for _, _, raw in rows])
+    want = {(rid, pos, raw) for rid, own in flows.items() for pos, (_, raw) in enumerate(sorted(own), 1)}
+    assert {(r.request_id, r.entry_pos, r.raw) for r in correlate(e).collect()} == want
+    by_start = sorted(flows, key=lambda rid: (min(flows[rid])[0], rid))
+    order = group_order(group_bounds(dedup_entries(e))).collect()
+    assert {(r.request_id, r.group_pos, r.n_entries) for r in order} == {(rid, i, len(flows[rid])) for i, rid in enumerate(by_start, 1)}
+    assert correlation_stats(e).collect()[0].asDict() == {"entries_read": len(rows), "request_groups": len(flows)}
 
 
 def test_bounds_use_offsets_and_nanos(lines_df):

@@ -1,5 +1,7 @@
 import datetime as dt
 import json
+import random
+import re
 
 import pytest
 
@@ -14,6 +16,7 @@ from logweave.operators.diagnose import (
 )
 from logweave.operators.parse import accepted, parse_lines
 from logweave.operators.rules import detect
+from logweave.params import Params
 
 BASE = dt.datetime(2026, 3, 16, 15, 56, 0)
 
@@ -22,43 +25,38 @@ def entries_of(lines_df, lines):
     return accepted(parse_lines(lines_df(lines)))
 
 
-def n_lines(n, level="INFO", msg="Disk pressure", lat=10, rid="flow-4c"):
-    return [
-        line(ts=(BASE + dt.timedelta(seconds=i)).strftime("%Y-%m-%dT%H:%M:%SZ"), service="billing", level=level, rid=rid, msg=msg, lat=f"latency={lat}ms")
-        for i in range(n)
-    ]
+def error_lines(n, rid="flow/4c"):
+    """``n`` lines at different times, each with a message of its own."""
+    return [line(ts=(BASE + dt.timedelta(minutes=11 * i)).strftime("%Y-%m-%dT%H:%M:%SZ"), level="ERROR", rid=rid, msg=f"fault {i * i} of {n}") for i in range(n)]
 
 
-def prompt_of(lines_df, lines):
-    e = entries_of(lines_df, lines)
-    return build_prompts(e, detect(e)).collect()[0].prompt
-
-
-def test_sixty_entries_trimmed_to_fifty(lines_df):
-    p = prompt_of(lines_df, n_lines(60, level="ERROR"))
-    assert "10 logs omitted to fit token limits" in p
-    assert p.count("billing | ERROR | Disk pressure") == 50
-    body = p.split("\n")
-    assert body[0] == "Analyze the following anomalous request flow (request_id: flow-4c)."
-    assert "  [2026-03-16T15:56:19Z] billing | ERROR | Disk pressure | latency=10ms" in body  # 20th kept
-    assert "  [2026-03-16T15:56:20Z] billing | ERROR | Disk pressure | latency=10ms" not in body  # 21st omitted
-    assert "  [2026-03-16T15:56:30Z] billing | ERROR | Disk pressure | latency=10ms" in body  # first of the last 30
-    assert p.endswith("\nProvide root cause analysis, a recommended fix, and severity level.")
+LIMITS = [Params(), Params(prompt_max_entries=7, prompt_head=2, prompt_tail=4), Params(prompt_max_entries=12, prompt_head=1, prompt_tail=9)]
 
 
-def test_forty_entries_not_trimmed(lines_df):
-    p = prompt_of(lines_df, n_lines(40, level="WARN", msg="Slow commit", lat=100))
-    assert "logs omitted" not in p
-    assert p.count("billing | WARN | Slow commit") == 40
+@pytest.mark.parametrize("params", LIMITS, ids=lambda p: str(p.prompt_max_entries))
+def test_prompts_keep_what_a_list_slice_keeps(lines_df, params):
+    """Requests with entry counts around the limit, their lines in random order and partly repeated."""
+    rng = random.Random(params.prompt_max_entries)
+    most = params.prompt_max_entries
+    sizes = [1, most - 1, most, most + 1, *(rng.randrange(most + 2, 3 * most) for _ in range(2))]
+    flows = {f"flow/{k}": error_lines(n, f"flow/{k}") for k, n in enumerate(sizes)}
+    lines = [x for own in flows.values() for x in own + rng.sample(own, len(own) // 3)]
+    rng.shuffle(lines)
+    e = entries_of(lines_df, lines)
+    prompts = {r.request_id: r.prompt for r in build_prompts(e, detect(e), params).collect()}
+    assert set(prompts) == set(flows)
+    for rid, own in flows.items():
+        shown = own if len(own) <= most else own[: params.prompt_head] + own[len(own) - params.prompt_tail :]
+        messages = [x.split(" | ")[4] for x in shown]
+        listed = [x.split(" | ")[2] for x in prompts[rid].split("\n") if x.startswith("  [") and " | " in x]
+        assert listed == messages
+        notes = re.findall(r"\[(\d+) logs omitted", prompts[rid])
+        assert notes == ([] if len(own) <= most else [str(len(own) - most)])
 
 
-@pytest.mark.parametrize("n, omitted", [(50, None), (51, 1)])
-def test_fifty_boundary(lines_df, n, omitted):
-    p = prompt_of(lines_df, n_lines(n, level="ERROR"))
-    if omitted is None:
-        assert "omitted" not in p and p.count("| Disk pressure |") == 50
-    else:
-        assert "[1 logs omitted to fit token limits]" in p and p.count("| Disk pressure |") == 50
+def prompt_of(lines_df, lines):
+    e = entries_of(lines_df, lines)
+    return build_prompts(e, detect(e)).collect()[0].prompt
 
 
 def test_prompt_layout_small(lines_df):
@@ -74,7 +72,7 @@ def test_prompt_layout_small(lines_df):
 
 
 def test_request_body(lines_df):
-    e = entries_of(lines_df, n_lines(3, level="ERROR"))
+    e = entries_of(lines_df, error_lines(3))
     body = json.loads(build_requests(build_prompts(e, detect(e))).collect()[0].body)
     assert body["model"] == "meta/llama3-70b-instruct"
     assert [m["role"] for m in body["messages"]] == ["system", "user"]

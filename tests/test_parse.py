@@ -1,7 +1,9 @@
 import datetime as dt
+import random
 
 import pytest
 
+from bruteforce import parse
 from conftest import line
 from logweave.operators.parse import first_rejects, parse_lines, parse_logs, parse_stats
 from logweave.params import Params
@@ -13,37 +15,44 @@ def parse_one(lines_df, raw):
     return parse_lines(lines_df([raw])).collect()[0]
 
 
-# --- the original tool's parser cases ------------------------------------------------
-
-def test_valid_padded_line(lines_df):
-    r = parse_one(lines_df, "2031-11-02T09:15:42.875Z | order-service   | INFO  | job-77f0 | Invoice stored | latency=63ms")
-    assert r.parse_error is None
-    assert (r.service, r.level, r.request_id, r.message, r.latency_ms) == ("order-service", "INFO", "job-77f0", "Invoice stored", 63)
-    assert r.ts == dt.datetime(2031, 11, 2, 9, 15, 42, 875000)
-    assert r.tz_offset == "Z"
-
-
-@pytest.mark.parametrize(
-    "raw, kind, text",
-    [
-        ("2031-11-02T09:15:42.875Z | order-service | INFO", "fields", "expected 6 pipe-delimited fields, got 3"),
-        (line(ts="bad-timestamp"), "timestamp", "parse timestamp"),
-        (line(service="   "), "service", "missing service name"),
-        (line(level="FOOBAR"), "level", "invalid log level: FOOBAR"),
-        (line(rid="  "), "request_id", "missing request ID"),
-        (line(msg="  "), "message", "missing message"),
-    ],
-)
-def test_rejects(lines_df, raw, kind, text):
-    r = parse_one(lines_df, raw)
-    assert r.error_kind == kind
-    assert text in r.parse_error
-
-
-@pytest.mark.parametrize("lat", ["", "latency=abc"])
-def test_bad_latency_is_zero_not_reject(lines_df, lat):
-    r = parse_one(lines_df, line(lat=lat))
-    assert r.parse_error is None and r.latency_ms == 0
+# --- lines from pools of field values, against the plain parser -----------------------
+
+#: Per field: values that are fine, and values that are not, with the kind and the text of the reject.
+POOLS = [
+    (["1999-12-31T23:59:59.5Z", " 2040-02-29T00:00:00Z"], [("31.12.1999", "timestamp", 'parse timestamp: invalid RFC 3339 time "31.12.1999"')]),
+    (["ledger", "  mailer\t"], [("\t ", "service", "missing service name")]),
+    (["DEBUG", " WARN "], [("FATAL", "level", "invalid log level: FATAL"), ("Warn", "level", "invalid log level: Warn")]),
+    (["tx:9", " tx:10 "], [("", "request_id", "missing request ID")]),
+    (["queue drained", " cache timeout"], [("   ", "message", "missing message")]),
+    (["latency=3ms", "latency=fast", "", "-12", "latency=7"], []),
+]
+
+
+def test_every_mix_of_field_values(lines_df):
+    """All good values with each other, and one or two bad values among good ones: the first bad field decides."""
+    rng = random.Random(1)
+    want = {}
+    for _ in range(120):
+        fields = [rng.choice(good) for good, _ in POOLS]
+        want[" | ".join(fields)] = None
+    for _ in range(120):
+        fields = [rng.choice(good) for good, _ in POOLS]
+        places = sorted(rng.sample(range(5), rng.choice((1, 2))))
+        chosen = [rng.choice(POOLS[k][1]) for k in places]
+        for k, (value, _, _) in zip(places, chosen):
+            fields[k] = value
+        want[" | ".join(fields)] = chosen[0][1:]
+    for n in range(1, 6):
+        want[" | ".join(rng.choice(good) for good, _ in POOLS[:n])] = ("fields", f"expected 6 pipe-delimited fields, got {n}")
+    rows = parse_lines(lines_df(list(want))).collect()
+    assert len(rows) == len(want)
+    for r in rows:
+        plain = parse(r.raw)
+        assert (plain is None) == (want[r.raw] is not None) == (r.error_kind is not None)
+        if plain is None:
+            assert (r.error_kind, r.parse_error) == want[r.raw]
+        else:
+            assert (r.ts, r.service, r.level, r.request_id, r.message, r.latency_ms) == tuple(plain[k] for k in ("ts", "service", "level", "rid", "msg", "ms"))
 
 
 # --- boundaries ----------------------------------------------------------------------
