@@ -48,7 +48,8 @@ from logweave.streaming.landing import (
     repaired_error_rate,
     repaired_reports,
 )
-from logweave.streaming.live import stream_dedup, stream_error_rate, stream_reports
+from logweave.streaming.live import stream_dedup, stream_entries, stream_error_rate, stream_reports
+from logweave.streaming.spikes import rocksdb_state, stream_spikes
 
 # Parameters of the registered queries (the oracle SQL uses the same values).
 SPIKE_EVENTS_PARAMS = Params(spike_window=timedelta(hours=1), spike_threshold=5)
@@ -423,6 +424,21 @@ def q_stream_dedup(spark, sf_dir):
     return repaired_entries(once, late_rows_table(spark, base)).select("request_id", "raw")
 
 
+def q_stream_error_spikes(spark, sf_dir):
+    """Exact spikes (1 hour, more than 3) of a stream over several micro-batches, each of which spans the table.
+
+    The delay covers the table, so no line is late; a line that far ahead closes all windows.
+    """
+    base = new_folder(spark, "stream-spikes")
+    log_lines(spark, sf_dir).repartition(3).write.text(f"{base}/in")
+    last = table(spark, sf_dir, "events").agg(F.date_format(F.max("ts") + F.expr("INTERVAL 800 DAYS"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("t"))
+    last.select(F.concat("t", F.lit(" | api-gateway | INFO | watermark-sentinel | end of replay | latency=0ms"))).write.mode("append").text(f"{base}/in")
+    entries, _ = stream_entries(spark, f"{base}/in", pattern="*.txt", max_files_per_trigger=2)
+    with rocksdb_state(spark):
+        spikes = _run_to_parquet(stream_spikes(entries, ALERTS_PARAMS, timedelta(days=400)), base)
+    return spikes.select(format_utc_micros("start_ts").alias("start_utc"), "errors_in_window")
+
+
 def q_stream_rejects(spark, sf_dir):
     """Text files read as a stream, two per micro-batch, landed with one parse; its rejects."""
     base = new_folder(spark, "stream-rejects")
@@ -465,6 +481,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dedup": q_stream_dedup,
     "stream_rejects": q_stream_rejects,
     "stream_late_rows": q_stream_late_rows,
+    "stream_error_spikes": q_stream_error_spikes,
     "stream_landing_counters": q_stream_landing_counters,
     "parse_edge_lines": q_parse_edge_lines,
     "parse_long_lines": q_parse_long_lines,

@@ -343,6 +343,11 @@ FROM judged GROUP BY batch_id"""
         "SELECT kind, CAST(CASE WHEN kind = 'damaged' THEN 0 ELSE count(*) END AS BIGINT) AS n_lines, kind = 'damaged' AS failed "
         "FROM (SELECT ['plain', 'packed', 'damaged'][length(raw) % 3 + 1] AS kind FROM lines) GROUP BY kind"
     )
+    q["stream_error_spikes"] = _with(
+        f"SELECT DISTINCT strftime(ts, {UTC_US}) AS start_utc, n AS errors_in_window FROM (SELECT ts, count(*) OVER "
+        "(ORDER BY ts RANGE BETWEEN CURRENT ROW AND INTERVAL '3599999999 microseconds' FOLLOWING) AS n "
+        "FROM (SELECT DISTINCT * FROM entries) WHERE level = 'ERROR') WHERE n > 3"
+    )
     q["write_alerts_roundtrip"] = alerts_with + "SELECT request_id, root_cause, recommendation, severity, 'broken' AS failed_sinks FROM alerts"
     q["run_no_anomaly"] = (
         "SELECT 'no anomalies' AS status, CAST(5 * count(*) AS BIGINT) AS total_lines, count(DISTINCT event_id) AS total_groups, "
