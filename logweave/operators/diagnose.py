@@ -140,54 +140,70 @@ def build_requests(prompts: DataFrame, params: Params = Params()) -> DataFrame:
 # ------------------------------------------------------------ strict decoding
 
 _STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "allowUnquotedFieldNames": "false"}
-_OBJECT_LIST = "array<map<string,variant>>"
+#: Stands before the text of every JSON string, so that a decoded string cannot be taken for another value.
+MARK = "s:"
+
+
+def marked(text: Column) -> Column:
+    """The same JSON with ``MARK`` at the start of every string, keys included; invalid text stays invalid.
+
+    Escaped backslashes and quotes become their ``\\u`` form first, so that a string ends at the next quote.
+    """
+    plain = F.replace(F.replace(text, F.lit("\\\\"), F.lit("\\u005c")), F.lit('\\"'), F.lit("\\u0022"))
+    return F.regexp_replace(plain, '"([^"]*+)"', f'"{MARK}$1"')
 
 
 def strict_object(text: Column) -> Column:
-    """Decode ``text`` as exactly one JSON object (or ``null``) -> ``map<string,variant>``.
+    """Decode ``text`` as exactly one JSON object (or ``null``) -> ``map<string,string>`` of marked values.
 
     Returns a struct ``(ok, obj)``. ``ok`` is false for anything that is not a single
     valid JSON object/null: trailing text, a second value, trailing commas, NaN,
     leading zeros, raw control characters, single quotes, empty text, or a
-    non-object value. Duplicate keys are kept in order (the last one wins).
+    non-object value. Keys and strings start with ``MARK``; objects, arrays and other values
+    are their JSON text, so what is ignored is never decoded further and may repeat keys.
+    Duplicate keys are kept in order (the last one wins).
     """
-    arr = F.from_json(F.concat(F.lit("["), text, F.lit("]")), _OBJECT_LIST, _STRICT)
+    json = marked(text)
+    arr = F.from_json(F.concat(F.lit("["), json, F.lit("]")), "array<map<string,string>>", _STRICT)
     # Spark's JSON reader stops after the first complete value, so text could close
     # the '[' wrapper early with ']' and hide trailing text. A second wrapper that
     # needs '}' to close early, with a sentinel member after the text, catches it:
     # no text closes both wrappers early.
-    sentinel = F.from_json(F.concat(F.lit('{"v":'), text, F.lit(',"w":1}')), "v map<string,variant>, w int", _STRICT)
+    sentinel = F.from_json(F.concat(F.lit('{"v":'), json, F.lit(',"w":1}')), "v map<string,string>, w int", _STRICT)
     ok = (F.size(arr) == 1) & (sentinel["w"] == 1)
     return F.struct(F.coalesce(ok, F.lit(False)).alias("ok"), F.get(arr, 0).alias("obj"))
 
 
 def field_ci(obj: Column, name: str) -> Column:
-    """Value of the last key equal to ``name`` ignoring case (NULL when absent)."""
-    hits = F.filter(F.map_entries(obj), lambda e: F.lower(e["key"]) == name.lower())
+    """Value of the last key equal to ``name`` ignoring case (NULL when absent or null)."""
+    hits = F.filter(F.map_entries(obj), lambda e: F.lower(e["key"]) == MARK + name.lower())
     return F.get(hits, F.size(hits) - 1)["value"]
 
 
-def _is(v: Column, kind: str) -> Column:
-    """The value is absent, null or of this JSON kind."""
-    return F.coalesce(F.schema_of_variant(v).startswith(kind) | (F.schema_of_variant(v) == "VOID"), F.lit(True))
+def _is(v: Column, start: str) -> Column:
+    """The value is absent, null, or begins like this kind of JSON value."""
+    return F.coalesce(v.startswith(start), F.lit(True))
 
 
 def _member(v: Column, name: str) -> Column:
-    """Member ``name`` of a value, NULL when the value is not an object (never an error)."""
-    return field_ci(F.try_variant_get(v, "$", "map<string,variant>"), name)
+    """Member ``name`` of a value, NULL when the value is not an object."""
+    return field_ci(F.from_json(F.when(v.startswith("{"), v), "map<string,string>", _STRICT), name)
 
 
 def _choice_ok(choice: Column) -> Column:
     message = _member(choice, "message")
-    return _is(choice, "OBJECT") & _is(message, "OBJECT") & _is(_member(message, "content"), "STRING")
+    return _is(choice, "{") & _is(message, "{") & _is(_member(message, "content"), MARK)
+
+
+def _text_of(v: Column) -> Column:
+    """The text of a marked string; '' for anything else."""
+    return F.coalesce(F.when(v.startswith(MARK), F.substring(v, len(MARK) + 1, 2**31 - 1)), F.lit(""))
 
 
 def _string_field(obj: Column, name: str) -> tuple[Column, Column]:
     """(value or '', type ok): a string or null decodes; any other JSON type is an error."""
     v = field_ci(obj, name)
-    kind = F.schema_of_variant(v)
-    ok = v.isNull() | kind.isin("STRING", "VOID")
-    return F.coalesce(F.when(kind == "STRING", F.variant_get(v, "$", "string")), F.lit("")), ok
+    return _text_of(v), _is(v, MARK)
 
 
 def _clean_content(c: Column) -> Column:
@@ -203,17 +219,16 @@ def parse_responses(responses: DataFrame) -> DataFrame:
 
     ``valid`` is false for a non-200 status, an envelope that is not strict JSON,
     no choices, wrongly typed fields (in any choice) or content that is not one strict
-    JSON object; then the decoded columns are NULL. No input raises an error. A key
-    that is repeated inside a nested object also makes an answer invalid, because a
-    variant refuses it; repeated keys of the answer itself are fine (the last counts).
+    JSON object; then the decoded columns are NULL. No input raises an error. Of repeated
+    keys the last counts, at every level; members that are not asked for may hold anything.
     """
     env = responses.select("request_id", "status", strict_object(F.col("body")).alias("_env"))
     choices = field_ci(F.col("_env.obj"), "choices")
     staged = env.select(
         "request_id", "status",
         F.col("_env.ok").alias("_env_ok"),
-        F.try_variant_get(choices, "$", "array<variant>").alias("_choices"),
-        _is(choices, "ARRAY").alias("_choices_ok"),
+        F.from_json(F.when(choices.startswith("["), choices), "array<string>", _STRICT).alias("_choices"),
+        _is(choices, "[").alias("_choices_ok"),
     )
     # A typed decode of the whole list: one wrongly typed choice refuses the answer.
     first = _member(_member(F.get(F.col("_choices"), 0), "message"), "content")
@@ -221,7 +236,7 @@ def parse_responses(responses: DataFrame) -> DataFrame:
         "request_id", "status", "_env_ok", "_choices_ok",
         F.coalesce(F.forall("_choices", _choice_ok), F.lit(True)).alias("_all_ok"),
         F.coalesce(F.size("_choices"), F.lit(0)).alias("_n_choices"),
-        F.coalesce(F.try_variant_get(first, "$", "string"), F.lit("")).alias("_content"),
+        _text_of(first).alias("_content"),
     )
     staged = staged.select("*", strict_object(_clean_content(F.col("_content"))).alias("_d"))
     rc, rc_ok = _string_field(F.col("_d.obj"), "root_cause")

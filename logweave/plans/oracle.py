@@ -167,7 +167,7 @@ k1 AS (SELECT *, {_OBJ} AS obj FROM k0 WHERE v <> 9),
 k2 AS (SELECT *, CASE v WHEN 0 THEN obj WHEN 1 THEN '```json' || chr(10) || obj || chr(10) || '```' WHEN 2 THEN '```' || chr(10) || obj || chr(10) || '```'
   WHEN 3 THEN 'Sure! ' || obj || ' hope this helps' WHEN 4 THEN '{{"Root_Cause": "Upstream fault for ' || rid || '", "SEVERITY": "warning"}}'
   WHEN 5 THEN '{{"root_cause":null}}' WHEN 6 THEN '{{"root_cause":5}}'
-  ELSE CASE WHEN user_id % 2 = 0 THEN '{{"root_cause": "x",}}' ELSE '{{"root_cause": "a"}} and {{"severity": "b"}}' END END AS content FROM k1),
+  ELSE CASE WHEN user_id % 3 = 0 THEN '{{"root_cause": "x",}}' WHEN user_id % 3 = 1 THEN '{{"root_cause": "kept", "notes": {{"k": 1, "k": {{"k": 2}}}}}}' ELSE '{{"root_cause": "a"}} and {{"severity": "b"}}' END END AS content FROM k1),
 answers AS (SELECT rid AS request_id, CASE WHEN v = 8 THEN 500 ELSE 200 END AS status, CASE v
   WHEN 8 THEN '{{"error": "internal server error"}}' WHEN 10 THEN '{{"choices":[{{"message":"hi"}}]}}' WHEN 11 THEN '{{"choices":[{{"message":5}}]}}'
   WHEN 12 THEN '{{"choices":[{{"message":[1]}}]}}' WHEN 13 THEN '{{"choices":[' || {_GOOD} || ',{{"message":"x"}}]}}' WHEN 14 THEN '{{"choices":"x"}}'

@@ -78,7 +78,8 @@ def _content(v: Column, rid: Column, sev: Column) -> Column:
         .when(v == 4, F.concat(F.lit('{"Root_Cause": "Upstream fault for '), rid, F.lit('", "SEVERITY": "warning"}')))
         .when(v == 5, F.lit('{"root_cause":null}'))
         .when(v == 6, F.lit('{"root_cause":5}'))
-        .when(F.pmod(F.col("user_id"), F.lit(2)) == 0, F.lit('{"root_cause": "x",}'))
+        .when(F.pmod(F.col("user_id"), F.lit(3)) == 0, F.lit('{"root_cause": "x",}'))
+        .when(F.pmod(F.col("user_id"), F.lit(3)) == 1, F.lit('{"root_cause": "kept", "notes": {"k": 1, "k": {"k": 2}}}'))
         .otherwise(F.lit('{"root_cause": "a"} and {"severity": "b"}'))
     )
 

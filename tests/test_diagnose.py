@@ -133,7 +133,15 @@ CASES = [
     *[(200, json.dumps({"choices": [{"message": {"content": OBJ}}, x]}), None) for x in ("x", 1, [], {"message": "x"}, {"message": {"content": 1}})],
     *[(200, json.dumps({"choices": [{"message": {"content": OBJ}}, x]}), ("db", "fix", "info")) for x in (None, {}, {"message": None}, {"message": {"content": "x"}})],
     *[(200, x, None) for x in ("[]", "5", "null", '"x"', "", "[1,2]", None)],
-    (200, envelope('{"root_cause":"a","x":{"k":1,"k":2}}'), None),  # a documented gap: nested repeated keys
+    # repeated keys in what is ignored, and at every level of the envelope (the last counts)
+    (200, envelope('{"root_cause":"a","x":{"k":1,"k":2}}'), ("a", "", "")),
+    (200, envelope('{"x":[{"k":{"k":1,"k":[]}},{"k":1,"K":2,"k":3}],"severity":"info","y":{"root_cause":5}}'), ("", "", "info")),
+    (200, '{"id":{"a":1,"a":2},"choices":[{"message":{"content":"no","content":"{}"},"message":{"content":' + json.dumps(OBJ) + "}}]}", ("db", "fix", "info")),
+    (200, envelope('{"root_cause":"a","x":{"k":1,}}'), None),
+    (200, envelope('{"root_cause":"a","x":{"k":"\u00e9\\q"}}'), None),  # a wrong escape in what is ignored
+    # texts that look like other values, or like the decoder's own marks
+    *[(200, envelope(json.dumps({"root_cause": x})), (x, "", "")) for x in ('s:"', "{", "[1]", "5", "null", 's:s:\\"{}', "\\", 'a\\\\"b', "\n\t\u2028é", "")],
+    (200, envelope(json.dumps({'odd"key\\': {'a"': "}"}, "severity": "info"})), ("", "", "info")),
 ]
 
 
@@ -148,7 +156,7 @@ def test_strict_response_decoding(spark):
 
 
 def test_diagnose_uses_valid_response_else_fallback(spark, lines_df):
-    e = entries_of(lines_df, n_lines(2, level="ERROR", rid="a") + n_lines(2, level="ERROR", rid="b") + n_lines(2, level="ERROR", rid="c"))
+    e = entries_of(lines_df, error_lines(2, "a") + error_lines(2, "b") + error_lines(2, "c"))
     reports = detect(e)
     responses = spark.createDataFrame(
         [("a", 200, envelope(OBJ)), ("b", 200, envelope("garbage")), ("zzz", 200, envelope(OBJ))],
