@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.functions.text import format_utc_micros
-from logweave.operators.alerts import ALERT_COLUMNS, alert_payload, alert_rows, alert_view, assemble_alerts, severity_summary
+from logweave.operators.alerts import ALERT_COLUMNS, alert_payload, alert_payload_arrays, alert_rows, alert_view, assemble_alerts, severity_summary
 from logweave.operators.correlate import (
     correlate,
     correlation_stats,
@@ -32,7 +32,7 @@ from logweave.plans.analysis import run
 from logweave.plans.materialize import file_system, new_folder, write_table
 from logweave.sources.fixtures import edge_lines, event_log_lines, long_lines, model_responses
 from logweave.sources.logfiles import read_logs
-from logweave.sources.sinks import write_alerts, write_alerts_json
+from logweave.sources.sinks import write_alerts, write_alerts_document, write_alerts_json
 from logweave.sources.tolerant import read_logs_tolerant
 from logweave.streaming.landing import (
     default_reach,
@@ -294,6 +294,23 @@ def q_alert_payload(spark, sf_dir):
     return alert_payload(_alerts(spark, sf_dir))
 
 
+def q_alert_payload_arrays(spark, sf_dir):
+    """Webhook bodies of at most 3,000 bytes."""
+    return alert_payload_arrays(_alerts(spark, sf_dir), 3000)
+
+
+def q_write_alerts_document(spark, sf_dir):
+    """One JSON array of all alerts, written over an older file, and decoded again in its order."""
+    path = f"{new_folder(spark, 'alerts-document')}/alerts.json"
+    alerts = _alerts(spark, sf_dir)
+    write_alerts_document(alerts.limit(0), path)
+    write_alerts_document(alerts, path)
+    text = spark.read.text(path, wholetext=True)
+    fields = ", ".join(f"{c} string" for c in ALERT_COLUMNS)
+    rows = text.select(F.posexplode(F.from_json("value", f"array<struct<{fields.replace(' string', ': string')}>>")).alias("i", "a"))
+    return rows.select((F.col("i") + 1).cast("bigint").alias("alert_pos"), "a.*")
+
+
 def q_severity_summary(spark, sf_dir):
     """Counts need no positions: the alerts are not ranked."""
     entries = _entries(spark, sf_dir)
@@ -470,6 +487,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "diagnose_fallback": q_diagnose_fallback,
     "all_alerts": q_all_alerts,
     "alert_payload": q_alert_payload,
+    "alert_payload_arrays": q_alert_payload_arrays,
+    "write_alerts_document": q_write_alerts_document,
     "severity_summary": q_severity_summary,
     "alert_view": q_alert_view,
     "build_prompts": q_build_prompts,

@@ -266,6 +266,14 @@ def oracle_queries() -> dict[str, str]:
         "SELECT alert_pos, CAST(to_json(struct_pack(request_id := request_id, root_cause := root_cause, "
         "recommendation := recommendation, severity := severity)) AS VARCHAR) AS payload FROM alerts"
     )
+    # Arrays begin anew at every 1,499 bytes of payloads and commas, and around each alert that is longer.
+    q["alert_payload_arrays"] = f"""WITH p AS ({q["alert_payload"]}),
+s AS (SELECT *, strlen(payload) + 1 AS size, strlen(payload) + 1 > 1499 AS alone FROM p),
+r AS (SELECT *, coalesce(sum(CASE WHEN alone THEN 0 ELSE size END) OVER (ORDER BY alert_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 1499 AS cell,
+  sum(alone::INT) OVER (ORDER BY alert_pos) AS lone FROM s)
+SELECT min(alert_pos) AS first_pos, max(alert_pos) AS last_pos, count(*) AS n_alerts, '[' || string_agg(payload, ',' ORDER BY alert_pos) || ']' AS payload
+FROM r GROUP BY lone, alone, cell"""
+    q["write_alerts_document"] = q["all_alerts"]
     q["severity_summary"] = alerts_with + (
         "SELECT count(*) AS total, CAST(count_if(severity = 'critical') AS BIGINT) AS critical, CAST(count_if(severity = 'warning') AS BIGINT) AS warning, "
         "CAST(count_if(severity = 'info') AS BIGINT) AS info FROM alerts"
