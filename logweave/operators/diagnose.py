@@ -64,10 +64,7 @@ def prompt_entries(entries: DataFrame, params: Params = Params()) -> DataFrame:
     part (0 head, 1 tail), ts, ts_nanos, raw, line``.
     """
     d = dedup_entries(entries)
-    line = F.format_string(
-        PROMPT_ENTRY, format_rfc3339_seconds("ts", "tz_offset"), F.col("service"), F.col("level"), F.col("message"), F.col("latency_ms")
-    )
-    cols = ["request_id", "ts", "ts_nanos", "raw", line.alias("line")]
+    cols = ["request_id", "ts", "ts_nanos", "raw", entry_line().alias("line")]
     counts = d.groupBy("request_id").agg(F.count(F.lit(1)).alias("n_entries"))
 
     def end(descending: bool, k: int) -> DataFrame:
@@ -89,6 +86,30 @@ def prompt_entries(entries: DataFrame, params: Params = Params()) -> DataFrame:
     return head.unionByName(tail)
 
 
+def entry_line() -> Column:
+    """How a prompt shows an entry."""
+    return F.format_string(
+        PROMPT_ENTRY, format_rfc3339_seconds("ts", "tz_offset"), F.col("service"), F.col("level"), F.col("message"), F.col("latency_ms")
+    )
+
+
+def prompt_text(head: Column, tail: Column, params: Params) -> Column:
+    """The prompt of ``request_id``, ``rules`` and ``n_entries`` around the texts of its first and last entry lines."""
+    omitted = F.when(
+        F.col("n_entries") > params.prompt_max_entries,
+        F.format_string(PROMPT_OMITTED, F.col("n_entries") - F.lit(params.prompt_max_entries)),
+    ).otherwise(F.lit(""))
+    return F.concat(
+        F.format_string(PROMPT_HEADER, F.col("request_id")),
+        F.format_string(PROMPT_RULES, F.array_join("rules", ", ")),
+        F.lit(PROMPT_ENTRIES),
+        F.coalesce(head, F.lit("")),
+        F.coalesce(omitted, F.lit("")),
+        F.coalesce(tail, F.lit("")),
+        F.lit(PROMPT_FOOTER),
+    )
+
+
 def build_prompts(entries: DataFrame, reports: DataFrame, params: Params = Params()) -> DataFrame:
     """``request_id, prompt`` for every report.
 
@@ -105,19 +126,7 @@ def build_prompts(entries: DataFrame, reports: DataFrame, params: Params = Param
     text_of = lambda part: F.array_join(
         F.transform(F.filter("_lines", lambda x: x["part"] == part), lambda x: x["line"]), ""
     )
-    omitted = F.when(
-        F.col("n_entries") > params.prompt_max_entries,
-        F.format_string(PROMPT_OMITTED, F.col("n_entries") - F.lit(params.prompt_max_entries)),
-    ).otherwise(F.lit(""))
-    body = F.concat(
-        F.format_string(PROMPT_HEADER, F.col("request_id")),
-        F.format_string(PROMPT_RULES, F.array_join("rules", ", ")),
-        F.lit(PROMPT_ENTRIES),
-        F.coalesce(text_of(0), F.lit("")),
-        F.coalesce(omitted, F.lit("")),
-        F.coalesce(text_of(1), F.lit("")),
-        F.lit(PROMPT_FOOTER),
-    )
+    body = prompt_text(text_of(0), text_of(1), params)
     return reports.select("request_id", "rules").join(lines, "request_id", "inner").select("request_id", body.alias("prompt"))
 
 

@@ -49,11 +49,13 @@ from logweave.streaming.landing import (
     repaired_reports,
 )
 from logweave.streaming.live import stream_dedup, stream_entries, stream_error_rate, stream_reports
+from logweave.streaming.prompts import stream_prompts
 from logweave.streaming.spikes import rocksdb_state, stream_spikes
 
 # Parameters of the registered queries (the oracle SQL uses the same values).
 SPIKE_EVENTS_PARAMS = Params(spike_window=timedelta(hours=1), spike_threshold=5)
 GLOBAL_SPIKE_PARAMS = Params(spike_window=timedelta(hours=1), spike_threshold=10)
+SESSION_PARAMS = Params(correlation_window=timedelta(days=2), prompt_max_entries=12, prompt_head=5, prompt_tail=4)
 ALERTS_PARAMS = Params(spike_window=timedelta(hours=1), spike_threshold=3)
 
 
@@ -441,21 +443,36 @@ def q_stream_dedup(spark, sf_dir):
     return repaired_entries(once, late_rows_table(spark, base)).select("request_id", "raw")
 
 
+def _stream_text(spark, sf_dir, base, key):
+    """All lines as text files for a file stream, and last a line 800 days ahead."""
+    log_lines(spark, sf_dir, key).repartition(3).write.text(f"{base}/in")
+    last = table(spark, sf_dir, "events").agg(F.date_format(F.max("ts") + F.expr("INTERVAL 800 DAYS"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("t"))
+    last.select(F.concat("t", F.lit(" | api-gateway | INFO | watermark-sentinel | end of replay | latency=0ms"))).write.mode("append").text(f"{base}/in")
+
+
 def q_stream_error_spikes(spark, sf_dir):
     """Exact spikes (1 hour, more than 3) of a stream over several micro-batches, each of which spans the table.
 
     The delay covers the table, so no line is late; a line that far ahead closes all windows.
     """
     base = new_folder(spark, "stream-spikes")
-    log_lines(spark, sf_dir).repartition(3).write.text(f"{base}/in")
-    last = table(spark, sf_dir, "events").agg(F.date_format(F.max("ts") + F.expr("INTERVAL 800 DAYS"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("t"))
-    last.select(F.concat("t", F.lit(" | api-gateway | INFO | watermark-sentinel | end of replay | latency=0ms"))).write.mode("append").text(f"{base}/in")
+    _stream_text(spark, sf_dir, base, "bucket")
     entries, _ = stream_entries(spark, f"{base}/in", pattern="*.txt", max_files_per_trigger=2)
     with rocksdb_state(spark):
         spikes = _run_to_parquet(stream_spikes(entries, ALERTS_PARAMS, timedelta(days=400)), base)
     return spikes.select(format_utc_micros("start_ts").alias("start_utc"), "errors_in_window")
 
 
+def q_stream_prompts(spark, sf_dir):
+    """Prompts of the anomalous sessions (idle gap of two days) of a stream over several micro-batches, as they close."""
+    base = new_folder(spark, "stream-prompts")
+    _stream_text(spark, sf_dir, base, "user")
+    entries, _ = stream_entries(spark, f"{base}/in", pattern="*.txt", max_files_per_trigger=2)
+    with rocksdb_state(spark):
+        prompts = _run_to_parquet(stream_prompts(entries, SESSION_PARAMS, timedelta(days=400)), base)
+    return prompts.select("request_id", format_utc_micros("start_ts").alias("start_utc"), "n_entries", "prompt")
+
+
 def q_stream_rejects(spark, sf_dir):
     """Text files read as a stream, two per micro-batch, landed with one parse; its rejects."""
     base = new_folder(spark, "stream-rejects")
@@ -501,6 +518,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_rejects": q_stream_rejects,
     "stream_late_rows": q_stream_late_rows,
     "stream_error_spikes": q_stream_error_spikes,
+    "stream_prompts": q_stream_prompts,
     "stream_landing_counters": q_stream_landing_counters,
     "parse_edge_lines": q_parse_edge_lines,
     "parse_long_lines": q_parse_long_lines,

@@ -299,6 +299,22 @@ SELECT r.request_id,
   || g.tail || {NL} || 'Provide root cause analysis, a recommended fix, and severity level.' AS prompt
 FROM reports r JOIN g USING (request_id)"""
     system = SYSTEM_TEXT.replace("'", "''")
+    q["stream_prompts"] = "WITH " + base_ctes("user").strip() + f""",
+d AS (SELECT DISTINCT * FROM entries),
+s1 AS (SELECT *, coalesce(ts - lag(ts) OVER w >= INTERVAL 2 DAY, true) AS new_s FROM d WINDOW w AS (PARTITION BY request_id ORDER BY ts, ts_nanos, raw)),
+s2 AS (SELECT *, sum(new_s::INT) OVER (PARTITION BY request_id ORDER BY ts, ts_nanos, raw ROWS UNBOUNDED PRECEDING) AS sid FROM s1),
+{rules_ctes("s2", ["request_id", "sid"], prefix="ses_")}
+rn AS (SELECT *, row_number() OVER (PARTITION BY request_id, sid ORDER BY ts, ts_nanos, raw) AS rn, count(*) OVER (PARTITION BY request_id, sid) AS n FROM s2),
+l AS (SELECT *, printf('  [%s] %s | %s | %s | latency=%dms', strftime(ts, '%Y-%m-%dT%H:%M:%S') || tz_offset, service, level, message, latency_ms) || {NL} AS line FROM rn),
+g AS (SELECT request_id, sid, any_value(n) AS n, coalesce(string_agg(line, '' ORDER BY rn) FILTER (WHERE n <= 12 OR rn <= 5), '') AS head,
+  coalesce(string_agg(line, '' ORDER BY rn) FILTER (WHERE n > 12 AND rn > n - 4), '') AS tail FROM l GROUP BY request_id, sid)
+SELECT r.request_id, strftime(r.start_ts, {UTC_US}) AS start_utc, CAST(g.n AS BIGINT) AS n_entries,
+  'Analyze the following anomalous request flow (request_id: ' || r.request_id || ').' || {NL} || {NL}
+  || 'Triggered anomaly rules: ' || array_to_string(r.rules, ', ') || {NL} || {NL}
+  || 'Log entries (chronological):' || {NL} || g.head
+  || CASE WHEN g.n > 12 THEN {NL} || '  ... [' || CAST(g.n - 12 AS VARCHAR) || ' logs omitted to fit token limits] ...' || {NL} || {NL} ELSE '' END
+  || g.tail || {NL} || 'Provide root cause analysis, a recommended fix, and severity level.' AS prompt
+FROM ses_evaluated r JOIN g USING (request_id, sid) WHERE len(r.rules) > 0"""
     q["build_requests"] = f"""WITH p AS ({q["build_prompts"]})
 SELECT request_id, CAST(to_json(struct_pack(model := '{MODEL}',
   messages := [struct_pack(role := 'system', content := '{system}'), struct_pack(role := 'user', content := prompt)],
