@@ -80,6 +80,36 @@ def test_pack(stages):
     check_packed(stages[5].collect(), [(r.doc_id, r.text) for r in stages[4].collect()])
 
 
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+SENTENCE = "The harbour master counted {} small boats before the storm came over the western hills that night. "
+ODD = {
+    "empty": [],
+    "one row": [(1, "only a few words", "en", "web", 16)],
+    "nulls": [(None, None, None, None, None), (2, None, "en", None, 0), (None, SENTENCE.format(1) * 9, None, "web", None), (4, "", "", "", 0)],
+    "repeated rows": [(i // 2, " ".join(SENTENCE.format(f"{i // 2}-{k}") for k in range(8)), "en", ["a", None, "b"][i % 3], 10) for i in range(12)] * 2,
+}
+
+
+@pytest.mark.parametrize("name", list(ODD))
+def test_odd_tables_run_through_every_stage(spark, tmp_path, name):
+    """Tiny tables, nulls in every column, repeated rows, and columns whose names the stages use themselves."""
+    rows = ODD[name]
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as kept", "'x' as taken", "2L as mark", "3 as id").coalesce(1)
+    last = docs
+    for i, (_, step) in enumerate(corpus_pipeline.STAGES):
+        step(spark, last, SF).write.parquet(f"{tmp_path}/{i}")
+        last = spark.read.parquet(f"{tmp_path}/{i}")
+        if i < len(corpus_pipeline.STAGES) - 1:
+            assert set(COLUMNS) <= set(last.columns)
+            assert {r.doc_id for r in last.collect()} <= {r[0] for r in rows}
+    mixed = spark.read.parquet(f"{tmp_path}/{len(corpus_pipeline.STAGES) - 2}").collect()
+    check = [(r.doc_id, r.text) for r in mixed]
+    if check:
+        check_packed(last.collect(), check)
+    else:
+        assert last.count() == 0
+
+
 def test_every_query_is_registered():
     names = list(E.queries())
     assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
