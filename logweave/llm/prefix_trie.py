@@ -10,7 +10,7 @@ conversations end, and an edge (p, e] names one conversation that runs along it.
    f being the two-fattest number of (p, e] (the one with the most trailing zero bits).
 2. Locating: a fat binary search narrows (lo, hi]; each step looks the two-fattest prefix
    up and compares the extent of the node it finds. The exit edge is then the child in
-   the direction of the next turn, and the words shared along it are counted.
+   the direction of the next turn, and the turns shared along it are counted.
 3. Inserting in batches: of all conversations that leave the trie at one point by the same
    turn, one drawn by hash is inserted, edges are cut where conversations leave them, and
    the others are located anew from that point. Half of the others part from the drawn
