@@ -366,9 +366,9 @@ STREAM_BATCHES, STREAM_DELAY = 3, timedelta(days=20)
 
 
 def _sentinel(spark, sf_dir):
-    """A line one day after the last event (own request id, INFO), which moves the watermark past every window."""
+    """A line sixty days after the last event (own request id, INFO), which moves the watermark past every window."""
     last = table(spark, sf_dir, "events").agg(F.max("ts").alias("t"))
-    stamp = F.date_format(F.col("t") + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    stamp = F.date_format(F.col("t") + F.expr("INTERVAL 60 DAYS"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     return last.select(F.concat(stamp, F.lit(" | api-gateway | INFO | watermark-sentinel | end of replay | latency=0ms")).alias("raw"))
 
 
@@ -413,7 +413,7 @@ def q_stream_sessions(spark, sf_dir):
     The sentinel line closes every session; its own stays open.
     """
     base = _landed(spark, sf_dir, "stream-sessions", STREAM_DELAY)
-    reports = stream_reports(on_time_entries(spark, base, "sessions"), anomalous_only=False)
+    reports = stream_reports(on_time_entries(spark, base, "sessions"), delay=STREAM_DELAY, anomalous_only=False)
     closed = _run_to_parquet(reports.select("request_id", "session", "rules", "n_lines"), base)
     whole = repaired_reports(closed, landed_entries(spark, base), late_rows_table(spark, base), anomalous_only=False)
     return whole.select(
@@ -430,7 +430,7 @@ def q_stream_error_rate(spark, sf_dir):
     errors added from the side table; a repeated line counts once."""
     base = _landed(spark, sf_dir, "stream-error-rate", STREAM_DELAY)
     on_time = on_time_entries(spark, base, "dedup")
-    rates = _run_to_parquet(stream_error_rate(on_time), base)
+    rates = _run_to_parquet(stream_error_rate(on_time, delay=STREAM_DELAY), base)
     counted = landed(spark, base).where("kind = 'entry' and level = 'ERROR' and not array_contains(late_for, 'dedup')")
     whole = repaired_error_rate(rates, counted, late_rows_table(spark, base))
     return whole.select(format_utc_micros("window_start").alias("window_start"), format_utc_micros("window_end").alias("window_end"), "errors", "spike")

@@ -342,7 +342,7 @@ SELECT strftime(ws, {UTC_US}) AS window_start, strftime(ws + INTERVAL 60 SECOND,
 FROM (SELECT date_trunc('second', e.ts) - to_seconds(k.k) AS ws
       FROM (SELECT DISTINCT * FROM entries) e, range(60) k(k) WHERE e.level = 'ERROR') w
 GROUP BY ws"""
-    q["stream_dedup"] = _with("SELECT DISTINCT request_id, raw FROM entries UNION ALL SELECT 'watermark-sentinel', strftime(max(ts) + INTERVAL 1 DAY, "
+    q["stream_dedup"] = _with("SELECT DISTINCT request_id, raw FROM entries UNION ALL SELECT 'watermark-sentinel', strftime(max(ts) + INTERVAL 60 DAY, "
                               f"{UTC_US}) || ' | api-gateway | INFO | watermark-sentinel | end of replay | latency=0ms' FROM events")
     q["stream_rejects"] = q["parse_rejects"]
     # Batches by line length; a batch's watermark is the latest earlier event time less 20 days.

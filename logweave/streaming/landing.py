@@ -159,7 +159,7 @@ def landing_counters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def on_time_entries(spark: SparkSession, folder: str, operator: str) -> DataFrame:
-    """Stream of the landed entries that are on time for ``operator``.
+    """Stream of the landed entries that are on time for ``operator``, which must have at least the landing's delay.
 
     No limit of files per trigger: a batch must not be split, or its own later half could
     fall behind the watermark of its first.
