@@ -47,13 +47,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)  # known schema: no inference, empty tables too
 
 
-def cleanup(spark: SparkSession, since: int = 0) -> int:
-    """Remove the tables written so far (from the ``since``-th on); returns how many.
+def written() -> int:
+    """How many tables this process has written and not yet removed."""
+    return len(_WRITTEN)
+
+
+def cleanup(spark: SparkSession, since: int = 0, until: int | None = None) -> int:
+    """Remove the tables written so far (from the ``since``-th on, up to the ``until``-th if given); returns how many.
 
     DataFrames that still read them fail afterwards, so call it when results are stored.
     """
-    gone = _WRITTEN[since:]
-    del _WRITTEN[since:]
+    gone = _WRITTEN[since:until]
+    del _WRITTEN[since:until]
     for path in gone:
         fs, p = file_system(spark, path)
         fs.delete(p, True)

@@ -1,6 +1,8 @@
 import os
 
-from logweave.plans.materialize import cleanup, materialize, scratch
+import pytest
+
+from logweave.plans.materialize import cleanup, materialize, scratch, written
 from logweave.session import ensure_checkpoint_dir
 
 
@@ -22,3 +24,13 @@ def test_cleanup_leaves_nothing(spark):
     materialize(spark.range(3).toDF("x"), "t")
     assert cleanup(spark) >= 1
     assert folders(spark) == set()
+
+
+def test_cleanup_can_keep_the_last_table(spark):
+    since = written()
+    first, last = materialize(spark.range(3), "first"), materialize(spark.range(4), "last")
+    assert written() == since + 2 and cleanup(spark, since, -1) == 1
+    assert written() == since + 1 and last.count() == 4
+    with pytest.raises(Exception):
+        first.count()
+    assert cleanup(spark, since) == 1
