@@ -110,6 +110,14 @@ def test_odd_tables_run_through_every_stage(spark, tmp_path, name):
         assert last.count() == 0
 
 
+def test_run_leaves_only_its_result(spark):
+    from logweave.plans.materialize import written
+
+    before = written()
+    result = corpus_pipeline.run(spark, SF)
+    assert written() == before + 1 and result.count() > 0
+
+
 def test_every_query_is_registered():
     names = list(E.queries())
     assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
