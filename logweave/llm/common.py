@@ -20,8 +20,8 @@ WORD_BYTES = re.compile(WORD.encode())
 SHINGLE_WORDS = 5
 #: Text bytes that one vectorised step works on at a time (a single longer text is one step).
 STEP_BYTES = 4 << 20
-#: Rows up to which a key table may be broadcast (16 bytes a row: 32 MB); above it the join shuffles.
-BROADCAST_ROWS = 2_000_000
+#: Rows and bytes up to which a key table may be broadcast; above them the join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 2_000_000, 32 << 20
 
 M1, M2, GOLD = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 S33 = np.uint64(33)
@@ -110,8 +110,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def sized(keys: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast a staged key table of checked size; a larger one is joined by shuffling.
 
-    ``keys`` must be narrow (a few fixed-width columns) and staged, as it is counted.
+    ``keys`` must have a few fixed-width columns, eight bytes each at most, and be staged, as it is counted.
     """
+    limit = min(limit, BROADCAST_BYTES // (8 * len(keys.columns)))
     return F.broadcast(keys) if (keys.count() if rows is None else rows) <= limit else keys
 
 

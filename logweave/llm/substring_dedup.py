@@ -1,25 +1,28 @@
 """Repeated passages: paragraph MinHash banding, exact Jaccard, one copy per cluster stays.
 
-A text is cut into passages: at every line end, and inside a line after a sentence
-whose last characters hash to an even number. The cuts depend on the neighbouring
-characters only, so a passage copied into the middle of another line falls into the
-same pieces there. Pieces of at least ``MIN_WORDS`` words take part; sets are their
-distinct five-word shingles with A-Z lower-cased.
+A text is cut into paragraphs: at every line end, and inside a line after one in sixteen
+sentences, whose last characters hash to a multiple of 16. The cuts depend on the
+neighbouring characters only. Paragraphs of at least ``MIN_WORDS`` words take part; sets
+are their distinct five-word shingles with A-Z lower-cased.
 
-Equal pieces collapse to one node by a 64-bit hash of their words. ``tune_bands``
+Equal paragraphs collapse to one node by a 64-bit hash of their words. ``tune_bands``
 picks the bands; nodes that share a band are candidates and links are confirmed by
 exact Jaccard on the full sets (:mod:`logweave.llm.near_links`). Of each component the
 occurrence with the smallest doc_id, then position, stays; the others are removals.
 
 Runs find copies whatever stands around them. Of each ``WINDOW`` consecutive grams of
 ``RUN_WORDS`` words of a text, line ends being blanks, the one with the smallest hash is
-taken (winnowing). ``RUN_WORDS + WINDOW - 1`` = 50 equal words, in any two places, thus
-have a gram that both places take, and the grams taken inside a longer copy leave no word
-between them out. Of equal grams the first place stays. A copy's outermost words, up to
-``WINDOW - 1`` on either side, may lie outside its grams and are then not removed.
-
-Defined results: null and empty texts have no passages. The same decisions hold for
-rows equal in doc_id and text. A piece in a row without doc_id is removed when its
+taken (winnowing). ``LEAST`` = ``RUN_WORDS + WINDOW - 1`` = 50 equal words, in any two
+places, thus have a gram that both places take, and the grams taken inside a longer copy
+leave no word between them out. A place of a gram is only a repeat when ``LEAST`` equal
+words around the gram stand in another place too: a gram carries one byte of the hash of
+each of the ``WINDOW - 1`` words on either side, and its windows of ``LEAST`` words are
+compared by these (a window that differs in one word passes with a chance of 1/256). Of
+a gram's repeats the first place stays. A copy's outermost words, up to ``WINDOW - 1`` on
+either side, may lie outside its grams and are then not removed.
+
+Defined results: null and empty texts have no paragraphs. The same decisions hold for
+rows equal in doc_id and text. A paragraph in a row without doc_id is removed when its
 cluster has one with an id, but such rows' texts are not cut by ``remove_repeats``.
 Other columns are not read.
 """
@@ -29,7 +32,8 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +43,15 @@ from pyspark.sql import functions as F
 from logweave.llm.common import GOLD, SHINGLE_WORDS, WordHashes, long_lists, longs, lower_words, map_arrow, mix, n_words, roll, sized, stage, steps, word_hashes
 from logweave.llm.near_links import link_components
 
-PERCENT, MIN_WORDS, RECALL, MAX_BANDS = 75, 10, 0.998, 8
+PERCENT, MIN_WORDS, RECALL, MAX_BANDS = 75, 50, 0.99999, 14
 BOUNDARY = re.compile(r"\n+|[.!?]+ +")
-TAIL = 12  # characters before a sentence end that decide whether it is a cut
+TAIL, CUT = 12, 16  # characters before a sentence end that decide whether it is a cut; one in CUT is
 RUN_WORDS, WINDOW = 25, 26
-OCCURRENCES = "doc_id long, mark long, start int, length int, n_words int, id long, bands array<long>"
+LEAST, SIDE = RUN_WORDS + WINDOW - 1, WINDOW - 1  # words of the shortest run; words beside a gram that it carries
+#: Paragraphs have bands (empty where their task has banded an equal one), grams have ctx, lft and rgt.
+FOUND = "doc_id long, mark long, start int, length int, n_words int, id long, bands array<long>, ctx binary, lft int, rgt int"
+PLACE = ("doc_id", "mark", "start", "length")
+OUT = ("doc_id", "mark", "start", "length", "n_words", "cluster_id", "keep_doc_id", "removed")
 
 
 def tune_bands(similarity: float = PERCENT / 100, recall: float = RECALL, most: int = MAX_BANDS) -> tuple[int, int]:
@@ -60,7 +68,7 @@ def passages(text: str) -> list[tuple[int, int]]:
     spans, start, sentence = [], 0, 0
     for m in BOUNDARY.finditer(text):
         end = m.end()
-        if text[m.start()] == "\n" or not zlib.crc32(text[max(sentence, m.start() - TAIL) : m.start()].encode()) & 1:
+        if text[m.start()] == "\n" or not zlib.crc32(text[max(sentence, m.start() - TAIL) : m.start()].encode()) % CUT:
             spans.append((start, end))
             start = end
         sentence = end
@@ -69,16 +77,40 @@ def passages(text: str) -> list[tuple[int, int]]:
     return spans
 
 
-def _long_passages(texts: list[str | None], known: WordHashes):
-    """For passages of enough words: (text number, start, end, words) lists, and all their word hashes."""
-    where, words = [], []
-    for i, text in enumerate(texts):
-        for start, end in passages(text or ""):
-            own = lower_words(text[start:end].encode())
-            if len(own) >= MIN_WORDS:
-                where.append((i, start, end, len(own)))
-                words += own
-    return where, word_hashes(words, known)
+class Words(NamedTuple):
+    """The words of several texts one after the other."""
+
+    ids: np.ndarray  # hashes
+    begins: np.ndarray  # where they begin and end, in characters of the texts joined by one character
+    ends: np.ndarray
+    base: np.ndarray  # where each text begins there
+    first: np.ndarray  # each text's first word, and the number of all
+
+
+def _words_at(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Character offsets where the words of a text begin and end."""
+    b = np.frombuffer(b" " + text + b" ", np.uint8)
+    blank = (b == 0x20) | ((b >= 0x09) & (b <= 0x0D))
+    characters = np.cumsum((b & 0xC0) != 0x80) - 2  # the blank before the text is none of it
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    return characters[edge[::2]], characters[edge[1::2]]
+
+
+def _words(texts: list[str], known: WordHashes) -> Words:
+    raw = "\n".join(texts).encode()
+    begins, ends = _words_at(raw)
+    starts = np.cumsum([0] + [len(t) + 1 for t in texts])
+    return Words(word_hashes(lower_words(raw), known), begins, ends, starts[:-1], np.searchsorted(begins, starts))
+
+
+def _units(texts: list[str], words: Words, least: int):
+    """Paragraphs of enough words: text number, start, end, number of words; and their words' hashes."""
+    spans = np.array([(i, s, e) for i, t in enumerate(texts) for s, e in passages(t)], np.int64).reshape(-1, 3)
+    lo, hi = (np.searchsorted(words.begins, words.base[spans[:, 0]] + spans[:, k]) for k in (1, 2))
+    enough = hi - lo >= least
+    spans, lo, counts = spans[enough], lo[enough], (hi - lo)[enough]
+    at = np.arange(counts.sum()) + np.repeat(lo - (np.cumsum(counts) - counts), counts)
+    return spans, counts, words.ids[at]
 
 
 def _node_ids(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -109,62 +141,110 @@ def _band_keys(shingles: np.ndarray, starts: np.ndarray, bands: int, rows: int)
     return out
 
 
-def _occurrences(bands: int, rows: int):
-    def run(batches):
-        known, seen = WordHashes(), set()  # seen: the passages of this task's split
+def _chosen(ids: np.ndarray, counts: np.ndarray, these: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+    these = np.array(these, bool)
+    return ids[np.repeat(these, counts)], counts[these]
+
+
+def _bytes(rows: np.ndarray) -> pa.Array:
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _found(bands: int, rows: int, least: int, kinds: frozenset[str]):
+    """One pass over (doc_id, mark, text): rows of ``FOUND``."""
+    names = [c.split()[0] for c in FOUND.split(", ")]
+
+    def paragraphs(texts, words, seen) -> tuple | None:
+        spans, counts, ids = _units(texts, words, least)
+        if not len(spans):
+            return None
+        nodes = _node_ids(ids, counts)
+        new = []
+        for node in nodes.tolist():  # a repeated paragraph is banded once a task
+            new.append(node not in seen)
+            seen.add(node)
+        keys = iter(_band_keys(*_shingles(*_chosen(ids, counts, new)), bands, rows) if any(new) else ())
+        none = np.empty(0, np.uint64)
+        lists = long_lists([next(keys) if n else none for n in new])
+        empty = [pa.nulls(len(spans), t) for t in (pa.binary(), pa.int32(), pa.int32())]
+        return spans[:, 0], spans[:, 1], spans[:, 2], counts, nodes, lists, *empty
+
+    def grams(texts, words, seen) -> tuple | None:
+        counts = np.diff(words.first)
+        at, hashes = run_starts(words.ids, counts)
+        if not len(at):
+            return None
+        row = np.searchsorted(words.first, at, "right") - 1
+        left, right = np.minimum(at - words.first[row], SIDE), np.minimum(words.first[row + 1] - at - RUN_WORDS, SIDE)
+        step = np.concatenate([np.arange(-SIDE, 0), np.arange(SIDE)])
+        beside = (words.ids >> np.uint64(56)).astype(np.uint8)[np.clip(at[:, None] + np.where(step < 0, step, step + RUN_WORDS), 0, len(words.ids) - 1)]
+        beside[(step < -left[:, None]) | (step >= right[:, None])] = 0
+        start, end = words.begins[at] - words.base[row], words.ends[at + RUN_WORDS - 1] - words.base[row]
+        nulls = pa.nulls(len(at), pa.list_(pa.int64()))
+        return row, start, end, np.full(len(at), RUN_WORDS), hashes, nulls, _bytes(beside), pa.array(left, pa.int32()), pa.array(right, pa.int32())
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        known, seen = WordHashes(), set()  # seen: the paragraphs of this task's split
+        makers = [f for name, f in (("passages", paragraphs), ("runs", grams)) if name in kinds]
         for batch in batches:
-            docs, marks, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
-            for lo, hi in steps([len(t or "") for t in texts]):
-                where, ids = _long_passages(texts[lo:hi], known)
-                if not where:
+            docs, marks, texts = batch.column(0), batch.column(1), [t or "" for t in batch.column(2).to_pylist()]
+            for lo, hi in steps([len(t) for t in texts]):
+                words = _words(texts[lo:hi], known)
+                for make in makers:
+                    if made := make(texts[lo:hi], words, seen):
+                        row, start, end, n, ids, *rest = made
+                        at = pa.array(lo + row)
+                        ints = [pa.array(x, pa.int32()) for x in (start, end - start, n)]
+                        yield pa.record_batch([docs.take(at), marks.take(at), *ints, longs(ids), *rest], names=names)
+
+    return run
+
+
+def _sets(least: int):
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in batches:
+            docs, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
+            for lo, hi in steps([len(t) for t in texts]):
+                spans, counts, ids = _units(texts[lo:hi], _words(texts[lo:hi], known), least)
+                if not len(spans):
                     continue
-                counts = np.array([w[3] for w in where])
-                nodes = _node_ids(ids, counts)
-                keys = _band_keys(*_shingles(ids, counts), bands, rows)
-                new = []
-                for node in nodes.tolist():  # a repeated passage is banded once a task
-                    new.append(node not in seen)
-                    seen.add(node)
-                row = pa.array([lo + w[0] for w in where])
-                yield pa.record_batch([
-                    docs.take(row), marks.take(row), pa.array([w[1] for w in where], pa.int32()), pa.array([w[2] - w[1] for w in where], pa.int32()),
-                    pa.array(counts, pa.int32()), longs(nodes), long_lists([k if n else k[:0] for k, n in zip(keys, new)]),
-                ], names=["doc_id", "mark", "start", "length", "n_words", "id", "bands"])
+                shingles, starts = _shingles(ids, counts)
+                sets = [np.unique(x) for x in np.split(shingles, starts[1:])]
+                yield pa.record_batch([docs.take(pa.array(lo + spans[:, 0])), longs(_node_ids(ids, counts)), long_lists(sets)], names=["doc_id", "id", "items"])
 
     return run
 
 
-def _sets(batches):
-    known = WordHashes()
-    for batch in batches:
-        docs, texts = batch.column(0), batch.column(1).to_pylist()
-        for lo, hi in steps([len(t or "") for t in texts]):
-            where, ids = _long_passages(texts[lo:hi], known)
-            if not where:
-                continue
-            counts = np.array([w[3] for w in where])
-            shingles, starts = _shingles(ids, counts)
-            sets = [np.unique(x) for x in np.split(shingles, starts[1:])]
-            yield pa.record_batch([docs.take(pa.array([lo + w[0] for w in where])), longs(_node_ids(ids, counts)), long_lists(sets)], names=["doc_id", "id", "items"])
+def _marked(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+
+
+def _read(docs: DataFrame, percent: int, min_words: int, *kinds: str) -> DataFrame:
+    return stage(map_arrow(_marked(docs), _found(*tune_bands(percent / 100), min_words, frozenset(kinds)), FOUND), "found")
 
 
-def repeated_passages(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Every occurrence of a passage that occurs more than once, exactly or nearly.
+def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
+    """Every occurrence of a paragraph that occurs more than once, exactly or nearly.
 
     doc_id, mark (xxhash64 of the text), start, length (characters), n_words,
-    cluster_id, keep_doc_id (where the copy that stays is), removed.
+    cluster_id, keep_doc_id (where the copy that stays is), removed. ``min_words``: five or more.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
-    found = stage(map_arrow(texts, _occurrences(*tune_bands(percent / 100)), OCCURRENCES), "passages")
-    occurrences = found.drop("bands")
+    return _passage_rows(_read(docs, percent, min_words, "passages"), docs, percent, min_words)
+
+
+def _passage_rows(found: DataFrame, docs: DataFrame, percent: int, min_words: int) -> DataFrame:
+    found = found.where("bands is not null")
+    occurrences = found.select(*PLACE, "n_words", "id")
     nodes = stage(found.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("min_doc")), "nodes")
 
     def sets_of(ids: DataFrame) -> DataFrame:
         wanted = stage(nodes.join(sized(ids), "id", "left_semi").select("id", F.col("min_doc").alias("doc_id")), "wanted")
         holders = stage(wanted.where("doc_id is not null").select("doc_id").distinct(), "holders")
-        plain = texts.select("doc_id", "text")
+        plain = _marked(docs).select("doc_id", "text")
         sources = plain.join(sized(holders), "doc_id", "left_semi").union(plain.where("doc_id is null"))
-        sets = map_arrow(sources, _sets, "doc_id long, id long, items array<long>").withColumnRenamed("doc_id", "d")
+        sets = map_arrow(sources, _sets(min_words), "doc_id long, id long, items array<long>").withColumnRenamed("doc_id", "d")
         own = sets.join(sized(wanted), "id").where(F.col("d").eqNullSafe(F.col("doc_id")))
         return own.groupBy("id").agg(F.first("items").alias("items"))
 
@@ -179,7 +259,7 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     first = stage(first, "first")
     stays = F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("start") == F.col("keep_start"))
     out = rows.join(sized(first), "cluster_id").withColumn("removed", ~stays)
-    return out.select("doc_id", "mark", "start", "length", "n_words", "cluster_id", "keep_doc_id", "removed")
+    return out.select(*OUT)
 
 
 def _sliding(f: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
@@ -206,61 +286,52 @@ def run_starts(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return at, grams[at]
 
 
-def _words_at(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Character offsets where the words of a text begin and end."""
-    b = np.frombuffer(b" " + text + b" ", np.uint8)
-    blank = (b == 0x20) | ((b >= 0x09) & (b <= 0x0D))
-    characters = np.cumsum((b & 0xC0) != 0x80) - 2  # the blank before the text is none of it
-    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
-    return characters[edge[::2]], characters[edge[1::2]]
-
-
-def _runs(batches):
-    known = WordHashes()
-    for batch in batches:
-        docs, marks, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
-        for lo, hi in steps([len(t or b"") for t in texts]):
-            words = [lower_words(t) for t in texts[lo:hi]]
-            counts = np.array([len(w) for w in words])
-            at, grams = run_starts(word_hashes([x for w in words for x in w], known), counts)
-            if not len(at):
-                continue
-            ends = np.cumsum(counts)
-            row = np.searchsorted(ends, at, "right")
-            start, end = np.empty(len(at), np.int32), np.empty(len(at), np.int32)
-            for i in np.unique(row):
-                mine = slice(*np.searchsorted(row, [i, i + 1]))
-                begins, stops = _words_at(texts[lo + i])
-                first = at[mine] - (ends[i] - counts[i])
-                start[mine], end[mine] = begins[first], stops[first + RUN_WORDS - 1]
-            yield pa.record_batch([docs.take(pa.array(lo + row)), marks.take(pa.array(lo + row)), pa.array(start), pa.array(end - start), longs(grams)], names=["doc_id", "mark", "start", "length", "id"])
+def _apart(low: str, high: str) -> Column:
+    """The two places are in different texts or do not overlap; ``high`` is not before ``low``."""
+    same = F.col(f"{high}doc_id").eqNullSafe(F.col(f"{low}doc_id")) & (F.col(f"{high}mark") == F.col(f"{low}mark"))
+    return ~same | (F.col(f"{high}start") >= F.col(f"{low}start") + F.col(f"{low}length"))
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
-    """Every place of a gram taken that stands in more than one place; columns as of :func:`repeated_passages`.
+    """Every place of a gram taken that lies in ``LEAST`` words which stand in another place too; columns as of :func:`repeated_passages`.
 
     Places that overlap the one that stays are not repeats of it.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("text"))
-    found = stage(map_arrow(texts, _runs, "doc_id long, mark long, start int, length int, id long"), "runs")
-    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark", "start", "length")
-    grams = found.groupBy("id").agg(F.min(place).alias("keep"), F.max(place).alias("last"))
-
-    def apart(name: str) -> Column:
-        same = F.col(f"{name}doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col(f"{name}mark") == F.col("keep.mark"))
-        return ~same | (F.col(f"{name}start") >= F.col("keep.start") + F.col("keep.length"))
-
-    grams = grams.where(apart("last.")).select("id", *[F.col(f"keep.{c}").alias(f"keep_{c}") for c in ("doc_id", "mark", "start", "length")])
-    grams = stage(grams, "repeated-runs")
-    rows = found.join(sized(grams), "id").withColumn("keep", F.struct(*[F.col(f"keep_{c}").alias(c) for c in ("doc_id", "mark", "start", "length")]))
-    rows = rows.withColumn("removed", apart(""))
+    return _run_rows(_read(docs, PERCENT, MIN_WORDS, "runs"))
+
+
+def _run_rows(found: DataFrame) -> DataFrame:
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), *PLACE)
+    node = F.xxhash64("id", "ctx", "lft", "rgt").alias("node")
+    found = found.where(f"ctx is not null and lft + rgt >= {SIDE}")  # LEAST words around the gram are there
+    ids = found.groupBy("id").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where(_apart("lo.", "hi.")).select("id")
+    rows = found.join(sized(stage(ids, "repeated-grams")), "id").select(*PLACE, "id", "ctx", "lft", "rgt", node)
+    rows = stage(rows, "gram-places")
+
+    # Equal surroundings are one node: a gram of exact copies has one, however many places it has.
+    nodes = rows.groupBy("id", "node", "ctx", "lft", "rgt").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+    nodes = stage(nodes.withColumn("own", _apart("lo.", "hi.")), "gram-nodes")
+    mixed = nodes.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("own")).alias("open")).where("n > 1 and open > 0").select("id")
+    mixed = nodes.join(sized(stage(mixed, "mixed-grams")), "id")
+    k = mixed.select("id", "node", "own", "ctx", "lo", "hi", F.explode(F.expr(f"sequence({SIDE} - rgt, lft)")).alias("k"))
+    part = F.expr(f"substring(ctx, {SIDE + 1} - k, {SIDE})")  # the window's words beside the gram, k of them before it
+    windows = stage(k.select("node", "own", "lo", "hi", F.xxhash64("id", "k", part).alias("window")), "gram-windows")
+    shared = windows.groupBy("window").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count_if(~F.col("own")).alias("open"))
+    shared = stage(shared.where((F.col("open") > 0) & _apart("lo.", "hi.")).select("window"), "shared-windows")
+    joined = windows.where("not own").join(sized(shared), "window", "left_semi").select("node")
+    again = stage(nodes.where("own").select("node").union(joined).distinct(), "run-nodes")
+
+    kept = nodes.join(sized(again), "node", "left_semi").groupBy("id").agg(F.min("lo").alias("keep")).select("id", *[F.col(f"keep.{c}").alias(f"keep_{c}") for c in PLACE])
+    out = rows.drop("ctx", "lft", "rgt").join(sized(again), "node").join(sized(stage(kept, "run-keepers")), "id")
+    out = out.withColumn("removed", _apart("keep_", "")).withColumn("n_words", F.lit(RUN_WORDS)).withColumnRenamed("id", "cluster_id")
     stays = ~F.col("removed") & (F.col("start") == F.col("keep_start"))
-    return rows.where(F.col("removed") | stays).select("doc_id", "mark", "start", "length", F.lit(RUN_WORDS).alias("n_words"), F.col("id").alias("cluster_id"), "keep_doc_id", "removed")
+    return out.where(F.col("removed") | stays).select(*OUT)
 
 
-def repeated_text(docs: DataFrame) -> DataFrame:
-    """:func:`repeated_passages` and :func:`repeated_runs`; their spans may overlap."""
-    return repeated_passages(docs).unionByName(repeated_runs(docs))
+def repeated_text(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
+    """:func:`repeated_passages` and :func:`repeated_runs` from one pass over the texts; their spans may overlap."""
+    found = _read(docs, percent, min_words, "passages", "runs")
+    return _passage_rows(found, docs, percent, min_words).unionByName(_run_rows(found))
 
 
 def _merged(batches):
@@ -278,10 +349,10 @@ def _merged(batches):
         yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, batch.column(2).type)], names=["_id", "_mark", "_spans"])
 
 
-def remove_repeats(docs: DataFrame, repeats: Callable[[DataFrame], DataFrame] = repeated_passages) -> DataFrame:
-    """``docs`` without the removed passages, or what else ``repeats`` says; all columns stay, n_chars follows the text.
+def remove_repeats(docs: DataFrame, repeats: Callable[[DataFrame], DataFrame] = repeated_text) -> DataFrame:
+    """``docs`` without the removed paragraphs and runs, or what else ``repeats`` says; all columns stay, n_chars follows the text.
 
-    ``repeated_text`` removes runs too. A document that loses all its words goes.
+    A document that loses all its words goes.
     """
     gone = repeats(docs).where("removed and doc_id is not null").select("doc_id", "mark", "start", "length").distinct()
     spans = gone.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_spans"))

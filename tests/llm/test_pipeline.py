@@ -5,7 +5,8 @@ import pytest
 import __spark_entry__ as E
 import corpus_pipeline
 from logweave.llm.quality_rules import quality_rules
-from tests.llm.test_minhash_dedup import brute_components
+from logweave.llm.substring_dedup import passages
+from tests.llm.test_minhash_dedup import brute_components, words_of
 from tests.llm.test_mixing import brute_targets
 from tests.llm.test_packing import check as check_packed
 from tests.llm.test_substring_dedup import brute as brute_passages
@@ -43,22 +44,33 @@ def test_near_duplicates(stages):
 
 
 def test_repeated_passages(stages):
-    before = {r.doc_id: r.text for r in stages[2].collect()}
-    gone = [k for k, (_, removed) in brute_passages(list(before.items())).items() if removed]
-    from logweave.llm.substring_dedup import passages
-
-    for doc_id, start in sorted(gone, reverse=True):
-        end = dict(passages(before[doc_id])).get(start)
-        if end is not None:
-            before.setdefault(("cut", doc_id), []).append((start, end))
+    """Paragraphs by brute force; no run of 50 words is left twice, and nothing but repeats is gone."""
+    before = [(r.doc_id, r.text) for r in stages[2].collect()]
     after = {r.doc_id: r for r in stages[3].collect()}
-    for doc_id, text in [(k, v) for k, v in before.items() if not isinstance(k, tuple)]:
-        for s, e in sorted(before.get(("cut", doc_id), []), reverse=True):
-            text = text[:s] + text[e:]
-        if text.split() or not before.get(("cut", doc_id)):
-            assert after[doc_id].text == text and after[doc_id].n_chars == len(text)
-        else:
-            assert doc_id not in after
+    gone = {}
+    for (doc_id, start), (_, removed) in brute_passages(before).items():
+        if removed:
+            gone.setdefault(doc_id, []).append((start, dict(passages(dict(before)[doc_id]))[start]))
+    places = {}
+    for doc_id, text in before:
+        words = words_of(text)
+        for k in range(len(words) - 49):
+            places.setdefault(tuple(words[k : k + 50]), set()).add((doc_id, k))
+    shared = {p for where in places.values() if len(where) > 1 for p in where}
+    touched = set(gone) | {doc_id for doc_id, _ in shared}
+    for doc_id, text in before:
+        if doc_id not in touched:
+            assert after[doc_id].text == text
+        if doc_id in after:
+            assert after[doc_id].n_chars == len(after[doc_id].text)
+            for start, end in gone.get(doc_id, []):
+                assert text[start:end] not in after[doc_id].text
+    left = {}
+    for doc_id, r in after.items():
+        words = words_of(r.text)
+        for k in range(len(words) - 49):
+            left.setdefault(tuple(words[k : k + 50]), set()).add(doc_id)
+    assert not [w for w, ids in left.items() if len(ids) > 1]
 
 
 def test_mix(stages):
