@@ -48,6 +48,7 @@ BOUNDARY = re.compile(r"\n+|[.!?]+ +")
 TAIL, CUT = 12, 16  # characters before a sentence end that decide whether it is a cut; one in CUT is
 RUN_WORDS, WINDOW = 25, 26
 LEAST, SIDE = RUN_WORDS + WINDOW - 1, WINDOW - 1  # words of the shortest run; words beside a gram that it carries
+HALF = (SIDE + 1) // 2
 #: Paragraphs have bands (empty where their task has banded an equal one), grams have ctx, lft and rgt.
 FOUND = "doc_id long, mark long, start int, length int, n_words int, id long, bands array<long>, ctx binary, lft int, rgt int"
 PLACE = ("doc_id", "mark", "start", "length")
@@ -300,6 +301,12 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     return _run_rows(_read(docs, PERCENT, MIN_WORDS, "runs"))
 
 
+def _with_open(rows: DataFrame, key: str) -> DataFrame:
+    """Keys that several nodes share, one of them without a copy of its own."""
+    counts = rows.groupBy(key).agg(F.min("node").alias("x"), F.max("node").alias("y"), F.bool_and("own").alias("own"))
+    return counts.where("x <> y and not own").select(key)
+
+
 def _run_rows(found: DataFrame) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), *PLACE)
     node = F.xxhash64("id", "ctx", "lft", "rgt").alias("node")
@@ -312,16 +319,22 @@ def _run_rows(found: DataFrame) -> DataFrame:
     nodes = rows.groupBy("id", "node", "ctx", "lft", "rgt").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
     nodes = stage(nodes.withColumn("own", _apart("lo.", "hi.")), "gram-nodes")
     mixed = nodes.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("own")).alias("open")).where("n > 1 and open > 0").select("id")
-    mixed = nodes.join(sized(stage(mixed, "mixed-grams")), "id")
-    k = mixed.select("id", "node", "own", "ctx", "lo", "hi", F.explode(F.expr(f"sequence({SIDE} - rgt, lft)")).alias("k"))
+    mixed = nodes.join(sized(stage(mixed, "mixed-grams")), "id").select("id", "node", "own", "ctx", "lft", "rgt")
+
+    # A window has HALF words before the gram or HALF behind it: only nodes that share such a half have windows to compare.
+    halves = [(f"lft >= {HALF}", SIDE - HALF + 1), (f"rgt >= {HALF}", SIDE + 1)]
+    keys = [F.when(F.expr(there), F.struct(F.lit(i).alias("half"), F.xxhash64("id", F.lit(i), F.expr(f"substring(ctx, {at}, {HALF})")).alias("key"))) for i, (there, at) in enumerate(halves)]
+    sides = stage(mixed.withColumn("side", F.explode(F.array_compact(F.array(*keys)))).select("*", "side.*").drop("side"), "gram-sides")
+    sides = sides.join(sized(stage(_with_open(sides, "key"), "shared-sides")), "key", "left_semi")
+    counted = f"if(half = 0, sequence(greatest({HALF}, {SIDE} - rgt), lft), sequence({SIDE} - rgt, least({HALF - 1}, lft)))"
     part = F.expr(f"substring(ctx, {SIDE + 1} - k, {SIDE})")  # the window's words beside the gram, k of them before it
-    windows = stage(k.select("node", "own", "lo", "hi", F.xxhash64("id", "k", part).alias("window")), "gram-windows")
-    shared = windows.groupBy("window").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count_if(~F.col("own")).alias("open"))
-    shared = stage(shared.where((F.col("open") > 0) & _apart("lo.", "hi.")).select("window"), "shared-windows")
-    joined = windows.where("not own").join(sized(shared), "window", "left_semi").select("node")
+    windows = sides.withColumn("k", F.explode(F.expr(counted))).select("node", "own", F.xxhash64("id", "k", part).alias("window"))
+    windows = stage(windows, "gram-windows")
+    joined = windows.where("not own").join(sized(stage(_with_open(windows, "window"), "shared-windows")), "window", "left_semi").select("node")
     again = stage(nodes.where("own").select("node").union(joined).distinct(), "run-nodes")
 
-    kept = nodes.join(sized(again), "node", "left_semi").groupBy("id").agg(F.min("lo").alias("keep")).select("id", *[F.col(f"keep.{c}").alias(f"keep_{c}") for c in PLACE])
+    kept = nodes.join(sized(again), "node", "left_semi").groupBy("id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where(_apart("lo.", "hi."))
+    kept = kept.select("id", *[F.col(f"lo.{c}").alias(f"keep_{c}") for c in PLACE])
     out = rows.drop("ctx", "lft", "rgt").join(sized(again), "node").join(sized(stage(kept, "run-keepers")), "id")
     out = out.withColumn("removed", _apart("keep_", "")).withColumn("n_words", F.lit(RUN_WORDS)).withColumnRenamed("id", "cluster_id")
     stays = ~F.col("removed") & (F.col("start") == F.col("keep_start"))
