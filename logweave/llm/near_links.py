@@ -13,7 +13,7 @@
    In the later steps a pair is only passed on when its sketches of ``bits`` bits agree
    as far as similar sets do: the limit lies 4.5 standard deviations below the share
    that is expected at the wanted similarity (a chance of 4e-6 to miss such a link,
-   like op6's bands; op4's 8 bands of 2 miss a pair at 0.75 with 1.3e-3). Heavily edited copies of one text, which are not similar to
+   like op6's bands; op4's 14 bands of 2 miss a pair at 0.75 with 9e-6). Heavily edited copies of one text, which are not similar to
    each other, thus cost a comparison of bits and no row.
 """
 
