@@ -444,10 +444,13 @@ def q_stream_dedup(spark, sf_dir):
 
 
 def _stream_text(spark, sf_dir, base, key):
-    """All lines as text files for a file stream, and last a line 800 days ahead."""
-    log_lines(spark, sf_dir, key).repartition(3).write.text(f"{base}/in")
+    """All lines as text files for a file stream, three a core, and last a line 800 days ahead; returns how many make
+    a micro-batch: two a core, so that two micro-batches read all."""
+    cores = spark.sparkContext.defaultParallelism
+    log_lines(spark, sf_dir, key).repartition(3 * cores).write.text(f"{base}/in")
     last = table(spark, sf_dir, "events").agg(F.date_format(F.max("ts") + F.expr("INTERVAL 800 DAYS"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("t"))
     last.select(F.concat("t", F.lit(" | api-gateway | INFO | watermark-sentinel | end of replay | latency=0ms"))).write.mode("append").text(f"{base}/in")
+    return 2 * cores
 
 
 def q_stream_error_spikes(spark, sf_dir):
@@ -456,8 +459,8 @@ def q_stream_error_spikes(spark, sf_dir):
     The delay covers the table, so no line is late; a line that far ahead closes all windows.
     """
     base = new_folder(spark, "stream-spikes")
-    _stream_text(spark, sf_dir, base, "bucket")
-    entries, _ = stream_entries(spark, f"{base}/in", pattern="*.txt", max_files_per_trigger=2)
+    files = _stream_text(spark, sf_dir, base, "bucket")
+    entries, _ = stream_entries(spark, f"{base}/in", pattern="*.txt", max_files_per_trigger=files)
     with rocksdb_state(spark):
         spikes = _run_to_parquet(stream_spikes(entries, ALERTS_PARAMS, timedelta(days=400)), base)
     return spikes.select(format_utc_micros("start_ts").alias("start_utc"), "errors_in_window")
@@ -466,8 +469,8 @@ def q_stream_error_spikes(spark, sf_dir):
 def q_stream_prompts(spark, sf_dir):
     """Prompts of the anomalous sessions (idle gap of two days) of a stream over several micro-batches, as they close."""
     base = new_folder(spark, "stream-prompts")
-    _stream_text(spark, sf_dir, base, "user")
-    entries, _ = stream_entries(spark, f"{base}/in", pattern="*.txt", max_files_per_trigger=2)
+    files = _stream_text(spark, sf_dir, base, "user")
+    entries, _ = stream_entries(spark, f"{base}/in", pattern="*.txt", max_files_per_trigger=files)
     with rocksdb_state(spark):
         prompts = _run_to_parquet(stream_prompts(entries, SESSION_PARAMS, timedelta(days=400)), base)
     return prompts.select("request_id", format_utc_micros("start_ts").alias("start_utc"), "n_entries", "prompt")

@@ -47,10 +47,28 @@ class OpenSessions:
         }
 
     def add(self, entry: list, is_error: bool, is_timeout: bool, slow: list | None, service: str) -> None:
-        new = {"n": 1, "head": [entry], "tail": [entry], "error": is_error, "timeout": is_timeout, "slow": slow, "services": [service]}
+        self.add_all([(entry, is_error, is_timeout, slow, service)])
+
+    def add_all(self, rows: list[tuple]) -> None:
+        """Entries in any order, each ``(entry, is_error, is_timeout, slow, service)``: sorted once, what lies together is added at once."""
+        rows.sort(key=lambda r: r[0])
+        first = 0
+        for i in range(1, len(rows) + 1):
+            if i == len(rows) or rows[i][0][0] - rows[i - 1][0][0] >= self.gap_us:
+                self._add_together(rows[first:i])
+                first = i
+
+    def _add_together(self, rows: list[tuple]) -> None:
+        entries, errors, timeouts, slows, services = zip(*rows)
+        slow = [x for x in slows if x]
+        new = {
+            "n": len(rows), "head": list(entries[: self.head]), "tail": list(entries[-self.tail :]),
+            "error": any(errors), "timeout": any(timeouts), "slow": min(slow) if slow else None, "services": sorted(set(services)),
+        }
         apart = []
+        start, end = entries[0][0], entries[-1][0]
         for s in self.sessions:
-            if s["head"][0][0] - entry[0] >= self.gap_us or entry[0] - s["tail"][-1][0] >= self.gap_us:
+            if s["head"][0][0] - end >= self.gap_us or start - s["tail"][-1][0] >= self.gap_us:
                 apart.append(s)
             else:
                 new = self._merged(new, s)
@@ -85,9 +103,11 @@ class SessionPrompts(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         held = self._held()
         for batch in rows:
-            for r in batch.itertuples(index=False):
-                slow = [int(r.us), int(r.ts_nanos), r.raw, int(r.latency_ms), r.service] if r.is_slow else None
-                held.add([int(r.us), int(r.ts_nanos), r.raw, r.tz_offset, r.line], bool(r.is_error), bool(r.is_timeout), slow, r.service)
+            columns = [batch[c].tolist() for c in ("us", "ts_nanos", "raw", "tz_offset", "line", "is_error", "is_timeout", "is_slow", "latency_ms", "service")]
+            held.add_all([
+                ([int(us), int(nanos), raw, tz, line], bool(error), bool(timeout), [int(us), int(nanos), raw, int(ms), service] if slow else None, service)
+                for us, nanos, raw, tz, line, error, timeout, slow, ms, service in zip(*columns)
+            ])
         self._keep(held)
         return iter([])
 

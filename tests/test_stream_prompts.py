@@ -98,3 +98,18 @@ def test_session_state_is_bounded_and_independent_of_order():
     assert results[0][0]["slow"][0] == 401
     held = OpenSessions(100, 9, 4, results[0])
     assert [s["n"] for s in held.close(819)] == [500, 20] and len(held.sessions) == 1
+
+
+def test_entries_of_a_batch_are_added_together(monkeypatch):
+    rng = random.Random(3)
+    rows = [([rng.randrange(4_000), 0, f"r{i}", None, f"line {i}"], rng.random() < 0.1, rng.random() < 0.1, [i, 0, f"r{i}", 5, "a"] if i % 7 == 0 else None, f"s{i % 3}") for i in range(300)]
+    singly, together = OpenSessions(20, 5, 3), OpenSessions(20, 5, 3)
+    for r in rows:
+        singly.add(*r)
+    merges = []
+    merged = OpenSessions._merged
+    monkeypatch.setattr(OpenSessions, "_merged", lambda self, a, b: merges.append(1) or merged(self, a, b))
+    for part in (rows[:150], rows[150:]):
+        together.add_all(part)
+    assert together.sessions == singly.sessions and len(singly.sessions) > 3
+    assert len(merges) < 100  # singly: one for nearly every entry
