@@ -1,251 +1,357 @@
-"""Quality classifier: interpolated modified Kneser-Ney n-grams, perplexity, quantile thresholds.
-
-The model predicts the bytes of a word (and its end) from up to four bytes before, so
-its alphabet, and with it the size of its tables, is bounded in every language, and a
-word's score can be kept and used again. One model per language is trained on all
-trusted documents of that language; languages with fewer than ``MIN_TRUSTED`` use one
-that is trained on all trusted text.
-
-1. Counts: every task counts the words of its split, then the 5-grams of its words (and
-   the shorter grams at word starts); the partial counts are summed by key.
-2. Model: lower orders count the distinct bytes to the left (continuation counts);
-   grams at a word's start keep raw counts, as they have no left side. Discounts come
-   from the counts of counts per language and order. Contexts (totals and back-off
-   weights) and the probabilities of each order are joins and aggregations of the count
-   tables, which Spark shards by language and gram.
-3. Scores: the finished tables go to the tasks by groups of languages of at most
-   ``MODEL_ROWS`` grams together, one pass over these languages' documents per group.
-4. Thresholds: per language, from a histogram sketch of the trusted documents'
+"""Quality classifier: interpolated modified Kneser-Ney word n-grams, perplexity, quantile thresholds.
+
+Words (A-Z lower-cased) and the end of a text are predicted from up to two words before;
+a text's start counts as a word before. One model per language is trained on its trusted
+documents; languages with fewer than ``MIN_TRUSTED`` learned documents use one that is
+trained on all trusted text. One in ``HELD`` trusted documents, by a hash of its id, is
+held out: not learned from, it gives the thresholds.
+
+1. Chunks: the texts of one model are written once, about ``CHUNK_TOKENS`` words a chunk, as word
+   hashes and word numbers, in buckets by chunk, so that later steps need not shuffle them.
+2. Counts, longest grams first: a chunk sends each of its different grams once, with what
+   its learned texts add, to the shard of the gram's hash. A shard sums and answers every
+   chunk in the order it sent its grams, and names one of them the gram's owner. Owners
+   send on what the gram gives to shorter ones: a left neighbour to the gram without its first word
+   (continuation counts), and its count to the gram without its last word (a context's total
+   and its numbers of grams with counts 1, 2 and more). Grams at a text's start keep raw counts, as they have no left side.
+   Frequent grams are one entry a chunk; shards grow in number, not in size, with the corpus.
+3. Scores: discounts come from the counts of counts per model and order, a few numbers.
+   A chunk meets its grams' answers and sums the log probabilities of each document.
+4. Thresholds: per language, from a histogram sketch of the held-out documents'
    perplexities: the upper end of the bucket that holds the ``HIGH_PERMILLE`` quantile.
    A document above it is not kept.
 
+Grams are known by ``SPARE_BITS`` more bits of their hashes than the number of words has: at most one in
+2^``SPARE_BITS`` unseen grams is taken for a seen one.
+
 Defined results: a document without words has perplexity null and is not kept. Null
-language counts as a language of its own. Without any trusted text every gram is
-unseen and perplexity is that of equal chances; nothing is kept then. Rows are scored one by
+language counts as a language of its own. A language with fewer than ``MIN_TRUSTED`` held-out
+documents takes the threshold of all of them; without any, learned documents give it. Without
+any trusted text perplexity is 1, as no word is known, and nothing is kept. Rows are scored one by
 one; trusted ids may repeat or be unknown. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import struct
+import uuid
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logweave.llm.common import lower_words, map_arrow, sized, stage
+from logweave.llm.common import GOLD, M2, WordHashes, map_arrow, mix, sized, stage, word_hashes
+from logweave.llm.interpolated_lm import pack, pack_sorted, unpack, unpack_sorted
+from logweave.plans.materialize import write_table
 
-ORDER, ALPHABET = 5, 256
-MIN_TRUSTED = 20
-MODEL_ROWS = 4_000_000
+ORDER = 3
+MIN_TRUSTED, HELD = 20, 5
 HIGH_PERMILLE = 995
-WORDS_HELD = 300_000  # word types a task counts before it passes on their grams
-KNOWN_WORDS = 400_000  # scored words a task keeps
+CHUNK_TOKENS = 2_000_000  # bounds a task's memory (a longer text is a chunk by itself)
+HELD_TOKENS = 4_000_000  # of all models together, before a task writes the largest chunk
+SHARD_KEYS = 2_000_000  # about so many entries of chunks meet in one shard
+SPARE_BITS, LEAST_BITS = 18, 40
+WORD_BITS = 48  # of a word's hash, in chunks
 ALL = "*"  # the model of all languages; other models are named "=" + language
-SPACE = 0x20
+START, END = np.uint64(0x93D2_0B7E_58A5), np.uint64(0x27E8_F160_9C0B)  # hashes of a text's start and end
+NOT_LEARNED, LEARNED, HELD_OUT, COPY = 0, 1, 2, 3  # COPY: learned by the model of all languages, scored elsewhere
+CHUNKS = "chunk long, model string, doc_ids array<long>, langs array<string>, parts array<int>, lengths array<int>, words binary, tokens binary"
+ASKED = "shard int, chunk long, model string, n int, keys binary, counts binary"
+ANSWERS = "level int, shard int, chunk long, model string, n int, counts binary, n1 long, n2 long, n3 long, n4 long, types long, total long"
+SCORES = "doc_id long, lang string, part int, n_symbols long, logp double"
+TOP, LOWER = 1, 5  # counts sent with a gram of ORDER words; with a shorter one, its count and its total, ones, twos and others as a context
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Rows of counts; several rows as numbers of their different columns, small ones for frequent columns, and these."""
+    if len(counts) == 1:
+        return pack(counts[0])
+    mark = np.zeros(counts.shape[1], np.uint64)
+    for row in counts:
+        mark = mark * GOLD + row.astype(np.uint64)
+    _, at, n = np.unique(mark, return_inverse=True, return_counts=True)
+    one = np.empty(len(n), np.int64)
+    one[at] = np.arange(len(at))
+    frequent = np.argsort(-n, kind="stable")
+    number = np.empty(len(n), np.int64)
+    number[frequent] = np.arange(len(n))
+    numbers = pack(number[at])
+    return struct.pack("<qq", len(n), len(numbers)) + numbers + pack(counts[:, one[frequent]].ravel())
+
+
+def unpack_counts(data: bytes, rows: int, n: int) -> np.ndarray:
+    if rows == 1:
+        return unpack(data, n).astype(np.int64)[None]
+    different, end = struct.unpack_from("<qq", data)
+    numbers = unpack(data[16 : 16 + end], n).astype(np.int64)
+    return unpack(data[16 + end :], rows * different).reshape(rows, different).astype(np.int64)[:, numbers]
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _chunks(batches):
+    """(doc_id, lang, part, model, text) -> chunks, each of one model."""
+    from pyspark import TaskContext
+
+    known, held, sizes = WordHashes(), {}, Counter()
+    made = 0
+
+    def out(model: str) -> pa.RecordBatch:
+        nonlocal made
+        rows, _ = held.pop(model), sizes.pop(model)
+        words, at, n = np.unique(np.concatenate([r[3] for r in rows]), return_inverse=True, return_counts=True)
+        frequent = np.argsort(-n, kind="stable")  # small numbers for frequent words
+        number = np.empty(len(words), np.int64)
+        number[frequent] = np.arange(len(words))
+        made += 1
+        return pa.record_batch([
+            pa.array([(TaskContext.get().partitionId() << 32) + made], pa.int64()), pa.array([model], pa.string()),
+            pa.array([[r[0] for r in rows]], pa.list_(pa.int64())), pa.array([[r[1] for r in rows]], pa.list_(pa.string())),
+            pa.array([[r[2] for r in rows]], pa.list_(pa.int32())), pa.array([[len(r[3]) for r in rows]], pa.list_(pa.int32())),
+            pa.array([pack(words[frequent])], pa.binary()), pa.array([pack(number[at])], pa.binary()),
+        ], names=_names(CHUNKS))
 
+    for batch in batches:
+        for *doc, model, text in zip(*[batch.column(i).to_pylist() for i in range(4)], batch.column(4)):
+            words = (text.as_py() or b"").lower().split()  # lower() touches A-Z only; split() is at 0x20 and 0x09-0x0D
+            ids = np.concatenate([[START], word_hashes(words, known) >> np.uint64(64 - WORD_BITS), [END]]) if words else np.empty(0, np.uint64)
+            if held.get(model) and sizes[model] + len(ids) > CHUNK_TOKENS:
+                yield out(model)
+            elif sizes.total() + len(ids) > HELD_TOKENS and held:
+                yield out(max(held, key=sizes.__getitem__))
+            held.setdefault(model, []).append((*doc, ids))
+            sizes[model] += len(ids)
+    for model in list(held):
+        yield out(model)
+
+
+def _written_chunks(chunks: DataFrame) -> DataFrame:
+    """The chunks as a table bucketed by chunk, as many buckets as shuffles have partitions."""
+    spark = chunks.sparkSession
+    name = f"kn_chunks_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_table(chunks, "llm-kn-chunks", lambda writer, path: writer.bucketBy(buckets, "chunk").option("path", path).saveAsTable(name))
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay until cleanup; what is read is known by now
+    return table
+
+
+class Keys:
+    """How grams' hashes are cut and dealt to shards."""
+
+    def __init__(self, tokens: int):
+        self.width = min(64, max(LEAST_BITS, tokens.bit_length() + SPARE_BITS))
+        self.bits = (tokens // SHARD_KEYS).bit_length()
+
+    def cut(self, hashes: np.ndarray) -> np.ndarray:
+        return hashes >> np.uint64(64 - self.width)
+
+    def ends(self, keys: np.ndarray) -> np.ndarray:
+        """Where the shards (upper bits) of sorted keys begin, and the end."""
+        firsts = np.arange(1, 1 << self.bits, dtype=np.uint64) << np.uint64(self.width - self.bits)
+        return np.concatenate([[0], np.searchsorted(keys, firsts), [len(keys)]]).astype(np.int64)
+
+
+class Grams:
+    """The different grams of one length in a chunk, by key."""
+
+    def __init__(self, hashes: np.ndarray, places: np.ndarray, keys: Keys):
+        self.places = places  # where the grams end
+        self.keys, at = np.unique(keys.cut(hashes[places]), return_inverse=True)
+        self.at = np.full(len(hashes), -1)  # the number of the gram that ends at each place
+        self.at[places] = at
+        self.one = np.empty(len(self.keys), np.int64)  # a place of each
+        self.one[at] = places
+
+
+class Chunk:
+    """The words of a chunk's documents, each with its start and end."""
+
+    def __init__(self, row: dict, keys: Keys):
+        self.chunk, self.model, self.doc_ids, self.langs, self.parts = (row[c] for c in ("chunk", "model", "doc_ids", "langs", "parts"))
+        self.lengths = np.array(row["lengths"], np.int64)
+        tokens = unpack(row["tokens"], int(self.lengths.sum())).astype(np.int64)
+        hashes = unpack(row["words"], int(tokens.max(initial=-1)) + 1)[tokens] ^ np.uint64(xxhash.xxh3_64_intdigest(self.model))
+        self.owner = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        self.position = np.arange(len(tokens)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        self.learned = np.isin(self.parts, (LEARNED, COPY))[self.owner]
+        self._keys, self._hashes = keys, [mix(hashes)]
+        for back in range(1, ORDER):
+            before = np.zeros_like(hashes)
+            before[back:] = hashes[:-back]
+            self._hashes.append(mix(self._hashes[-1] * GOLD + before * M2))
+
+    def grams(self, level: int) -> Grams:
+        return Grams(self._hashes[level - 1], np.flatnonzero(self.position >= level - 1), self._keys)
+
+
+def _answered(answers: pa.Table, level: int) -> np.ndarray:
+    """What the shards answered to a chunk's sorted grams of a length: rows of owned (0 or 1) and the counts."""
+    mine = np.flatnonzero(np.array(answers.column("level")) == level)
+    mine = mine[np.argsort(np.array(answers.column("shard"))[mine])].tolist()  # shards in the order of their keys
+    width = TOP if level == ORDER else LOWER
+    parts = [unpack_counts(answers.column("counts")[i].as_py(), width, answers.column("n")[i].as_py()) for i in mine]
+    counts = np.concatenate([np.empty((width, 0), np.int64), *parts], axis=1)
+    return np.concatenate([counts[:1] & 1, counts[:1] >> 1, counts[1:]])
+
+
+def _added(chunk: Chunk, level: int, answers: pa.Table | None) -> tuple[Grams, np.ndarray]:
+    """A chunk's grams of a length and what it adds to their counts."""
+    grams = chunk.grams(level)
+    n, places = len(grams.keys), grams.places
+    raw = chunk.learned[places] if level == ORDER else chunk.learned[places] & (chunk.position[places] == level - 1) & (level > 1)
+    counts = [np.bincount(grams.at[places[raw]], minlength=n)]
+    if level < ORDER:
+        owned, count, *_ = _answered(answers, level + 1)
+        longer = chunk.grams(level + 1).one[(owned > 0) & (count > 0)]
+        count = count[(owned > 0) & (count > 0)]
+        counts[0] = counts[0] + np.bincount(grams.at[longer], minlength=n)
+        context = grams.at[longer - 1]
+        counts.append(np.bincount(context, count, n).astype(np.int64))  # exact below 2^53
+        counts += [np.bincount(context[own], minlength=n) for own in (count == 1, count == 2, count > 2)]
+    return grams, np.stack(counts)
+
+
+def _asked(keys: Keys, level: int):
+    def rows(chunk: Chunk, answers: pa.Table | None) -> pa.Table:
+        grams, counts = _added(chunk, level, answers)
+        ends = keys.ends(grams.keys)
+        out = []
+        for shard in np.flatnonzero(np.diff(ends)).tolist():
+            own = slice(ends[shard], ends[shard + 1])
+            out.append((shard, chunk.chunk, chunk.model, int(ends[shard + 1] - ends[shard]), pack_sorted(grams.keys[own]), pack_counts(counts[:, own])))
+        kinds = (pa.int32(), pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.binary())
+        return pa.table([pa.array(x, t) for x, t in zip(zip(*out) if out else ([],) * 6, kinds)], names=_names(ASKED))
+
+    def alone(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield from rows(Chunk(batch.slice(i, 1).to_pylist()[0], keys), None).to_batches()
+
+    def answered(key, chunks: pa.Table, answers: pa.Table) -> pa.Table:
+        tables = [rows(Chunk(row, keys), answers) for row in chunks.to_pylist()]
+        return pa.concat_tables(tables)
+
+    return alone if level == ORDER else answered
+
+
+def _answers(level: int):
+    """One shard: every chunk's entries with the sums over all chunks, and the counts of counts by model."""
+    width = TOP if level == ORDER else LOWER
+
+    def run(table: pa.Table) -> pa.Table:
+        shard = table.column("shard")[0].as_py()
+        chunks, names, sizes = (table.column(c).to_pylist() for c in ("chunk", "model", "n"))
+        keys = np.concatenate([unpack_sorted(x.as_py(), n) for x, n in zip(table.column("keys"), sizes)])
+        unique, at = np.unique(keys, return_inverse=True)
+        counts = np.concatenate([unpack_counts(x.as_py(), width, n) for x, n in zip(table.column("counts"), sizes)], axis=1)
+        sums = np.stack([np.bincount(at, c, len(unique)).astype(np.int64) for c in counts])
+        one = np.empty(len(unique), np.int64)
+        one[at] = np.arange(len(keys))  # the entry of each gram whose chunk owns it
+        answers = sums[:, at]
+        answers[0] *= 2
+        answers[0, one] += 1  # the last bit: owned
+        ends = np.cumsum(sizes).tolist()
+        rows = [(level, shard, c, None, n, pack_counts(answers[:, e - n : e]), *[None] * 6) for c, n, e in zip(chunks, sizes, ends)]
+        models, code = np.unique(names, return_inverse=True)
+        of, count = np.repeat(code, sizes)[one], sums[0]
+        kinds_of = [*[count == i for i in (1, 2, 3, 4)], count > 0]
+        by = [np.bincount(of[k], minlength=len(models)) for k in kinds_of] + [np.bincount(of, count, len(models)).astype(np.int64)]
+        rows += [(level, shard, None, str(m), 0, None, *x) for m, x in zip(models, zip(*[b.tolist() for b in by]))]
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int32(), pa.binary(), *[pa.int64()] * 6)
+        return pa.table([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=_names(ANSWERS))
 
-def gram_keys(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each predicted byte of " word ": the key of its longest gram, its length, and the number of its word.
+    return run
 
-    A key is the length in bits 40-42 and below it the bytes, the last in the lowest bits.
-    """
-    flat = np.frombuffer(b" " + b"  ".join(words) + b" ", np.uint8).astype(np.int64)
-    lengths = np.array([len(w) + 2 for w in words])
-    starts = np.cumsum(lengths) - lengths
-    position = np.arange(len(flat)) - np.repeat(starts, lengths)
-    key, size = flat.copy(), np.minimum(position + 1, ORDER)
-    for back in range(1, ORDER):
-        shifted = np.zeros_like(flat)
-        shifted[back:] = flat[:-back]
-        key += np.where(position >= back, shifted, 0) << (8 * back)
-    predicted = position > 0
-    return (key | size << 40)[predicted], size[predicted], np.repeat(np.arange(len(words)), lengths)[predicted]
-
-
-def shorter(key: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Keys without their first byte."""
-    return (key & ((np.int64(1) << (8 * (size - 1))) - 1)) | (size - 1) << 40
-
-
-def context(key: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Keys without their last byte."""
-    return ((key & ((np.int64(1) << 40) - 1)) >> 8) | (size - 1) << 40
-
-
-def _counts(batches):
-    """(lang, text) -> partial counts (lang, gram, n)."""
-    held: dict[str | None, Counter] = {}
-
-    def out():
-        for lang, words in held.items():
-            keys, _, owner = gram_keys(list(words))
-            weight = np.fromiter(words.values(), np.int64, len(words))[owner]
-            grams, at = np.unique(keys, return_inverse=True)
-            n = np.bincount(at, weight).astype(np.int64)
-            yield pa.record_batch([pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(n)], names=["lang", "gram", "n"])
-        held.clear()
 
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            words = lower_words(text.as_py())
-            if words:
-                held.setdefault(lang, Counter()).update(words)
-            if sum(map(len, held.values())) >= WORDS_HELD:
-                yield from out()
-    yield from out()
+class Order:
+    """One order of a model: discounts, and the empty context's numbers of grams."""
 
+    def __init__(self, n1: int = 0, n2: int = 0, n3: int = 0, n4: int = 0, types: int = 0, total: int = 0):
+        coc = (n1, n2, n3, n4)
+        y = n1 / (n1 + 2 * n2) if n1 else 0.0
+        d = [i - (i + 1) * y * coc[i] / coc[i - 1] if coc[i - 1] and n1 else i * 0.5 for i in (1, 2, 3)]
+        self.discounts = np.array([0.0, *[max(0.05, min(i - 0.05, x)) for i, x in enumerate(d, 1)]])
+        self.types, self.whole = types, (total, n1, n2, types - n1 - n2)
 
-def train(trusted: DataFrame) -> DataFrame:
-    """The model of trusted documents (lang, text): (model, gram, logp, back).
 
-    ``back`` is the log of the weight that the gram, as a context, gives to shorter ones;
-    gram 0 is the empty context.
-    """
-    parts = map_arrow(trusted.select("lang", F.col("text").cast("binary").alias("text")), _counts, "lang string, gram long, n long")
-    raw = stage(parts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
-    own = raw.select(F.concat(F.lit("="), F.coalesce("lang", F.lit("\x00"))).alias("model"), "gram", "n")
-    counts = stage(own.union(raw.groupBy("gram").agg(F.sum("n").alias("n")).select(F.lit(ALL).alias("model"), "gram", "n")), "counts")
-    size = F.expr("shiftright(gram, 40)")
-    low = F.expr("gram & 1099511627775L")
-
-    # Adjusted counts by order: raw at order 5 and at word starts, else distinct left neighbours.
-    orders = {ORDER: counts.where(size == ORDER)}
-    for k in range(ORDER - 1, 0, -1):
-        suffix = F.expr(f"(gram & {(1 << 8 * k) - 1}L) | {k << 40}L")
-        left = orders[k + 1].select("model", suffix.alias("gram")).groupBy("model", "gram").agg(F.count(F.lit(1)).alias("n"))
-        orders[k] = stage(left.union(counts.where(size == k)), f"order-{k}")
-
-    previous, tables = None, []
-    for k in range(1, ORDER + 1):
-        grams = orders[k]
-        n = [F.count(F.when(F.col("n") == i, 1)) for i in (1, 2, 3, 4)]
-        coc = grams.groupBy("model").agg(*[c.alias(f"n{i}") for i, c in enumerate(n, 1)])
-        y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
-
-        def discount(i: int) -> Column:
-            d = F.when((F.col(f"n{i}") > 0) & (F.col("n1") > 0), i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}"))
-            return F.greatest(F.lit(0.05), F.least(F.lit(i - 0.05), F.coalesce(d, F.lit(i * 0.5)))).alias(f"d{i}")
-
-        coc = coc.select("model", discount(1), discount(2), discount(3))
-        ctx = F.expr(f"shiftright(gram & 1099511627775L, 8) | {k - 1 << 40}L").alias("ctx")
-        cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        grams = grams.join(F.broadcast(coc), "model").select("model", "gram", ctx, F.col("n").cast("double").alias("n"), cut.alias("d"))
-        totals = grams.groupBy("model", "ctx").agg(F.sum("n").alias("total"), F.sum("d").alias("cut"))
-        grams = grams.join(totals, ["model", "ctx"]).withColumn("w", F.col("cut") / F.col("total"))
-        if previous is None:
-            p = (F.col("n") - F.col("d")) / F.col("total") + F.col("w") / ALPHABET
+def _probabilities(chunk: Chunk, answers: pa.Table, orders: list[Order]) -> np.ndarray:
+    """The probability of every word and end; 1 at the starts."""
+    p = np.where(chunk.position > 0, 1 / (orders[0].types + 1), 1.0)
+    shorter = None
+    for level, order in enumerate(orders, 1):
+        grams, (_, count, *contexts) = chunk.grams(level), _answered(answers, level)
+        places = grams.places[chunk.position[grams.places] > 0]
+        if shorter is None:
+            total, *n = order.whole
         else:
-            suffix = F.expr(f"(gram & {(1 << 8 * (k - 1)) - 1}L) | {k - 1 << 40}L")
-            grams = grams.withColumn("suffix", suffix).join(previous.select("model", F.col("gram").alias("suffix"), F.col("p").alias("q")), ["model", "suffix"])
-            p = (F.col("n") - F.col("d")) / F.col("total") + F.col("w") * F.col("q")
-        previous = stage(grams.select("model", "gram", p.alias("p")), f"p-{k}")
-        tables.append((previous, totals.select("model", F.col("ctx").alias("gram"), F.log(F.col("cut") / F.col("total")).alias("back"))))
-    probabilities, weights = tables[0]
-    for p, w in tables[1:]:
-        probabilities, weights = probabilities.union(p), weights.union(w)
-    return stage(probabilities.select("model", "gram", F.log("p").alias("logp")).join(weights, ["model", "gram"], "full"), "model")
-
-
-class Model:
-    """One language's table in a task: sorted grams, their log probabilities and back-off weights."""
-
-    def __init__(self, grams: np.ndarray, logp: np.ndarray, back: np.ndarray):
-        order = np.argsort(grams)
-        self.grams, self.logp, self.back = grams[order], logp[order], back[order]
-        self.known: dict[bytes, float] = {}
-
-    def _at(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(self.grams, keys), max(len(self.grams) - 1, 0))
-        return at, self.grams[at] == keys if len(self.grams) else np.zeros(len(keys), bool)
-
-    def word_scores(self, words: list[bytes]) -> np.ndarray:
-        """Log probability of each word and its end."""
-        keys, sizes, owner = gram_keys(words)
-        score, todo = np.zeros(len(keys)), np.arange(len(keys))
-        while len(todo):
-            key, size = keys[todo], sizes[todo]
-            at, seen = self._at(key)
-            value = np.where(seen, self.logp[at], np.nan) if len(self.grams) else np.full(len(todo), np.nan)
-            seen = ~np.isnan(value)
-            score[todo[seen]] += value[seen]
-            todo, key, size = todo[~seen], key[~seen], size[~seen]
-            at, there = self._at(context(key, size))
-            back = np.where(there, self.back[at], 0.0) if len(self.grams) else np.zeros(len(todo))
-            score[todo] += np.nan_to_num(back, nan=0.0)
-            keys[todo], sizes[todo] = shorter(key, size), size - 1
-            last = sizes[todo] == 0
-            score[todo[last]] -= np.log(ALPHABET)
-            todo = todo[~last]
-        return np.bincount(owner, score, len(words))
-
-    def __call__(self, words: list[bytes]) -> float:
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if len(known) + len(new) > KNOWN_WORDS:
-            known.clear()
-            new = list(dict.fromkeys(words))
-        if new:
-            known.update(zip(new, self.word_scores(new).tolist()))
-        return sum(map(known.__getitem__, words))
-
-
-def _score(tables):
-    """(doc_id, lang, trusted, model, text) -> (doc_id, lang, trusted, n_symbols, logp)."""
-
-    def run(batches):
-        models = {name: Model(*table) for name, table in tables.value.items()}
-        for batch in batches:
-            names, texts = batch.column(3).to_pylist(), batch.column(4)
-            symbols, logs = [], []
-            for name, text in zip(names, texts):
-                words = lower_words(text.as_py())
-                symbols.append(sum(map(len, words)) + len(words))
-                logs.append(models[name](words) if words else 0.0)
-            yield pa.record_batch([*batch.columns[:3], pa.array(symbols, pa.int64()), pa.array(logs, pa.float64())], names=["doc_id", "lang", "trusted", "n_symbols", "logp"])
+            total, *n = (x[shorter[0].at[places - 1]] for x in shorter[1])
+        count = count[grams.at[places]]
+        d = order.discounts
+        cut = sum(x * y for x, y in zip(n, d[1:]))
+        own = (count - d[np.minimum(count, 3)] + cut * p[places]) / np.maximum(total, 1)
+        p[places] = np.where(np.greater(total, 0), own, p[places])
+        shorter = grams, contexts
+    return p
+
+
+def _scored(keys: Keys, models: dict[str, list[Order]]):
+    def run(key, chunks: pa.Table, answers: pa.Table) -> pa.Table:
+        rows: list[tuple] = []
+        for row in chunks.to_pylist():
+            chunk = Chunk(row, keys)
+            logs = np.log(_probabilities(chunk, answers, models.get(chunk.model) or [Order()] * ORDER))
+            sums = np.bincount(chunk.owner, logs, len(chunk.lengths))
+            symbols = np.maximum(chunk.lengths - 1, 0)
+            rows += [x for x in zip(chunk.doc_ids, chunk.langs, chunk.parts, symbols.tolist(), sums.tolist()) if x[2] != COPY]
+        kinds = (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.float64())
+        return pa.table([pa.array(x, t) for x, t in zip(zip(*rows) if rows else ([],) * 5, kinds)], names=_names(SCORES))
 
     return run
 
 
-def scored(docs: DataFrame, model: DataFrame, trusted: DataFrame) -> DataFrame:
-    """(doc_id, lang, trusted, n_symbols, logp) per row of ``docs``."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("binary").alias("text"))
-    texts = texts.join(sized(trusted), "doc_id", "left").withColumn("trusted", F.col("_t").isNotNull())
-    per_lang = texts.where("trusted").groupBy("lang").count().where(F.col("count") >= MIN_TRUSTED)
-    own = [r[0] for r in per_lang.collect()]  # a row a language
+def scored(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(doc_id, lang, part, n_symbols, logp) per row of ``docs`` (doc_id, lang, text)."""
+    held = F.crc32(F.col("doc_id").cast("string")) % HELD == 0
+    part = F.when(F.col("_t").isNull(), NOT_LEARNED).when(held, HELD_OUT).otherwise(LEARNED)
+    texts = docs.join(sized(trusted), "doc_id", "left").withColumn("part", part)
+    counts = texts.groupBy("lang").agg(F.count_if(F.col("part") == LEARNED).alias("n")).collect()  # a row a language
+    own = ["=" + (r["lang"] if r["lang"] is not None else "\x00") for r in counts if r["n"] >= MIN_TRUSTED]
     name = F.concat(F.lit("="), F.coalesce("lang", F.lit("\x00")))
-    texts = texts.withColumn("model", F.when(name.isin(["=" + (x if x is not None else "\x00") for x in own]), name).otherwise(F.lit(ALL)))
-
-    sizes = {r[0]: r[1] for r in model.groupBy("model").count().collect()}
-    wanted = ["=" + (x if x is not None else "\x00") for x in own if sizes.get("=" + (x if x is not None else "\x00"))] + [ALL]
-    groups, room = [], 0
-    for m in sorted(wanted):
-        if not groups or room + sizes.get(m, 0) > MODEL_ROWS:
-            groups.append([])
-            room = 0
-        groups[-1].append(m)
-        room += sizes.get(m, 0)
-    parts = []
-    for group in groups:
-        rows = model.where(F.col("model").isin(group)).select("model", "gram", "logp", "back").toArrow()
-        names = rows.column("model").to_numpy(zero_copy_only=False)
-        columns = [rows.column("gram").to_numpy(), *(rows.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in ("logp", "back"))]
-        tables = spark.sparkContext.broadcast({m: tuple(c[names == m] for c in columns) for m in group})
-        part = texts.where(F.col("model").isin(group)).select("doc_id", "lang", "trusted", "model", "text")
-        parts.append(map_arrow(part, _score(tables), "doc_id long, lang string, trusted boolean, n_symbols long, logp double"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
-
-
+    rows = texts.select("doc_id", "lang", "part", F.when(name.isin(own), name).otherwise(F.lit(ALL)).alias("model"), F.col("text").cast("binary").alias("text"))
+    if len(own) < len(counts):
+        copies = rows.where((F.col("part") == LEARNED) & (F.col("model") != ALL))
+        rows = rows.union(copies.withColumn("part", F.lit(COPY)).withColumn("model", F.lit(ALL)))
+    chunks = _written_chunks(map_arrow(rows, _chunks, CHUNKS))
+    keys = Keys(chunks.select(F.sum(F.expr("aggregate(lengths, 0L, (n, x) -> n + x)"))).first()[0] or 0)
+
+    answers = None
+    tables = []
+    for level in range(ORDER, 0, -1):
+        if answers is None:
+            asked = map_arrow(chunks, _asked(keys, level), ASKED)
+        else:
+            asked = chunks.groupBy("chunk").cogroup(answers.where("chunk is not null").groupBy("chunk")).applyInArrow(_asked(keys, level), ASKED)
+        answers = stage(asked.groupBy("shard").applyInArrow(_answers(level), ANSWERS), f"kn-answers-{level}")
+        tables.append(answers)
+    answers = tables[0].union(tables[1]).union(tables[2])
+    numbers = answers.where("chunk is null").groupBy("model", "level").agg(*[F.sum(c).alias(c) for c in ("n1", "n2", "n3", "n4", "types", "total")])
+    models: dict[str, list[Order]] = {}
+    for model, level, *n in numbers.collect():  # a row a language and order
+        models.setdefault(model, [Order()] * ORDER)[level - 1] = Order(*n)
+    met = chunks.groupBy("chunk").cogroup(answers.where("chunk is not null").groupBy("chunk"))
+    return met.applyInArrow(_scored(keys, models), SCORES)
 def thresholds(scores: DataFrame) -> DataFrame:
-    """(lang, threshold) from the trusted documents; a language without any takes all languages'."""
+    """(lang, threshold) from the held-out documents; a language with too few takes all languages'."""
     cents = F.floor(F.col("perplexity") * 100).cast("long")
     drop = "greatest(length(bin(v)) - 8, 0)"
-    sketch = scores.where("trusted and perplexity is not null").select("lang", cents.alias("v")).select("lang", F.expr(f"shiftleft(shiftright(v, {drop}), {drop})").alias("v")).groupBy("lang", "v").agg(F.count(F.lit(1)).alias("n"))
+    sketch = scores.where(F.col("part").isin(LEARNED, HELD_OUT) & F.col("perplexity").isNotNull()).select("lang", (F.col("part") == HELD_OUT).alias("held"), cents.alias("v"))
+    sketch = sketch.select("lang", "held", F.expr(f"shiftleft(shiftright(v, {drop}), {drop})").alias("v")).groupBy("lang", "held", "v").agg(F.count(F.lit(1)).alias("n"))
 
     def limits(rows: DataFrame, by: list[str]) -> DataFrame:
         w = Window.partitionBy(*by)  # one row per bucket
@@ -256,23 +362,23 @@ def thresholds(scores: DataFrame) -> DataFrame:
         return q.select(*by, (F.expr(f"v + shiftleft(1L, {drop})") / 100).alias("threshold"), "docs")
 
     sketch = stage(sketch, "perplexities")
-    whole = limits(sketch.groupBy("v").agg(F.sum("n").alias("n")), []).select(F.col("threshold").alias("whole"))
+    either = limits(sketch.groupBy("held", "v").agg(F.sum("n").alias("n")), ["held"])
+    whole = either.agg(F.coalesce(F.max(F.when(F.col("held"), F.col("threshold"))), F.max("threshold")).alias("whole"))
     langs = scores.select("lang").distinct()
-    own = limits(sketch, ["lang"]).where(F.col("docs") >= MIN_TRUSTED).select(F.col("lang").alias("_lang"), "threshold")
+    own = limits(sketch.where("held"), ["lang"]).where(F.col("docs") >= MIN_TRUSTED).select(F.col("lang").alias("_lang"), "threshold")
     joined = langs.join(own, F.col("lang").eqNullSafe(F.col("_lang")), "left").join(whole, F.lit(True), "left")
     return joined.select(F.col("lang").alias("_lang"), F.coalesce("threshold", "whole").alias("threshold"))
 
 
 def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """Per row of ``docs`` (doc_id, lang, text): doc_id, n_symbols, perplexity, threshold, kept.
+    """Per row of ``docs`` (doc_id, lang, text): doc_id, n_symbols (words and the end), perplexity, threshold, kept.
 
-    ``trusted``: doc_id of the documents that the model is trained on.
+    ``trusted``: doc_id of the documents that the model is trained on, but for the held-out ones.
     """
     trusted = stage(trusted.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("_t", F.lit(True)), "trusted")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    model = train(texts.join(sized(trusted), "doc_id", "left_semi"))
     value = F.when(F.col("n_symbols") > 0, F.exp(-F.col("logp") / F.col("n_symbols")))
-    scores = stage(scored(docs, model, trusted).withColumn("perplexity", value), "scores")
+    scores = stage(scored(texts, trusted).withColumn("perplexity", value), "scores")
     limits = stage(thresholds(scores), "limits")
     out = scores.join(limits, F.col("lang").eqNullSafe(F.col("_lang")), "left")
     return out.select("doc_id", "n_symbols", "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)).alias("kept"))

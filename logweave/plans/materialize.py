@@ -9,10 +9,10 @@ computes it for the action and again for the write. Tables stay until
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from logweave.session import ensure_checkpoint_dir
 
@@ -34,10 +34,29 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def write_table(df: DataFrame, name: str) -> str:
-    """Write ``df`` as parquet to a new folder under ``spark.checkpoint.dir``; return its path."""
+@contextmanager
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries that start inside the block go when the query ends; the setting is put back after it."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def write_table(df: DataFrame, name: str, write: Callable[[DataFrameWriter, str], None] = DataFrameWriter.parquet) -> str:
+    """Write ``df`` as parquet to a new folder under ``spark.checkpoint.dir``; return its path.
+
+    The written table stands for the plan, whose shuffle files nobody reads again.
+    """
     path = new_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with dropping_shuffles(df.sparkSession):
+        write(df.write.format("parquet").option("compression", "zstd"), path)
     return path
 
 

@@ -1,28 +1,32 @@
 import math
+import random
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
-from pyspark.sql import functions as F
 
 from logweave.llm import kneser_ney
-from logweave.llm.kneser_ney import perplexities, train
+from logweave.llm.kneser_ney import HELD, MIN_TRUSTED, perplexities
 from tests.llm.test_minhash_dedup import words_of
 
 SF = "/root/testdata/sf0.001"
-ORDER = 5
+ORDER = 3
+
+
+def held_out(doc_id):
+    return not zlib.crc32(str(doc_id).encode()) % HELD
 
 
 class Brute:
-    """Interpolated modified Kneser-Ney over the bytes of words, straight from the definition."""
+    """Interpolated modified Kneser-Ney over the words of texts, straight from the definition."""
 
     def __init__(self, texts):
-        raw, types = Counter(), set()
+        raw = Counter()
         for text in texts:
-            for w in words_of(text):
-                s = (" " + w + " ").encode()
-                for i in range(1, len(s)):
-                    for k in range(1, min(ORDER, i + 1) + 1):
-                        raw[s[i + 1 - k : i + 1], i + 1 == k] += 1  # (gram, begins the word)
+            s = self.sequence(text)
+            for i in range(1, len(s)):
+                for k in range(1, min(ORDER, i + 1) + 1):
+                    raw[s[i + 1 - k : i + 1], i + 1 == k] += 1  # (gram, begins the text)
         self.n = [None] + [Counter() for _ in range(ORDER)]
         for (g, start), c in raw.items():
             if len(g) == ORDER or (start and len(g) > 1):
@@ -30,6 +34,7 @@ class Brute:
         for k in range(ORDER - 1, 0, -1):
             for g in list(self.n[k + 1]):
                 self.n[k][g[1:]] += 1
+        self.types = len(self.n[1])
         self.d, self.total, self.cut = [None], [None], [None]
         for k in range(1, ORDER + 1):
             coc = Counter(self.n[k].values())
@@ -44,54 +49,80 @@ class Brute:
                 cut[g[:-1]] += d[min(c, 3)]
             self.d.append(d), self.total.append(total), self.cut.append(cut)
 
-    def p(self, h, c):
-        if len(h) + 1 < 1:
-            return 1 / 256
+    @staticmethod
+    def sequence(text):
+        words = words_of(text)
+        return ("<s>", *words, "</s>") if words else ()
+
+    def p(self, h, w):
         k = len(h) + 1
-        lower = self.p(h[1:], c) if h else 1 / 256
+        lower = self.p(h[1:], w) if h else 1 / (self.types + 1)
         if not self.total[k][h]:
             return lower
-        n = self.n[k][h + c]
-        return max(0, n - self.d[k][min(n, 3)] if n else 0) / self.total[k][h] + self.cut[k][h] / self.total[k][h] * lower
+        n = self.n[k][(*h, w)]
+        return (n - self.d[k][min(n, 3)] + self.cut[k][h] * lower) / self.total[k][h]
 
     def perplexity(self, text):
-        logs = [math.log(self.p(s[max(0, i - ORDER + 1) : i], s[i : i + 1])) for w in words_of(text) for s in [(" " + w + " ").encode()] for i in range(1, len(s))]
+        s = self.sequence(text)
+        logs = [math.log(self.p(s[max(0, i - ORDER + 1) : i], s[i])) for i in range(1, len(s))]
         return math.exp(-sum(logs) / len(logs)) if logs else None
 
 
-def test_whole_table_equals_brute_force(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    trusted = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").select("doc_id")
+def check(spark, docs, trusted):
+    """Every row's perplexity against the definition."""
     good = {r.doc_id for r in trusted.collect()}
     rows = docs.collect()
     by_lang = defaultdict(list)
     for r in rows:
-        if r.doc_id in good:
+        if r.doc_id in good and not held_out(r.doc_id):
             by_lang[r.lang].append(r.text)
-    models = {lang: Brute(t) for lang, t in by_lang.items() if len(t) >= kneser_ney.MIN_TRUSTED}
+    models = {lang: Brute(t) for lang, t in by_lang.items() if len(t) >= MIN_TRUSTED}
     whole = Brute([t for ts in by_lang.values() for t in ts])
-    got = {r.doc_id: r.perplexity for r in perplexities(docs, trusted).collect()}
-    assert models and len(got) == len(rows)
-    for r in rows[::7]:
-        assert got[r.doc_id] == pytest.approx(models.get(r.lang, whole).perplexity(r.text), rel=1e-9)
+    got = defaultdict(list)
+    for r in perplexities(docs, trusted).collect():
+        got[r.doc_id].append(r.perplexity)
+    assert models and sum(map(len, got.values())) == len(rows)
+    for r in rows:
+        want = models.get(r.lang, whole).perplexity(r.text)
+        assert any(x == want if want is None else x == pytest.approx(want, rel=1e-9) for x in got[r.doc_id]), r
+    return models, len(by_lang)
 
 
-def test_probabilities_add_up(spark):
-    model = train(spark.createDataFrame([("en", "the cat the dog that rat"), ("en", "a cat")], "lang string, text string"))
-    rows = {r.gram: (r.logp, r.back) for r in model.where("model = '=en'").collect()}
+def test_whole_table_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    check(spark, docs, spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").select("doc_id"))
+
+
+def random_docs(spark, n=160):
+    """Texts of few words in two languages, one of them small, so that grams repeat and orders back off."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join(rng.choices(words, [1 / (j + 1) for j in range(30)], k=rng.randrange(0, 25))), "xx" if i % 11 == 0 else "en") for i in range(n)]
+    return spark.createDataFrame(rows + rows[:9], "doc_id long, text string, lang string"), spark.createDataFrame([(i,) for i in range(0, n, 2)], "doc_id long")
+
+
+def test_small_chunks_and_many_shards_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "CHUNK_TOKENS", 60)
+    monkeypatch.setattr(kneser_ney, "SHARD_KEYS", 100)
+    models, langs = check(spark, *random_docs(spark))
+    assert len(models) < langs  # one language has the model of all
+
+
+def test_probabilities_add_up():
     brute = Brute(["the cat the dog that rat", "a cat"])
-    for h in (b" th", b"t", b"zzz", b" c", b""):
-        assert sum(brute.p(h, bytes([c])) for c in range(256)) == pytest.approx(1)
-    key = int.from_bytes(b" th", "big") | 3 << 40
-    assert rows[key][0] == pytest.approx(math.log(brute.p(b" t", b"h")))
+    words = [*{w for (w,) in brute.n[1]}, "unknown"]
+    for h in (("<s>", "the"), ("the",), ("zzz", "yyy"), ("a", "cat"), ()):
+        assert sum(brute.p(h, w) for w in words) == pytest.approx(1)
 
 
-def test_model_groups_give_the_same(spark, monkeypatch):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    trusted = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").select("doc_id")
-    one = sorted(map(str, perplexities(docs, trusted).collect()))
-    monkeypatch.setattr(kneser_ney, "MODEL_ROWS", 10)
-    assert sorted(map(str, perplexities(docs, trusted).collect())) == one
+def test_shuffled_words_are_less_likely(spark):
+    sentence = "the quick fox jumps over a lazy dog while rain falls on green hills".split()
+    rng = random.Random(1)
+    shuffled = [rng.sample(sentence, len(sentence)) for _ in range(20)]
+    rows = [(i, " ".join(sentence) + f" n{i}", "en") for i in range(100)] + [(1000 + i, " ".join(w), "en") for i, w in enumerate(shuffled)] + [(2000, " ".join(sentence), "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    by = {r.doc_id: r.perplexity for r in perplexities(docs, spark.range(100).toDF("doc_id")).collect()}
+    assert all(by[1000 + i] > 2 * by[2000] for i, w in enumerate(shuffled) if w != sentence)
 
 
 def test_clean_stays_and_noise_goes(spark):
@@ -119,17 +150,17 @@ def test_nothing_trusted_and_empty(spark):
     docs = spark.createDataFrame([(1, "a b", "en")], "doc_id long, text string, lang string")
     none = spark.createDataFrame([], "doc_id long")
     [r] = perplexities(docs, none).collect()
-    assert r.perplexity == pytest.approx(256) and not r.kept
+    assert r.perplexity == pytest.approx(1) and not r.kept
     assert perplexities(docs.where("doc_id = 2"), none).collect() == []
 
 
-def test_threshold_is_the_quantile_of_trusted_text(spark):
+def test_threshold_is_the_quantile_of_held_out_text(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     rows = perplexities(docs, labels.where("quality = 1").select("doc_id")).join(docs.select("doc_id", "lang"), "doc_id").join(labels, "doc_id").collect()
     by_lang = defaultdict(list)
     for r in rows:
-        if r.quality == 1 and r.perplexity is not None:
+        if r.quality == 1 and r.perplexity is not None and held_out(r.doc_id):
             by_lang[r.lang, r.threshold].append(r.perplexity)
     for (_, threshold), values in by_lang.items():
         if len(values) >= kneser_ney.MIN_TRUSTED:
