@@ -40,13 +40,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import GOLD, SHINGLE_WORDS, WordHashes, long_lists, longs, lower_words, map_arrow, mix, n_words, roll, sized, stage, steps, word_hashes
+from logweave.llm.common import BROADCAST_ROWS, GOLD, SHINGLE_WORDS, WordHashes, long_lists, longs, lower_words, map_arrow, mix, n_words, roll, sized, stage, steps, word_hashes
 from logweave.llm.near_links import link_components
 
 PERCENT, MIN_WORDS, RECALL, MAX_BANDS = 75, 50, 0.99999, 14
 BOUNDARY = re.compile(r"\n+|[.!?]+ +")
 TAIL, CUT = 12, 16  # characters before a sentence end that decide whether it is a cut; one in CUT is
 RUN_WORDS, WINDOW = 25, 26
+HALVED_ROWS = 500_000  # keys from which on a broadcast goes in halves
 LEAST, SIDE = RUN_WORDS + WINDOW - 1, WINDOW - 1  # words of the shortest run; words beside a gram that it carries
 HALF = (SIDE + 1) // 2
 #: Paragraphs have bands (empty where their task has banded an equal one), grams have ctx, lft and rgt.
@@ -301,6 +302,15 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     return _run_rows(_read(docs, PERCENT, MIN_WORDS, "runs"))
 
 
+def _having(rows: DataFrame, keys: DataFrame, key: str, name: str) -> DataFrame:
+    """Staged: the rows with a hash ``key`` among the staged ``keys``; a large broadcast goes in halves, of which the driver holds one at a time."""
+    n = keys.count()
+    if not HALVED_ROWS < n <= BROADCAST_ROWS:
+        return stage(rows.join(sized(keys, n), key, "left_semi"), name)
+    low, high = (stage(rows.where(half).join(F.broadcast(keys.where(half)), key, "left_semi"), name) for half in (f"{key} < 0", f"{key} >= 0"))
+    return low.unionByName(high)
+
+
 def _with_open(rows: DataFrame, key: str) -> DataFrame:
     """Keys that several nodes share, one of them without a copy of its own."""
     counts = rows.groupBy(key).agg(F.min("node").alias("x"), F.max("node").alias("y"), F.bool_and("own").alias("own"))
@@ -312,14 +322,13 @@ def _run_rows(found: DataFrame) -> DataFrame:
     node = F.xxhash64("id", "ctx", "lft", "rgt").alias("node")
     found = found.where(f"ctx is not null and lft + rgt >= {SIDE}")  # LEAST words around the gram are there
     ids = found.groupBy("id").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where(_apart("lo.", "hi.")).select("id")
-    rows = found.join(sized(stage(ids, "repeated-grams")), "id").select(*PLACE, "id", "ctx", "lft", "rgt", node)
-    rows = stage(rows, "gram-places")
+    rows = _having(found.select(*PLACE, "id", "ctx", "lft", "rgt", node), stage(ids, "repeated-grams"), "id", "gram-places")
 
     # Equal surroundings are one node: a gram of exact copies has one, however many places it has.
     nodes = rows.groupBy("id", "node", "ctx", "lft", "rgt").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
     nodes = stage(nodes.withColumn("own", _apart("lo.", "hi.")), "gram-nodes")
     mixed = nodes.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("own")).alias("open")).where("n > 1 and open > 0").select("id")
-    mixed = nodes.join(sized(stage(mixed, "mixed-grams")), "id").select("id", "node", "own", "ctx", "lft", "rgt")
+    mixed = _having(nodes.select("id", "node", "own", "ctx", "lft", "rgt"), stage(mixed, "mixed-grams"), "id", "mixed-nodes")
 
     # A window has HALF words before the gram or HALF behind it: only nodes that share such a half have windows to compare.
     halves = [(f"lft >= {HALF}", SIDE - HALF + 1), (f"rgt >= {HALF}", SIDE + 1)]
@@ -333,9 +342,9 @@ def _run_rows(found: DataFrame) -> DataFrame:
     joined = windows.where("not own").join(sized(stage(_with_open(windows, "window"), "shared-windows")), "window", "left_semi").select("node")
     again = stage(nodes.where("own").select("node").union(joined).distinct(), "run-nodes")
 
-    kept = nodes.join(sized(again), "node", "left_semi").groupBy("id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where(_apart("lo.", "hi."))
+    kept = _having(nodes.select("id", "node", "lo", "hi"), again, "node", "kept-nodes").groupBy("id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where(_apart("lo.", "hi."))
     kept = kept.select("id", *[F.col(f"lo.{c}").alias(f"keep_{c}") for c in PLACE])
-    out = rows.drop("ctx", "lft", "rgt").join(sized(again), "node").join(sized(stage(kept, "run-keepers")), "id")
+    out = _having(rows.drop("ctx", "lft", "rgt"), again, "node", "run-places").join(sized(stage(kept, "run-keepers")), "id")
     out = out.withColumn("removed", _apart("keep_", "")).withColumn("n_words", F.lit(RUN_WORDS)).withColumnRenamed("id", "cluster_id")
     stays = ~F.col("removed") & (F.col("start") == F.col("keep_start"))
     return out.where(F.col("removed") | stays).select(*OUT)
@@ -344,7 +353,8 @@ def _run_rows(found: DataFrame) -> DataFrame:
 def repeated_text(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """:func:`repeated_passages` and :func:`repeated_runs` from one pass over the texts; their spans may overlap."""
     found = _read(docs, percent, min_words, "passages", "runs")
-    return _passage_rows(found, docs, percent, min_words).unionByName(_run_rows(found))
+    passages = stage(_passage_rows(found, docs, percent, min_words), "passage-rows")  # apart from the runs, so that the driver does not hold both's broadcasts
+    return passages.unionByName(_run_rows(found))
 
 
 def _merged(batches):

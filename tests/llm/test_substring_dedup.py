@@ -180,3 +180,14 @@ def test_one_pass_equals_two(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     both = sorted(map(str, repeated_text(docs).collect()))
     assert both == sorted(map(str, repeated_passages(docs).unionByName(repeated_runs(docs)).collect())) and both
+
+
+def test_broadcasts_in_halves_give_the_same(spark, monkeypatch):
+    from logweave.llm import substring_dedup
+
+    words = [f"v{i}" for i in range(400)]
+    rows = [(i, " ".join(words[20 * (i % 5) : 20 * (i % 5) + 150]) + f" end {i}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted(map(str, substring_dedup.repeated_runs(docs).collect()))
+    monkeypatch.setattr(substring_dedup, "HALVED_ROWS", 0)
+    assert whole and sorted(map(str, substring_dedup.repeated_runs(docs).collect())) == whole
