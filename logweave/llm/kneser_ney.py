@@ -15,6 +15,7 @@ held out: not learned from, it gives the thresholds.
    (continuation counts), and its count to the gram without its last word (a context's total
    and its numbers of grams with counts 1, 2 and more). Grams at a text's start keep raw counts, as they have no left side.
    Frequent grams are one entry a chunk; shards grow in number, not in size, with the corpus.
+   The shards of each half of the hashes are asked one after the other.
 3. Scores: discounts come from the counts of counts per model and order, a few numbers.
    A chunk meets its grams' answers and sums the log probabilities of each document.
 4. Thresholds: per language, from a histogram sketch of the held-out documents'
@@ -36,6 +37,7 @@ from __future__ import annotations
 import struct
 import uuid
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +55,7 @@ HIGH_PERMILLE = 995
 CHUNK_TOKENS = 2_000_000  # bounds a task's memory (a longer text is a chunk by itself)
 HELD_TOKENS = 4_000_000  # of all models together, before a task writes the largest chunk
 SHARD_KEYS = 2_000_000  # about so many entries of chunks meet in one shard
+STEP_PLACES = 250_000  # scored at a time
 SPARE_BITS, LEAST_BITS = 18, 40
 WORD_BITS = 48  # of a word's hash, in chunks
 ALL = "*"  # the model of all languages; other models are named "=" + language
@@ -82,12 +85,24 @@ def pack_counts(counts: np.ndarray) -> bytes:
     return struct.pack("<qq", len(n), len(numbers)) + numbers + pack(counts[:, one[frequent]].ravel())
 
 
-def unpack_counts(data: bytes, rows: int, n: int) -> np.ndarray:
+def unpack_counts(data: bytes, rows: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different columns, and the number of each entry's column: far smaller than all columns. A single row is left as it is."""
     if rows == 1:
-        return unpack(data, n).astype(np.int64)[None]
+        return unpack(data, n).astype(np.int64)[None], np.arange(n, dtype=np.int32)
     different, end = struct.unpack_from("<qq", data)
-    numbers = unpack(data[16 : 16 + end], n).astype(np.int64)
-    return unpack(data[16 + end :], rows * different).reshape(rows, different).astype(np.int64)[:, numbers]
+    numbers = unpack(data[16 : 16 + end], n).astype(np.int32)
+    return unpack(data[16 + end :], rows * different).reshape(rows, different).astype(np.int64), numbers
+
+
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys in order, the number of each entry's key, and an entry of each key."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    first = np.ones(len(keys), bool)
+    first[1:] = ordered[1:] != ordered[:-1]
+    at = np.empty(len(keys), np.int32)
+    at[order] = np.cumsum(first, dtype=np.int32) - 1
+    return ordered[first], at, order[first]
 
 
 def _names(schema: str) -> list[str]:
@@ -148,6 +163,10 @@ class Keys:
         self.width = min(64, max(LEAST_BITS, tokens.bit_length() + SPARE_BITS))
         self.bits = (tokens // SHARD_KEYS).bit_length()
 
+    def halves(self) -> list[int | None]:
+        """The halves of the hashes, asked for one after the other, so that only one half's questions lie on the disk; a single shard is asked at once."""
+        return [0, 1] if self.bits else [None]
+
     def cut(self, hashes: np.ndarray) -> np.ndarray:
         return hashes >> np.uint64(64 - self.width)
 
@@ -162,11 +181,10 @@ class Grams:
 
     def __init__(self, hashes: np.ndarray, places: np.ndarray, keys: Keys):
         self.places = places  # where the grams end
-        self.keys, at = np.unique(keys.cut(hashes[places]), return_inverse=True)
-        self.at = np.full(len(hashes), -1)  # the number of the gram that ends at each place
+        self.keys, at, one = _numbered(keys.cut(hashes[places]))
+        self.at = np.full(len(hashes), -1, np.int32)  # the number of the gram that ends at each place
         self.at[places] = at
-        self.one = np.empty(len(self.keys), np.int64)  # a place of each
-        self.one[at] = places
+        self.one = places[one]  # a place of each
 
 
 class Chunk:
@@ -175,51 +193,64 @@ class Chunk:
     def __init__(self, row: dict, keys: Keys):
         self.chunk, self.model, self.doc_ids, self.langs, self.parts = (row[c] for c in ("chunk", "model", "doc_ids", "langs", "parts"))
         self.lengths = np.array(row["lengths"], np.int64)
-        tokens = unpack(row["tokens"], int(self.lengths.sum())).astype(np.int64)
-        hashes = unpack(row["words"], int(tokens.max(initial=-1)) + 1)[tokens] ^ np.uint64(xxhash.xxh3_64_intdigest(self.model))
-        self.owner = np.repeat(np.arange(len(self.lengths)), self.lengths)
-        self.position = np.arange(len(tokens)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        tokens = unpack(row["tokens"], int(self.lengths.sum())).astype(np.int32)
+        self._words = unpack(row["words"], int(tokens.max(initial=-1)) + 1)[tokens] ^ np.uint64(xxhash.xxh3_64_intdigest(self.model))
+        self.owner = np.repeat(np.arange(len(self.lengths), dtype=np.int32), self.lengths)
+        self.position = np.arange(len(tokens), dtype=np.int32) - np.repeat((np.cumsum(self.lengths) - self.lengths).astype(np.int32), self.lengths)
         self.learned = np.isin(self.parts, (LEARNED, COPY))[self.owner]
-        self._keys, self._hashes = keys, [mix(hashes)]
-        for back in range(1, ORDER):
-            before = np.zeros_like(hashes)
-            before[back:] = hashes[:-back]
-            self._hashes.append(mix(self._hashes[-1] * GOLD + before * M2))
+        self._keys = keys
 
-    def grams(self, level: int) -> Grams:
-        return Grams(self._hashes[level - 1], np.flatnonzero(self.position >= level - 1), self._keys)
+    def grams(self, level: int, half: int | None = None) -> Grams:
+        """Hashes are made again for each length, as holding them costs more memory than time."""
+        hashes = mix(self._words)
+        for back in range(1, level):
+            before = np.zeros_like(hashes)
+            before[back:] = self._words[:-back]
+            hashes = mix(hashes * GOLD + before * M2)
+        there = self.position >= level - 1
+        if half is not None:
+            there &= hashes >> np.uint64(63) == half
+        return Grams(hashes, np.flatnonzero(there).astype(np.int32), self._keys)
 
 
-def _answered(answers: pa.Table, level: int) -> np.ndarray:
-    """What the shards answered to a chunk's sorted grams of a length: rows of owned (0 or 1) and the counts."""
+def _answered(answers: pa.Table, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """What the shards answered to a chunk's sorted grams of a length: different columns of owned (0 or 1) and the counts, and each gram's column."""
     mine = np.flatnonzero(np.array(answers.column("level")) == level)
     mine = mine[np.argsort(np.array(answers.column("shard"))[mine])].tolist()  # shards in the order of their keys
-    width = TOP if level == ORDER else LOWER
-    parts = [unpack_counts(answers.column("counts")[i].as_py(), width, answers.column("n")[i].as_py()) for i in mine]
-    counts = np.concatenate([np.empty((width, 0), np.int64), *parts], axis=1)
-    return np.concatenate([counts[:1] & 1, counts[:1] >> 1, counts[1:]])
-
-
-def _added(chunk: Chunk, level: int, answers: pa.Table | None) -> tuple[Grams, np.ndarray]:
-    """A chunk's grams of a length and what it adds to their counts."""
-    grams = chunk.grams(level)
+    width, n = TOP if level == ORDER else LOWER, 0
+    columns, numbers = [np.empty((width, 0), np.int64)], [np.empty(0, np.int32)]
+    for i in mine:
+        different, at = unpack_counts(answers.column("counts")[i].as_py(), width, answers.column("n")[i].as_py())
+        columns.append(different)
+        numbers.append(at + np.int32(n))
+        n += different.shape[1]
+    counts = np.concatenate(columns, axis=1)
+    return np.concatenate([counts[:1] & 1, counts[:1] >> 1, counts[1:]]), np.concatenate(numbers)
+
+
+def _added(chunk: Chunk, level: int, answers: pa.Table | None, half: int | None) -> tuple[Grams, np.ndarray]:
+    """A chunk's grams of a length, those of a half if asked for, and what it adds to their counts."""
+    longer = None
+    if level < ORDER:
+        columns, number = _answered(answers, level + 1)
+        gives = ((columns[0] > 0) & (columns[1] > 0))[number]
+        longer, count = chunk.grams(level + 1).one[gives], columns[1][number[gives]]
+    grams = chunk.grams(level, half)
     n, places = len(grams.keys), grams.places
     raw = chunk.learned[places] if level == ORDER else chunk.learned[places] & (chunk.position[places] == level - 1) & (level > 1)
     counts = [np.bincount(grams.at[places[raw]], minlength=n)]
-    if level < ORDER:
-        owned, count, *_ = _answered(answers, level + 1)
-        longer = chunk.grams(level + 1).one[(owned > 0) & (count > 0)]
-        count = count[(owned > 0) & (count > 0)]
-        counts[0] = counts[0] + np.bincount(grams.at[longer], minlength=n)
-        context = grams.at[longer - 1]
+    if longer is not None:
+        shorter, context = grams.at[longer], grams.at[longer - 1]
+        counts[0] = counts[0] + np.bincount(shorter[shorter >= 0], minlength=n)
+        context, count = context[context >= 0], count[context >= 0]
         counts.append(np.bincount(context, count, n).astype(np.int64))  # exact below 2^53
         counts += [np.bincount(context[own], minlength=n) for own in (count == 1, count == 2, count > 2)]
     return grams, np.stack(counts)
 
 
-def _asked(keys: Keys, level: int):
+def _asked(keys: Keys, level: int, half: int | None):
     def rows(chunk: Chunk, answers: pa.Table | None) -> pa.Table:
-        grams, counts = _added(chunk, level, answers)
+        grams, counts = _added(chunk, level, answers, half)
         ends = keys.ends(grams.keys)
         out = []
         for shard in np.flatnonzero(np.diff(ends)).tolist():
@@ -248,16 +279,19 @@ def _answers(level: int):
         shard = table.column("shard")[0].as_py()
         chunks, names, sizes = (table.column(c).to_pylist() for c in ("chunk", "model", "n"))
         keys = np.concatenate([unpack_sorted(x.as_py(), n) for x, n in zip(table.column("keys"), sizes)])
-        unique, at = np.unique(keys, return_inverse=True)
-        counts = np.concatenate([unpack_counts(x.as_py(), width, n) for x, n in zip(table.column("counts"), sizes)], axis=1)
-        sums = np.stack([np.bincount(at, c, len(unique)).astype(np.int64) for c in counts])
-        one = np.empty(len(unique), np.int64)
-        one[at] = np.arange(len(keys))  # the entry of each gram whose chunk owns it
-        answers = sums[:, at]
-        answers[0] *= 2
-        answers[0, one] += 1  # the last bit: owned
+        unique, at, one = _numbered(keys)
+        owned = np.zeros(len(keys), bool)
+        owned[one] = True  # the entry of each gram whose chunk owns it
+        parts = [unpack_counts(x.as_py(), width, n) for x, n in zip(table.column("counts"), sizes)]
+        sums = np.stack([np.bincount(at, np.concatenate([x[i][own] for x, own in parts]), len(unique)).astype(np.int64) for i in range(width)])
+
+        def answer(own: slice) -> bytes:
+            counts = sums[:, at[own]]
+            counts[0] = 2 * counts[0] + owned[own]  # the last bit: owned
+            return pack_counts(counts)
+
         ends = np.cumsum(sizes).tolist()
-        rows = [(level, shard, c, None, n, pack_counts(answers[:, e - n : e]), *[None] * 6) for c, n, e in zip(chunks, sizes, ends)]
+        rows = [(level, shard, c, None, n, answer(slice(e - n, e)), *[None] * 6) for c, n, e in zip(chunks, sizes, ends)]
         models, code = np.unique(names, return_inverse=True)
         of, count = np.repeat(code, sizes)[one], sums[0]
         kinds_of = [*[count == i for i in (1, 2, 3, 4)], count > 0]
@@ -285,18 +319,20 @@ def _probabilities(chunk: Chunk, answers: pa.Table, orders: list[Order]) -> np.n
     p = np.where(chunk.position > 0, 1 / (orders[0].types + 1), 1.0)
     shorter = None
     for level, order in enumerate(orders, 1):
-        grams, (_, count, *contexts) = chunk.grams(level), _answered(answers, level)
-        places = grams.places[chunk.position[grams.places] > 0]
-        if shorter is None:
-            total, *n = order.whole
-        else:
-            total, *n = (x[shorter[0].at[places - 1]] for x in shorter[1])
-        count = count[grams.at[places]]
-        d = order.discounts
-        cut = sum(x * y for x, y in zip(n, d[1:]))
-        own = (count - d[np.minimum(count, 3)] + cut * p[places]) / np.maximum(total, 1)
-        p[places] = np.where(np.greater(total, 0), own, p[places])
-        shorter = grams, contexts
+        grams, (columns, number) = chunk.grams(level), _answered(answers, level)
+        places, d = grams.places[chunk.position[grams.places] > 0], order.discounts
+        for lo in range(0, len(places), STEP_PLACES):
+            own = places[lo : lo + STEP_PLACES]
+            if shorter is None:
+                total, *n = order.whole
+            else:
+                context = shorter[2][shorter[0].at[own - 1]]
+                total, *n = (x[context] for x in shorter[1][2:])
+            count = columns[1][number[grams.at[own]]]
+            cut = sum(x * y for x, y in zip(n, d[1:]))
+            longer = (count - d[np.minimum(count, 3)] + cut * p[own]) / np.maximum(total, 1)
+            p[own] = np.where(np.greater(total, 0), longer, p[own])
+        shorter = grams, columns, number
     return p
 
 
@@ -333,19 +369,24 @@ def scored(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     answers = None
     tables = []
     for level in range(ORDER, 0, -1):
-        if answers is None:
-            asked = map_arrow(chunks, _asked(keys, level), ASKED)
-        else:
-            asked = chunks.groupBy("chunk").cogroup(answers.where("chunk is not null").groupBy("chunk")).applyInArrow(_asked(keys, level), ASKED)
-        answers = stage(asked.groupBy("shard").applyInArrow(_answers(level), ANSWERS), f"kn-answers-{level}")
+        halves = []
+        for half in keys.halves():
+            if answers is None:
+                asked = map_arrow(chunks, _asked(keys, level, half), ASKED)
+            else:
+                asked = chunks.groupBy("chunk").cogroup(answers.where("chunk is not null").groupBy("chunk")).applyInArrow(_asked(keys, level, half), ASKED)
+            halves.append(stage(asked.groupBy("shard").applyInArrow(_answers(level), ANSWERS), f"kn-answers-{level}"))
+        answers = reduce(DataFrame.union, halves)
         tables.append(answers)
-    answers = tables[0].union(tables[1]).union(tables[2])
+    answers = reduce(DataFrame.union, tables)
     numbers = answers.where("chunk is null").groupBy("model", "level").agg(*[F.sum(c).alias(c) for c in ("n1", "n2", "n3", "n4", "types", "total")])
     models: dict[str, list[Order]] = {}
     for model, level, *n in numbers.collect():  # a row a language and order
         models.setdefault(model, [Order()] * ORDER)[level - 1] = Order(*n)
     met = chunks.groupBy("chunk").cogroup(answers.where("chunk is not null").groupBy("chunk"))
     return met.applyInArrow(_scored(keys, models), SCORES)
+
+
 def thresholds(scores: DataFrame) -> DataFrame:
     """(lang, threshold) from the held-out documents; a language with too few takes all languages'."""
     cents = F.floor(F.col("perplexity") * 100).cast("long")

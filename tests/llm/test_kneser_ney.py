@@ -1,11 +1,17 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from logweave.llm import kneser_ney
+from logweave.llm.common import mix
+from logweave.llm.interpolated_lm import pack, pack_sorted
 from logweave.llm.kneser_ney import HELD, MIN_TRUSTED, perplexities
 from tests.llm.test_minhash_dedup import words_of
 
@@ -169,3 +175,45 @@ def test_threshold_is_the_quantile_of_held_out_text(spark):
     kept = {q: [r.kept for r in rows if r.quality == q] for q in (1, 0)}
     print("KEPT", {q: (sum(k), len(k)) for q, k in kept.items()})
     assert sum(kept[1]) / len(kept[1]) >= 0.995 and sum(kept[0]) / len(kept[0]) < 0.4
+
+
+def test_a_chunk_takes_little_memory():
+    """Counting and scoring a chunk of one shard; all columns of counts and all orders' hashes took over 200 bytes a word."""
+    n = 1_000_000
+    rng = np.random.default_rng(3)
+    words, tokens = np.unique(rng.zipf(1.2, n) % 50_000, return_inverse=True)
+    row = {"chunk": 1, "model": "=en", "doc_ids": [*range(100)], "langs": ["en"] * 100, "parts": [kneser_ney.LEARNED] * 100, "lengths": [n // 100] * 100}
+    row |= {"words": pack(mix(words.astype(np.uint64)) >> np.uint64(16)), "tokens": pack(tokens)}
+    keys = kneser_ney.Keys(n)
+    answers, sent = None, []
+    for level in range(ORDER, 0, -1):
+        tracemalloc.start()
+        grams, counts = kneser_ney._added(kneser_ney.Chunk(row, keys), level, answers, None)
+        peak = tracemalloc.get_traced_memory()[1]
+        asked = {"shard": [0], "chunk": [1], "model": ["=en"], "n": [len(grams.keys)], "keys": [pack_sorted(grams.keys)], "counts": [kneser_ney.pack_counts(counts)]}
+        del grams, counts
+        tracemalloc.reset_peak()
+        answers = kneser_ney._answers(level)(pa.table(asked))
+        peak = max(peak, tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert peak / n < 130, (level, peak / n)
+        answers = answers.filter(pc.is_valid(answers["chunk"]))
+        sent.append(answers)
+    orders = [kneser_ney.Order(90, 40, 20, 10, 500, n)] * ORDER
+    tracemalloc.start()
+    p = kneser_ney._probabilities(kneser_ney.Chunk(row, keys), pa.concat_tables(sent), orders)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(p) == n and peak / n < 130, peak / n
+
+
+def test_halves_of_the_hashes_hold_every_gram_once():
+    n = 3000
+    words = np.arange(400, dtype=np.uint64)
+    row = {"chunk": 1, "model": "*", "doc_ids": [1, 2], "langs": ["en"] * 2, "parts": [kneser_ney.LEARNED] * 2, "lengths": [1000, 2000], "words": pack(mix(words)), "tokens": pack(np.random.default_rng(1).permutation(n) % 400)}
+    keys = kneser_ney.Keys(kneser_ney.SHARD_KEYS)
+    chunk = kneser_ney.Chunk(row, keys)
+    for level in (1, 2, 3):
+        whole, halves = chunk.grams(level), [chunk.grams(level, half) for half in keys.halves()]
+        assert len(halves) == 2 and np.array_equal(np.concatenate([h.keys for h in halves]), whole.keys)
+        assert sorted(np.concatenate([h.places for h in halves])) == whole.places.tolist()
