@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from logweave.llm.common import BROADCAST_ROWS, GOLD, SHINGLE_WORDS, WordHashes, long_lists, longs, lower_words, map_arrow, mix, n_words, roll, sized, stage, steps, word_hashes
 from logweave.llm.near_links import link_components
+from logweave.plans.materialize import cleanup, written
 
 PERCENT, MIN_WORDS, RECALL, MAX_BANDS = 75, 50, 0.99999, 14
 BOUNDARY = re.compile(r"\n+|[.!?]+ +")
@@ -317,16 +318,19 @@ def _with_open(rows: DataFrame, key: str) -> DataFrame:
     return counts.where("x <> y and not own").select(key)
 
 
-def _run_rows(found: DataFrame) -> DataFrame:
-    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), *PLACE)
+def _run_rows(found: DataFrame, found_read: Callable[[], object] = lambda: None) -> DataFrame:
+    """``found_read`` is called when ``found`` has been read for the last time."""
+    spark, place = found.sparkSession, F.struct(F.col("doc_id").isNull().alias("unnamed"), *PLACE)
     node = F.xxhash64("id", "ctx", "lft", "rgt").alias("node")
     found = found.where(f"ctx is not null and lft + rgt >= {SIDE}")  # LEAST words around the gram are there
     ids = found.groupBy("id").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where(_apart("lo.", "hi.")).select("id")
     rows = _having(found.select(*PLACE, "id", "ctx", "lft", "rgt", node), stage(ids, "repeated-grams"), "id", "gram-places")
+    found_read()
 
     # Equal surroundings are one node: a gram of exact copies has one, however many places it has.
     nodes = rows.groupBy("id", "node", "ctx", "lft", "rgt").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
     nodes = stage(nodes.withColumn("own", _apart("lo.", "hi.")), "gram-nodes")
+    since = written()
     mixed = nodes.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("own")).alias("open")).where("n > 1 and open > 0").select("id")
     mixed = _having(nodes.select("id", "node", "own", "ctx", "lft", "rgt"), stage(mixed, "mixed-grams"), "id", "mixed-nodes")
 
@@ -341,6 +345,7 @@ def _run_rows(found: DataFrame) -> DataFrame:
     windows = stage(windows, "gram-windows")
     joined = windows.where("not own").join(sized(stage(_with_open(windows, "window"), "shared-windows")), "window", "left_semi").select("node")
     again = stage(nodes.where("own").select("node").union(joined).distinct(), "run-nodes")
+    cleanup(spark, since, written() - 1)  # what led to these nodes
 
     kept = _having(nodes.select("id", "node", "lo", "hi"), again, "node", "kept-nodes").groupBy("id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where(_apart("lo.", "hi."))
     kept = kept.select("id", *[F.col(f"lo.{c}").alias(f"keep_{c}") for c in PLACE])
@@ -352,9 +357,11 @@ def _run_rows(found: DataFrame) -> DataFrame:
 
 def repeated_text(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """:func:`repeated_passages` and :func:`repeated_runs` from one pass over the texts; their spans may overlap."""
+    spark, since = docs.sparkSession, written()
     found = _read(docs, percent, min_words, "passages", "runs")
     passages = stage(_passage_rows(found, docs, percent, min_words), "passage-rows")  # apart from the runs, so that the driver does not hold both's broadcasts
-    return passages.unionByName(_run_rows(found))
+    cleanup(spark, since + 1, written() - 1)  # what led to the passages
+    return passages.unionByName(_run_rows(found, lambda: cleanup(spark, since, since + 1)))
 
 
 def _merged(batches):

@@ -1,6 +1,7 @@
 import random
 
 from logweave.llm.substring_dedup import passages, remove_repeats, repeated_passages, repeated_runs, repeated_text, tune_bands
+from logweave.plans import materialize
 from tests.llm.test_minhash_dedup import shingles, words_of
 
 SF = "/root/testdata/sf0.01"
@@ -191,3 +192,13 @@ def test_broadcasts_in_halves_give_the_same(spark, monkeypatch):
     whole = sorted(map(str, substring_dedup.repeated_runs(docs).collect()))
     monkeypatch.setattr(substring_dedup, "HALVED_ROWS", 0)
     assert whole and sorted(map(str, substring_dedup.repeated_runs(docs).collect())) == whole
+
+
+def test_tables_go_when_read_for_the_last_time(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(200)
+    since = materialize.written()
+    out = repeated_text(docs)
+    left = [path.rpartition("/")[2].rpartition("-")[0] for path in materialize._WRITTEN[since:]]
+    assert not {"llm-found", "llm-sets", "llm-nodes", "llm-gram-sides", "llm-gram-windows"} & {*left}, left
+    want = repeated_passages(docs).unionByName(repeated_runs(docs))
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
